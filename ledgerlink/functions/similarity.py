@@ -85,10 +85,14 @@ def jaro_winkler(left: pa.Array, right: pa.Array) -> np.ndarray:
 
 
 @F.arrow_udf(DoubleType())
-def jaro_winkler_score(left: pa.Array, right: pa.Array) -> pa.Array:
+def _score(left: pa.Array, right: pa.Array) -> pa.Array:
     return pa.array(jaro_winkler(left, right))
 
 
+# Declared so that a filter on the score is not moved below it, which would run it twice.
+jaro_winkler_score = _score.asNondeterministic()
+
+
 def name_signature(nm: Column) -> Column:
     """Three bit sets: characters seen at least once, twice, three times.
 

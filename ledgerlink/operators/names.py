@@ -124,8 +124,16 @@ def fuzzy_candidates(
     l_blocks = (F.col("l.empr_id") == F.col("c.empr_id")) & _similar_length("l.len", "c.block", cfg)
     r_blocks = (F.col("r.empr_id") == F.col("c.empr_id")) & (F.col("r.len") == F.col("c.block"))
     cut = [F.col(f"c.{x}") for x in ("block", "left_cuts", "right_cuts")]
-    l = placed(l.join(c, l_blocks, "left").select("l.*", *cut), "left", "right").alias("l")
-    r = placed(r.join(c, r_blocks, "left").select("r.*", *cut), "right", "left").alias("r")
+    l = placed(l.join(c, l_blocks, "left").select("l.*", *cut), "left", "right")
+    r = placed(r.join(c, r_blocks, "left").select("r.*", *cut), "right", "left")
+    # The work is in the pairs, which the size of the names does not show: keep Spark
+    # from packing many blocks into one task.
+    spark = unmatched.sparkSession
+    tasks = max(
+        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    )
+    l = l.repartition(tasks, "empr_id", "block", "left_cell", "right_cell").alias("l")
+    r = r.alias("r")
     meet = (
         (F.col("l.empr_id") == F.col("r.empr_id"))
         & (F.col("l.block") == F.col("r.block"))

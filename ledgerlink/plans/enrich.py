@@ -135,7 +135,7 @@ def resolve(
     special_ids = distinct_keys(
         pseudo.select(F.coalesce(cfg.special_id, F.lit("")).alias("empr_idfr")), "empr_idfr"
     )
-    ids, special_ids = stage(ids, "ids", run), stage(special_ids, "special_ids", run)
+    ids = stage(ids, "ids", run)
     known_names = stage(restrict(masters.names, ids, ["empr_id"]), "master_names", run)
     known_addr = restrict(changeset.address_view(masters.addresses), ids, ["empr_id"])
     known_addr = stage(

@@ -148,9 +148,19 @@ POINTER_DIGITS = 10
 
 
 def parse(df: DataFrame, layout: Sequence[Field] = LAYOUT, src: str = "value") -> DataFrame:
-    """All fields in one projection; a field past the end of a line is blank."""
-    cuts = [F.substring(src, f.start, f.width).alias(f.name) for f in layout]
-    return df.select(*df.columns, *cuts)
+    """All fields in one projection; a field past the end of a line is blank.
+
+    Finding a character position means walking the line from its start, once per field.
+    A line of one-byte characters is cut by byte position instead, with the same result.
+    """
+    plain = F.octet_length(src) == F.char_length(src)
+    lines = df.withColumns({"_bytes": F.col(src).cast("binary"), "_plain": plain})
+
+    def cut(f: Field) -> Column:
+        by_byte = F.substring("_bytes", f.start, f.width).cast("string")
+        return F.when(F.col("_plain"), by_byte).otherwise(F.substring(src, f.start, f.width))
+
+    return lines.select(*df.columns, *[cut(f).alias(f.name) for f in layout])
 
 
 def build(values: Mapping[str, Column], layout: Sequence[Field] = LAYOUT) -> Column:
