@@ -50,8 +50,6 @@ LINK_SOURCE = TableSpec("link_source", (*LINK_KEY, "prvdr_src_cd"))
 LINK_TYPE = TableSpec("link_type", (*LINK_KEY, "addr_typ_cd"))
 TABLES = (SPECIAL, NAME, ADDRESS, LINK, LINK_SOURCE, LINK_TYPE)
 
-TAGS = ["db_oper_typ", "db_sort_num", "db_uid"]
-
 
 def address_view(master: DataFrame) -> DataFrame:
     """An address master under the column names the matching steps use."""
@@ -134,28 +132,24 @@ def optional_address_rows(main: DataFrame, cfg: MatchConfig) -> DataFrame:
     )
 
 
-def _link_rows(main: DataFrame, cfg: MatchConfig, *extra: Column) -> DataFrame:
+def link_rows(main: DataFrame, cfg: MatchConfig) -> DataFrame:
     return _regular(main, "empr_name_pntr", "empr_addr_pntr").select(
         cfg.record_id,
         F.col("work_ein").alias("empr_id"),
         F.col("empr_addr_pntr").alias("addr_snum"),
         F.col("empr_name_pntr").alias("nm_snum"),
-        *extra,
         *_stamped(cfg),
         _no_date("endt"),
+        _no_date("certd_stdt"),
     )
 
 
-def link_rows(main: DataFrame, cfg: MatchConfig) -> DataFrame:
-    return _link_rows(main, cfg).withColumn("certd_stdt", F.lit(None).cast("date"))
-
-
-def link_source_rows(main: DataFrame, cfg: MatchConfig) -> DataFrame:
-    return _link_rows(main, cfg, F.lit(SOURCE_CODE).alias("prvdr_src_cd"))
+def link_source_rows(links: DataFrame) -> DataFrame:
+    return links.drop("certd_stdt").withColumn("prvdr_src_cd", F.lit(SOURCE_CODE))
 
 
-def link_type_rows(main: DataFrame, cfg: MatchConfig) -> DataFrame:
-    return _link_rows(main, cfg, F.lit(ADDRESS_TYPE).alias("addr_typ_cd"))
+def link_type_rows(links: DataFrame) -> DataFrame:
+    return links.drop("certd_stdt").withColumn("addr_typ_cd", F.lit(ADDRESS_TYPE))
 
 
 def change_set(

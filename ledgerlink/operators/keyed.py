@@ -82,7 +82,10 @@ def attach(
     apart = F.col("_heavy").isNotNull() | no_key
     spread = F.when(apart, F.pmod(F.xxhash64(*row_id), F.lit(SPREAD)) + 1).otherwise(F.lit(0))
     tagged = left.join(F.broadcast(heavy), on, "left").withColumn("_spread", spread.cast("long"))
-    rest = right.select(*on, F.lit(0).cast("long").alias("_spread"), F.struct(*values).alias("_rest"))
+    # Always 0, but not a literal: Spark would turn a join with a literal into a filter
+    # and shuffle by the key alone.
+    zero = F.pmod(F.xxhash64(*on), F.lit(1))
+    rest = right.select(*on, zero.alias("_spread"), F.struct(*values).alias("_rest"))
     found = F.coalesce("_heavy", "_rest")
     return (
         tagged.join(rest, [*on, "_spread"], "left")

@@ -16,16 +16,16 @@ _ROW_BITS = 33  # monotonically_increasing_id: partition above, row number below
 
 
 def rank_within(
-    df: DataFrame, on: Sequence[str], order: Sequence[str], window_rows: int = WINDOW_ROWS
+    df: DataFrame, on: Sequence[str], order: Sequence[str], few_rows: bool
 ) -> DataFrame:
     """``df`` with ``_rank``, counting from 1 within ``on``; ``order`` must be total.
 
-    A window sorts each group in one task. Above ``window_rows`` the rows are sorted
-    across the cluster instead: a group may span many range partitions, and its ranks
+    A window sorts each group in one task, which suits few rows. Otherwise the rows are
+    sorted across the cluster: a group may span many range partitions, and its ranks
     follow from the row positions.
     """
     on, order = list(on), list(order)
-    if at_most(df, window_rows):
+    if few_rows:
         w = Window.partitionBy(*on).orderBy(*order)
         return df.withColumn("_rank", F.row_number().over(w))
 
@@ -66,8 +66,8 @@ def allocate(
     Each base is a frame of ``on`` plus one number per id; the first base that knows
     the id counts, else numbering starts at 1.
     """
-    on = list(on)
-    ranked = rank_within(new, on, order, window_rows)
+    on, few_rows = list(on), at_most(new, window_rows)
+    ranked = rank_within(new, on, order, few_rows)
     ids = new.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
     found = []
     for i, base in enumerate(bases):
@@ -75,7 +75,7 @@ def allocate(
         ids = ids.join(base.withColumnRenamed(value, f"_base{i}"), on, "left")
         found.append(F.col(f"_base{i}"))
     ids = ids.select(*on, "_n", F.coalesce(*found, F.lit(0)).alias("_base"))
-    if at_most(new, window_rows):
+    if few_rows:
         based = ranked.join(ids.drop("_n"), on, "left")
     else:
         based = attach(ranked, stage(ids, "bases"), on, "_n", order)

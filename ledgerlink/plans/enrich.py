@@ -13,7 +13,7 @@ from ledgerlink.functions.normalize import first_match, key, norm
 from ledgerlink.operators import addresses, assemble, changeset, merge, names, special
 from ledgerlink.operators.backfill import linked_names
 from ledgerlink.operators.classify import PSEUDO, REGULAR, classify, unknown_outcome
-from ledgerlink.operators.keyed import attach, distinct_keys, restrict
+from ledgerlink.operators.keyed import attach, distinct_keys, keep_first, restrict
 from ledgerlink.sources import intake, publish
 from ledgerlink.staging import stage
 
@@ -174,7 +174,7 @@ def enrich(
     """Validated records (staged) with pointers, indicators and filled-in names."""
     classified = classify(records, cfg)
     outcome = resolve(classified, masters, cfg, run)
-    assemble.require_conserved(assemble.check_conserved(records, outcome, cfg.record_id))
+    assemble.require_conserved(records, outcome, cfg.record_id)
     return assemble.enriched_records(classified, outcome, cfg)
 
 
@@ -185,19 +185,29 @@ def main_table(enriched: DataFrame, cfg: MatchConfig) -> DataFrame:
     )
 
 
-def change_sets(main: DataFrame, masters: Masters, cfg: MatchConfig) -> dict[str, DataFrame]:
+def link_pairs(main: DataFrame, cfg: MatchConfig, run: str | None = None) -> DataFrame:
+    """Pairs of name and address, which three tables hold: found once for all of them."""
+    pairs = keep_first(
+        changeset.link_rows(main, cfg), changeset.LINK.key, [F.col(cfg.record_id)]
+    )
+    return stage(pairs, "link_pairs", run)
+
+
+def change_sets(
+    main: DataFrame, masters: Masters, cfg: MatchConfig, run: str | None = None
+) -> dict[str, DataFrame]:
     """One change-set per master table, from the main temp table (staged)."""
-    cs = changeset
+    cs, pairs = changeset, link_pairs(main, cfg, run)
     return {
         cs.SPECIAL.name: cs.change_set(cs.special_rows(main, cfg), masters.special, cs.SPECIAL, cfg),
         cs.NAME.name: cs.change_set(cs.name_rows(main, cfg), masters.names, cs.NAME, cfg),
         cs.ADDRESS.name: cs.address_changes(main, masters.addresses, cfg),
-        cs.LINK.name: cs.change_set(cs.link_rows(main, cfg), masters.links, cs.LINK, cfg),
+        cs.LINK.name: cs.change_set(pairs, masters.links, cs.LINK, cfg),
         cs.LINK_SOURCE.name: cs.change_set(
-            cs.link_source_rows(main, cfg), masters.link_sources, cs.LINK_SOURCE, cfg
+            cs.link_source_rows(pairs), masters.link_sources, cs.LINK_SOURCE, cfg
         ),
         cs.LINK_TYPE.name: cs.change_set(
-            cs.link_type_rows(main, cfg), masters.link_types, cs.LINK_TYPE, cfg
+            cs.link_type_rows(pairs), masters.link_types, cs.LINK_TYPE, cfg
         ),
     }
 
@@ -229,9 +239,7 @@ def run(
         return None
     label = publish.label_of_run(lines, cfg.run_ts, prefix)
     run_id = f"{cfg.odate:%y%m%d}"
-    valid, rejects = intake.split_valid(lines)
-    intake.write_rejects(rejects, f"{root}/rejects/{run_id}")
-    records = intake.records(valid, cfg, run_id)
+    records = intake.take_in(lines, cfg, f"{root}/rejects/{run_id}", run_id)
     if records.isEmpty():
         return None
 
@@ -241,7 +249,7 @@ def run(
     main = stage(main_table(enriched, cfg), "main", run_id)
     changes = {
         name: stage(df, f"changes_{name}", run_id)
-        for name, df in change_sets(main, masters, cfg).items()
+        for name, df in change_sets(main, masters, cfg, run_id).items()
     }
     specs = {t.name: t for t in changeset.TABLES}
     merged = {

@@ -16,8 +16,7 @@ from ledgerlink.operators import addresses as ad
 from ledgerlink.operators import assemble as asm
 from ledgerlink.operators import changeset as cs
 from ledgerlink.operators import classify as cl
-from ledgerlink.operators import keyed, merge, names, numbering, special
-from ledgerlink.operators.backfill import linked_names
+from ledgerlink.operators import keyed, merge, names, special
 from ledgerlink.plans import enrich as en
 from ledgerlink.plans import fixtures
 from ledgerlink.sources import intake, layout, publish, tables
@@ -127,8 +126,9 @@ class Case:
         done = asm.enriched_records(self.records, self.outcome, self.cfg)
         return stage(en.main_table(done, self.cfg), "main")
 
-    def changes(self, name: str) -> DataFrame:
-        return en.change_sets(self.main, self.masters, self.cfg)[name]
+    @cached_property
+    def pairs(self) -> DataFrame:
+        return en.link_pairs(self.main, self.cfg)
 
 
 # --- sources, sinks, stages
@@ -152,8 +152,7 @@ def valid_split(c: Case) -> DataFrame:
 def rejects(c: Case) -> DataFrame:
     _, bad = intake.split_valid(c.feed)
     path = c.scratch("rejects")
-    if not intake.write_rejects(bad, path):
-        return bad
+    intake.write_rejects(bad, path)
     return c.spark.read.option("header", True).schema(bad.schema).csv(path).fillna({"value": ""})
 
 
@@ -448,26 +447,46 @@ def enriched_output(c: Case) -> DataFrame:
 # --- change-sets and merge
 
 
-def _changes(name: str) -> Callable[[Case], DataFrame]:
-    return lambda c: c.changes(name).drop(*TIMES)
+def _set(c: Case, src: DataFrame, spec: cs.TableSpec, updates: bool = True) -> DataFrame:
+    master = c.masters.tables()[spec.name]
+    return cs.change_set(src, master, spec, c.cfg, updates).drop(*TIMES)
+
+
+def cs_special(c: Case) -> DataFrame:
+    return _set(c, cs.special_rows(c.main, c.cfg), cs.SPECIAL)
+
+
+def cs_name(c: Case) -> DataFrame:
+    return _set(c, cs.name_rows(c.main, c.cfg), cs.NAME)
 
 
 def cs_addr(c: Case) -> DataFrame:
-    rows = cs.address_rows(c.main, c.cfg)
-    return cs.change_set(rows, c.masters.addresses, cs.ADDRESS, c.cfg).drop(*TIMES)
+    return _set(c, cs.address_rows(c.main, c.cfg), cs.ADDRESS)
 
 
 def cs_opt_addr(c: Case) -> DataFrame:
-    rows = cs.optional_address_rows(c.main, c.cfg)
-    return cs.change_set(rows, c.masters.addresses, cs.ADDRESS, c.cfg, updates=False).drop(*TIMES)
+    return _set(c, cs.optional_address_rows(c.main, c.cfg), cs.ADDRESS, updates=False)
+
+
+def cs_link(c: Case) -> DataFrame:
+    return _set(c, c.pairs, cs.LINK)
+
+
+def cs_link_source(c: Case) -> DataFrame:
+    return _set(c, cs.link_source_rows(c.pairs), cs.LINK_SOURCE)
+
+
+def cs_link_type(c: Case) -> DataFrame:
+    return _set(c, cs.link_type_rows(c.pairs), cs.LINK_TYPE)
 
 
 def merge_update(c: Case) -> DataFrame:
-    return merge.merge_update(c.masters.names, c.changes(cs.NAME.name), cs.NAME, c.cfg)
+    return merge.merge_update(c.masters.names, cs_name(c), cs.NAME, c.cfg)
 
 
 def merge_insert(c: Case) -> DataFrame:
-    return merge.merge_insert(c.masters.addresses, c.changes(cs.ADDRESS.name), cs.ADDRESS)
+    changes = cs.address_changes(c.main, c.masters.addresses, c.cfg)
+    return merge.merge_insert(c.masters.addresses, changes, cs.ADDRESS)
 
 
 _PLAIN = [
@@ -479,7 +498,8 @@ _PLAIN = [
     name_resolution, backfill_names, addr_dedup_latest, addr_match, new_addr_seq,
     addr_resolution, opt_addr_match, new_opt_addr, new_opt_seq, opt_resolution,
     table_indicator, special_seq, special_resolution, indicators, main_tmp, enriched_output,
-    cs_addr, cs_opt_addr, merge_update, merge_insert,
+    cs_name, cs_addr, cs_opt_addr, cs_link, cs_link_source, cs_link_type, merge_update,
+    merge_insert,
 ]
 
 REUSING = replace(CFG, reuse_special=True)
@@ -487,11 +507,7 @@ REUSING = replace(CFG, reuse_special=True)
 QUERIES: dict[str, tuple[Callable[[Case], DataFrame], MatchConfig]] = {
     **{f.__name__: (f, CFG) for f in _PLAIN},
     # Only reused numbers can meet an existing row, so this one runs with reuse on.
-    "cs_special": (_changes(cs.SPECIAL.name), REUSING),
-    "cs_name": (_changes(cs.NAME.name), CFG),
-    "cs_link": (_changes(cs.LINK.name), CFG),
-    "cs_link_source": (_changes(cs.LINK_SOURCE.name), CFG),
-    "cs_link_type": (_changes(cs.LINK_TYPE.name), CFG),
+    "cs_special": (cs_special, REUSING),
 }
 
 

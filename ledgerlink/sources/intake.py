@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlink.config import MatchConfig
 from ledgerlink.sources.layout import parse
 from ledgerlink.staging import stage
 
+MIN_LENGTH = 2
 REJECT_REASON = "EOF marker or empty record"
 NO_SSN = "000000000"
 
@@ -54,7 +55,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select("value", F.col("_metadata.file_name").alias("source_file"))
 
 
-def split_valid(df: DataFrame, min_len: int = 2) -> tuple[DataFrame, DataFrame]:
+def split_valid(df: DataFrame, min_len: int = MIN_LENGTH) -> tuple[DataFrame, DataFrame]:
     """Records, and rejected lines with reason and length."""
     length = F.length("value")
     valid = df.filter(length >= min_len)
@@ -64,12 +65,9 @@ def split_valid(df: DataFrame, min_len: int = 2) -> tuple[DataFrame, DataFrame]:
     return valid, rejects
 
 
-def write_rejects(rejects: DataFrame, path: str) -> bool:
-    """Write rejects as CSV with a header, if there are any."""
-    if rejects.isEmpty():
-        return False
+def write_rejects(rejects: DataFrame, path: str) -> None:
+    """Rejected lines as CSV with a header."""
     rejects.write.mode("overwrite").option("header", True).csv(path)
-    return True
 
 
 def mask_invalid(df: DataFrame) -> DataFrame:
@@ -112,9 +110,20 @@ def validate(df: DataFrame, cfg: MatchConfig) -> DataFrame:
     return alias_project(flag_guard(validate_id(mask_invalid(df), cfg)))
 
 
-def records(valid: DataFrame, cfg: MatchConfig, run: str | None = None) -> DataFrame:
-    """Parsed and validated records with an id, frozen by the stage that follows."""
+def with_ids(valid: DataFrame, cfg: MatchConfig) -> DataFrame:
+    """Parsed and validated records with an id; the id holds once the frame is staged."""
     parsed = validate(parse(valid), cfg)
-    return stage(
-        parsed.withColumn(cfg.record_id, F.monotonically_increasing_id()), "records", run
-    )
+    return parsed.withColumn(cfg.record_id, F.monotonically_increasing_id())
+
+
+def take_in(
+    lines: DataFrame, cfg: MatchConfig, rejects_path: str, run: str | None = None
+) -> DataFrame:
+    """Records of a batch, staged; rejects are written if the one pass over the lines saw any."""
+    seen = Observation()
+    bad = F.count_if(F.length("value") < MIN_LENGTH).alias("rejects")
+    valid, _ = split_valid(lines.observe(seen, bad))
+    records = stage(with_ids(valid.select("value"), cfg).drop("value"), "records", run)
+    if seen.get["rejects"]:
+        write_rejects(split_valid(lines)[1], rejects_path)
+    return records

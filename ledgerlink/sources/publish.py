@@ -28,9 +28,10 @@ def run_label(file_name: Column, run_ts: datetime, prefix: str = "EMPLOYERS") ->
 
 
 def label_of_run(lines: DataFrame, run_ts: datetime, prefix: str = "EMPLOYERS") -> str:
-    """The label of the first input file, by name."""
-    first = lines.agg(F.min("source_file").alias("f"))
-    return first.select(run_label(F.col("f"), run_ts, prefix).alias("label")).first().label
+    """The label of the first input file, by name; the files are listed, not read."""
+    first = min(path.rsplit("/", 1)[-1] for path in lines.inputFiles())
+    one = lines.sparkSession.range(1)
+    return one.select(run_label(F.lit(first), run_ts, prefix).alias("label")).first().label
 
 
 def write_snapshots(tables: Mapping[str, DataFrame], root: str, label: str) -> dict[str, str]:
