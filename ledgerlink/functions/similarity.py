@@ -93,23 +93,18 @@ def _score(left: pa.Array, right: pa.Array) -> pa.Array:
 jaro_winkler_score = _score.asNondeterministic()
 
 
-def name_signature(nm: Column) -> Column:
+def name_signature(nm: str) -> Column:
     """Three bit sets: characters seen at least once, twice, three times.
 
     Characters share a bit only outside the printable ASCII range, which can make
     the bound below looser but never wrong.
     """
-
-    def add(acc: Column, ch: Column) -> Column:
-        bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.ascii(ch), F.lit(64)))
-        return F.struct(
-            acc["s1"].bitwiseOR(bit).alias("s1"),
-            acc["s2"].bitwiseOR(acc["s1"].bitwiseAND(bit)).alias("s2"),
-            acc["s3"].bitwiseOR(acc["s2"].bitwiseAND(bit)).alias("s3"),
-        )
-
-    zero = F.struct(*[F.lit(0).cast("long").alias(s) for s in ("s1", "s2", "s3")])
-    return F.aggregate(F.split(nm, ""), zero, add)
+    bit = "shiftleft(1L, pmod(ascii(ch), 64))"
+    return F.expr(
+        f"""aggregate(split({nm}, ''), named_struct('s1', 0L, 's2', 0L, 's3', 0L),
+        (seen, ch) -> named_struct('s1', seen.s1 | {bit}, 's2', seen.s2 | (seen.s1 & {bit}),
+                                   's3', seen.s3 | (seen.s2 & {bit})))"""
+    )
 
 
 def jaro_needed(threshold: float, prefix: int) -> float:

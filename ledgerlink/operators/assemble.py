@@ -172,14 +172,21 @@ def main_tmp(df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     return df.select(*[padded if c == "work_ein" else F.col(c) for c in MAIN_COLUMNS], *extra)
 
 
-def enriched_records(records: DataFrame, outcome: DataFrame, cfg: MatchConfig) -> DataFrame:
-    """Records with their outcome: pointers, indicators, and the filled-in name."""
-    results = outcome.drop("cls").withColumnRenamed("empr_addr_inp_ind_cd", "_inp")
-    taken = [c for c in results.columns if c in records.columns and c != cfg.record_id]
-    joined = records.drop(*taken).join(results, cfg.record_id, "left")
-    return joined.withColumns(
+def join_outcome(df: DataFrame, outcome: DataFrame, key: str) -> DataFrame:
+    """Every row of ``df`` with its outcome, packed into one column."""
+    packed = outcome.select(key, F.struct(*[c for c in outcome.columns if c != key]).alias("_out"))
+    return df.join(packed, key, "left")
+
+
+def take_outcome(df: DataFrame) -> DataFrame:
+    """Unpack the outcome: it replaces what the record said, where it says something."""
+    taken = [*POINTERS, *INDICATORS, "cls"]
+    return df.drop(*taken).withColumns(
         {
-            "qw_employer_name": F.coalesce("filled_name", "qw_employer_name"),
-            "empr_addr_inp_ind_cd": F.coalesce("_inp", "empr_addr_inp_ind_cd"),
+            **{c: F.col("_out")[c] for c in taken},
+            "qw_employer_name": F.coalesce(F.col("_out.filled_name"), "qw_employer_name"),
+            "empr_addr_inp_ind_cd": F.coalesce(
+                F.col("_out.empr_addr_inp_ind_cd"), "empr_addr_inp_ind_cd"
+            ),
         }
-    ).drop("filled_name", "_inp")
+    ).drop("_out")

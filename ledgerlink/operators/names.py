@@ -48,13 +48,10 @@ def exact_names(inputs: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def _scorable(df: DataFrame, cfg: MatchConfig) -> DataFrame:
-    nm = F.col("nm")
-    sig = name_signature(nm)
+    starts = [F.substring("nm", 1, k).alias(f"p{k}") for k in (1, 2, 3)]
     return (
-        df.withColumn("len", F.length(nm))
-        .filter(F.col("len") >= cfg.min_len)
-        .withColumns({f"p{k}": F.substring(nm, 1, k) for k in (1, 2, 3)})
-        .withColumn("_sig", sig)
+        df.filter(F.length("nm") >= cfg.min_len)
+        .select("*", F.length("nm").alias("len"), *starts, name_signature("nm").alias("_sig"))
         .select("*", "_sig.*")
         .drop("_sig")
     )

@@ -168,20 +168,28 @@ def resolve(
     return stage(outcome, "outcome", run)
 
 
-def enrich(
+def match(
     records: DataFrame, masters: Masters, cfg: MatchConfig, run: str | None = None
 ) -> DataFrame:
-    """Validated records (staged) with pointers, indicators and filled-in names."""
-    classified = classify(records, cfg)
-    outcome = resolve(classified, masters, cfg, run)
+    """The outcome of staged records, checked to be theirs one to one."""
+    outcome = resolve(classify(records, cfg), masters, cfg, run)
     assemble.require_conserved(records, outcome, cfg.record_id)
-    return assemble.enriched_records(classified, outcome, cfg)
+    return outcome
 
 
-def main_table(enriched: DataFrame, cfg: MatchConfig) -> DataFrame:
+def enriched(records: DataFrame, outcome: DataFrame, cfg: MatchConfig) -> DataFrame:
+    """The enriched file. Lines meet their outcome whole and are cut up afterwards."""
+    lines = records.select(cfg.record_id, "value")
+    joined = assemble.join_outcome(lines, outcome, cfg.record_id)
+    return assemble.enriched_output(assemble.take_outcome(intake.fields(joined, cfg)))
+
+
+def main_table(records: DataFrame, outcome: DataFrame, cfg: MatchConfig) -> DataFrame:
     """The main temp table with what the change-sets need beside it."""
+    narrow = records.drop("value")
+    done = assemble.take_outcome(assemble.join_outcome(narrow, outcome, cfg.record_id))
     return assemble.main_tmp(
-        enriched, [cfg.record_id, "cls", cfg.special_id, *assemble.CHANGE_COLUMNS]
+        done, [cfg.record_id, "cls", cfg.special_id, *assemble.CHANGE_COLUMNS]
     )
 
 
@@ -243,10 +251,8 @@ def run(
     if records.isEmpty():
         return None
 
-    # The wide rows meet their outcome twice, for two sinks that each read their own
-    # columns: less to move than keeping a second full copy of the records.
-    enriched = enrich(records, masters, cfg, run_id)
-    main = stage(main_table(enriched, cfg), "main", run_id)
+    outcome = match(records, masters, cfg, run_id)
+    main = stage(main_table(records, outcome, cfg), "main", run_id)
     changes = {
         name: stage(df, f"changes_{name}", run_id)
         for name, df in change_sets(main, masters, cfg, run_id).items()
@@ -256,7 +262,7 @@ def run(
         name: merge.merge(master, changes[name], specs[name], cfg)
         for name, master in masters.tables().items()
     }
-    merged["enriched"] = assemble.enriched_output(enriched)
+    merged["enriched"] = enriched(records, outcome, cfg)
     paths = publish.write_snapshots(merged, root, label)
     publish.publish(spark, root, label, cfg.run_ts)
 
@@ -266,6 +272,6 @@ def run(
         label=label,
         output=written.pop("enriched"),
         tables=written,
-        records_by_class=assemble.summary(main),
+        records_by_class=assemble.summary(outcome),
         changes_by_table=reduce(DataFrame.unionByName, counts),
     )

@@ -123,8 +123,7 @@ class Case:
 
     @cached_property
     def main(self) -> DataFrame:
-        done = asm.enriched_records(self.records, self.outcome, self.cfg)
-        return stage(en.main_table(done, self.cfg), "main")
+        return stage(en.main_table(self.records, self.outcome, self.cfg), "main")
 
     @cached_property
     def pairs(self) -> DataFrame:
@@ -434,14 +433,12 @@ def indicators(c: Case) -> DataFrame:
 
 
 def main_tmp(c: Case) -> DataFrame:
-    done = asm.enriched_records(c.records, c.outcome, c.cfg)
-    return asm.main_tmp(done, ["input_order"])
+    return en.main_table(c.records, c.outcome, c.cfg).select("input_order", *asm.MAIN_COLUMNS)
 
 
 def enriched_output(c: Case) -> DataFrame:
-    parsed = intake.validate(layout.parse(c.lines).drop("value"), c.cfg)
-    records = stage(parsed, "parsed")
-    return asm.enriched_output(en.enrich(records, c.masters, c.cfg))
+    records = stage(intake.matchable(c.lines, c.cfg), "records")
+    return en.enriched(records, en.match(records, c.masters, c.cfg), c.cfg)
 
 
 # --- change-sets and merge

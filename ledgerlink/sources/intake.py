@@ -110,20 +110,42 @@ def validate(df: DataFrame, cfg: MatchConfig) -> DataFrame:
     return alias_project(flag_guard(validate_id(mask_invalid(df), cfg)))
 
 
-def with_ids(valid: DataFrame, cfg: MatchConfig) -> DataFrame:
-    """Parsed and validated records with an id; the id holds once the frame is staged."""
-    parsed = validate(parse(valid), cfg)
-    return parsed.withColumn(cfg.record_id, F.monotonically_increasing_id())
+# What matching, the main temp table and the change-sets need of a record.
+MATCH_COLUMNS = """
+vald_ein_cd work_ein qw_employer_name addr1 addr2 addr3 city state zip5 zip4
+empr_forgn_cc empr_forgn_c_name empr_forgn_zip
+opt_addr1 opt_addr2 opt_addr3 opt_city opt_state opt_zip5 opt_zip4
+opt_empr_forgn_cc opt_empr_forgn_c_name opt_empr_forgn_zip
+batch_number is_batch_999999 state_key_code empr_addr_inp_ind_cd fnl_empr_err_tab
+""".split()
+
+
+def fields(lines: DataFrame, cfg: MatchConfig) -> DataFrame:
+    """Every field of a line, validated; fields nobody reads are never cut."""
+    return validate(parse(lines), cfg)
+
+
+def matchable(lines: DataFrame, cfg: MatchConfig) -> DataFrame:
+    """Id, whole line, and the fields matching needs.
+
+    The other fields stay in the line until the output is written: cutting them again is
+    cheaper than storing them one by one, and a step that needs no line does not read it.
+    """
+    return fields(lines, cfg).select(cfg.record_id, "value", cfg.special_id, *MATCH_COLUMNS)
 
 
 def take_in(
     lines: DataFrame, cfg: MatchConfig, rejects_path: str, run: str | None = None
 ) -> DataFrame:
-    """Records of a batch, staged; rejects are written if the one pass over the lines saw any."""
+    """Records of a batch, staged; rejects are written if the one pass over the lines saw any.
+
+    The record id holds from the stage on.
+    """
     seen = Observation()
     bad = F.count_if(F.length("value") < MIN_LENGTH).alias("rejects")
     valid, _ = split_valid(lines.observe(seen, bad))
-    records = stage(with_ids(valid.select("value"), cfg).drop("value"), "records", run)
+    numbered = valid.select("value", F.monotonically_increasing_id().alias(cfg.record_id))
+    records = stage(matchable(numbered, cfg), "records", run)
     if seen.get["rejects"]:
         write_rejects(split_valid(lines)[1], rejects_path)
     return records

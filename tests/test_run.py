@@ -10,6 +10,7 @@ from ledgerlink.config import MatchConfig
 from ledgerlink.operators import assemble, changeset, merge
 from ledgerlink.plans import enrich
 from ledgerlink.sources import intake, publish
+from ledgerlink.staging import stage
 from tests.test_intake import line
 from tests.test_skew import rows_of
 
@@ -100,15 +101,9 @@ def masters(spark):
 @pytest.fixture(scope="module")
 def outcome(spark, masters):
     df = spark.createDataFrame(list(enumerate(LINES)), "input_order long, value string")
-    parsed = intake.validate(enrich_parse(df), CFG)
-    done = enrich.enrich(parsed, masters, CFG)
-    return {r.input_order: r for r in done.collect()}
-
-
-def enrich_parse(df):
-    from ledgerlink.sources.layout import parse
-
-    return parse(df).drop("value")
+    records = stage(intake.matchable(df, CFG), "records")
+    main = enrich.main_table(records, enrich.match(records, masters, CFG), CFG)
+    return {r.input_order: r for r in main.collect()}
 
 
 WANT = {
