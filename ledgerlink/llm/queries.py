@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlink.llm.common import table
 from ledgerlink.llm.licenses import license_scan, license_sql
+from ledgerlink.llm.pieces import decode_pieces, encode_pieces
+from ledgerlink.llm.simhash import simhash_groups
 from ledgerlink.llm.token_counts import token_counts
+from ledgerlink.llm.token_files import token_files
 
 WORD_BPE = "word_bpe_49k.json"
 PIECE_BPE = "piece_bpe_32k.model"
@@ -23,9 +27,32 @@ def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(table(spark, sf_dir, "documents"), size=4, distance_bits=4)
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), end_id=2)
+
+
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path(PIECE_BPE)
+    encoded = encode_pieces(table(spark, sf_dir, "documents"), model)
+    decoded = decode_pieces(encoded, model)
+    return decoded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_license_scans": op2_license_scans,
+    "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op7_token_files": op7_token_files,
+    "op10_sentencepiece": op10_sentencepiece,
 }
 
 SQL: dict[str, str] = {

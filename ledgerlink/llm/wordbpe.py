@@ -54,7 +54,8 @@ class WordBpe:
         self.special_at = re.compile(b"(" + b"|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + b")")
         self.letters = byte_letters()
         self.byte_of = {c: b for b, c in enumerate(self.letters)}
-        self.vocab, self.suffix = model["vocab"], suffix
+        self.to_letters = dict(enumerate(self.letters))
+        self.vocab = model["vocab"]
         self.inner = np.array([self.vocab[c] for c in self.letters], np.int64)
         self.last = np.array([self.vocab[c + suffix] for c in self.letters], np.int64)
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
