@@ -14,6 +14,35 @@ from ledgerlink.staging import stage
 SLICE_BYTES = 4 << 20
 
 
+class Kept:
+    """Values by key for the life of a Python worker: the last ones used, at most twice ``most`` of them."""
+
+    def __init__(self, most: int = 400_000, longest: int = 64):
+        self.most, self.longest = most, longest
+        self.young: dict = {}
+        self.old: dict = {}
+        self.long: list = []
+
+    def get(self, keys: set[bytes], make) -> dict:
+        """A dict with at least these keys; ``make`` gives the values of a list of new ones."""
+        for k in self.long:
+            self.young.pop(k, None)
+        if len(self.young) > self.most:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        missing = keys - young.keys()
+        again = missing & old.keys()
+        young.update((k, old[k]) for k in again)
+        new = list(missing - again)
+        self.long = []
+        if not new:
+            return young
+        made = dict(zip(new, make(new), strict=True))
+        young.update(made)
+        self.long = [k for k in new if len(k) > self.longest]
+        return young
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -10,22 +10,19 @@ from __future__ import annotations
 import codecs
 import re
 from functools import cached_property, lru_cache
-from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlink.llm.common import per_text
+from ledgerlink.llm.common import Kept, per_text
 from ledgerlink.llm.ragged import PairTable, merge_all
 
 SPACE = "▁"
 SPACE_BYTES = SPACE.encode()
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 SEGMENT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-CACHE_ENTRIES = 250_000
-KEEP_BYTES = 64
 
 codecs.register_error("each_byte", lambda e: ("�", e.start + 1))
 
@@ -101,7 +98,7 @@ class PieceModel:
         ]
         self.silent = {i for i, k in enumerate(kinds) if k == CONTROL}
         self.spaced = {i for p, i in vocab.items() if p.startswith(SPACE)}
-        self.cache: dict = {}
+        self.kept = Kept(250_000)
 
     def _index(self, vocab: dict[str, int], score: list[float]) -> None:
         left, right, rank, merged = [], [], [], []
@@ -168,8 +165,8 @@ class PieceModel:
                 out, came = [whole], came[: len(whole)]
         return b"".join(out), np.array([*came, at])
 
-    def _merge(self, segments: list[bytes]) -> None:
-        """Pieces of segments of normalised text, into the cache."""
+    def _merge(self, segments: list[bytes]) -> list[tuple[bytes, bytes, bytes]]:
+        """Of each segment of normalised text: ids, and their widths in normalised and in original bytes."""
         lengths = np.array([len(s.decode()) for s in segments], np.int64)
         flat = self.char[np.frombuffer(b"".join(segments).decode().encode("utf-32-le"), "<u4")].astype(np.int64)
         flat, lengths = merge_all(flat, lengths, self.table, lambda: self.pairs, leftmost=True)
@@ -192,10 +189,8 @@ class PieceModel:
             norm, raw = self.norm_width[flat], self.raw_width[flat]
         ends = np.cumsum(lengths)
         ids, norm, raw = flat.astype("<u4").tobytes(), norm.astype("<u4").tobytes(), raw.astype("<u4").tobytes()
-        a = 0
-        for segment, b in zip(segments, (4 * ends).tolist(), strict=True):
-            self.cache[segment] = (ids[a:b], norm[a:b], raw[a:b])
-            a = b
+        cuts = (4 * ends).tolist()
+        return [(ids[a:b], norm[a:b], raw[a:b]) for a, b in zip([0, *cuts], cuts, strict=False)]
 
     def encode(self, texts: list[bytes]) -> tuple[list[bytes], list[bytes]]:
         """Ids (with begin and end) and the end offset of every piece, as little-endian 32-bit arrays."""
@@ -209,16 +204,12 @@ class PieceModel:
                 norm, came = self.normalise(text)
                 cut.append([s.encode() for s in SEGMENT.findall(norm.decode())])
                 places.append(came)
-        if len(self.cache) > CACHE_ENTRIES:
-            self.cache.clear()
-        new = list(set(chain.from_iterable(cut)) - self.cache.keys())
-        if new:
-            self._merge(new)
+        get = self.kept.get(set().union(*cut), self._merge).__getitem__
         begin = np.array([self.bos], "<u4").tobytes() if self.bos >= 0 else b""
         end = np.array([self.eos], "<u4").tobytes() if self.eos >= 0 else b""
         ids, ends = [], []
         for text, segments, came in zip(texts, cut, places, strict=True):
-            found = [self.cache[s] for s in segments]
+            found = list(map(get, segments))
             ids.append(begin + b"".join([x[0] for x in found]) + end)
             if came is None:
                 upto = np.cumsum(np.frombuffer(b"".join([x[2] for x in found]), "<u4")) - 1
@@ -226,9 +217,6 @@ class PieceModel:
                 upto = came[np.cumsum(np.frombuffer(b"".join([x[1] for x in found]), "<u4"), dtype=np.int64)]
             edges = [np.zeros(int(self.bos >= 0), "<u4"), upto, np.full(int(self.eos >= 0), len(text), "<u4")]
             ends.append(np.concatenate(edges).astype("<u4").tobytes())
-        for s in new:
-            if len(s) > KEEP_BYTES:
-                del self.cache[s]
         return ids, ends
 
     def decode(self, ids: bytes) -> str:

@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlink.llm.common import table
+from ledgerlink.llm.decontaminate import contamination, contamination_sql
 from ledgerlink.llm.licenses import license_scan, license_sql
 from ledgerlink.llm.pieces import decode_pieces, encode_pieces
+from ledgerlink.llm.rules import quality
 from ledgerlink.llm.simhash import simhash_groups
 from ledgerlink.llm.token_counts import token_counts
 from ledgerlink.llm.token_files import token_files
@@ -31,10 +33,18 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), size=4, distance_bits=4)
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), end_id=2)
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path(PIECE_BPE)
     encoded = encode_pieces(table(spark, sf_dir, "documents"), model)
@@ -51,10 +61,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_license_scans": op2_license_scans,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op7_token_files": op7_token_files,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_sentencepiece": op10_sentencepiece,
 }
 
 SQL: dict[str, str] = {
     "op2_license_scans": license_sql(),
+    "op5_benchmark_decontamination": contamination_sql(),
 }

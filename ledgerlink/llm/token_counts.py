@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlink.llm.common import per_text
-from ledgerlink.llm.wordbpe import WordBpe, word_bpe
+from ledgerlink.llm.wordbpe import WordBpe, chunks, word_bpe
 
 
 def chunk_counts(model: WordBpe, tokenised: list[list[bytes | int]]) -> list[int]:
@@ -40,10 +40,10 @@ def token_counts(
 
     def columns(texts: list[bytes]):
         model = word_bpe(blob.value, "counts")
-        chunks = [t.split() for t in texts]
-        count = model.per_chunk(set(chain.from_iterable(chunks)), lambda x: chunk_counts(model, x))
+        cut = [chunks(t) for t in texts]
+        count = model.per_chunk(set().union(*cut), lambda x: chunk_counts(model, x))
         get = count.__getitem__
-        return [len(t) for t in texts], [sum(map(get, c)) for c in chunks]
+        return [len(t) for t in texts], [sum(map(get, c)) for c in cut]
 
     fields = [T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())]
     counted = per_text(docs, id_col, text_col, fields, columns)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlink.llm.common import id_and_text, slices
-from ledgerlink.llm.wordbpe import WordBpe, word_bpe
+from ledgerlink.llm.wordbpe import WordBpe, chunks, word_bpe
 from ledgerlink.staging import stage, stage_root
 
 READ_DOCS = 1 << 14
@@ -49,11 +49,11 @@ def chunk_ids(model: WordBpe, blob: bytes, tokenised: list[list[bytes | int]], d
     """Ids of each chunk; the library encodes each distinct pre-token once, many in a call."""
     library, ends = pretoken_encoder(blob)
     distinct = list({p for chunk in tokenised for p in chunk if type(p) is bytes})
-    letters = model.to_letters
+    letters = {b: c for b, c in enumerate(model.letters) if b != 32}
     found: dict = {}
     for at in range(0, len(distinct), 50_000):
         part = distinct[at : at + 50_000]
-        text = " ".join([p.decode("latin-1").translate(letters) for p in part])
+        text = b" ".join(part).decode("latin-1").translate(letters)
         ids = np.array(library.encode(text, add_special_tokens=False).ids, dtype)
         cuts = ((np.flatnonzero(ends[ids]) + 1) * ids.itemsize).tolist()
         if len(cuts) != len(part):
@@ -103,11 +103,10 @@ def write_token_files(
                 if files is None:
                     store.create_dir(root, recursive=True)
                     files = [store.open_output_stream(f"{root}/{name}.{kind}") for kind in ("tokens", "docs")]
-                chunks = [t.split() for t in texts]
-                get = model.per_chunk(
-                    set(chain.from_iterable(chunks)), lambda x: chunk_ids(model, blob.value, x, dtype)
-                ).__getitem__
-                rows = [b"".join(map(get, c)) + end for c in chunks]
+                cut = [chunks(t) for t in texts]
+                found = model.per_chunk(set().union(*cut), lambda x: chunk_ids(model, blob.value, x, dtype))
+                get = found.__getitem__
+                rows = [b"".join(map(get, c)) + end for c in cut]
                 files[0].write(b"".join(rows))
                 files[1].write(np.array(ids.fill_null(-1 << 63).to_pylist(), "<i8").tobytes())
                 sizes.append(np.array([len(r) for r in rows], "<i8") // len(end))

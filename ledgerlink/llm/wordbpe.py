@@ -8,19 +8,19 @@ from __future__ import annotations
 
 import json
 import re
-from collections import ChainMap
 from functools import cached_property, lru_cache
 
 import numpy as np
 import regex
 from tokenizers import Tokenizer
 
+from ledgerlink.llm.common import Kept
 from ledgerlink.llm.ragged import PairTable, merge_all
 
 # Characters whose case and category are the same in every Unicode version and that NFC keeps.
 PLAIN = re.compile("[!-~¡-¬®-ɏ]+")
-CHUNK_KEEP = 64
-CACHE_ENTRIES = 300_000
+# One mark between an ASCII letter and white space is a pre-token of its own.
+MARK = re.compile(rb"(?<=[a-z])([.,!?])(?=\s|$)")
 
 
 def byte_letters() -> list[str]:
@@ -30,6 +30,17 @@ def byte_letters() -> list[str]:
     return [chr(b if b in printable else next(spare)) for b in range(256)]
 
 
+def chunks(text: bytes) -> list[bytes]:
+    """A text as chunks that give the same tokens one by one.
+
+    ASCII letters are lowered first, so that fewer chunks differ, unless that could alter the result: special
+    tokens are matched as written, and combining marks (which begin with these bytes) are composed before.
+    """
+    if b"<|" in text or b"\xcc" in text or b"\xcd" in text:
+        return text.split()
+    return MARK.sub(rb" \1", text.lower()).split()
+
+
 class WordBpe:
     """Read from the bytes of a tokenizer file; raises if the file treats text another way."""
 
@@ -54,7 +65,6 @@ class WordBpe:
         self.special_at = re.compile(b"(" + b"|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + b")")
         self.letters = byte_letters()
         self.byte_of = {c: b for b, c in enumerate(self.letters)}
-        self.to_letters = dict(enumerate(self.letters))
         self.vocab = model["vocab"]
         self.inner = np.array([self.vocab[c] for c in self.letters], np.int64)
         self.last = np.array([self.vocab[c + suffix] for c in self.letters], np.int64)
@@ -65,7 +75,7 @@ class WordBpe:
             range(len(merges)),
             [self.vocab[a + b] for a, b in merges],
         )
-        self.cache: dict = {}
+        self.kept = Kept()
 
     def pretokens(self, chunk: bytes) -> list[bytes | int]:
         """Pre-tokens as bytes, special tokens as their ids."""
@@ -101,15 +111,8 @@ class WordBpe:
         return self.table.pairs()
 
     def per_chunk(self, chunks: set[bytes], work) -> dict:
-        """``work(pre-tokens)`` of the chunks: {chunk: value}; values of short ones are kept for later slices."""
-        new = list(chunks - self.cache.keys())
-        if len(self.cache) + len(new) > CACHE_ENTRIES:
-            self.cache.clear()
-            new = list(chunks)
-        made = dict(zip(new, work([self.pretokens(c) for c in new]), strict=True))
-        self.cache.update((c, v) for c, v in made.items() if len(c) <= CHUNK_KEEP)
-        long = {c: v for c, v in made.items() if len(c) > CHUNK_KEEP}
-        return ChainMap(long, self.cache) if long else self.cache
+        """{chunk: value} for at least these chunks; ``work`` gives the values of chunks as lists of pre-tokens."""
+        return self.kept.get(chunks, lambda new: work([self.pretokens(c) for c in new]))
 
 
 @lru_cache(maxsize=2)
