@@ -12,10 +12,12 @@ from ledgerlink.llm.common import table
 from ledgerlink.llm.decontaminate import contamination, contamination_sql
 from ledgerlink.llm.licenses import license_scan, license_sql
 from ledgerlink.llm.pieces import decode_pieces, encode_pieces
+from ledgerlink.llm.ppm import ppm_scores
 from ledgerlink.llm.rules import quality
 from ledgerlink.llm.simhash import simhash_groups
 from ledgerlink.llm.token_counts import token_counts
 from ledgerlink.llm.token_files import token_files
+from ledgerlink.llm.topk import top_k, top_k_sql
 
 WORD_BPE = "word_bpe_49k.json"
 PIECE_BPE = "piece_bpe_32k.model"
@@ -33,6 +35,10 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), size=4, distance_bits=4)
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm_scores(table(spark, sf_dir, "documents"))
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -41,6 +47,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), end_id=2)
 
 
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), every_nth=100, k=10, scale=1024)
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -61,8 +71,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_license_scans": op2_license_scans,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op7_token_files": op7_token_files,
+    "op8_exact_top_k": op8_exact_top_k,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_sentencepiece": op10_sentencepiece,
 }
@@ -70,4 +82,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL: dict[str, str] = {
     "op2_license_scans": license_sql(),
     "op5_benchmark_decontamination": contamination_sql(),
+    "op8_exact_top_k": top_k_sql(),
 }
