@@ -18,6 +18,7 @@ from ledgerlink.llm.simhash import simhash_groups
 from ledgerlink.llm.token_counts import token_counts
 from ledgerlink.llm.token_files import token_files
 from ledgerlink.llm.topk import top_k, top_k_sql
+from ledgerlink.llm.url_filter import url_verdicts, url_verdicts_sql
 
 WORD_BPE = "word_bpe_49k.json"
 PIECE_BPE = "piece_bpe_32k.model"
@@ -43,6 +44,10 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_verdicts(table(spark, sf_dir, "pages"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), end_id=2)
 
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_lm_scoring": op4_lm_scoring,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_url_filters": op6_url_filters,
     "op7_token_files": op7_token_files,
     "op8_exact_top_k": op8_exact_top_k,
     "op9_quality_classifier": op9_quality_classifier,
@@ -82,5 +88,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL: dict[str, str] = {
     "op2_license_scans": license_sql(),
     "op5_benchmark_decontamination": contamination_sql(),
+    "op6_url_filters": url_verdicts_sql(),
     "op8_exact_top_k": top_k_sql(),
 }
