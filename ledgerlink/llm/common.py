@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,39 +15,112 @@ from ledgerlink.staging import stage
 SLICE_BYTES = 4 << 20
 
 
-class Kept:
-    """Values by key for the life of a Python worker: the last ones used, at most twice ``most`` of them."""
-
-    def __init__(self, most: int = 400_000, longest: int = 64):
-        self.most, self.longest = most, longest
-        self.young: dict = {}
-        self.old: dict = {}
-        self.long: list = []
-
-    def get(self, keys: set[bytes], make) -> dict:
-        """A dict with at least these keys; ``make`` gives the values of a list of new ones."""
-        for k in self.long:
-            self.young.pop(k, None)
-        if len(self.young) > self.most:
-            self.old, self.young = self.young, {}
-        young, old = self.young, self.old
-        missing = keys - young.keys()
-        again = missing & old.keys()
-        young.update((k, old[k]) for k in again)
-        new = list(missing - again)
-        self.long = []
-        if not new:
-            return young
-        made = dict(zip(new, make(new), strict=True))
-        young.update(made)
-        self.long = [k for k in new if len(k) > self.longest]
-        return young
+class WordTable:
+    """Ids (or only their number) by word, for whole slices of text at once.
+
+    Words are found and hashed with array operations; what a word gives is kept in a table of fixed size, in the
+    one slot its 128-bit hash points to, for the life of a Python worker. A word that is not there is made again.
+    """
+
+    def __init__(self, separators: bytes, width: int, dtype: str, bits: int = 21):
+        self.gap = separators[:1]
+        self.apart = np.zeros(256, bool)
+        self.apart[list(separators)] = True
+        self.bits, self.width, self.dtype = bits, width, np.dtype(dtype)
+        self.letters = np.random.default_rng(1).integers(0, 1 << 63, (2, 256), np.uint64) | np.uint64(1)
+        self.key = np.zeros((2, 1 << bits), np.uint64)
+        self.n = np.zeros(1 << bits, np.int64)
+        self.ids = np.zeros((1 << bits, width), self.dtype)
+
+    def _hashes(self, letters: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        starts = np.cumsum(lengths) - lengths
+        place = np.arange(len(letters)) - np.repeat(starts, lengths)
+        power = np.full(int(lengths.max(initial=0)), 0x9E3779B97F4A7C15, np.uint64)
+        power[:1] = 1
+        power = np.cumprod(power)[place]
+        return tuple(np.add.reduceat(table[letters] * power, starts) for table in self.letters)
+
+    def look_up(self, texts: list[bytes], make) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+        """(words of each text, ids of each word, all ids in order or None if ``width`` is 0).
+
+        ``make(words)`` gives (ids of each word, all ids or None) for new words.
+        """
+        blob = self.gap.join([*texts, b""])
+        raw = np.frombuffer(blob, np.uint8)
+        apart = self.apart[raw]
+        turn = np.diff(apart.view(np.int8), prepend=np.int8(1))
+        starts, ends = np.flatnonzero(turn == -1), np.flatnonzero(turn == 1)
+        begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        per_text = np.diff(np.searchsorted(starts, begins))
+        if not len(starts):
+            return per_text, np.zeros(0, np.int64), np.zeros(0, self.dtype) if self.width else None
+        one, two = self._hashes(raw[~apart], ends - starts)
+        mixed = (one ^ (two >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+        slot = (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+        hit = (self.n[slot] > 0) & (self.key[0][slot] == one) & (self.key[1][slot] == two)
+        n = np.where(hit, self.n[slot], 0)
+        miss = np.flatnonzero(~hit)
+        which = new = made = None
+        if len(miss):
+            _, first, which = np.unique(one[miss], return_index=True, return_inverse=True)
+            at = miss[first]
+            words = [blob[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
+            new, made = make(words)
+            n[miss] = new[which]
+        flat = self._gather(slot, hit, n, miss, which, new, made) if self.width else None
+        if len(miss):
+            keep = np.flatnonzero((new > 0) & (new <= self.width if self.width else True))
+            to = slot[at[keep]]
+            self.key[0][to], self.key[1][to], self.n[to] = one[at[keep]], two[at[keep]], new[keep]
+            if self.width:
+                self.ids[to] = rows_of(made, new, self.width)[keep]
+        return per_text, n, flat
+
+    def _gather(self, slot, hit, n, miss, which, new, made) -> np.ndarray:
+        out = np.empty(int(n.sum()), self.dtype)
+        ends = np.cumsum(n)
+        known = np.flatnonzero(hit)
+        inside = np.arange(self.width) < n[known][:, None]
+        out[((ends - n)[known][:, None] + np.arange(self.width))[inside]] = self.ids[slot[known]][inside]
+        if len(miss):
+            size = n[miss]
+            step = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+            out[np.repeat((ends - n)[miss], size) + step] = made[np.repeat((np.cumsum(new) - new)[which], size) + step]
+        return out
+
+
+def rows_of(flat: np.ndarray, lengths: np.ndarray, width: int) -> np.ndarray:
+    """The first ``width`` values of each part of a flat array, 0 beyond its end."""
+    place = (np.cumsum(lengths) - lengths)[:, None] + np.arange(width)
+    rows = flat[np.minimum(place, max(len(flat) - 1, 0))]
+    return np.where(np.arange(width) < lengths[:, None], rows, 0)
+
+
+def by_text(lengths: np.ndarray) -> list[tuple[int, int]]:
+    """Begin and end of each text's part in a flat list, from the numbers of parts."""
+    ends = np.cumsum(lengths).tolist()
+    return list(zip([0, *ends], ends, strict=False))
+
+
+def sums_by_text(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The sum of each text's part; 0 for texts without any."""
+    total = np.r_[0, np.cumsum(values)]
+    ends = np.cumsum(lengths)
+    return total[ends] - total[ends - lengths]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def lower_ascii(text: str) -> str:
     """SQL for ``text`` with A-Z in lower case and all else as it is."""
     return f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -2,26 +2,27 @@
 
 from __future__ import annotations
 
-from itertools import chain, islice
-
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlink.llm.common import per_text
-from ledgerlink.llm.wordbpe import WordBpe, chunks, word_bpe
+from ledgerlink.llm.common import per_text, sums_by_text
+from ledgerlink.llm.wordbpe import WordBpe, word_bpe
 
 
-def chunk_counts(model: WordBpe, tokenised: list[list[bytes | int]]) -> list[int]:
-    """Tokens of each chunk; every distinct pre-token is merged once."""
-    flat = list(chain.from_iterable(tokenised))
-    distinct = list({p for p in flat if type(p) is bytes})
-    count = dict(zip(distinct, model.counts(distinct).tolist(), strict=True))
-    single = [count.get(p, 1) for p in flat]
-    if len(flat) == len(tokenised) and all(tokenised):
-        return single
-    each = iter(single)
-    return [sum(islice(each, len(chunk))) for chunk in tokenised]
+def chunk_counts(model: WordBpe, new: list[bytes]) -> np.ndarray:
+    """Tokens of each chunk."""
+    out = np.zeros(len(new), np.int64)
+    plain, odd = model.plain(new)
+    if plain:
+        lines, per_chunk = model.plain_pretokens([new[i] for i in plain])
+        out[plain] = sums_by_text(model.counts(lines), per_chunk)
+    for i in odd:
+        parts = model.pretokens(new[i])
+        texts = [p for p in parts if type(p) is bytes]
+        out[i] = len(parts) - len(texts) + sum(int(model.counts(t)[0]) for t in texts)
+    return out
 
 
 def token_counts(
@@ -39,11 +40,9 @@ def token_counts(
         blob = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def columns(texts: list[bytes]):
-        model = word_bpe(blob.value, "counts")
-        cut = [chunks(t) for t in texts]
-        count = model.per_chunk(set().union(*cut), lambda x: chunk_counts(model, x))
-        get = count.__getitem__
-        return [len(t) for t in texts], [sum(map(get, c)) for c in cut]
+        model = word_bpe(blob.value)
+        per_text, n, _ = model.words(texts, lambda new: (chunk_counts(model, new), None))
+        return [len(t) for t in texts], sums_by_text(n, per_text)
 
     fields = [T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())]
     counted = per_text(docs, id_col, text_col, fields, columns)

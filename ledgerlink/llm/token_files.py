@@ -7,11 +7,9 @@ is the prefix sum of the sizes before it, so nothing is copied together.
 from __future__ import annotations
 
 import json
-import os
 import uuid
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -21,48 +19,39 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlink.llm.common import id_and_text, slices
-from ledgerlink.llm.wordbpe import WordBpe, chunks, word_bpe
+from ledgerlink.llm.common import by_text, id_and_text, slices, sums_by_text
+from ledgerlink.llm.wordbpe import WordBpe, word_bpe
 from ledgerlink.staging import stage, stage_root
 
 READ_DOCS = 1 << 14
+# Ids of a chunk that are kept; longer chunks are encoded anew in every slice.
+WIDTH = 8
 MANIFEST = "place int, file string, dtype string, docs bigint, tokens bigint"
 
 
-@lru_cache(maxsize=2)
-def pretoken_encoder(blob: bytes):
-    """The library's tokenizer for pre-tokens that are already treated and stand between spaces,
-    and which ids end a pre-token."""
-    from tokenizers import Tokenizer
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    spec = json.loads(blob)
-    suffix = spec["model"]["end_of_word_suffix"]
-    size = max(spec["model"]["vocab"].values()) + 1
-    ends = np.zeros(size, bool)
-    ends[[i for piece, i in spec["model"]["vocab"].items() if piece.endswith(suffix)]] = True
-    spec |= {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}
-    return Tokenizer.from_str(json.dumps(spec)), ends
-
-
-def chunk_ids(model: WordBpe, blob: bytes, tokenised: list[list[bytes | int]], dtype: str) -> list[bytes]:
-    """Ids of each chunk; the library encodes each distinct pre-token once, many in a call."""
-    library, ends = pretoken_encoder(blob)
-    distinct = list({p for chunk in tokenised for p in chunk if type(p) is bytes})
-    letters = {b: c for b, c in enumerate(model.letters) if b != 32}
-    found: dict = {}
-    for at in range(0, len(distinct), 50_000):
-        part = distinct[at : at + 50_000]
-        text = b" ".join(part).decode("latin-1").translate(letters)
-        ids = np.array(library.encode(text, add_special_tokens=False).ids, dtype)
-        cuts = ((np.flatnonzero(ends[ids]) + 1) * ids.itemsize).tolist()
-        if len(cuts) != len(part):
-            raise ValueError("a pre-token was not encoded as a whole")
-        raw = ids.tobytes()
-        found.update((p, raw[a:b]) for p, a, b in zip(part, [0, *cuts], cuts, strict=False))
-    for p in set(chain.from_iterable(tokenised)) - found.keys():
-        found[p] = np.array([p], dtype).tobytes()
-    return [found[c[0]] if len(c) == 1 else b"".join([found[p] for p in c]) for c in tokenised]
+def chunk_ids(model: WordBpe, new: list[bytes], dtype: str) -> tuple[np.ndarray, np.ndarray]:
+    """How many ids each chunk has, and all ids: the library's model encodes the pre-tokens of plain chunks,
+    the whole library the others."""
+    encode = model.library.model.tokenize
+    plain, odd = model.plain(new)
+    each: list = [None] * len(new)
+    sizes = np.zeros(len(new), np.int64)
+    ids: list[int] = []
+    if plain:
+        lines, per_chunk = model.plain_pretokens([new[i] for i in plain])
+        letters = {b: c for b, c in enumerate(model.letters) if b != 10}
+        found = [[t.id for t in encode(p)] for p in lines.decode("latin-1").translate(letters).split("\n")]
+        ids = list(chain.from_iterable(found))
+        sizes[plain] = sums_by_text(np.fromiter(map(len, found), np.int64, len(found)), per_chunk)
+    flat = np.array(ids, dtype)
+    if odd:
+        for i, (a, b) in zip(plain, by_text(sizes[plain]), strict=True):
+            each[i] = flat[a:b]
+        for i in odd:
+            each[i] = np.array(model.library.encode(new[i].decode(), add_special_tokens=False).ids, dtype)
+            sizes[i] = len(each[i])
+        flat = np.concatenate(each)
+    return sizes, flat
 
 
 def _uri(path: str) -> str:
@@ -91,11 +80,10 @@ def write_token_files(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        model = word_bpe(blob.value, f"ids {dtype}")
+        model = word_bpe(blob.value)
         task = TaskContext.get()
         store, root = fs.FileSystem.from_uri(_uri(out_dir))
         name = f"part-{task.partitionId():06d}-{task.taskAttemptId()}-{uuid.uuid4().hex[:8]}"
-        end = np.array([end_id], dtype).tobytes()
         sizes: list[np.ndarray] = []
         files = None
         for batch in batches:
@@ -103,13 +91,13 @@ def write_token_files(
                 if files is None:
                     store.create_dir(root, recursive=True)
                     files = [store.open_output_stream(f"{root}/{name}.{kind}") for kind in ("tokens", "docs")]
-                cut = [chunks(t) for t in texts]
-                found = model.per_chunk(set().union(*cut), lambda x: chunk_ids(model, blob.value, x, dtype))
-                get = found.__getitem__
-                rows = [b"".join(map(get, c)) + end for c in cut]
-                files[0].write(b"".join(rows))
+                per_text, n, flat = model.words(
+                    texts, lambda new: chunk_ids(model, new, dtype), WIDTH, dtype
+                )
+                tokens = sums_by_text(n, per_text)
+                files[0].write(np.insert(flat, np.cumsum(tokens), end_id).tobytes())
                 files[1].write(np.array(ids.fill_null(-1 << 63).to_pylist(), "<i8").tobytes())
-                sizes.append(np.array([len(r) for r in rows], "<i8") // len(end))
+                sizes.append(tokens + 1)
         if files:
             for f in files:
                 f.close()

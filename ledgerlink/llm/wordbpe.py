@@ -14,13 +14,15 @@ import numpy as np
 import regex
 from tokenizers import Tokenizer
 
-from ledgerlink.llm.common import Kept
+from ledgerlink.llm.common import WordTable
 from ledgerlink.llm.ragged import PairTable, merge_all
 
 # Characters whose case and category are the same in every Unicode version and that NFC keeps.
 PLAIN = re.compile("[!-~¡-¬®-ɏ]+")
+PLAIN_LINES = re.compile("[\n!-~¡-¬®-ɏ]*")
+SPACES = b" \t\n\r\x0b\x0c"
 # One mark between an ASCII letter and white space is a pre-token of its own.
-MARK = re.compile(rb"(?<=[a-z])([.,!?])(?=\s|$)")
+MARK = re.compile(rb"([.,!?])(?<=[a-z].)(?=\s|$)")
 
 
 def byte_letters() -> list[str]:
@@ -30,15 +32,15 @@ def byte_letters() -> list[str]:
     return [chr(b if b in printable else next(spare)) for b in range(256)]
 
 
-def chunks(text: bytes) -> list[bytes]:
-    """A text as chunks that give the same tokens one by one.
+def fold_case(text: bytes) -> bytes:
+    """The text with fewer different chunks and the same tokens: ASCII letters lowered, single marks apart.
 
-    ASCII letters are lowered first, so that fewer chunks differ, unless that could alter the result: special
-    tokens are matched as written, and combining marks (which begin with these bytes) are composed before.
+    Left as it is where that could alter the result: special tokens are matched as written, and combining marks
+    (which begin with these bytes) are composed before letters are lowered.
     """
     if b"<|" in text or b"\xcc" in text or b"\xcd" in text:
-        return text.split()
-    return MARK.sub(rb" \1", text.lower()).split()
+        return text
+    return MARK.sub(rb" \1", text.lower())
 
 
 class WordBpe:
@@ -61,6 +63,7 @@ class WordBpe:
             raise ValueError("this tokenizer file treats text in a way that is not covered")
         self.library = Tokenizer.from_str(blob.decode())
         self.split = regex.compile(split["pattern"]["Regex"])
+        self.lines = regex.compile(split["pattern"]["Regex"] + "|\n")
         self.special = {a["content"].encode(): a["id"] for a in spec["added_tokens"]}
         self.special_at = re.compile(b"(" + b"|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + b")")
         self.letters = byte_letters()
@@ -75,47 +78,58 @@ class WordBpe:
             range(len(merges)),
             [self.vocab[a + b] for a, b in merges],
         )
-        self.kept = Kept()
+        self.tables: dict[str, WordTable] = {}
 
     def pretokens(self, chunk: bytes) -> list[bytes | int]:
-        """Pre-tokens as bytes, special tokens as their ids."""
-        if chunk.isalpha():  # ASCII letters only
-            return [chunk.lower()]
-        if b"<|" in chunk and (parts := self.special_at.split(chunk))[1:]:
-            return [t for p in parts if p for t in ([self.special[p]] if p in self.special else self._plain(p))]
-        return self._plain(chunk)
-
-    def _plain(self, chunk: bytes) -> list[bytes]:
-        text = chunk.decode()
-        if PLAIN.fullmatch(text):
-            text = text.lower()
-            return [text.encode()] if text.isalpha() else [p.encode() for p in self.split.findall(text)]
-        found = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
-        return [bytes(self.byte_of[c] for c in piece) for piece, _ in found]
-
-    def symbols(self, pretokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """All pre-tokens' bytes as symbols, one after the other, and their lengths."""
-        raw = np.frombuffer(b"".join(pretokens), np.uint8)
-        lengths = np.fromiter(map(len, pretokens), np.int64, len(pretokens))
+        """Pre-tokens of any chunk as bytes, special tokens as their ids, by the library's own steps."""
+        out: list[bytes | int] = []
+        for part in self.special_at.split(chunk):
+            if part in self.special:
+                out.append(self.special[part])
+            elif part:
+                normal = self.library.normalizer.normalize_str(part.decode())
+                for piece, _ in self.library.pre_tokenizer.pre_tokenize_str(normal):
+                    out.append(bytes(self.byte_of[c] for c in piece))
+        return out
+
+    def plain_pretokens(self, chunks: list[bytes]) -> tuple[bytes, np.ndarray]:
+        """Pre-tokens of plain chunks, with a line end between any two, and how many each chunk has."""
+        found = self.lines.findall(b"\n".join(chunks).decode().lower())
+        at = np.flatnonzero(np.fromiter((t == "\n" for t in found), bool, len(found)))
+        counts = np.diff(np.r_[-1, at, len(found)]) - 1
+        return "\n".join([t for t in found if t != "\n"]).encode(), counts
+
+    def plain(self, chunks: list[bytes]) -> tuple[list[int], list[int]]:
+        """Places of the chunks that are plain text without special tokens, and of the others."""
+        joined = b"\n".join(chunks)
+        if b"<|" not in joined and PLAIN_LINES.fullmatch(joined.decode()):
+            return list(range(len(chunks))), []
+        flags = [b"<|" not in c and PLAIN.fullmatch(c.decode()) is not None for c in chunks]
+        return [i for i, f in enumerate(flags) if f], [i for i, f in enumerate(flags) if not f]
+
+    def counts(self, lines: bytes) -> np.ndarray:
+        """Tokens of each pre-token of some lines: the symbols that survive merging."""
+        raw = np.frombuffer(lines, np.uint8)
+        cut = np.flatnonzero(raw == 10)
+        lengths = np.diff(np.r_[-1, cut, len(raw)]) - 1
+        raw = np.delete(raw, cut)
         flat = self.inner[raw]
         end = np.cumsum(lengths) - 1
         flat[end] = self.last[raw[end]]
-        return flat, lengths
+        return merge_all(flat, lengths, self.table, lambda: self.pairs, leftmost=False)[1]
 
-    def counts(self, pretokens: list[bytes]) -> np.ndarray:
-        """Tokens of each pre-token: the symbols that survive merging."""
-        return merge_all(*self.symbols(pretokens), self.table, lambda: self.pairs, leftmost=False)[1]
+    def words(self, texts: list[bytes], make, width: int = 0, dtype: str = "<u4"):
+        """``WordTable.look_up`` of the chunks of some texts."""
+        table = self.tables.setdefault(f"{width} {dtype}", None) or WordTable(SPACES, width, dtype)
+        self.tables[f"{width} {dtype}"] = table
+        return table.look_up([fold_case(t) for t in texts], make)
 
     @cached_property
     def pairs(self) -> dict:
         return self.table.pairs()
 
-    def per_chunk(self, chunks: set[bytes], work) -> dict:
-        """{chunk: value} for at least these chunks; ``work`` gives the values of chunks as lists of pre-tokens."""
-        return self.kept.get(chunks, lambda new: work([self.pretokens(c) for c in new]))
-
 
 @lru_cache(maxsize=2)
-def word_bpe(blob: bytes, use: str) -> WordBpe:
-    """One per Python worker and use, with its cache of chunks."""
+def word_bpe(blob: bytes) -> WordBpe:
+    """One per Python worker, with its tables of chunks."""
     return WordBpe(blob)
