@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlink.llm.common import Kept, per_text
+from ledgerlink.llm.common import WordTable, by_text, per_text, sums_by_text
 from ledgerlink.llm.ragged import PairTable, merge_all
 
 SPACE = "▁"
@@ -98,13 +98,15 @@ class PieceModel:
         ]
         self.silent = {i for i, k in enumerate(kinds) if k == CONTROL}
         self.spaced = {i for p, i in vocab.items() if p.startswith(SPACE)}
-        self.kept = Kept(250_000)
+        self.table_of_words = WordTable(b" ", 12, "<u4")
 
     def _index(self, vocab: dict[str, int], score: list[float]) -> None:
         left, right, rank, merged = [], [], [], []
         place = {s: r for r, s in enumerate(sorted({score[i] for i in vocab.values()}, reverse=True))}
         self.norm_width = np.zeros(self.size, np.int64)
-        self.raw_width = np.zeros(self.size, np.int64)
+        self.norm_width[list(self.byte_id.values())] = 1
+        self.raw_width = self.norm_width.copy()
+        self.top_byte = max(self.byte_id.values()) + 1
         for piece, i in vocab.items():
             self.norm_width[i] = len(piece.encode())
             self.raw_width[i] = self.norm_width[i] - 2 * piece.count(SPACE)
@@ -165,57 +167,57 @@ class PieceModel:
                 out, came = [whole], came[: len(whole)]
         return b"".join(out), np.array([*came, at])
 
-    def _merge(self, segments: list[bytes]) -> list[tuple[bytes, bytes, bytes]]:
-        """Of each segment of normalised text: ids, and their widths in normalised and in original bytes."""
+    def _merge(self, segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """How many pieces each segment of normalised text has, and all ids; unknown characters become their bytes."""
+        text = b"".join(segments).decode()
         lengths = np.array([len(s.decode()) for s in segments], np.int64)
-        flat = self.char[np.frombuffer(b"".join(segments).decode().encode("utf-32-le"), "<u4")].astype(np.int64)
+        flat = self.char[np.frombuffer(text.encode("utf-32-le"), "<u4")].astype(np.int64)
         flat, lengths = merge_all(flat, lengths, self.table, lambda: self.pairs, leftmost=True)
-        known = flat < self.size
-        if not known.all():
-            # Each unknown character becomes its bytes; the last of them covers it.
-            each = [chr(c - self.size).encode() for c in flat[~known].tolist()]
+        unknown = flat >= self.size
+        if unknown.any():
+            each = [chr(c - self.size).encode() for c in flat[unknown].tolist()]
             repeat = np.ones(len(flat), np.int64)
-            repeat[~known] = [len(b) for b in each]
-            owner = np.repeat(np.arange(len(lengths)), lengths)
-            lengths = np.bincount(np.repeat(owner, repeat), minlength=len(lengths))
-            spread = np.repeat(known, repeat)
-            norm = np.repeat(np.where(known, self.norm_width[np.where(known, flat, 0)], 0), repeat)
-            raw = np.repeat(np.where(known, self.raw_width[np.where(known, flat, 0)], 0), repeat)
-            last = np.cumsum(repeat)[~known] - 1
-            norm[last] = raw[last] = repeat[~known]
-            flat = np.repeat(flat, repeat)
-            flat[~spread] = [self.byte_id[b] for b in b"".join(each)]
-        else:
-            norm, raw = self.norm_width[flat], self.raw_width[flat]
-        ends = np.cumsum(lengths)
-        ids, norm, raw = flat.astype("<u4").tobytes(), norm.astype("<u4").tobytes(), raw.astype("<u4").tobytes()
-        cuts = (4 * ends).tolist()
-        return [(ids[a:b], norm[a:b], raw[a:b]) for a, b in zip([0, *cuts], cuts, strict=False)]
+            repeat[unknown] = [len(b) for b in each]
+            lengths = sums_by_text(repeat, lengths)
+            flat, spread = np.repeat(flat, repeat), np.repeat(unknown, repeat)
+            flat[spread] = [self.byte_id[b] for b in b"".join(each)]
+        return lengths, flat.astype("<u4")
+
+    def _ends(self, ids: np.ndarray, text: bytes, came: np.ndarray | None) -> np.ndarray:
+        """Where in ``text`` each piece ends; of a character's bytes only the last one covers it."""
+        if came is not None:
+            return came[np.cumsum(self.norm_width[ids])]
+        ends = np.cumsum(self.raw_width[ids]) - 1  # the space before the first word is not in the text
+        if (ids < self.top_byte).any():
+            raw = np.frombuffer(text + b"\0", np.uint8)
+            start = np.maximum.accumulate(np.where(raw & 0xC0 != 0x80, np.arange(len(raw)), 0))
+            ends = start[ends]
+        return ends
 
     def encode(self, texts: list[bytes]) -> tuple[list[bytes], list[bytes]]:
         """Ids (with begin and end) and the end offset of every piece, as little-endian 32-bit arrays."""
-        simple = self.charsmap is None and not self.squeeze and self.prefix
-        cut, places = [], []
-        for text in texts:
-            if simple and text and text[:1] != b" " and text[-1:] != b" " and b"  " not in text and SPACE_BYTES not in text:
-                cut.append([SPACE_BYTES + w for w in text.split(b" ")])
-                places.append(None)
-            else:
-                norm, came = self.normalise(text)
-                cut.append([s.encode() for s in SEGMENT.findall(norm.decode())])
-                places.append(came)
-        get = self.kept.get(set().union(*cut), self._merge).__getitem__
-        begin = np.array([self.bos], "<u4").tobytes() if self.bos >= 0 else b""
-        end = np.array([self.eos], "<u4").tobytes() if self.eos >= 0 else b""
+        inner: list = [np.zeros(0, "<u4")] * len(texts)
+        places: list = [None] * len(texts)
+        # Most texts are words with one space between: their segments are the words and the space before.
+        usual = self.charsmap is None and not self.squeeze and self.prefix
+        words = [i for i, t in enumerate(texts) if usual and t and SPACE_BYTES not in t and b"  " not in t + b" " and t[:1] != b" "]
+        if words:
+            per_text, n, flat = self.table_of_words.look_up(
+                [texts[i] for i in words], lambda new: self._merge([SPACE_BYTES + w for w in new])
+            )
+            for i, (a, b) in zip(words, by_text(sums_by_text(n, per_text)), strict=True):
+                inner[i] = flat[a:b]
+        for i in sorted({*range(len(texts))} - {*words}):
+            norm, places[i] = self.normalise(texts[i])
+            segments = [s.encode() for s in SEGMENT.findall(norm.decode())]
+            if segments:
+                inner[i] = self._merge(segments)[1]
+        begin = np.full(int(self.bos >= 0), self.bos, "<u4")
+        end = np.full(int(self.eos >= 0), self.eos, "<u4")
         ids, ends = [], []
-        for text, segments, came in zip(texts, cut, places, strict=True):
-            found = list(map(get, segments))
-            ids.append(begin + b"".join([x[0] for x in found]) + end)
-            if came is None:
-                upto = np.cumsum(np.frombuffer(b"".join([x[2] for x in found]), "<u4")) - 1
-            else:
-                upto = came[np.cumsum(np.frombuffer(b"".join([x[1] for x in found]), "<u4"), dtype=np.int64)]
-            edges = [np.zeros(int(self.bos >= 0), "<u4"), upto, np.full(int(self.eos >= 0), len(text), "<u4")]
+        for text, pieces, came in zip(texts, inner, places, strict=True):
+            ids.append(np.concatenate([begin, pieces, end]).tobytes())
+            edges = [begin * 0, self._ends(pieces, text, came), end * 0 + len(text)]
             ends.append(np.concatenate(edges).astype("<u4").tobytes())
         return ids, ends
 
@@ -255,6 +257,22 @@ def encode_pieces(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
     return out.select(id_col, n.alias("n_tokens"), "ids", "ends")
 
 
+def round_trip(
+    docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", out_col: str = "decoded"
+) -> DataFrame:
+    """(id, n_tokens, ids, ends, decoded) of every row: ``encode_pieces``, and the text of those ids."""
+    blob = _sent(docs, model)
+    binary = [T.StructField("ids", T.BinaryType()), T.StructField("ends", T.BinaryType())]
+
+    def columns(texts: list[bytes]):
+        known = piece_model(blob.value)
+        ids, ends = known.encode(texts)
+        return ids, ends, [known.decode(x) for x in ids]
+
+    out = per_text(docs, id_col, text_col, [*binary, T.StructField(out_col, T.StringType())], columns)
+    return out.select(id_col, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", "ends", out_col)
+
+
 def decode_pieces(
     encoded: DataFrame, model: str, id_col: str = "doc_id", ids_col: str = "ids", out_col: str = "decoded"
 ) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgerlink.llm.common import table
 from ledgerlink.llm.decontaminate import contamination, contamination_sql
 from ledgerlink.llm.licenses import license_scan, license_sql
-from ledgerlink.llm.pieces import decode_pieces, encode_pieces
+from ledgerlink.llm.pieces import round_trip
 from ledgerlink.llm.ppm import ppm_scores
 from ledgerlink.llm.rules import quality
 from ledgerlink.llm.simhash import simhash_groups
@@ -61,12 +61,10 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = public_tokenizers.path(PIECE_BPE)
-    encoded = encode_pieces(table(spark, sf_dir, "documents"), model)
-    decoded = decode_pieces(encoded, model)
-    return decoded.select(
+    pieces = round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE))
+    return pieces.select(
         "doc_id",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
