@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlink.llm.common import id_and_text, id_type, slices
+from ledgerlink.llm.common import fresh, id_and_text, id_type, slices
 from ledgerlink.llm.licenses import WORD_BYTES
 from ledgerlink.staging import stage
 
@@ -151,6 +151,8 @@ def contamination(
     likely an item's to the join. The join itself is by hash: a passage in a third of all documents is a key like
     others, which Spark splits, and pairs are reduced before they are shuffled again.
     """
+    if id_col == item_col:
+        raise ValueError("documents and items need different id columns")
     known = seeds(items, item_col, item_text_col)
     size = F.size(F.filter(F.split(F.lower(F.col(item_text_col)), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), lambda w: w != ""))
     sizes = items.select(F.col(item_col).alias("id"), size.cast("long").alias("size")).filter(F.col("size") >= SHORTEST)
@@ -191,8 +193,9 @@ def contamination(
 
 def drop_contaminated(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The documents that hold no passage of any item."""
-    bad = found.select(F.col(id_col).alias("_bad")).distinct()
-    return docs.join(bad, docs[id_col].eqNullSafe(F.col("_bad")), "left_anti")
+    name = fresh(docs, "_bad")
+    bad = found.select(F.col(id_col).alias(name)).distinct()
+    return docs.join(bad, docs[id_col].eqNullSafe(F.col(name)), "left_anti")
 
 
 def contamination_sql() -> str:

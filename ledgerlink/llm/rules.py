@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlink.llm.common import fresh
+
 CUT = 0.7
 FOLDS, HELD_OUT = 4, 2
 SAMPLE = 20_000
@@ -246,5 +248,6 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
 
 def keep_good(docs: DataFrame, rules: Rules, cut: float = CUT, text_col: str = "text") -> DataFrame:
     """The rows whose score reaches ``cut``, with their columns as they are."""
-    wide = docs.withColumn("_stats", statistics(docs[text_col]))
-    return wide.filter(rules.column(F.col("_stats")) >= cut).select(*docs.columns)
+    name = fresh(docs, "_stats")
+    wide = docs.withColumn(name, statistics(docs[text_col]))
+    return wide.filter(rules.column(F.col(name)) >= cut).select(*docs.columns)

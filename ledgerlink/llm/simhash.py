@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlink.llm.common import components, per_text
+from ledgerlink.llm.common import components, fresh, per_text
 from ledgerlink.staging import stage
 
 SEED = 42
@@ -155,8 +155,16 @@ def simhash_groups(
 
 
 def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """One document of each component, the one with the smallest id; of rows with the same id, the first text."""
-    kept = groups.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(id_col).distinct()
-    rest = [c for c in docs.columns if c != id_col]
-    one = docs.join(kept.withColumnRenamed(id_col, "_id"), F.col("_id").eqNullSafe(docs[id_col]), "left_semi")
-    return one.groupBy(id_col).agg(F.min(F.struct(*rest)).alias("_row")).select(id_col, "_row.*").select(*docs.columns)
+    """One document of each component: the one whose id names it; of rows with the same id, the smallest.
+
+    Components whose rows all lack an id keep one row without one.
+    """
+    name = fresh(docs, "_id")
+    kept = groups.filter(F.col(id_col).eqNullSafe(F.col("component_id")))
+    kept = kept.groupBy(F.col(id_col).alias(name)).agg(F.count("*").alias("rows"))
+    same = docs[id_col].eqNullSafe(F.col(name))
+    single = docs.join(kept.filter("rows = 1").select(name), same, "left_semi")
+    # Only rows that share an id have to meet.
+    shared = docs.join(kept.filter("rows > 1").select(name), same, "left_semi")
+    least = shared.groupBy(id_col).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    return single.unionByName(least)

@@ -1,0 +1,127 @@
+"""Exact top-k search and URL filters on rows that are hard to bear."""
+
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from ledgerlink.llm.topk import Block, pack_block, top_k, top_k_sql
+from ledgerlink.llm.url_filter import url_verdicts, url_verdicts_sql
+from tests.compare import differences
+
+VECTORS = "vec_id bigint, embedding array<float>, id string, v int, dim int, block int, score string, rank int"
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame([(*r, "x", 1, 2, 3, "s", 4) for r in rows], VECTORS)
+
+
+def test_block_reads_no_more_than_it_must_and_is_exact():
+    rng = np.random.default_rng(2)
+    rows = (rng.normal(size=(3000, 16)) * 400).astype(np.int64)
+    rows[:40] = rows[0]  # ties
+    rows[50] *= 5
+    ids = rng.permutation(3000).astype(np.int64)
+    block = Block(*pack_block(ids, rows), dim=16)
+    full = 0
+    for q in (*range(0, 60), *range(2900, 3000)):
+        for query in (rows[q], -rows[q], np.where(np.arange(16) < 3, rows[q], 0)):
+            got = block.search(int(ids[q]), query, 10)
+            scores = rows @ query
+            scores[q] = -(1 << 60)
+            best = np.lexsort((ids, -scores))[:10]
+            assert got[0].tolist() == ids[best].tolist() and got[1].tolist() == scores[best].tolist()
+            full += len(block._read(int(ids[q]), np.flatnonzero(query), query[query != 0].astype(float), 10)) == 3000
+    assert full < 400  # most searches leave out vectors before the end of the lists
+
+
+def test_top_k_edges(spark):
+    import duckdb
+
+    rng = random.Random(3)
+    rows = [(i, [rng.choice([-1.5, 0.0, 0.25, 1.0]) for _ in range(4)]) for i in range(0, 330)]
+    rows += [(400, None), (500, [1.0, None, 0.0, 1.0]), (600, [float("nan"), 0.0, 0.0, 0.0]), (700, [float("inf"), 0.0, 0.0, 0.0])]
+    rows += [(None, [1.0, 1.0, 1.0, 1.0]), (100, rows[100][1]), (800, [0.0] * 4), (900, []), (1000, [1.0, 2.0]), (1001, [3.0, 4.0])]
+    df = vectors(spark, rows)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", [list(r) for r in rows])
+    for size in (4096, 50):
+        assert differences(top_k(df, block_rows=size), con, top_k_sql()) is None
+    assert top_k(vectors(spark, [])).count() == 0
+    assert top_k(vectors(spark, [(100, [1.0]), (101, [2.0])])).collect()[0].asDict() == {
+        "query_id": 100,
+        "rank": 1,
+        "vec_id": 101,
+        "score": 2 * 1024 * 1024,
+    }
+
+
+PAGES = "page_id bigint, url string, html string, host string, path string, n int, total int, template string, shape string"
+
+
+def pages(spark, rows):
+    return spark.createDataFrame([(*r, "<p>", "h", "p", 1, 2, "t", "s") for r in rows], PAGES)
+
+
+def made_up():
+    rng = random.Random(6)
+    urls = [None, "", "no scheme/en/", "http://", "https://COM/", "http://com", "http://x.com", "http://x.com/", "http://x.com?a=/en/"]
+    urls += ["http://EXAMPLE.com/en/1", "http://a.Example.com/en/1#x", "http://www.example.com/en/9", "http://a.www.example.com/en/9"]
+    urls += ["http://myexample.com/en/1", "http://example.com/EN/1", "http://example.com/en", "ftp://x.net/es/1", "http://x.net:80/es/", "http://x.net/es/?q"]
+    urls += ["x://a://b/c", "http://u@x.net/fr/a/b/c/d/e", "http://h.org/*/1", "http://h.org/a b/é/", "//x.net/es/", "http://x.org//a//b"]
+    for host in ("one.net", "two.net", "many.org"):
+        for i in range(120):
+            first = rng.choice(["es", "fr", "en", "es", "fr", f"u{i}"])
+            urls.append(f"http://{host}/{first}/{rng.choice(['post', 'tag', str(i), f'p{i}'])}/{i}{rng.choice(['', '/', '.html', '/x/y'])}")
+    # Pages the rules block under names that vary, beside one they do not reach.
+    urls += [f"http://var.net/{'es' if i % 12 else f'z{i}'}/{i}" for i in range(60)]
+    rows = list(enumerate(urls))
+    return [*rows, rows[9], rows[9], (None, "http://x.net/es/1"), (9, "http://other.org/q")]
+
+
+def test_url_verdicts_equal_sql(spark):
+    import duckdb
+
+    rows = made_up()
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?)", [list(r) for r in rows])
+    for reject in (0.8, 0.55):
+        got = url_verdicts(pages(spark, rows), reject=reject)
+        assert differences(got, con, url_verdicts_sql(reject=reject)) is None
+    assert got.count() == len(rows) and url_verdicts(pages(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("url", "host", "path", "rule", "verdict"),
+    [
+        (None, "", "", None, "allow"),
+        ("plain", "", "", None, "allow"),
+        ("http://com", "com", "", None, "allow"),
+        ("http://X.COM/a?b", "x.com", "/a", "com/", "allow"),
+        ("http://a.example.com/en/1#f", "a.example.com", "/en/1", "example.com/en/", "block"),
+        ("http://www.example.com/en/1", "www.example.com", "/en/1", "www.example.com/en/", "allow"),
+        ("http://x.net/es/", "x.net", "/es/", "net/es/", "block"),
+        ("http://xnet/es/", "xnet", "/es/", None, "allow"),
+    ],
+)
+def test_rules(spark, url, host, path, rule, verdict):
+    row = url_verdicts(pages(spark, [(1, url)])).first()
+    assert (row.host, row.path, row.rule, row.verdict) == (host, path, rule, verdict)
+
+
+def test_templates_generalise_and_reject(spark):
+    rows = [(i, f"http://var.net/{i // 2 % 5}/x{i}") for i in range(40)]
+    got = url_verdicts(pages(spark, rows)).collect()
+    assert {r.template for r in got} == {"var.net/*/*"} and {r.verdict for r in got} == {"allow"}
+    # One template of 'es' pages that a rule blocks and pages of the same template outside it.
+    rows = [(i, f"http://m.net/{'es' if i else 'es'}/{i}") for i in range(30)] + [(100 + i, f"http://m.net/q{i}/{i}") for i in range(3)]
+    got = Counter((r.template, r.verdict) for r in url_verdicts(pages(spark, rows)).collect())
+    assert got == {("m.net/es/*", "block"): 30, ("m.net/*/*", "allow"): 3}
+
+
+def test_native_plan(spark):
+    plan = url_verdicts(pages(spark, made_up()))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
