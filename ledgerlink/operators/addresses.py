@@ -56,7 +56,7 @@ def resolve_primary(matched: DataFrame, master: DataFrame, cfg: MatchConfig) ->
         skipped = rest.filter(F.col("addr1") == "")
         rest = rest.filter(F.col("addr1") != "")
     bases = [max_seq(master, ["empr_id"], "addr_snum", "last")]
-    new = allocate(rest, bases, ["empr_id"], ["first_id"], "addr_snum")
+    new = allocate(rest, bases, ["empr_id"], ["first_id"], "addr_snum", cfg.limits)
     return (
         known.withColumn("origin", F.lit("known"))
         .unionByName(new.withColumn("origin", F.lit("new")))
@@ -100,7 +100,9 @@ def share_primary(matched: DataFrame, primary: DataFrame) -> DataFrame:
     )
 
 
-def resolve_optional(shared: DataFrame, primary: DataFrame, master: DataFrame) -> DataFrame:
+def resolve_optional(
+    shared: DataFrame, primary: DataFrame, master: DataFrame, cfg: MatchConfig
+) -> DataFrame:
     """``shared`` (staged) with numbers for the open ones, in address order."""
     new = allocate(
         shared.filter(F.col("origin") == "open"),
@@ -108,6 +110,7 @@ def resolve_optional(shared: DataFrame, primary: DataFrame, master: DataFrame) -
         ["empr_id"],
         PLACE,
         "addr_snum",
+        cfg.limits,
     )
     return shared.filter(F.col("origin") != "open").unionByName(
         new.withColumn("origin", F.lit("new"))
@@ -134,16 +137,15 @@ def primary_table(
     pseudo_ids: DataFrame,
     linked: DataFrame,
     cfg: MatchConfig,
-    run: str | None = None,
 ) -> DataFrame:
     """All an address decides: number, origin, id indicator and the name linked to it."""
     matched = match_addresses(address_inputs(records, cfg), address_lookup(master))
-    matched = stage(matched, "addr_matched", run)
-    numbered = stage(resolve_primary(matched, master, cfg), "addr_numbered", run)
+    matched = stage(matched, "addr_matched")
+    numbered = stage(resolve_primary(matched, master, cfg), "addr_numbered")
     ids = numbered.groupBy("empr_id").agg(F.count(F.lit(1)).alias("_n"))
-    ids = stage(table_indicators(ids, names, pseudo_ids), "addr_ids", run)
-    flagged = attach(numbered, ids, ["empr_id"], "_n", ["first_id"])
-    return stage(flagged.join(linked, ["empr_id", "addr_snum"], "left"), "addr_table", run)
+    ids = stage(table_indicators(ids, names, pseudo_ids), "addr_ids")
+    flagged = attach(numbered, ids, ["empr_id"], "_n", ["first_id"], cfg.limits)
+    return stage(flagged.join(linked, ["empr_id", "addr_snum"], "left"), "addr_table")
 
 
 def optional_table(
@@ -151,8 +153,7 @@ def optional_table(
     primary: DataFrame,
     master: DataFrame,
     cfg: MatchConfig,
-    run: str | None = None,
 ) -> DataFrame:
     matched = match_addresses(address_inputs(records, cfg, optional=True), address_lookup(master))
-    shared = stage(share_primary(matched, primary), "opt_shared", run)
-    return stage(resolve_optional(shared, primary, master), "opt_table", run)
+    shared = stage(share_primary(matched, primary), "opt_shared")
+    return stage(resolve_optional(shared, primary, master, cfg), "opt_table")

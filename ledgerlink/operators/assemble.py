@@ -139,9 +139,10 @@ def summary(df: DataFrame) -> DataFrame:
     return df.groupBy("cls").agg(F.count(F.lit(1)).alias("records"))
 
 
-def capped_count(df: DataFrame, cap: int) -> DataFrame:
-    """How many rows there are, counting no further than ``cap``."""
-    return df.select(F.lit(1).alias("_one")).limit(cap).agg(F.count("_one").alias("capped"))
+def run_summary(df: DataFrame, lines: int, rejected: int) -> DataFrame:
+    """All lines, rejected lines, and the records of each class."""
+    counts = df.sparkSession.createDataFrame([("lines", lines), ("rejected", rejected)], "cls string, records bigint")
+    return counts.unionByName(summary(df))
 
 
 def payload_rejoin(narrow: DataFrame, wide: DataFrame, key: str) -> DataFrame:

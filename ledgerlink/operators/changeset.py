@@ -15,13 +15,25 @@ from ledgerlink.operators.keyed import keep_first
 
 @dataclass(frozen=True)
 class TableSpec:
-    """A master table: its key, and columns that must agree before a row is updated."""
+    """A master table: its key, its other columns, and those that must agree before a row is updated."""
 
     name: str
     key: tuple[str, ...]
+    rest: tuple[str, ...]
     guard: tuple[str, ...] = ()
 
+    @property
+    def columns(self) -> tuple[str, ...]:
+        return (*self.key, *self.rest)
 
+    def of(self, master: DataFrame) -> DataFrame:
+        """The master with just the columns of the table; an error if one is missing."""
+        if missing := [c for c in self.columns if c not in master.columns]:
+            raise ValueError(f"table {self.name} has no column {', '.join(missing)}")
+        return master.select(*self.columns)
+
+
+# Stored column names and codes.
 # Incoming column (after its prefix) and the master's name for it.
 ADDRESS_COLUMNS = {
     "addr1": "empr_addrln40_1",
@@ -40,14 +52,21 @@ FOREIGN_COLUMNS = {
 LINK_KEY = ("empr_id", "nm_snum", "addr_snum")
 SOURCE_CODE, ADDRESS_TYPE = "QW", "PR"
 
+QUALITY_COLUMNS = ("addrck_pmycd", "addrck_scycd_1", "addrck_scycd_2")
+PLACE_COLUMNS = (*ADDRESS_COLUMNS.values(), *FOREIGN_COLUMNS.values(), *QUALITY_COLUMNS)
+STAMPS = ("app_odate", "insrt_ts", "lu_ts")
+
 SPECIAL = TableSpec(
-    "special", ("empr_idfr", "empr_snum"), ("empr_nm", *ADDRESS_COLUMNS.values())
+    "special",
+    ("empr_idfr", "empr_snum"),
+    ("empr_nm", *PLACE_COLUMNS, *STAMPS),
+    ("empr_nm", *ADDRESS_COLUMNS.values()),
 )
-NAME = TableSpec("name", ("empr_id", "nm_snum"))
-ADDRESS = TableSpec("address", ("empr_id", "addr_snum"))
-LINK = TableSpec("link", LINK_KEY)
-LINK_SOURCE = TableSpec("link_source", (*LINK_KEY, "prvdr_src_cd"))
-LINK_TYPE = TableSpec("link_type", (*LINK_KEY, "addr_typ_cd"))
+NAME = TableSpec("name", ("empr_id", "nm_snum"), ("empr_nm", *STAMPS, "fcr_mtch_dt"))
+ADDRESS = TableSpec("address", ("empr_id", "addr_snum"), (*PLACE_COLUMNS, *STAMPS))
+LINK = TableSpec("link", LINK_KEY, (*STAMPS, "endt", "certd_stdt"))
+LINK_SOURCE = TableSpec("link_source", (*LINK_KEY, "prvdr_src_cd"), (*STAMPS, "endt"))
+LINK_TYPE = TableSpec("link_type", (*LINK_KEY, "addr_typ_cd"), (*STAMPS, "endt"))
 TABLES = (SPECIAL, NAME, ADDRESS, LINK, LINK_SOURCE, LINK_TYPE)
 
 
@@ -153,14 +172,16 @@ def link_type_rows(links: DataFrame) -> DataFrame:
 
 
 def change_set(
-    src: DataFrame, master: DataFrame, spec: TableSpec, cfg: MatchConfig, updates: bool = True
+    src: DataFrame, master: DataFrame, spec: TableSpec, cfg: MatchConfig, no_update: str | None = None
 ) -> DataFrame:
     """``I`` for new keys, ``U`` for known ones last seen on another date.
 
     One row per key, taken from the lowest record id. A master row without a date, or
-    one whose guard columns differ, gives no row.
+    one whose guard columns differ, gives no row. ``no_update`` names a flag of rows that may only
+    insert; others of their key go before them.
     """
-    first = keep_first(src, spec.key, [F.col(cfg.record_id)]).drop(cfg.record_id)
+    order = [F.col(c) for c in (no_update, cfg.record_id) if c]
+    first = keep_first(src, spec.key, order).drop(cfg.record_id)
     known = master.select(
         *spec.key,
         F.lit(True).alias("_known"),
@@ -170,22 +191,21 @@ def change_set(
     stale = F.col("_seen") != F.lit(cfg.odate)
     for c in spec.guard:
         stale = stale & (norm(F.col(c)) == F.col(f"_{c}"))
-    op = F.when(F.col("_known").isNull(), "I")
-    if updates:
-        op = op.when(stale, "U")
+    if no_update:
+        stale = stale & ~F.col(no_update)
+    op = F.when(F.col("_known").isNull(), "I").when(stale, "U")
+    columns = [c for c in first.columns if c != no_update]
     zero = F.lit(0).cast("long")
     return (
         first.join(known, list(spec.key), "left")
         .withColumn("db_oper_typ", op)
         .filter(F.col("db_oper_typ").isNotNull())
-        .select("db_oper_typ", zero.alias("db_sort_num"), zero.alias("db_uid"), *first.columns)
+        .select("db_oper_typ", zero.alias("db_sort_num"), zero.alias("db_uid"), *columns)
     )
 
 
 def address_changes(main: DataFrame, master: DataFrame, cfg: MatchConfig) -> DataFrame:
-    """Primary and optional addresses in one change-set; a shared number counts once."""
-    primary = change_set(address_rows(main, cfg), master, ADDRESS, cfg)
-    optional = change_set(optional_address_rows(main, cfg), master, ADDRESS, cfg, updates=False)
-    return primary.unionByName(
-        optional.join(primary.select(*ADDRESS.key), list(ADDRESS.key), "left_anti")
-    )
+    """Primary and optional addresses in one pass; a shared number counts once, as a primary one."""
+    primary = address_rows(main, cfg).withColumn("_optional", F.lit(False))
+    optional = optional_address_rows(main, cfg).withColumn("_optional", F.lit(True))
+    return change_set(primary.unionByName(optional), master, ADDRESS, cfg, no_update="_optional")

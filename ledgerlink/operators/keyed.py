@@ -3,23 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Lookups up to this many (narrow) rows go to every executor.
-BROADCAST_ROWS = 200_000
-# A key outside the heaviest 1000 holds less than a thousandth of all rows.
-HEAVY_KEYS = 1_000
-SPREAD = 1 << 20
+from ledgerlink.config import Limits
 
+SPREAD = 1 << 20
 
-def at_most(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has no more than ``rows`` rows; reads at most one row more.
 
-    Meant for staged frames, where the answer comes from the file footers.
-    """
-    return df.limit(rows + 1).count() <= rows
+def small(df: DataFrame, limits: Limits) -> bool:
+    """Whether ``df`` (staged) may be sent to every executor: its rows and bytes are counted."""
+    width = reduce(
+        Column.__add__,
+        [F.coalesce(F.octet_length(c), F.lit(0)) if t == "string" else F.lit(8) for c, t in df.dtypes],
+    )
+    size = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    return size.rows <= limits.broadcast_rows and size.bytes <= limits.broadcast_bytes
 
 
 def distinct_keys(df: DataFrame, *cols: str) -> DataFrame:
@@ -58,8 +59,7 @@ def attach(
     on: Sequence[str],
     weight: str,
     row_id: Sequence[str],
-    broadcast_rows: int = BROADCAST_ROWS,
-    heavy_keys: int = HEAVY_KEYS,
+    limits: Limits = Limits(),
 ) -> DataFrame:
     """Left join with a lookup that is unique on ``on``, for rows of any skew.
 
@@ -71,10 +71,10 @@ def attach(
     """
     on = list(on)
     values = [c for c in right.columns if c not in on and c != weight]
-    if at_most(right, broadcast_rows):
+    if small(right, limits):
         return left.join(F.broadcast(right.drop(weight)), on, "left")
 
-    heavy = right.orderBy(F.col(weight).desc(), *on).limit(heavy_keys)
+    heavy = right.orderBy(F.col(weight).desc(), *on).limit(limits.heavy_keys)
     heavy = heavy.select(*on, F.struct(*values).alias("_heavy"))
     no_key = F.lit(False)
     for c in on:

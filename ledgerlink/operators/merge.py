@@ -12,29 +12,23 @@ from ledgerlink.operators.changeset import TableSpec
 def merge_update(
     master: DataFrame, changes: DataFrame, spec: TableSpec, cfg: MatchConfig
 ) -> DataFrame:
-    """Rows named by a ``U`` get the run's date (and update time); nothing else changes."""
+    """Rows named by a ``U`` get the run's date and update time; nothing else changes."""
     keys = changes.filter(F.col("db_oper_typ") == "U").select(*spec.key).distinct()
-    hit = master.join(keys.withColumn("_hit", F.lit(True)), list(spec.key), "left")
+    hit = spec.of(master).join(keys.withColumn("_hit", F.lit(True)), list(spec.key), "left")
     new = {"app_odate": F.lit(cfg.odate), "lu_ts": F.lit(cfg.run_ts)}
-    cols = [
-        F.when(F.col("_hit"), new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c)
-        for c in master.columns
-    ]
+    cols = [F.when(F.col("_hit"), new[c]).otherwise(F.col(c)).alias(c) if c in new else c for c in spec.columns]
     return hit.select(*cols)
 
 
 def merge_insert(master: DataFrame, changes: DataFrame, spec: TableSpec) -> DataFrame:
-    """Add ``I`` rows once per key; a key the master already has is left alone."""
-    rows = changes.filter(F.col("db_oper_typ") == "I")
-    rows = rows.select(*[c for c in master.columns if c in rows.columns])
-    fresh = rows.dropDuplicates(list(spec.key)).join(
-        master.select(*spec.key), list(spec.key), "left_anti"
-    )
-    return master.unionByName(fresh, allowMissingColumns=True)
+    """Add the ``I`` rows, which change-sets hold once per key; a key the master has is left alone."""
+    rows = changes.filter(F.col("db_oper_typ") == "I").select(*spec.columns)
+    known = spec.of(master)
+    return known.unionByName(rows.join(known.select(*spec.key), list(spec.key), "left_anti"))
 
 
 def merge(master: DataFrame, changes: DataFrame, spec: TableSpec, cfg: MatchConfig) -> DataFrame:
-    """Updates first, then inserts. Change-sets hold one row per key."""
+    """Updates first, then inserts."""
     return merge_insert(merge_update(master, changes, spec, cfg), changes, spec)
 
 

@@ -13,9 +13,6 @@ from ledgerlink.operators.numbering import allocate
 from ledgerlink.staging import stage
 
 ON = ["empr_id", "nm"]
-# A block larger than this on either side is cut into cells of this size.
-CELL_ROWS = 4_096
-LARGE_BLOCKS = 1_000
 
 
 def name_inputs(records: DataFrame, cfg: MatchConfig) -> DataFrame:
@@ -62,11 +59,7 @@ def _similar_length(x: str, y: str, cfg: MatchConfig):
 
 
 def _cells(left: DataFrame, right: DataFrame, cfg: MatchConfig, cell_rows: int) -> DataFrame:
-    """How to cut up the largest blocks: cells per id and master name length.
-
-    Bounded by ``LARGE_BLOCKS`` ids times the number of name lengths, so it is broadcast.
-    The order is total: both sides of the match see the same cells.
-    """
+    """How to cut up every block above ``cell_rows``: cells per id and master name length."""
     by_len = left.groupBy("empr_id", "len").agg(F.count(F.lit(1)).alias("rows"))
     master_len = right.groupBy("empr_id", F.col("len").alias("block")).agg(
         F.count(F.lit(1)).alias("right_rows")
@@ -82,30 +75,29 @@ def _cells(left: DataFrame, right: DataFrame, cfg: MatchConfig, cell_rows: int)
         .agg(F.max("left_rows").alias("_l"), F.max("right_rows").alias("_r"))
         .withColumn("_size", F.greatest("_l", "_r"))
         .filter(F.col("_size") > cell_rows)
-        .orderBy(F.col("_size").desc(), "empr_id")
-        .limit(LARGE_BLOCKS)
         .select("empr_id")
     )
     cuts = [
         F.ceil(F.col(f"{side}_rows") / cell_rows).cast("int").alias(f"{side}_cuts")
         for side in ("left", "right")
     ]
-    return blocks.join(F.broadcast(large), "empr_id", "left_semi").select("empr_id", "block", *cuts)
+    return blocks.join(large, "empr_id", "left_semi").select("empr_id", "block", *cuts)
 
 
 def fuzzy_candidates(
-    unmatched: DataFrame, names: DataFrame, cfg: MatchConfig, cell_rows: int = CELL_ROWS
+    unmatched: DataFrame, names: DataFrame, cfg: MatchConfig
 ) -> DataFrame:
     """Name pairs of one id that may score above the threshold.
 
     Pairs pass the length rules and the character bound inside the join, so only
     they reach the scorer. An id with many names is split by name length and then into
-    a grid of cells, each its own join key: names meet exactly once, in many tasks.
-    ``unmatched`` should be staged; it is read more than once.
+    a grid of cells, each its own join key: names meet exactly once, in many tasks. A name of a
+    block of n by m cells is sent m (or n) times; the pairs within an id stay quadratic, as scoring asks.
+    Both sides and the cells are read more than once, so they are staged.
     """
-    left = _scorable(unmatched.select(*ON), cfg)
-    right = _scorable(master_names(names), cfg)
-    cells = F.broadcast(_cells(left, right, cfg, cell_rows))
+    left = stage(_scorable(unmatched.select(*ON), cfg), "scorable_names")
+    right = stage(_scorable(master_names(names), cfg), "scorable_master")
+    cells = stage(_cells(left, right, cfg, cfg.limits.cell_rows), "cells")
 
     def placed(df: DataFrame, own: str, other: str) -> DataFrame:
         mine = F.pmod(F.xxhash64("nm"), F.coalesce(f"{own}_cuts", F.lit(1))).cast("int")
@@ -123,14 +115,7 @@ def fuzzy_candidates(
     cut = [F.col(f"c.{x}") for x in ("block", "left_cuts", "right_cuts")]
     l = placed(l.join(c, l_blocks, "left").select("l.*", *cut), "left", "right")
     r = placed(r.join(c, r_blocks, "left").select("r.*", *cut), "right", "left")
-    # The work is in the pairs, which the size of the names does not show: keep Spark
-    # from packing many blocks into one task.
-    spark = unmatched.sparkSession
-    tasks = max(
-        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
-    )
-    l = l.repartition(tasks, "empr_id", "block", "left_cell", "right_cell").alias("l")
-    r = r.alias("r")
+    l, r = l.alias("l"), r.alias("r")
     meet = (
         (F.col("l.empr_id") == F.col("r.empr_id"))
         & (F.col("l.block") == F.col("r.block"))
@@ -145,10 +130,10 @@ def fuzzy_candidates(
 
 
 def fuzzy_names(
-    unmatched: DataFrame, names: DataFrame, cfg: MatchConfig, cell_rows: int = CELL_ROWS
+    unmatched: DataFrame, names: DataFrame, cfg: MatchConfig
 ) -> DataFrame:
     """Scored pairs at or above the threshold."""
-    pairs = fuzzy_candidates(unmatched, names, cfg, cell_rows)
+    pairs = fuzzy_candidates(unmatched, names, cfg)
     return pairs.withColumn("score", jaro_winkler_score("nm", "master_nm")).filter(
         F.col("score") >= cfg.threshold
     )
@@ -179,16 +164,16 @@ def number_names(resolved: DataFrame, names: DataFrame, cfg: MatchConfig) -> Dat
     if not cfg.allocate_new_names:
         return found
     bases = [max_seq(names, ["empr_id"], "nm_snum", "last")]
-    new = allocate(rest, bases, ["empr_id"], ["nm"], "nm_snum").withColumn("name_ind", F.lit("N"))
+    new = allocate(rest, bases, ["empr_id"], ["nm"], "nm_snum", cfg.limits).withColumn("name_ind", F.lit("N"))
     return found.unionByName(new)
 
 
 def name_table(
-    records: DataFrame, names: DataFrame, cfg: MatchConfig, run: str | None = None
+    records: DataFrame, names: DataFrame, cfg: MatchConfig
 ) -> DataFrame:
     """Number and indicator of every distinct name of the regular records."""
-    exact = stage(exact_names(name_inputs(records, cfg), names), "names_exact", run)
+    exact = stage(exact_names(name_inputs(records, cfg), names), "names_exact")
     unmatched = exact.filter(F.col("name_ind") == "N")
     scored = fuzzy_names(unmatched, names, cfg)
-    resolved = stage(resolve_names(exact, scored), "names_resolved", run)
-    return stage(number_names(resolved, names, cfg), "names_numbered", run)
+    resolved = stage(resolve_names(exact, scored), "names_resolved")
+    return stage(number_names(resolved, names, cfg), "names_numbered")

@@ -7,16 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlink.operators.keyed import at_most, attach
+from ledgerlink.config import Limits
+from ledgerlink.operators.keyed import attach
 from ledgerlink.staging import stage
 
-# Up to this many rows in all, no single id can overload the task that ranks it.
-WINDOW_ROWS = 1_000_000
 _ROW_BITS = 33  # monotonically_increasing_id: partition above, row number below
 
 
 def rank_within(
-    df: DataFrame, on: Sequence[str], order: Sequence[str], few_rows: bool
+    df: DataFrame, on: Sequence[str], order: Sequence[str], few_rows: bool, limits: Limits = Limits()
 ) -> DataFrame:
     """``df`` with ``_rank``, counting from 1 within ``on``; ``order`` must be total.
 
@@ -48,7 +47,7 @@ def rank_within(
     starts = global_row.groupBy(*on).agg(
         F.min("_row").alias("_start"), F.count(F.lit(1)).alias("_n")
     )
-    ranked = attach(global_row, stage(starts, "starts"), on, "_n", ["_row"])
+    ranked = attach(global_row, stage(starts, "starts"), on, "_n", ["_row"], limits)
     rank = (F.col("_row") - F.col("_start") + 1).cast("int")
     return ranked.withColumn("_rank", rank).select(*df.columns, "_rank")
 
@@ -59,15 +58,15 @@ def allocate(
     on: Sequence[str],
     order: Sequence[str],
     out: str,
-    window_rows: int = WINDOW_ROWS,
+    limits: Limits = Limits(),
 ) -> DataFrame:
     """Number ``new`` (staged, one row per entity) after the numbers in use.
 
     Each base is a frame of ``on`` plus one number per id; the first base that knows
     the id counts, else numbering starts at 1.
     """
-    on, few_rows = list(on), at_most(new, window_rows)
-    ranked = rank_within(new, on, order, few_rows)
+    on, few_rows = list(on), new.count() <= limits.window_rows
+    ranked = rank_within(new, on, order, few_rows, limits)
     ids = new.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
     found = []
     for i, base in enumerate(bases):
@@ -78,6 +77,6 @@ def allocate(
     if few_rows:
         based = ranked.join(ids.drop("_n"), on, "left")
     else:
-        based = attach(ranked, stage(ids, "bases"), on, "_n", order)
+        based = attach(ranked, stage(ids, "bases"), on, "_n", order, limits)
     number = (F.col("_base") + F.col("_rank")).cast("int")
     return based.withColumn(out, number).select(*[c for c in new.columns if c != out], out)

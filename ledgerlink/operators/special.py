@@ -56,7 +56,7 @@ def match_special(inputs: DataFrame, master: DataFrame, cfg: MatchConfig) -> Dat
     )
 
 
-def number_special(matched: DataFrame, master: DataFrame) -> DataFrame:
+def number_special(matched: DataFrame, master: DataFrame, cfg: MatchConfig) -> DataFrame:
     """``matched`` (staged) with the next numbers of each special id, by first record."""
     new = allocate(
         matched.filter(F.col("empr_snum").isNull()),
@@ -64,13 +64,14 @@ def number_special(matched: DataFrame, master: DataFrame) -> DataFrame:
         ["empr_idfr"],
         ["first_id"],
         "empr_snum",
+        cfg.limits,
     )
     return matched.filter(F.col("empr_snum").isNotNull()).unionByName(new)
 
 
 def special_table(
-    records: DataFrame, master: DataFrame, cfg: MatchConfig, run: str | None = None
+    records: DataFrame, master: DataFrame, cfg: MatchConfig
 ) -> DataFrame:
     matched = match_special(special_inputs(records, cfg), master, cfg)
-    matched = stage(matched, "special_matched", run)
-    return stage(number_special(matched, master), "special_table", run)
+    matched = stage(matched, "special_matched")
+    return stage(number_special(matched, master, cfg), "special_table")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from ledgerlink.operators.backfill import linked_names
 from ledgerlink.operators.classify import PSEUDO, REGULAR, classify, unknown_outcome
 from ledgerlink.operators.keyed import attach, distinct_keys, keep_first, restrict
 from ledgerlink.sources import intake, publish
-from ledgerlink.staging import stage
+from ledgerlink.staging import stage, stages_of
 
 
 @dataclass(frozen=True)
@@ -72,9 +73,9 @@ def regular_outcome(
             "first_id": "opt_first",
         }
     )
-    rows = attach(rows, name_tab.drop("first_id"), names.ON, "n", [rid])
-    rows = attach(rows, primary_tab, addresses.ON, "n", [rid])
-    rows = attach(rows, optional_tab, ["empr_id", *opt_cols], "n", [rid])
+    rows = attach(rows, name_tab.drop("first_id"), names.ON, "n", [rid], cfg.limits)
+    rows = attach(rows, primary_tab, addresses.ON, "n", [rid], cfg.limits)
+    rows = attach(rows, optional_tab, ["empr_id", *opt_cols], "n", [rid], cfg.limits)
 
     col, lit = F.col, F.lit
     filled = col("nm").isNull() & (col("addr_snum") > 0) & col("link_nm").isNotNull()
@@ -115,7 +116,7 @@ def special_outcome(records: DataFrame, special_tab: DataFrame, cfg: MatchConfig
         cfg.record_id, "cls", *special.ON, "vald_ein_cd", "empr_addr_inp_ind_cd"
     )
     table = special_tab.drop("first_id")
-    return attach(rows, table, special.ON, "n", [cfg.record_id]).select(
+    return attach(rows, table, special.ON, "n", [cfg.record_id], cfg.limits).select(
         cfg.record_id,
         "cls",
         F.coalesce("empr_snum", F.lit(0)).alias("empr_addr_pntr"),
@@ -126,7 +127,7 @@ def special_outcome(records: DataFrame, special_tab: DataFrame, cfg: MatchConfig
 
 
 def resolve(
-    records: DataFrame, masters: Masters, cfg: MatchConfig, run: str | None = None
+    records: DataFrame, masters: Masters, cfg: MatchConfig
 ) -> DataFrame:
     """Outcome of every classified record (staged, one narrow row each)."""
     regular = records.filter(F.col("cls") == REGULAR)
@@ -135,16 +136,16 @@ def resolve(
     special_ids = distinct_keys(
         pseudo.select(F.coalesce(cfg.special_id, F.lit("")).alias("empr_idfr")), "empr_idfr"
     )
-    ids = stage(ids, "ids", run)
-    known_names = stage(restrict(masters.names, ids, ["empr_id"]), "master_names", run)
+    ids = stage(ids, "ids")
+    known_names = stage(restrict(masters.names, ids, ["empr_id"]), "master_names")
     known_addr = restrict(changeset.address_view(masters.addresses), ids, ["empr_id"])
     known_addr = stage(
-        known_addr.select(*addresses.ON, "addr_snum"), "master_addresses", run
+        known_addr.select(*addresses.ON, "addr_snum"), "master_addresses"
     )
     links = restrict(masters.links, ids, ["empr_id"])
     known_special = restrict(masters.special, special_ids, ["empr_idfr"])
 
-    name_tab = names.name_table(regular, known_names, cfg, run)
+    name_tab = names.name_table(regular, known_names, cfg)
     primary_tab = addresses.primary_table(
         regular,
         known_addr,
@@ -152,10 +153,9 @@ def resolve(
         pseudo.select(F.col(cfg.entity_id).alias("empr_id")),
         linked_names(links, known_names),
         cfg,
-        run,
     )
-    optional_tab = addresses.optional_table(regular, primary_tab, known_addr, cfg, run)
-    special_tab = special.special_table(pseudo, known_special, cfg, run)
+    optional_tab = addresses.optional_table(regular, primary_tab, known_addr, cfg)
+    special_tab = special.special_table(pseudo, known_special, cfg)
 
     outcome = assemble.align_union(
         [
@@ -165,14 +165,14 @@ def resolve(
         ],
         assemble.role_defaults(),
     )
-    return stage(outcome, "outcome", run)
+    return stage(outcome, "outcome")
 
 
 def match(
-    records: DataFrame, masters: Masters, cfg: MatchConfig, run: str | None = None
+    records: DataFrame, masters: Masters, cfg: MatchConfig
 ) -> DataFrame:
     """The outcome of staged records, checked to be theirs one to one."""
-    outcome = resolve(classify(records, cfg), masters, cfg, run)
+    outcome = resolve(classify(records, cfg), masters, cfg)
     assemble.require_conserved(records, outcome, cfg.record_id)
     return outcome
 
@@ -193,19 +193,19 @@ def main_table(records: DataFrame, outcome: DataFrame, cfg: MatchConfig) -> Data
     )
 
 
-def link_pairs(main: DataFrame, cfg: MatchConfig, run: str | None = None) -> DataFrame:
+def link_pairs(main: DataFrame, cfg: MatchConfig) -> DataFrame:
     """Pairs of name and address, which three tables hold: found once for all of them."""
     pairs = keep_first(
         changeset.link_rows(main, cfg), changeset.LINK.key, [F.col(cfg.record_id)]
     )
-    return stage(pairs, "link_pairs", run)
+    return stage(pairs, "link_pairs")
 
 
 def change_sets(
-    main: DataFrame, masters: Masters, cfg: MatchConfig, run: str | None = None
+    main: DataFrame, masters: Masters, cfg: MatchConfig
 ) -> dict[str, DataFrame]:
     """One change-set per master table, from the main temp table (staged)."""
-    cs, pairs = changeset, link_pairs(main, cfg, run)
+    cs, pairs = changeset, link_pairs(main, cfg)
     return {
         cs.SPECIAL.name: cs.change_set(cs.special_rows(main, cfg), masters.special, cs.SPECIAL, cfg),
         cs.NAME.name: cs.change_set(cs.name_rows(main, cfg), masters.names, cs.NAME, cfg),
@@ -222,11 +222,17 @@ def change_sets(
 
 @dataclass(frozen=True)
 class RunResult:
+    """What a run published: frames that read it, and its counts."""
+
     label: str
+    attempt: str
     output: DataFrame
     tables: dict[str, DataFrame]
-    records_by_class: DataFrame
+    rejects: DataFrame
+    summary: DataFrame
     changes_by_table: DataFrame
+    lines: int
+    rejected: int
 
 
 def run(
@@ -239,39 +245,42 @@ def run(
 ) -> RunResult | None:
     """Process one batch and publish its output and master snapshots under ``root``.
 
-    None if there is nothing to do. Rerunning a date overwrites what its failed attempt
-    wrote; the published outputs change only with the last step.
+    None if there is nothing to do. Every attempt has its own folders, for what it publishes and for its stages, so
+    neither a rerun nor a batch beside it touches what others wrote; the stages go when it ends. The published
+    outputs change only with the last step.
     """
-    lines = intake.read_lines(spark, input_path)
-    if lines.isEmpty():
-        return None
-    label = publish.label_of_run(lines, cfg.run_ts, prefix)
-    run_id = f"{cfg.odate:%y%m%d}"
-    records = intake.take_in(lines, cfg, f"{root}/rejects/{run_id}", run_id)
-    if records.isEmpty():
-        return None
-
-    outcome = match(records, masters, cfg, run_id)
-    main = stage(main_table(records, outcome, cfg), "main", run_id)
-    changes = {
-        name: stage(df, f"changes_{name}", run_id)
-        for name, df in change_sets(main, masters, cfg, run_id).items()
-    }
-    specs = {t.name: t for t in changeset.TABLES}
-    merged = {
-        name: merge.merge(master, changes[name], specs[name], cfg)
-        for name, master in masters.tables().items()
-    }
-    merged["enriched"] = enriched(records, outcome, cfg)
-    paths = publish.write_snapshots(merged, root, label)
-    publish.publish(spark, root, label, cfg.run_ts)
+    attempt = uuid4().hex
+    with stages_of(spark, attempt):
+        taken = intake.take_in(intake.read_lines(spark, input_path), cfg)
+        if taken.lines == taken.rejected:
+            return None
+        label = publish.label_of_file(spark, taken.first_file, cfg.run_ts, prefix)
+        outcome = match(taken.records, masters, cfg)
+        main = stage(main_table(taken.records, outcome, cfg), "main")
+        changes = {name: stage(df, f"changes_{name}") for name, df in change_sets(main, masters, cfg).items()}
+        results = {
+            spec.name: merge.merge(masters.tables()[spec.name], changes[spec.name], spec, cfg)
+            for spec in changeset.TABLES
+        }
+        counts = [merge.change_counts(name, df) for name, df in changes.items()]
+        results |= {
+            "enriched": enriched(taken.records, outcome, cfg),
+            "rejects": taken.rejects,
+            "summary": assemble.run_summary(outcome, taken.lines, taken.rejected),
+            "changes": reduce(DataFrame.unionByName, counts),
+        }
+        paths = publish.write_snapshots(results, f"{root}/snapshots/{label}/{attempt}")
+        publish.publish(spark, root, label, attempt, cfg.run_ts, paths)
 
-    counts = [merge.change_counts(name, df) for name, df in changes.items()]
     written = {name: spark.read.parquet(path) for name, path in paths.items()}
     return RunResult(
         label=label,
-        output=written.pop("enriched"),
-        tables=written,
-        records_by_class=assemble.summary(outcome),
-        changes_by_table=reduce(DataFrame.unionByName, counts),
+        attempt=attempt,
+        output=written["enriched"],
+        tables={spec.name: written[spec.name] for spec in changeset.TABLES},
+        rejects=written["rejects"],
+        summary=written["summary"],
+        changes_by_table=written["changes"],
+        lines=taken.lines,
+        rejected=taken.rejected,
     )

@@ -7,6 +7,8 @@ addresses grow with the tables, and no row is left out.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 BASE_TABLES = ("orders", "customer", "nation", "part")
@@ -123,6 +125,28 @@ FROM (SELECT c.c_custkey AS k, concat('A', lpad({_block('c.c_custkey')}, 8, '0')
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN part p ON p.p_partkey = c.c_custkey) a
 """
 
+# The masters as they are stored, with every column of their tables.
+_STAMPS = "TIMESTAMP '2023-01-01 00:00:00' AS insrt_ts, TIMESTAMP '2023-06-01 00:00:00' AS lu_ts"
+
+
+def _foreign(by: str) -> str:
+    return f"""CASE WHEN {by} % 9 = 0 THEN 'CA' END AS empr_frgn_cntry_cd, CASE WHEN {by} % 9 = 0 THEN 'CANADA' END AS empr_frgn_cntry_nm,
+  CASE WHEN {by} % 9 = 0 THEN concat('K', CAST({by} AS STRING)) END AS empr_frgnpzn,
+  CASE {by} % 3 WHEN 0 THEN 'GA' WHEN 1 THEN 'CH' ELSE 'BA' END AS addrck_pmycd,
+  CASE WHEN {by} % 4 = 0 THEN 'S1' ELSE '' END AS addrck_scycd_1, '' AS addrck_scycd_2"""
+
+
+M_NAME = f"""SELECT empr_id, nm_snum, empr_nm, app_odate, {_STAMPS},
+  CASE WHEN nm_snum % 5 = 1 THEN DATE '2022-02-02' END AS fcr_mtch_dt FROM ({FX_NAME}) n"""
+M_ADDR = f"""SELECT empr_id, addr_snum, addr1 AS empr_addrln40_1, CASE WHEN addr_snum % 4 = 1 THEN 'FLOOR 3' ELSE '' END AS empr_addrln40_2,
+  '' AS empr_addrln40_3, city AS empr_city25, state AS empr_st, zip5 AS empr_zip5, lpad(CAST(addr_snum AS STRING), 4, '0') AS empr_zip4,
+  {_foreign('addr_snum')}, app_odate, {_STAMPS} FROM ({FX_ADDR}) a"""
+M_LINK = f"""SELECT k.*, {_STAMPS}, CASE WHEN nm_snum % 6 = 1 THEN DATE '2024-01-31' END AS endt,
+  CASE WHEN nm_snum % 6 = 2 THEN DATE '2020-01-31' END AS certd_stdt FROM ({FX_LINK}) k"""
+M_LINK_SOURCE = f"SELECT k.*, {_STAMPS}, CASE WHEN nm_snum % 6 = 1 THEN DATE '2024-01-31' END AS endt FROM ({FX_LINK_SOURCE}) k"
+M_LINK_TYPE = f"SELECT k.*, {_STAMPS}, CASE WHEN nm_snum % 6 = 1 THEN DATE '2024-01-31' END AS endt FROM ({FX_LINK_TYPE}) k"
+M_SPECIAL = f"SELECT s.*, {_foreign('empr_snum')}, {_STAMPS} FROM ({FX_SPECIAL}) s"
+
 VIEWS = {
     "sub": SUB,
     "fx_name": FX_NAME,
@@ -131,20 +155,28 @@ VIEWS = {
     "fx_link_source": FX_LINK_SOURCE,
     "fx_link_type": FX_LINK_TYPE,
     "fx_special": FX_SPECIAL,
+    "m_name": M_NAME,
+    "m_address": M_ADDR,
+    "m_special": M_SPECIAL,
+    "m_link": M_LINK,
+    "m_link_source": M_LINK_SOURCE,
+    "m_link_type": M_LINK_TYPE,
 }
 
 
 def frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The fixture views over the tables in ``sf_dir``."""
+    """The fixture views over the tables in ``sf_dir``; the session's own views stay as they are."""
+    named = {}
     for t in BASE_TABLES:
         df = spark.read.parquet(f"{sf_dir}/{t}.parquet")
         if t == "orders":
-            df = _spread(df.select("o_orderkey", "o_custkey"))
-        df.createOrReplaceTempView(t)
-    return {name: spark.sql(text) for name, text in VIEWS.items()}
+            # The table is one small file: deal it out, as a large one would be.
+            df = df.select("o_orderkey", "o_custkey").repartition(spark.sparkContext.defaultParallelism)
+        named[t] = df
 
+    def over(text: str) -> DataFrame:
+        for t in BASE_TABLES:
+            text = re.sub(rf"\b(FROM|JOIN) {t} ", rf"\1 {{{t}}} ", text)
+        return spark.sql(text, **named)
 
-def _spread(df: DataFrame) -> DataFrame:
-    """A table in too few files for the cores at hand, dealt out to all of them."""
-    tasks = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= tasks else df.repartition(tasks)
+    return {**named, **{name: over(text) for name, text in VIEWS.items()}}

@@ -224,6 +224,12 @@ CTES = {
         guard=_GUARD,
     ),
 }
+CTES["ch_link"] = _changes(_links("", ", CAST(NULL AS DATE) AS certd_stdt"), "fx_link", _LINK_KEY)
+CTES["ch_link_source"] = _changes(_links(", 'QW' AS prvdr_src_cd"), "fx_link_source", _LINK_KEY + ", prvdr_src_cd")
+CTES["ch_link_type"] = _changes(_links(", 'PR' AS addr_typ_cd"), "fx_link_type", _LINK_KEY + ", addr_typ_cd")
+# Optional addresses insert where no primary row changed the key.
+CTES["ch_address"] = """SELECT * FROM ch_addr UNION ALL SELECT * FROM ch_opt o
+ WHERE NOT EXISTS (SELECT 1 FROM ch_addr a WHERE a.empr_id = o.empr_id AND a.addr_snum = o.addr_snum)"""
 CTES["outcome"] = CTES["outcome"].replace("SPECIAL_NO", "special_no")
 
 _OUTCOME = (
@@ -233,6 +239,29 @@ _OUTCOME = (
 _FOREIGN = [f for _, f, _ in FLAG_GUARDS]
 
 
+_PLACE = """empr_addrln40_1 empr_addrln40_2 empr_addrln40_3 empr_city25 empr_st empr_zip5 empr_zip4 empr_frgn_cntry_cd
+ empr_frgn_cntry_nm empr_frgnpzn addrck_pmycd addrck_scycd_1 addrck_scycd_2 app_odate""".split()
+# Key and columns of each master, but the run's times.
+_MASTERS = {
+    "special": (2, ["empr_idfr", "empr_snum", "empr_nm", *_PLACE]),
+    "name": (2, "empr_id nm_snum empr_nm app_odate fcr_mtch_dt".split()),
+    "address": (2, ["empr_id", "addr_snum", *_PLACE]),
+    "link": (3, "empr_id nm_snum addr_snum app_odate endt certd_stdt".split()),
+    "link_source": (4, "empr_id nm_snum addr_snum prvdr_src_cd app_odate endt".split()),
+    "link_type": (4, "empr_id nm_snum addr_snum addr_typ_cd app_odate endt".split()),
+}
+
+
+def _merge(table: str) -> str:
+    """A master with its changes: dates of known rows, then new rows."""
+    n, columns = _MASTERS[table]
+    on = " AND ".join(f"m.{k} = c.{k}" for k in columns[:n])
+    old = [f"CASE WHEN c.{columns[0]} IS NULL THEN m.app_odate ELSE {ODATE} END" if c == "app_odate" else f"m.{c}" for c in columns]
+    return f"""SELECT {", ".join(f"{o} AS {c}" for o, c in zip(old, columns))}
+ FROM m_{table} m LEFT JOIN ch_{table} c ON c.db_oper_typ = 'U' AND {on}
+ UNION ALL SELECT {", ".join(columns)} FROM ch_{table} WHERE db_oper_typ = 'I'"""
+
+
 def _with(body: str) -> str:
     """``body`` with the CTEs it needs, each after those it builds on."""
     wanted: list[str] = []
@@ -333,8 +362,8 @@ def _bodies() -> dict[str, str]:
  UNION ALL SELECT 'fx_addr', empr_id, max(addr_snum) FROM fx_addr GROUP BY empr_id
  UNION ALL SELECT 'fx_special', empr_idfr, max(empr_snum) FROM fx_special GROUP BY empr_idfr""",
         "dedup_first": "SELECT first_id AS input_order, empr_idfr, qw_employer_name, addr1 FROM special_in",
-        "capped_count": "SELECT count(*) AS capped FROM (SELECT 1 FROM rec WHERE trim(qw_employer_name) = '' LIMIT 101) x",
-        "run_summary": "SELECT cls, count(*) AS records FROM rec GROUP BY cls",
+        "run_summary": """SELECT cls, count(*) AS records FROM rec WHERE input_order % 1000 NOT IN (7, 8) GROUP BY cls
+ UNION ALL SELECT 'lines', count(*) FROM feed UNION ALL SELECT 'rejected', count(*) FROM feed WHERE length(value) <= 1""",
         "conservation_check": """SELECT (SELECT count(*) FROM rec) AS rows_before, (SELECT count(*) FROM outcome) AS rows_after,
  (SELECT count(*) FROM rec WHERE input_order NOT IN (SELECT input_order FROM outcome)) AS missing,
  (SELECT count(*) FROM outcome WHERE input_order NOT IN (SELECT input_order FROM rec)) AS added,
@@ -368,15 +397,14 @@ def _bodies() -> dict[str, str]:
         "cs_name": "SELECT * FROM ch_name",
         "cs_addr": "SELECT * FROM ch_addr",
         "cs_opt_addr": "SELECT * FROM ch_opt",
-        "cs_link": _changes(_links("", ", CAST(NULL AS DATE) AS certd_stdt"), "fx_link", _LINK_KEY),
-        "cs_link_source": _changes(_links(", 'QW' AS prvdr_src_cd"), "fx_link_source", _LINK_KEY + ", prvdr_src_cd"),
-        "cs_link_type": _changes(_links(", 'PR' AS addr_typ_cd"), "fx_link_type", _LINK_KEY + ", addr_typ_cd"),
-        "merge_update": f"""SELECT n.* REPLACE (CASE WHEN c.empr_id IS NOT NULL THEN {ODATE} ELSE n.app_odate END AS app_odate)
- FROM fx_name n LEFT JOIN ch_name c ON c.db_oper_typ = 'U' AND n.empr_id = c.empr_id AND n.nm_snum = c.nm_snum""",
-        "merge_insert": """SELECT empr_id, addr1 AS empr_addrln40_1, city AS empr_city25, state AS empr_st, zip5 AS empr_zip5, addr_snum, app_odate FROM fx_addr
- UNION ALL SELECT empr_id, empr_addrln40_1, empr_city25, empr_st, empr_zip5, addr_snum, app_odate FROM ch_addr WHERE db_oper_typ = 'I'
- UNION ALL SELECT empr_id, empr_addrln40_1, empr_city25, empr_st, empr_zip5, addr_snum, app_odate FROM ch_opt o
-  WHERE NOT EXISTS (SELECT 1 FROM ch_addr a WHERE a.empr_id = o.empr_id AND a.addr_snum = o.addr_snum)""",
+        "cs_link": "SELECT * FROM ch_link",
+        "cs_link_source": "SELECT * FROM ch_link_source",
+        "cs_link_type": "SELECT * FROM ch_link_type",
+        "merge_update": f"""SELECT n.* EXCLUDE (insrt_ts, lu_ts) REPLACE (CASE WHEN c.empr_id IS NOT NULL THEN {ODATE} ELSE n.app_odate END AS app_odate)
+ FROM m_name n LEFT JOIN ch_name c ON c.db_oper_typ = 'U' AND n.empr_id = c.empr_id AND n.nm_snum = c.nm_snum""",
+        "merge_insert": f"""SELECT {', '.join(_MASTERS['address'][1])} FROM m_address
+ UNION ALL SELECT {', '.join(_MASTERS['address'][1])} FROM ch_address WHERE db_oper_typ = 'I'""",
+        **{f"merge_{t}": _merge(t) for t in _MASTERS},
     }
 
 

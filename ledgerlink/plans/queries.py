@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import date, datetime
 from functools import cached_property
 from uuid import uuid4
 
@@ -22,7 +23,7 @@ from ledgerlink.plans import fixtures
 from ledgerlink.sources import intake, layout, publish, tables
 from ledgerlink.staging import stage, stage_root
 
-CFG = MatchConfig()
+CFG = MatchConfig(odate=date(2024, 6, 30), run_ts=datetime(2024, 6, 30))
 TIMES = ("insrt_ts", "lu_ts")
 
 
@@ -76,14 +77,13 @@ class Case:
 
     @cached_property
     def masters(self) -> en.Masters:
-        stored = self.fx["fx_addr"].withColumnsRenamed(cs.ADDRESS_COLUMNS)
         return en.Masters(
-            names=self.fx["fx_name"],
-            addresses=stored,
-            special=self.fx["fx_special"],
-            links=self.fx["fx_link"],
-            link_sources=self.fx["fx_link_source"],
-            link_types=self.fx["fx_link_type"],
+            names=self.fx["m_name"],
+            addresses=self.fx["m_address"],
+            special=self.fx["m_special"],
+            links=self.fx["m_link"],
+            link_sources=self.fx["m_link_source"],
+            link_types=self.fx["m_link_type"],
         )
 
     @cached_property
@@ -111,7 +111,7 @@ class Case:
     @cached_property
     def optional(self) -> DataFrame:
         shared = stage(ad.share_primary(self.opt_matched, self.primary), "shared")
-        return ad.resolve_optional(shared, self.primary, self.fx["fx_addr"])
+        return ad.resolve_optional(shared, self.primary, self.fx["fx_addr"], self.cfg)
 
     @cached_property
     def special(self) -> DataFrame:
@@ -193,7 +193,7 @@ def run_label(c: Case) -> DataFrame:
         .when(r % 3 == 1, F.concat(day, F.lit(".txt")))
         .otherwise(F.concat(F.lit(".DATA"), r.cast("string"))),
     )
-    return c.spark.table("orders").select(
+    return c.fx["orders"].select(
         "o_orderkey", publish.run_label(name, c.cfg.run_ts).alias("label")
     )
 
@@ -306,13 +306,9 @@ def dedup_first(c: Case) -> DataFrame:
     return first.select("input_order", "empr_idfr", "qw_employer_name", "addr1")
 
 
-def capped_count(c: Case) -> DataFrame:
-    blank = c.lazy_records.filter(F.trim("qw_employer_name") == "")
-    return asm.capped_count(blank, 101)
-
-
 def run_summary(c: Case) -> DataFrame:
-    return asm.summary(c.lazy_records)
+    taken = intake.take_in(c.feed.withColumn("source_file", F.lit("IN.txt")), c.cfg)
+    return asm.run_summary(cl.classify(taken.records, c.cfg), taken.lines, taken.rejected)
 
 
 def conservation_check(c: Case) -> DataFrame:
@@ -444,9 +440,9 @@ def enriched_output(c: Case) -> DataFrame:
 # --- change-sets and merge
 
 
-def _set(c: Case, src: DataFrame, spec: cs.TableSpec, updates: bool = True) -> DataFrame:
+def _set(c: Case, src: DataFrame, spec: cs.TableSpec, no_update: str | None = None) -> DataFrame:
     master = c.masters.tables()[spec.name]
-    return cs.change_set(src, master, spec, c.cfg, updates).drop(*TIMES)
+    return cs.change_set(src, master, spec, c.cfg, no_update).drop(*TIMES)
 
 
 def cs_special(c: Case) -> DataFrame:
@@ -462,7 +458,8 @@ def cs_addr(c: Case) -> DataFrame:
 
 
 def cs_opt_addr(c: Case) -> DataFrame:
-    return _set(c, cs.optional_address_rows(c.main, c.cfg), cs.ADDRESS, updates=False)
+    rows = cs.optional_address_rows(c.main, c.cfg).withColumn("_optional", F.lit(True))
+    return _set(c, rows, cs.ADDRESS, no_update="_optional")
 
 
 def cs_link(c: Case) -> DataFrame:
@@ -478,19 +475,29 @@ def cs_link_type(c: Case) -> DataFrame:
 
 
 def merge_update(c: Case) -> DataFrame:
-    return merge.merge_update(c.masters.names, cs_name(c), cs.NAME, c.cfg)
+    return merge.merge_update(c.masters.names, cs_name(c), cs.NAME, c.cfg).drop(*TIMES)
 
 
 def merge_insert(c: Case) -> DataFrame:
     changes = cs.address_changes(c.main, c.masters.addresses, c.cfg)
-    return merge.merge_insert(c.masters.addresses, changes, cs.ADDRESS)
+    return merge.merge_insert(c.masters.addresses, changes, cs.ADDRESS).drop(*TIMES)
+
+
+def _merged(spec: cs.TableSpec) -> Callable[[Case], DataFrame]:
+    """A master after the whole run's changes."""
+
+    def build(c: Case) -> DataFrame:
+        changes = en.change_sets(c.main, c.masters, c.cfg)[spec.name]
+        return merge.merge(c.masters.tables()[spec.name], stage(changes, spec.name), spec, c.cfg).drop(*TIMES)
+
+    return build
 
 
 _PLAIN = [
     src_text, parse_fixed_width, valid_split, rejects, src_partitioned, key_filter_semi,
     stage_roundtrip, patch_fixed_width, payload_rejoin, run_label, mask_invalid, validate_id,
     flag_guard, alias_project, normalize, classify, unknown_out, addr_quality_code,
-    scalar_functions, distinct_keys, max_seq, dedup_first, capped_count, run_summary,
+    scalar_functions, distinct_keys, max_seq, dedup_first, run_summary,
     conservation_check, align_union, exact_name, fuzzy_candidates, best_fuzzy, new_name_seq,
     name_resolution, backfill_names, addr_dedup_latest, addr_match, new_addr_seq,
     addr_resolution, opt_addr_match, new_opt_addr, new_opt_seq, opt_resolution,
@@ -505,6 +512,7 @@ QUERIES: dict[str, tuple[Callable[[Case], DataFrame], MatchConfig]] = {
     **{f.__name__: (f, CFG) for f in _PLAIN},
     # Only reused numbers can meet an existing row, so this one runs with reuse on.
     "cs_special": (cs_special, REUSING),
+    **{f"merge_{t.name}": (_merged(t), REUSING if t is cs.SPECIAL else CFG) for t in cs.TABLES},
 }
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ MIN_LENGTH = 2
 REJECT_REASON = "EOF marker or empty record"
 NO_SSN = "000000000"
 
+# The reject text above, and the names below.
 # Flag column, masked input column, name of the derived column.
 FLAG_GUARDS = [
     ("qw_frgn_empr_flg_cc", "qw_empr_forgn_cc", "empr_forgn_cc"),
@@ -134,18 +137,37 @@ def matchable(lines: DataFrame, cfg: MatchConfig) -> DataFrame:
     return fields(lines, cfg).select(cfg.record_id, "value", cfg.special_id, *MATCH_COLUMNS)
 
 
-def take_in(
-    lines: DataFrame, cfg: MatchConfig, rejects_path: str, run: str | None = None
-) -> DataFrame:
-    """Records of a batch, staged; rejects are written if the one pass over the lines saw any.
+@dataclass(frozen=True)
+class Intake:
+    """A batch after its one read: what was found in it, counted in the same pass."""
+
+    records: DataFrame
+    rejects: DataFrame
+    lines: int
+    rejected: int
+    first_file: str | None
+
+
+def take_in(lines: DataFrame, cfg: MatchConfig) -> Intake:
+    """Records and rejected lines of a batch, staged apart in one pass over the lines.
 
     The record id holds from the stage on.
     """
     seen = Observation()
-    bad = F.count_if(F.length("value") < MIN_LENGTH).alias("rejects")
-    valid, _ = split_valid(lines.observe(seen, bad))
-    numbered = valid.select("value", F.monotonically_increasing_id().alias(cfg.record_id))
-    records = stage(matchable(numbered, cfg), "records", run)
-    if seen.get["rejects"]:
-        write_rejects(split_valid(lines)[1], rejects_path)
-    return records
+    short = F.length("value") < MIN_LENGTH
+    watched = lines.observe(
+        seen,
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(short).alias("rejected"),
+        F.min("source_file").alias("first_file"),
+    )
+    numbered = watched.select("value", F.monotonically_increasing_id().alias(cfg.record_id))
+    marked = matchable(numbered, cfg).withColumn("_rejected", short)
+    both = stage(marked, "lines", by=["_rejected"])
+    return Intake(
+        records=both.filter(~F.col("_rejected")).drop("_rejected"),
+        rejects=split_valid(both.filter("_rejected"))[1],
+        lines=seen.get["lines"],
+        rejected=seen.get["rejected"],
+        first_file=seen.get["first_file"],
+    )

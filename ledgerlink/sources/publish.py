@@ -5,11 +5,18 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlink.staging import exists
+
 MANIFEST = "published"
 
+# How an input file name ends, and how the missing parts are written.
+DAY_AND_TIME = r"(\.R\d{6}\.T\d{6})$"
+DAY = r"(\.R\d{6})$"
+TIME_FORMAT, DAY_AND_TIME_FORMAT = ".T%H%M%S", ".R%y%m%d.T%H%M%S"
+
 
 def run_label(file_name: Column, run_ts: datetime, prefix: str = "EMPLOYERS") -> Column:
     """Output label from an input file name ending in ``.Ryymmdd[.Thhmmss]``.
@@ -17,45 +24,51 @@ def run_label(file_name: Column, run_ts: datetime, prefix: str = "EMPLOYERS") ->
     The last extension is dropped first. Missing parts come from the run time.
     """
     base = F.regexp_replace(file_name, r"\.[^.]*$", "")
-    both = F.regexp_extract(base, r"(\.R\d{6}\.T\d{6})$", 1)
-    day = F.regexp_extract(base, r"(\.R\d{6})$", 1)
+    both = F.regexp_extract(base, DAY_AND_TIME, 1)
+    day = F.regexp_extract(base, DAY, 1)
     stamp = (
         F.when(both != "", both)
-        .when(day != "", F.concat(day, F.lit(run_ts.strftime(".T%H%M%S"))))
-        .otherwise(F.lit(run_ts.strftime(".R%y%m%d.T%H%M%S")))
+        .when(day != "", F.concat(day, F.lit(run_ts.strftime(TIME_FORMAT))))
+        .otherwise(F.lit(run_ts.strftime(DAY_AND_TIME_FORMAT)))
     )
     return F.concat(F.lit(f"{prefix}.SEQIDS"), stamp)
 
 
-def label_of_run(lines: DataFrame, run_ts: datetime, prefix: str = "EMPLOYERS") -> str:
-    """The label of the first input file, by name; the files are listed, not read."""
-    first = min(path.rsplit("/", 1)[-1] for path in lines.inputFiles())
-    one = lines.sparkSession.range(1)
-    return one.select(run_label(F.lit(first), run_ts, prefix).alias("label")).first().label
+def label_of_file(spark: SparkSession, name: str, run_ts: datetime, prefix: str = "EMPLOYERS") -> str:
+    return spark.range(1).select(run_label(F.lit(name), run_ts, prefix).alias("label")).first().label
 
 
-def write_snapshots(tables: Mapping[str, DataFrame], root: str, label: str) -> dict[str, str]:
-    """Write every table to this run's own folder. Readers do not look there yet."""
-    paths = {}
+def write_snapshots(tables: Mapping[str, DataFrame], folder: str) -> dict[str, str]:
+    """Write every table below this attempt's own folder. Readers do not look there yet.
+
+    Nothing that exists is overwritten.
+    """
+    paths = {name: f"{folder}/{name}" for name in tables}
     for name, df in tables.items():
-        paths[name] = f"{root}/snapshots/{label}/{name}"
-        df.write.mode("overwrite").option("compression", "snappy").parquet(paths[name])
+        df.write.option("compression", "snappy").parquet(paths[name])
     return paths
 
 
-def publish(spark: SparkSession, root: str, label: str, run_ts: datetime) -> None:
-    """Make a run the current one. One small write switches all its tables at once."""
-    row = spark.range(1).select(
-        F.lit(label).alias("label"), F.lit(run_ts).alias("published_at")
-    )
-    row.coalesce(1).write.mode("append").parquet(f"{root}/{MANIFEST}")
+def publish(
+    spark: SparkSession, root: str, label: str, attempt: str, run_ts: datetime, paths: Mapping[str, str]
+) -> None:
+    """Make an attempt the current one. One small write switches all its tables at once.
+
+    The order of publishing counts, not the run time: a later run may carry an earlier time.
+    """
+    manifest = f"{root}/{MANIFEST}"
+    last = spark.read.parquet(manifest).agg(F.max("seq")).first()[0] if exists(spark, manifest) else 0
+    row = [(last + 1, label, attempt, run_ts, dict(paths))]
+    schema = "seq bigint, label string, attempt string, run_ts timestamp, paths map<string,string>"
+    spark.createDataFrame(row, schema).coalesce(1).write.mode("append").parquet(manifest)
 
 
-def current_label(spark: SparkSession, root: str) -> str:
+def current(spark: SparkSession, root: str) -> Row:
+    """The manifest row of the run published last."""
     runs = spark.read.parquet(f"{root}/{MANIFEST}")
-    return runs.orderBy(F.col("published_at").desc(), F.col("label").desc()).first().label
+    return runs.orderBy(F.col("seq").desc(), "attempt").first()
 
 
 def read_current(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A table of the run published last."""
-    return spark.read.parquet(f"{root}/snapshots/{current_label(spark, root)}/{name}")
+    return spark.read.parquet(current(spark, root).paths[name])

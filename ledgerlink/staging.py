@@ -9,10 +9,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOT: dict[str, str] = {}
+_RUN: ContextVar[str | None] = ContextVar("run", default=None)
 
 
 def stage_root(spark: SparkSession) -> str:
@@ -31,13 +35,33 @@ def stage_root(spark: SparkSession) -> str:
     return _LOCAL_ROOT[sc.applicationId]
 
 
-def stage(df: DataFrame, name: str, run: str | None = None) -> DataFrame:
-    """Write ``df`` and continue from the written copy.
+def _path(spark: SparkSession, path: str):
+    """A path and its store, for the few steps Spark has no reader or writer for."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
 
-    ``run`` names the run's own folder; a rerun overwrites what an earlier attempt
-    left there. Without it every call gets a folder of its own.
-    """
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where, store = _path(spark, path)
+    return store.exists(where)
+
+
+@contextmanager
+def stages_of(spark: SparkSession, run: str) -> Iterator[None]:
+    """Stages written inside go to the run's own folder, which is removed at the end, however it ends."""
+    token = _RUN.set(run)
+    try:
+        yield
+    finally:
+        _RUN.reset(token)
+        where, store = _path(spark, f"{stage_root(spark)}/ledgerlink/{run}")
+        store.delete(where, True)
+
+
+def stage(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` and continue from the written copy, in a folder no other stage has."""
     spark = df.sparkSession
-    path = f"{stage_root(spark)}/ledgerlink/{run or uuid.uuid4().hex}/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = f"{stage_root(spark)}/ledgerlink/{_RUN.get() or 'single'}/{name}-{uuid.uuid4().hex}"
+    df.write.partitionBy(*by).parquet(path)
+    columns = [c for c in df.columns if c not in by]
+    return spark.read.schema(df.select(*columns, *by).schema).parquet(path)

@@ -1,3 +1,6 @@
+from dataclasses import replace
+from datetime import date, datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -6,7 +9,7 @@ from ledgerlink.operators import classify as cl
 from ledgerlink.sources import intake, layout, publish, tables
 from tests.test_skew import rows_of
 
-CFG = MatchConfig()
+CFG = MatchConfig(odate=date(2024, 6, 30), run_ts=datetime(2024, 6, 30))
 
 
 def line(**fields):
@@ -89,7 +92,7 @@ CLASSES = [
 
 def test_classes(spark):
     df = intake.validate(parsed(spark, *[line(**f) for f, _ in CLASSES]), CFG)
-    got = cl.classify(df, MatchConfig(exception_ids=("555555555",))).orderBy("input_order").collect()
+    got = cl.classify(df, replace(CFG, exception_ids=("555555555",))).orderBy("input_order").collect()
     assert [r.cls for r in got] == [c for _, c in CLASSES]
 
 
@@ -129,7 +132,6 @@ def test_patch_keeps_the_rest(spark):
     ],
 )
 def test_run_label(spark, name, tail):
-    from datetime import datetime
 
     c = publish.run_label(F.lit(name), datetime(2024, 6, 30, 10, 11, 12), "OUT")
     assert spark.range(1).select(c.alias("x")).first().x == "OUT.SEQIDS" + tail

@@ -1,5 +1,6 @@
 import random
 from dataclasses import replace
+from datetime import date, datetime
 
 import duckdb
 import numpy as np
@@ -7,12 +8,12 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlink.config import MatchConfig
+from ledgerlink.config import Limits, MatchConfig
 from ledgerlink.functions.similarity import jaro_winkler
 from ledgerlink.operators import names
 from ledgerlink.staging import stage
 
-CFG = MatchConfig()
+CFG = MatchConfig(odate=date(2024, 6, 30), run_ts=datetime(2024, 6, 30))
 RECORD = "input_order long, work_ein string, qw_employer_name string"
 MASTER = "empr_id string, empr_nm string, nm_snum int"
 
@@ -112,10 +113,10 @@ def test_no_pair_is_lost_to_bound_or_cells(spark, threshold):
     vary = lambda: (rng.choice(stems) + rng.choice(["", " CO", "S", " INC"]))[rng.choice([0, 0, 1]) :]
     incoming = [("HOT", vary() + words(rng, 1, 4)) for _ in range(150)] + [("B", vary()) for _ in range(8)]
     master = [("HOT", vary() + words(rng, 1, 3), i) for i in range(120)] + [("B", vary(), i) for i in range(6)]
-    cfg = replace(CFG, threshold=threshold)
+    cfg = replace(CFG, threshold=threshold, limits=Limits(cell_rows=5))
     rec, mas = name_frames(spark, incoming, master)
     left = stage(names.name_inputs(rec, cfg), "left")
-    pairs = names.fuzzy_names(left, mas, cfg, cell_rows=5)
+    pairs = names.fuzzy_names(left, mas, cfg)
     got = sorted((r.empr_id, r.nm, r.master_nm) for r in pairs.collect())
 
     a = left.toPandas()  # noqa: F841
@@ -130,6 +131,30 @@ def test_no_pair_is_lost_to_bound_or_cells(spark, threshold):
     assert len(got) > 100
 
 
+def test_every_large_block_is_cut(spark):
+    """More large ids than any fixed number of them, none left whole."""
+    rng = random.Random(8)
+    ids = [f"{i:04d}" for i in range(1100)]
+    incoming = [(i, f"NAME {words(rng, 3, 6)}{k}") for i in ids for k in range(3)]
+    master = [(i, f"NAME {words(rng, 3, 6)}{k}", k) for i in ids for k in range(2)]
+    cfg = replace(CFG, limits=Limits(cell_rows=1))
+    rec, mas = name_frames(spark, incoming, master)
+    left = stage(names._scorable(names.name_inputs(rec, cfg), cfg), "l")
+    right = stage(names._scorable(names.master_names(mas), cfg), "r")
+    cut = names._cells(left, right, cfg, 1).select("empr_id").distinct().count()
+    assert cut > 1000
+    usual = names.fuzzy_names(names.name_inputs(rec, CFG), mas, CFG)
+    cells = names.fuzzy_names(names.name_inputs(rec, cfg), mas, cfg)
+    pairs = lambda df: sorted((r.empr_id, r.nm, r.master_nm) for r in df.collect())
+    assert pairs(usual) == pairs(cells)
+
+
+def test_fuzzy_inputs_are_read_not_recomputed(spark):
+    rec, mas = name_frames(spark, [("1", "ABCDEF")], [("1", "ABCDEG", 1)])
+    text = plan_of(names.fuzzy_names(names.name_inputs(rec, CFG), mas, CFG))
+    assert text.count("FileScan") <= 4 and "HashAggregate" not in text
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

@@ -24,7 +24,8 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql()) == set(QUERIES)
+    own = {name for name in queries() if not name.startswith("op") and name != "pipeline"}
+    assert own == set(QUERIES) and own <= set(oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

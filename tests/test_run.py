@@ -6,11 +6,11 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlink.config import MatchConfig
+from ledgerlink.config import Limits, MatchConfig
 from ledgerlink.operators import assemble, changeset, merge
 from ledgerlink.plans import enrich
 from ledgerlink.sources import intake, publish
-from ledgerlink.staging import stage
+from ledgerlink.staging import stage, stage_root
 from tests.test_intake import line
 from tests.test_skew import rows_of
 
@@ -56,8 +56,27 @@ def frame(spark, rows, columns, types):
     return spark.createDataFrame(rows, ", ".join(f"{c} {t}" for c, t in zip(columns.split(), types.split())))
 
 
+KINDS = {"app_odate": "date", "fcr_mtch_dt": "date", "endt": "date", "certd_stdt": "date"}
+KINDS |= {"insrt_ts": "timestamp", "lu_ts": "timestamp"}
+
+
+def full(masters):
+    """The tables with every column they have in store."""
+
+    def widen(spec, df):
+        more = {c: F.lit(None).cast(KINDS.get(c, "string")) for c in spec.columns if c not in df.columns}
+        return df.withColumns(more)
+
+    t = {s.name: widen(s, masters.tables()[s.name]) for s in changeset.TABLES}
+    return enrich.Masters(t["name"], t["address"], t["special"], t["link"], t["link_source"], t["link_type"])
+
+
 @pytest.fixture(scope="module")
 def masters(spark):
+    return full(narrow_masters(spark))
+
+
+def narrow_masters(spark):
     address = list(changeset.ADDRESS_COLUMNS.values())
     content = "empr_nm " + " ".join(address)
     return enrich.Masters(
@@ -159,12 +178,12 @@ def test_run_and_rerun(spark, masters, tmp_path):
     first = enrich.run(spark, feed, masters, root, cfg)
     assert first.label == "EMPLOYERS.SEQIDS.R240630.T010203"
     assert first.output.count() == len(LINES) and len(first.output.columns) == 119
-    assert {r.cls: r.records for r in first.records_by_class.collect()} == {
-        "unknown": 2, "pseudo": 4, "regular": 12,
+    assert {r.cls: r.records for r in first.summary.collect()} == {
+        "unknown": 2, "pseudo": 4, "regular": 12, "lines": 20, "rejected": 2,
     }
-    bad = spark.read.option("header", True).csv(f"{root}/rejects/240630")
-    assert bad.count() == 2
-    assert publish.current_label(spark, root) == first.label
+    assert sorted(r.value for r in first.rejects.collect()) == ["", "E"]
+    assert (first.lines, first.rejected) == (len(LINES) + 2, 2)
+    assert publish.current(spark, root).label == first.label
 
     counts = {(r.table_name, r.db_oper_typ): r.rows for r in first.changes_by_table.collect()}
     assert counts[("name", "I")] == 3 and counts[("name", "U")] == 1
@@ -175,21 +194,100 @@ def test_run_and_rerun(spark, masters, tmp_path):
         old = masters.tables()[spec.name]
         assert old.join(table, list(spec.key), "left_anti").count() == 0
 
-    again = enrich.Masters(
-        names=first.tables["name"],
-        addresses=first.tables["address"],
-        special=first.tables["special"],
-        links=first.tables["link"],
-        link_sources=first.tables["link_source"],
-        link_types=first.tables["link_type"],
-    )
-    second = enrich.run(spark, feed, again, str(tmp_path / "out2"), cfg)
-    assert second.changes_by_table.collect() == []
+    # Again into the same place, from the published tables: what was published stays.
+    before = {name: rows_of(df) for name, df in first.tables.items()}
+    second = enrich.run(spark, feed, published(first), root, cfg)
+    assert second.changes_by_table.collect() == [] and second.label == first.label
+    assert publish.current(spark, root).attempt == second.attempt != first.attempt
+    for name, rows in before.items():
+        assert rows_of(first.tables[name]) == rows == rows_of(publish.read_current(spark, root, name))
     assert rows_of(second.output.select("seq_num", "empr_addr_pntr")) == rows_of(
         first.output.select("seq_num", "empr_addr_pntr")
     )
 
 
+def published(result):
+    t = result.tables
+    return enrich.Masters(t["name"], t["address"], t["special"], t["link"], t["link_source"], t["link_type"])
+
+
+def stages_left(spark):
+    """Folders of runs in the staging place; those of single stages are not a run's."""
+    import os
+
+    top = f"{stage_root(spark).removeprefix('file:')}/ledgerlink"
+    return set(os.listdir(top)) - {"single"} if os.path.exists(top) else set()
+
+
+def test_batches_of_one_date_do_not_meet(spark, masters, tmp_path):
+    one = enrich.run(spark, batch(tmp_path / "a", LINES[:4]), masters, str(tmp_path / "out"), CFG)
+    rows = {name: rows_of(df) for name, df in one.tables.items()}
+    two = enrich.run(spark, batch(tmp_path / "b", [*LINES[4:], "E"]), masters, str(tmp_path / "out"), CFG)
+    three = enrich.run(spark, batch(tmp_path / "c", LINES[9:10]), masters, str(tmp_path / "other"), CFG)
+    assert rows == {name: rows_of(df) for name, df in one.tables.items()}
+    assert (one.output.count(), two.output.count(), three.output.count()) == (4, len(LINES) - 4, 1)
+    assert (one.rejects.count(), two.rejects.count()) == (0, 1)
+    assert publish.current(spark, str(tmp_path / "out")).attempt == two.attempt
+    assert not stages_left(spark)
+
+
+def test_later_run_with_an_earlier_time_is_current(spark, masters, tmp_path):
+    root, feed = str(tmp_path / "out"), batch(tmp_path / "in", LINES[:2])
+    enrich.run(spark, feed, masters, root, CFG)
+    late = enrich.run(spark, feed, masters, root, replace(CFG, run_ts=datetime(2020, 1, 1)))
+    assert publish.current(spark, root).attempt == late.attempt
+
+
+def test_run_killed_halfway_leaves_the_published_tables(spark, masters, tmp_path, monkeypatch):
+    root = str(tmp_path / "out")
+    first = enrich.run(spark, batch(tmp_path / "in", LINES), masters, root, CFG)
+    rows = {name: rows_of(df) for name, df in first.tables.items()}
+    write, written = publish.write_snapshots, []
+
+    def stop_at_third(tables, folder):
+        written.extend(list(tables)[:2])
+        write({name: tables[name] for name in written}, folder)
+        raise OSError("no space")
+
+    monkeypatch.setattr(enrich.publish, "write_snapshots", stop_at_third)
+    with pytest.raises(OSError):
+        enrich.run(spark, batch(tmp_path / "in2", LINES[:5]), published(first), root, CFG)
+    assert len(written) == 2 and publish.current(spark, root).attempt == first.attempt
+    assert rows == {name: rows_of(publish.read_current(spark, root, name)) for name in rows}
+    assert not stages_left(spark)
+
+
+def test_limits_do_not_change_the_result(spark, masters, tmp_path):
+    """Every path for large inputs, in a whole run."""
+    lines = [*LINES, *[rec(name=f"ACME CORP {x}") for x in "ABCDE"], rec(name="ACME COPR"), rec(name="OLD NAMES")]
+    feed = batch(tmp_path / "in", lines)
+    none = Limits(broadcast_rows=0, broadcast_bytes=0, heavy_keys=1, window_rows=0, cell_rows=1)
+    usual = enrich.run(spark, feed, masters, str(tmp_path / "a"), CFG)
+    large = enrich.run(spark, feed, masters, str(tmp_path / "b"), replace(CFG, limits=none))
+    assert rows_of(usual.output) == rows_of(large.output)
+    for name, df in usual.tables.items():
+        assert sorted(map(repr, df.collect())) == sorted(map(repr, large.tables[name].collect()))
+
+
+def test_inserts_carry_every_column(spark, masters):
+    columns = changeset.ADDRESS.columns
+    row = {c: None for c in columns} | {"empr_id": E2, "addr_snum": 1, "empr_addrln40_2": "FLOOR 9", "empr_zip4": "1234"}
+    row |= {"app_odate": TODAY, "db_oper_typ": "I"}
+    schema = ", ".join(f"{c} {KINDS.get(c, 'int' if c == 'addr_snum' else 'string')}" for c in (*columns, "db_oper_typ"))
+    changes = spark.createDataFrame([tuple(row[c] for c in (*columns, "db_oper_typ"))], schema)
+    new = merge.merge(masters.addresses, changes, changeset.ADDRESS, CFG).filter(F.col("empr_id") == E2).first()
+    assert (new.empr_addrln40_2, new.empr_zip4) == ("FLOOR 9", "1234")
+    with pytest.raises(ValueError, match="empr_zip4"):
+        merge.merge(masters.addresses.drop("empr_zip4"), changes, changeset.ADDRESS, CFG)
+
+
+def test_update_time_changes_on_updated_rows_only(spark, masters):
+    known = masters.names.withColumn("lu_ts", F.lit(datetime(2023, 1, 1)))
+    changes = spark.createDataFrame([("U", E1, 1)], "db_oper_typ string, empr_id string, nm_snum int")
+    got = {r.nm_snum: (r.app_odate, r.lu_ts) for r in merge.merge_update(known, changes, changeset.NAME, CFG).collect()}
+    assert got[1] == (TODAY, CFG.run_ts) and got[4] == (None, datetime(2023, 1, 1)) and got[6][1] == datetime(2023, 1, 1)
+
+
 def test_nothing_to_do(spark, masters, tmp_path):
     assert enrich.run(spark, batch(tmp_path / "a", []), masters, str(tmp_path / "o"), CFG) is None
     assert enrich.run(spark, batch(tmp_path / "b", ["E", ""]), masters, str(tmp_path / "o"), CFG) is None
@@ -223,7 +321,7 @@ def test_change_set_by_date(spark, masters):
         [(7, E1, 1, "late"), (2, E1, 1, "early"), (3, E1, 4, "x"), (4, E1, 6, "x"), (9, E1, 99, "b"), (5, E1, 99, "a")],
         "input_order empr_id nm_snum empr_nm",
         "long string int string",
-    ).withColumn("app_odate", F.lit(TODAY))
+    ).withColumns({"app_odate": F.lit(TODAY), "insrt_ts": F.lit(None), "lu_ts": F.lit(None), "fcr_mtch_dt": F.lit(None)})
     changes = changeset.change_set(src, masters.names, changeset.NAME, CFG)
     got = rows_of(changes.select("db_oper_typ", "nm_snum", "empr_nm"))
     # older: U, no date: none, same date: none, unknown: I from the lowest record id

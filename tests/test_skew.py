@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ledgerlink.config import Limits
 from ledgerlink.operators.keyed import attach, keep_first, max_seq
 from ledgerlink.operators.numbering import allocate, rank_within
 from ledgerlink.staging import stage
@@ -34,7 +35,7 @@ def lookup(hot):
 @pytest.mark.parametrize("heavy", [1, 3, 1000])
 def test_attach_is_a_left_join(hot, heavy):
     table = lookup(hot)
-    got = attach(hot, table, ["k"], "n", ["rid"], broadcast_rows=0, heavy_keys=heavy)
+    got = attach(hot, table, ["k"], "n", ["rid"], Limits(broadcast_rows=0, heavy_keys=heavy))
     want = hot.join(table.drop("n"), "k", "left").select(*hot.columns, "top")
     assert rows_of(got.select("rid", "word", "top")) == rows_of(want.select("rid", "word", "top"))
     small = attach(hot, table, ["k"], "n", ["rid"])
@@ -48,7 +49,7 @@ def test_attach_spreads_the_hot_key(hot):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = attach(hot, table, ["k"], "n", ["rid"], broadcast_rows=0, heavy_keys=1)
+        joined = attach(hot, table, ["k"], "n", ["rid"], Limits(broadcast_rows=0, heavy_keys=1))
         part = F.spark_partition_id().alias("part")
         sizes = joined.groupBy(part).agg(F.count("*").alias("rows"), F.max("top")).collect()
     finally:
@@ -71,7 +72,7 @@ def test_numbers_continue_and_close_up(hot, spark):
     first = spark.createDataFrame([("HOT", 50)], "k string, last int")
     second = spark.createDataFrame([("HOT", 7), ("id1", 10)], "k string, last int")
     results = [
-        rows_of(allocate(df.repartition(parts), [first, second], ["k"], ["word"], "no", window_rows=limit))
+        rows_of(allocate(df.repartition(parts), [first, second], ["k"], ["word"], "no", Limits(window_rows=limit)))
         for limit, parts in ((0, 3), (0, 5), (10**6, 2))
     ]
     assert results[0] == results[1] == results[2]
@@ -87,7 +88,7 @@ def test_numbers_continue_and_close_up(hot, spark):
 def test_large_path_of_nothing(spark):
     none = stage(spark.createDataFrame([], "k string, word string"), "none")
     base = max_seq(spark.createDataFrame([("a", 1)], "k string, no int"), ["k"], "no", "last")
-    assert allocate(none, [base], ["k"], ["word"], "no", window_rows=-1).collect() == []
+    assert allocate(none, [base], ["k"], ["word"], "no", Limits(window_rows=-1)).collect() == []
 
 
 def test_first_row_of_a_hot_key(hot):
