@@ -32,7 +32,7 @@ def test_block_reads_no_more_than_it_must_and_is_exact():
             scores[q] = -(1 << 60)
             best = np.lexsort((ids, -scores))[:10]
             assert got[0].tolist() == ids[best].tolist() and got[1].tolist() == scores[best].tolist()
-            full += len(block._read(int(ids[q]), np.flatnonzero(query), query[query != 0].astype(float), 10)) == 3000
+            full += len(block._read(int(ids[q]), query.astype(float), 10)) == 3000
     assert full < 400  # most searches leave out vectors before the end of the lists
 
 
