@@ -96,8 +96,8 @@ jaro_winkler_score = _score.asNondeterministic()
 def name_signature(nm: str) -> Column:
     """Three bit sets: characters seen at least once, twice, three times.
 
-    Characters share a bit only outside the printable ASCII range, which can make
-    the bound below looser but never wrong.
+    The bit is the character's code modulo 64, so space to ``>`` share bits with the
+    backquote to ``~``. That makes the bound below looser, never wrong.
     """
     bit = "shiftleft(1L, pmod(ascii(ch), 64))"
     return F.expr(
