@@ -22,8 +22,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlink.llm.common import id_type, slices
+from ledgerlink.llm.common import WordTable, id_type, slices, sums_by_text
 from ledgerlink.llm.rules import fold
+from ledgerlink.llm.wordbpe import SPACES
 from ledgerlink.staging import stage
 
 ORDER = 5
@@ -34,7 +35,7 @@ SLICE_BYTES = 2 << 20
 SYMBOLS = 252
 END = b"\n"
 GRAMS, WORDS, DOCS = 0, 1, 2
-CHUNK_FIELDS = "chunk bigint, kind int, gram bigint, word string, n bigint, value double, docs binary"
+CHUNK_FIELDS = "chunk bigint, kind int, gram bigint, word string, n bigint, docs binary"
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -89,13 +90,16 @@ class Chunk:
     grams: list = field(default_factory=list)
     words: Counter = field(default_factory=Counter)
 
-    def add(self, texts: list[bytes], held: list[bool]) -> None:
+    def add(self, texts: list[bytes], held: list[bool]) -> list[bytes]:
+        """Counts some texts and returns their streams."""
         cut = [tokens(t) for t in texts]
+        streams = [stream(w) for w in cut]
         for some in (True, False):
             part = [w for w, h in zip(cut, held, strict=True) if h == some]
             if not part:
                 continue
-            unique, n = np.unique(grams_of([stream(w) for w in part], self.order)[0], return_counts=True)
+            own = [x for x, h in zip(streams, held, strict=True) if h == some]
+            unique, n = np.unique(grams_of(own, self.order)[0], return_counts=True)
             self.grams.append((unique, np.zeros_like(n) if some else n))
             if some:
                 for w in set().union(*part, [END]):
@@ -107,6 +111,7 @@ class Chunk:
         self.size += sum(map(len, texts))
         if len(self.grams) > 8:
             self.grams = [self.merged()]
+        return streams
 
     def merged(self) -> tuple[np.ndarray, np.ndarray]:
         return _sum_by(*map(np.concatenate, zip(*self.grams, strict=True)))
@@ -145,8 +150,8 @@ def pack(docs: DataFrame, id_col: str, text_col: str, order: int, held: Column,
             for ids, texts in slices(batch, SLICE_BYTES):
                 part = batch.column(2).slice(at, len(texts))
                 at += len(texts)
-                chunk.add(texts, part.to_pylist())
-                yield _rows(schema, number, DOCS, docs=[pack_docs(ids, part, texts)])
+                streams = chunk.add(texts, part.to_pylist())
+                yield _rows(schema, number, DOCS, docs=[pack_docs(ids, part, streams)])
                 if chunk.size >= chunk_bytes:
                     yield from chunk.rows(number, schema)
                     number, chunk = number + 1, Chunk(order)
@@ -163,7 +168,6 @@ CHUNK_ARROW = pa.schema(
         ("gram", pa.int64()),
         ("word", pa.string()),
         ("n", pa.int64()),
-        ("value", pa.float64()),
         ("docs", pa.binary()),
     ]
 )
@@ -232,7 +236,7 @@ class GramValues:
     def __init__(self, gram: np.ndarray, value: np.ndarray):
         order = np.argsort(gram)
         self.gram, self.value = gram[order], value[order]
-        self.bits = max(10, int(len(gram)).bit_length() + 1)
+        self.bits = max(10, int(len(gram)).bit_length() + 2)
         slot = self._slot(self.gram)
         self.at = np.zeros(1 << self.bits, np.int32)
         self.at[slot] = np.arange(len(slot))
@@ -247,23 +251,84 @@ class GramValues:
         return self.value[at]
 
 
-class Counts(dict):
-    """Training counts by word; 0 for words that have none."""
+class WordCounts:
+    """Training counts by word for whole slices, 0 for words that have none."""
 
-    def __missing__(self, word):
-        return 0
+    def __init__(self):
+        self.table = WordTable(SPACES, 0, "<u4", bits=21)
+        self.counts: dict[bytes, int] = {}
 
+    def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(words of each text, count of each word). A count is the corpus's, so it holds for every chunk."""
+        get = self.counts.get
+        per_text, n, _ = self.table.look_up(texts, lambda new: (np.array([get(w, 0) + 1 for w in new], np.int64), None))
+        return per_text, n - 1
 
-def score_slice(texts: list[bytes], grams: GramValues, counts: Counts, train: int, distinct: int, order: int):
-    """(n_tokens, n_known, base_score, score) of each text."""
-    cut = [tokens(t) for t in texts]
-    lengths = np.fromiter(map(len, cut), np.int64, len(cut)) + 1
-    c = np.fromiter((x for words in cut for x in (*map(counts.__getitem__, words), counts[END])), np.int64, int(lengths.sum()))
-    starts = np.cumsum(lengths) - lengths
-    base = np.add.reduceat(np.log10((c + 1) / (train + distinct + 1)), starts)
-    gram, begins = grams_of([stream(w) for w in cut], order)
-    score = np.add.reduceat(grams.find(gram), begins)
-    return lengths, np.add.reduceat((c > 0).astype(np.int64), starts), base, score
+
+def score_slice(streams: list[bytes], grams: GramValues, words: WordCounts, ends: int, train: int, distinct: int, order: int):
+    """(n_tokens, n_known, base_score, score) of each stream; ``ends`` is the training count of the end."""
+    lengths, c = words.of(streams)
+    size = train + distinct + 1
+    base = sums_by_text(np.log10((c + 1) / size), lengths) + np.log10((ends + 1) / size)
+    seen = sums_by_text((c > 0).astype(np.int64), lengths) + int(ends > 0)
+    gram, begins = grams_of(streams, order)
+    return lengths + 1, seen, base, np.add.reduceat(grams.find(gram), begins)
+
+
+PACKED = "chunk bigint, kind int, docs binary"
+PACKED_ARROW = pa.schema([("chunk", pa.int64()), ("kind", pa.int32()), ("docs", pa.binary())])
+PACK_ROWS = 1 << 20
+
+
+def packed_by_chunk(df: DataFrame, kind: int, pack_rows) -> DataFrame:
+    """Rows (chunk, key, value) as one binary row per task and chunk, of at most ``PACK_ROWS`` rows."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def flush():
+            table = pa.Table.from_batches(held).combine_chunks()
+            order = np.argsort(table["chunk"].to_numpy(), kind="stable")
+            table = table.take(pa.array(order))
+            chunk = table["chunk"].to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(chunk)) + 1).tolist(), len(chunk)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                blob = pack_rows(table.slice(a, b - a))
+                columns = [pa.array([chunk[a]], pa.int64()), pa.array([kind], pa.int32()), pa.array([blob], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, schema=PACKED_ARROW)
+
+        for batch in batches:
+            if len(batch):
+                held.append(batch)
+                size += len(batch)
+            if size >= PACK_ROWS:
+                yield from flush()
+                held, size = [], 0
+        if held:
+            yield from flush()
+
+    return df.mapInArrow(run, PACKED)
+
+
+def pack_values(rows: pa.Table) -> bytes:
+    return rows["gram"].to_numpy().tobytes() + rows["value"].to_numpy().tobytes()
+
+
+def unpack_values(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    half = len(blob) // 2
+    return np.frombuffer(blob[:half], np.int64), np.frombuffer(blob[half:], np.float64)
+
+
+def pack_counts(rows: pa.Table) -> bytes:
+    """The number of words, their counts, and the words with spaces between."""
+    words = b" ".join(rows["word"].cast(pa.binary()).to_pylist())
+    return np.int64(len(rows)).tobytes() + rows["c"].to_numpy().astype(np.int64).tobytes() + words
+
+
+def unpack_counts(blob: bytes) -> dict[bytes, int]:
+    n = int(np.frombuffer(blob[:8], np.int64)[0])
+    counts = np.frombuffer(blob[8 : 8 + 8 * n], np.int64).tolist()
+    return dict(zip(blob[8 + 8 * n :].split(b" "), counts, strict=True))
 
 
 def ppm_scores(
@@ -287,18 +352,15 @@ def ppm_scores(
     values = code_lengths(grams.select("gram", "n"), order)
     vocabulary = words.groupBy("word").agg(F.sum("n").alias("c")).filter("c > 0")
     vocabulary = stage(vocabulary, "vocabulary")
-    totals = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    train, distinct = totals.n, totals.v
-
-    empty = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in packed.schema}
-    gram_rows = grams.select("chunk", "kind", "gram").join(values, "gram")
-    word_rows = words.select("chunk", "kind", "word").join(vocabulary, "word")
-    sides = [
-        gram_rows.select("chunk", "kind", "gram", empty["word"], empty["n"], "value", empty["docs"]),
-        word_rows.select("chunk", "kind", empty["gram"], "word", F.col("c").alias("n"), empty["value"], empty["docs"]),
-        packed.filter(f"kind = {DOCS}"),
-    ]
-    together = sides[0].union(sides[1]).union(sides[2]).repartition("chunk").sortWithinPartitions("chunk", "kind")
+    end = F.max(F.when(F.col("word") == END.decode(), F.col("c")))
+    totals = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v"), end.alias("e")).first()
+    train, distinct, ends = totals.n, totals.v, totals.e or 0
+
+    gram_rows = grams.select("chunk", "gram").join(values, "gram").select("chunk", "gram", "value")
+    word_rows = words.select("chunk", "word").join(vocabulary, "word").select("chunk", "word", "c")
+    together = packed_by_chunk(gram_rows, GRAMS, pack_values).union(packed_by_chunk(word_rows, WORDS, pack_counts))
+    together = together.union(packed.filter(f"kind = {DOCS}").select("chunk", "kind", "docs"))
+    together = together.repartition("chunk").sortWithinPartitions("chunk", "kind")
     longs = ("n_tokens", "n_known", "train_tokens")
     schema = T.StructType(
         [T.StructField(id_col, id_type(docs, id_col)), T.StructField("held_out", T.BooleanType())]
@@ -307,30 +369,22 @@ def ppm_scores(
     )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, parts, counts, known = None, [], Counts(), None
+        now, parts, known, words = None, [], None, WordCounts()
         for batch in batches:
-            chunk, kind = batch.column("chunk").to_numpy(), batch.column("kind").to_numpy()
-            edges = np.flatnonzero((np.diff(chunk) != 0) | (np.diff(kind) != 0)) + 1
-            for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(chunk)], strict=True):
-                if b == a:
-                    continue
-                if chunk[a] != now:
-                    now, parts, counts, known = chunk[a], [], Counts(), None
-                part = batch.slice(a, b - a)
-                if kind[a] == GRAMS:
-                    parts.append((part.column("gram").to_numpy(), part.column("value").to_numpy()))
-                elif kind[a] == WORDS:
-                    found = part.column("word").cast(pa.binary()).to_pylist()
-                    counts.update(zip(found, part.column("n").to_pylist(), strict=True))
+            for chunk, kind, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if chunk != now:
+                    now, parts, known, words.counts = chunk, [], None, {}
+                if kind == GRAMS:
+                    parts.append(unpack_values(blob))
+                elif kind == WORDS:
+                    words.counts.update(unpack_counts(blob))
                 else:
                     if known is None:
                         known, parts = GramValues(*map(np.concatenate, zip(*parts, strict=True))), []
-                    for blob in part.column("docs"):
-                        rows = unpack_docs(blob.as_py()).combine_chunks()
-                        made = score_slice(rows["text"].to_pylist(), known, counts, train, distinct, order)
-                        lengths, seen, base, score = made
-                        columns = [rows["id"].combine_chunks(), rows["held"].combine_chunks(), pa.array(lengths)]
-                        columns += [pa.array(seen), pa.array(np.full(len(lengths), train)), pa.array(base), pa.array(score)]
-                        yield pa.RecordBatch.from_arrays(columns, schema.names)
+                    rows = unpack_docs(blob).combine_chunks()
+                    made = score_slice(rows["text"].to_pylist(), known, words, ends, train, distinct, order)
+                    columns = [rows["id"].combine_chunks(), rows["held"].combine_chunks()]
+                    columns += [pa.array(x) for x in (made[0], made[1], np.full(len(rows), train), made[2], made[3])]
+                    yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     return together.mapInArrow(run, schema)
