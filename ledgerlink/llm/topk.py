@@ -20,7 +20,7 @@ from ledgerlink.staging import stage
 
 BLOCK_ROWS = 4096
 QUERY_ROWS = 256
-FIRST_READ = 64
+READ = 1024
 
 
 def whole_numbers(vector: Column, scale: int) -> Column:
@@ -53,51 +53,71 @@ class Block:
         self.values = np.frombuffer(values, "<i8").reshape(dim, len(self.ids))
         self.lists = np.frombuffer(lists, "<i4").reshape(dim, len(self.ids))
         self.largest = int(np.abs(self.values).max(initial=0))
+        # What the lists hold, in their order, and the vectors by row; whole numbers below 2 ** 53.
+        self.listed = np.take_along_axis(self.values, self.lists, 1).astype(np.float64)
+        self.rows = np.ascontiguousarray(self.values.T).astype(np.float64)
 
     def search(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores) of the k best vectors but the query's own; ties go to smaller ids."""
-        n, dims = len(self.ids), np.flatnonzero(query)
-        q = query[dims]
+        n = len(self.ids)
         # Bounds are sums of whole numbers: exact in doubles while they stay below 2 ** 53.
-        exact = self.largest * int(np.abs(query).max(initial=0)) * max(len(q), 1) < 1 << 53
+        exact = self.largest * int(np.abs(query).max(initial=0)) * max(len(query), 1) < 1 << 53
         survivors = np.arange(n)
-        if exact and len(dims) and n > max(4 * k, FIRST_READ):
-            survivors = self._read(query_id, dims, q.astype(np.float64), k)
+        if exact and query.any() and n > max(4 * k, READ):
+            survivors = self._read(query_id, query.astype(np.float64), k)
         survivors = survivors[self.ids[survivors] != query_id]
-        scores = q @ self.values[np.ix_(dims, survivors)] if len(dims) else np.zeros(len(survivors), np.int64)
+        if exact:
+            scores = (self.rows[survivors] @ query.astype(np.float64)).astype(np.int64)
+        else:
+            scores = self.values[:, survivors].T @ query
         best = np.lexsort((self.ids[survivors], -scores))[:k]
         return self.ids[survivors[best]], scores[best]
 
-    def _read(self, query_id: int, dims: np.ndarray, q: np.ndarray, k: int) -> np.ndarray:
-        """Places of all vectors that can be among the k best."""
+    def _read(self, query_id: int, query: np.ndarray, k: int) -> np.ndarray:
+        """Places of all vectors that can be among the k best.
+
+        Lists of positive components are read from their end, those of negative ones from their start.
+        """
         n = len(self.ids)
-        lists = np.where((q > 0)[:, None], self.lists[dims][:, ::-1], self.lists[dims])
-        row = np.arange(len(dims))
-        parts = q[:, None] * np.take_along_axis(self.values[dims], lists, 1)  # of a list, in reading order
-        least = parts[:, -1]
-        unseen = np.ones((n, len(dims)))
-        sums = np.zeros(n)
+        sides = [(d, query[d], up) for up, d in ((True, np.flatnonzero(query > 0)), (False, np.flatnonzero(query < 0)))]
+        sides = [x for x in sides if len(x[0])]
+
+        def column(at: int) -> list[np.ndarray]:
+            """What each list adds to a score at a depth."""
+            return [q * self.listed[d, n - 1 - at if up else at] for d, q, up in sides]
+
+        least = column(n - 1)
+        lower = np.full(n, sum(x.sum() for x in least))  # unseen components count the least their list has
+        seen = np.zeros(n, bool)
         own = np.flatnonzero(self.ids == query_id)
-        depth, step = 0, FIRST_READ
-        while depth < n:
-            upto = min(n, depth + step)
-            at, part = lists[:, depth:upto], parts[:, depth:upto]
-            sums += np.bincount(at.ravel(), part.ravel(), n)
-            unseen[at, row[:, None]] = 0
-            depth, step = upto, step * 2
-            if depth == n:
+        read: list = []
+        for depth in range(0, n, READ):
+            upto = min(n, depth + READ)
+            for (d, q, up), low in zip(sides, least, strict=True):
+                part = slice(n - upto, n - depth) if up else slice(depth, upto)
+                at = self.lists[d, part]
+                gain = q[:, None] * self.listed[d, part] - low[:, None]
+                lower += np.bincount(at.ravel(), gain.ravel(), n)
+                seen[at.ravel()] = True
+                read.append((at, gain))
+            if upto == n:
                 break
-            frontier = parts[:, depth - 1]
-            seen = unseen.sum(1) < len(dims)
-            seen[own] = False
-            if seen.sum() < k:
+            among = seen.copy()
+            among[own] = False
+            known = lower[among]
+            if len(known) < k:
                 continue
-            lower = (sums + unseen @ least)[seen]
-            kth = np.partition(lower, len(lower) - k)[len(lower) - k]
+            kth = np.partition(known, len(known) - k)[len(known) - k]
+            frontier = column(upto - 1)
             # An unseen vector has at most the sum of what the lists are at; an equal score could win by its id.
-            if frontier.sum() < kth:
-                upper = sums + unseen @ frontier
-                return np.flatnonzero(seen & (upper >= kth))
+            if sum(x.sum() for x in frontier) < kth:
+                # Upper bounds: what is read, and for every other list what it is at.
+                upper = np.full(n, sum(x.sum() for x in frontier))
+                for i, (at, gain) in enumerate(read):
+                    side = i % len(sides)
+                    more = gain + (least[side] - frontier[side])[:, None]
+                    upper += np.bincount(at.ravel(), more.ravel(), n)
+                return np.flatnonzero(among & (upper >= kth))
         return np.arange(n)
 
 
@@ -155,12 +175,15 @@ def top_k(
         spread = df.select("dim", "block", "id", "v").repartition("dim", "block")
         return spread.sortWithinPartitions("dim", "block", "id").mapInArrow(pack, packed_type)
 
-    blocks = packed(rows)
+    # A number of partitions is given, as few bytes of vectors are much work.
+    tasks = min(20_000, 4 * (sizes.agg(F.sum("blocks")).first()[0] or 1))
+    blocks = packed(rows).repartition(tasks, "dim", "block")
     chosen = rows.filter(F.pmod("id", F.lit(every_nth)) == 0)
     n_groups = max(1, -(-chosen.count() // QUERY_ROWS))
     asked = packed(chosen.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n_groups).cast("long")))).select("dim", F.col("ids").alias("q_ids"), F.col("vals").alias("q_vals"))
     each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)).alias("block")
     asked = asked.join(F.broadcast(sizes.select("dim", "blocks")), "dim").select("dim", each, "q_ids", "q_vals")
+    asked = asked.repartition(tasks, "dim", "block")
     found_type = "query_id bigint, id bigint, score bigint"
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
