@@ -151,7 +151,8 @@ def read_token_files(manifest: DataFrame, id_col: str = "doc_id") -> DataFrame:
                     columns = [doc, pa.array(start), pa.array(np.diff(edge)), pa.array(crc, pa.int64())]
                     yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    spread = manifest.repartition(F.xxhash64("file"))
+    # One task per file: rows this small would otherwise all be read by one.
+    spread = manifest.repartition(max(1, manifest.count()))
     return spread.mapInArrow(read, schema)
 
 
