@@ -98,7 +98,7 @@ class PieceModel:
         ]
         self.silent = {i for i, k in enumerate(kinds) if k == CONTROL}
         self.spaced = {i for p, i in vocab.items() if p.startswith(SPACE)}
-        self.table_of_words = WordTable(b" ", 12, "<u4")
+        self.table_of_words = WordTable(b" ", 12, "<u4", bits=20)
 
     def _index(self, vocab: dict[str, int], score: list[float]) -> None:
         left, right, rank, merged = [], [], [], []
