@@ -47,17 +47,19 @@ def grams_of(streams: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
 
     A stream begins in the context of ends.
     """
-    flat = np.frombuffer(b"".join([END * order + s for s in streams]), np.uint8)
+    if not 1 <= order <= 6:
+        raise ValueError("order: 1 to 6, so that a gram fits 64 bits")
+    blob = b"".join([END * order + s for s in streams])
     lengths = np.fromiter(map(len, streams), np.int64, len(streams))
-    gram = np.zeros(len(flat), np.int64)
-    for back in range(order + 1):
-        gram[back:] |= flat[: len(flat) - back].astype(np.int64) << (8 * back)
+    # Eight bytes from every place on, of which the first ``order + 1`` are the gram.
+    windows = np.ndarray((len(blob) - order,), ">u8", blob + bytes(8), strides=(1,))
+    gram = windows.astype(np.uint64) >> np.uint64(8 * (7 - order))
     begins = np.cumsum(lengths) - lengths
-    keep = np.ones(len(flat), bool)
-    pads = begins + order * np.arange(len(streams))
-    for k in range(order):
-        keep[pads + k] = False
-    return gram[keep], begins
+    keep = np.ones(len(gram), bool)
+    after = (begins + lengths + order * np.arange(len(streams)))[:-1]
+    for k in range(order):  # the next stream's padding is nobody's text
+        keep[after + k] = False
+    return gram[keep].view(np.int64), begins
 
 
 def stream(words: list[bytes]) -> bytes:
@@ -311,12 +313,19 @@ def packed_by_chunk(df: DataFrame, kind: int, pack_rows) -> DataFrame:
 
 
 def pack_values(rows: pa.Table) -> bytes:
-    return rows["gram"].to_numpy().tobytes() + rows["value"].to_numpy().tobytes()
+    """Steps between sorted grams, and values, byte by byte of all numbers, compressed."""
+    order = np.argsort(rows["gram"].to_numpy())
+    gram, value = rows["gram"].to_numpy()[order], rows["value"].to_numpy()[order]
+    both = np.stack([np.diff(gram, prepend=0), value.view(np.int64)])
+    planes = np.ascontiguousarray(both.view(np.uint8).reshape(2, len(gram), 8).transpose(0, 2, 1))
+    return np.int64(len(gram)).tobytes() + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
 
 def unpack_values(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
-    half = len(blob) // 2
-    return np.frombuffer(blob[:half], np.int64), np.frombuffer(blob[half:], np.float64)
+    n = int(np.frombuffer(blob[:8], np.int64)[0])
+    planes = np.frombuffer(pa.decompress(blob[8:], 16 * n, codec="zstd", asbytes=True), np.uint8)
+    both = np.ascontiguousarray(planes.reshape(2, 8, n).transpose(0, 2, 1)).view(np.int64).reshape(2, n)
+    return np.cumsum(both[0]), both[1].view(np.float64)
 
 
 def pack_counts(rows: pa.Table) -> bytes:
