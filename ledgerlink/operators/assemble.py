@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
 INDICATORS = ["empr_table_ind", "empr_name_ind", "empr_addr_ind", "empr_opt_addr_ind"]
 POINTERS = ["empr_name_pntr", "empr_addr_pntr", "empr_opt_addr_pntr"]
 FOREIGN = [
