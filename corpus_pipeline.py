@@ -24,7 +24,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    return keep_one(docs, simhash_groups(docs, size=4, distance_bits=4))
+    return keep_one(docs, simhash_groups(docs, size=4, distance_bits=4), size=4, distance_bits=4)
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

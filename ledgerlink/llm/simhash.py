@@ -154,17 +154,35 @@ def simhash_groups(
     return printed.join(ids, "fp").select(id_col, hexed, "component_id")
 
 
-def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """One document of each component: the one whose id names it; of rows with the same id, the smallest.
+def keep_one(
+    docs: DataFrame,
+    groups: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    size: int = 4,
+    distance_bits: int = 4,
+    crowded: int = CROWDED,
+) -> DataFrame:
+    """One row of each component of ``groups``, which ``simhash_groups`` made of ``docs`` with the same settings.
 
-    Components whose rows all lack an id keep one row without one.
+    It is the row whose id names the component; if several rows of the component have that id, the smallest of them.
+    Components whose rows all lack an id keep their smallest row. An id in several components, and a missing one, names no
+    component: those rows are told apart by their fingerprints, made and linked again for them alone.
     """
     name = fresh(docs, "_id")
-    kept = groups.filter(F.col(id_col).eqNullSafe(F.col("component_id")))
-    kept = kept.groupBy(F.col(id_col).alias(name)).agg(F.count("*").alias("rows"))
+    ids = groups.groupBy(F.col(id_col).alias(name)).agg(F.count("*").alias("rows"), F.max("component_id").alias("least"))
     same = docs[id_col].eqNullSafe(F.col(name))
-    single = docs.join(kept.filter("rows = 1").select(name), same, "left_semi")
-    # Only rows that share an id have to meet.
-    shared = docs.join(kept.filter("rows > 1").select(name), same, "left_semi")
-    least = shared.groupBy(id_col).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
-    return single.unionByName(least)
+    single = docs.join(ids.filter(f"rows = 1 AND `{name}` = least").select(name), same, "left_semi")
+    several = stage(ids.filter(f"rows > 1 OR `{name}` IS NULL").select(name), "shared_ids")
+    if several.isEmpty():
+        return single
+    # The fingerprints of all components such an id names: whole components, so their links are all among them.
+    named = groups.join(several, F.col("component_id").eqNullSafe(F.col(name)), "left_semi")
+    fp = F.conv("fingerprint", 16, -10).cast("long").alias("fp")
+    fps = stage(named.groupBy(fp).agg(F.count("*").alias("n"), F.first("component_id").alias("least")), "shared_fingerprints")
+    linked = components(links(fps, distance_bits, crowded), "shared_links").withColumnsRenamed({"node": "fp"})
+    fps = fps.join(linked, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    rows = docs.join(several, same, "left_semi").select(F.struct(*docs.columns).alias("row"), docs[text_col].alias("text"))
+    printed = fingerprints(rows, size, "row", "text").join(fps, "fp")
+    printed = printed.filter(F.col("row")[id_col].eqNullSafe(F.col("least")))
+    return single.unionByName(printed.groupBy("component").agg(F.min("row").alias("row")).select("row.*"))

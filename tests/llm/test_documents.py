@@ -133,6 +133,28 @@ def test_keep_one(edges, empty, documents):
     assert keep_one(documents, groups).count() == groups.select("component_id").distinct().count()
 
 
+@pytest.mark.parametrize("name", ["by hand", "ids taken away"])
+def test_keep_one_of_each_group_whatever_the_ids(spark, documents, name):
+    if name == "by hand":
+        a, b, c = ("one text of some words", "quite another text about birds", "a third one that nobody shares")
+        rows = [(None, a), (None, a), (None, a.upper()), (None, b), (1, c), (None, c), (2, "x y"), (2, "z"), (2, "z"), (3, "x y"), (1, "only one")]
+        rows += [(None, f"distinct words number{i} here{i}") for i in range(20)]
+    else:
+        rows = [(r.doc_id % 7 or None, r.text) for r in documents.select("doc_id", "text").limit(150).collect()]
+    df = wide(spark, rows).repartition(3)
+    roots = reachable([fingerprint(t) for _, t in rows], 4)
+    root_of = {t: r for (_, t), r in zip(rows, roots)}
+    least = defaultdict(list)
+    for (i, _), r in zip(rows, roots):
+        least[r] += [] if i is None else [i]
+    kept = keep_one(df, simhash_groups(df)).collect()
+    assert Counter(root_of[r.text] for r in kept) == Counter(set(roots))
+    assert all(r.doc_id == min(least[root_of[r.text]], default=None) for r in kept)
+    one = wide(spark, [(None, "same words here now"), (1, "same words here now")])
+    assert [r.doc_id for r in keep_one(one, simhash_groups(one)).collect()] == [1]
+    assert keep_one(one, simhash_groups(one)).schema == one.schema
+
+
 # Language model
 
 
