@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlink.llm.common import table
-from ledgerlink.llm.decontaminate import contamination, drop_contaminated
+from ledgerlink.llm.decontaminate import keep_clean
 from ledgerlink.llm.pieces import encode_pieces
 from ledgerlink.llm.queries import PIECE_BPE
 from ledgerlink.llm.rules import keep_good, learn_quality
@@ -29,7 +29,7 @@ def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
-    return drop_contaminated(docs, contamination(docs, table(spark, sf_dir, "benchmark")))
+    return keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

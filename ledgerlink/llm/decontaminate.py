@@ -192,12 +192,34 @@ def contamination(
 
 
 def drop_contaminated(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The documents that hold no passage of any item."""
+    """The documents whose id ``found`` does not name: all rows of one id, or without one, go or stay together.
+
+    ``keep_clean`` decides for each row.
+    """
     name = fresh(docs, "_bad")
     bad = found.select(F.col(id_col).alias(name)).distinct()
     return docs.join(bad, docs[id_col].eqNullSafe(F.col(name)), "left_anti")
 
 
+def keep_clean(
+    docs: DataFrame,
+    items: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` whose own text holds no passage of any item, whatever other rows share their id or lack one.
+
+    Rows are told apart by the SHA-256 of their text: equal texts hold the same passages.
+    """
+    key = fresh(items, fresh(docs, "_text_key"))
+    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
+    keyed = docs.withColumn(key, F.sha2(text.cast("binary"), 256))
+    found = contamination(keyed, items, key, text_col, item_col, item_text_col)
+    return drop_contaminated(keyed, found, key).drop(key)
+
+
 def contamination_sql() -> str:
     """DuckDB SQL for ``contamination`` of ``documents`` by ``benchmark``, without seeds: it lines up all equal words."""
     lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -10,7 +10,7 @@ import pytest
 import xxhash
 
 from ledgerlink.llm.common import components
-from ledgerlink.llm.decontaminate import contamination, drop_contaminated
+from ledgerlink.llm.decontaminate import contamination, drop_contaminated, keep_clean
 from ledgerlink.llm.licenses import TEMPLATES, compile_template, license_scan
 from ledgerlink.llm.ppm import ppm_scores
 from ledgerlink.llm.queries import QUERIES, SQL
@@ -265,6 +265,15 @@ def test_substitutions_and_short_items(spark):
     assert Counter(r.doc_id for r in kept.collect()) == Counter(i for i, _ in docs if i not in {r[0] for r in rows})
 
 
+def test_clean_rows_stay_beside_contaminated_ones(spark):
+    passage = " ".join(f"p{i}" for i in range(15))
+    docs = [(None, f"x {passage} y"), (None, "clean without an id"), (None, None), (5, passage), (5, "clean with the same id"), (6, "clean")]
+    bench = wide(spark, [(1, passage)]).withColumnRenamed("doc_id", "item_id")
+    kept = keep_clean(wide(spark, docs), bench)
+    assert kept.columns == wide(spark, docs).columns
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(docs[i] for i in (1, 2, 4, 5))
+
+
 def test_contamination_of_empty_tables(empty, edges):
     items = empty.withColumnRenamed("doc_id", "item_id")
     assert contamination(edges, items).count() == 0
