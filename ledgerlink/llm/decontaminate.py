@@ -38,8 +38,8 @@ def _factors() -> np.ndarray:
 FACTORS = _factors()
 
 
-def seeds_of(texts: list[bytes], bits: np.ndarray | None) -> Iterator[tuple[int, int, int, int, str]]:
-    """(text number, hash, word position, words before it in the context, context) of every seed.
+def seeds_of(texts: list[bytes], bits: np.ndarray | None) -> Iterator[tuple[int, int, int, int, str, int]]:
+    """(text number, hash, word position, words before it in the context, context, words of the text) of every seed.
 
     With ``bits`` (a Bloom filter of 64-bit words) only of the seeds it may hold. The context is all words that a
     window around the seed can touch.
@@ -67,7 +67,7 @@ def seeds_of(texts: list[bytes], bits: np.ndarray | None) -> Iterator[tuple[int,
             k = int(owner[i])
             at = i - int(starts[k])
             lo = max(0, at + span - WINDOW)
-            yield k, int(h[i].astype(np.int64)), at, at - lo, b" ".join(words[k][lo : at + WINDOW]).decode()
+            yield k, int(h[i].astype(np.int64)), at, at - lo, b" ".join(words[k][lo : at + WINDOW]).decode(), len(words[k])
 
 
 def filter_places(h: np.ndarray) -> list[np.ndarray]:
@@ -77,7 +77,7 @@ def filter_places(h: np.ndarray) -> list[np.ndarray]:
 
 
 def seeds(docs: DataFrame, id_col: str, text_col: str, bits=None) -> DataFrame:
-    """(id, hash, at, before, context) of the seeds of every row; ``bits`` is a broadcast filter."""
+    """(id, hash, at, before, context, size) of the seeds of every row; ``bits`` is a broadcast filter."""
     schema = T.StructType(
         [
             T.StructField("id", id_type(docs, id_col)),
@@ -85,6 +85,7 @@ def seeds(docs: DataFrame, id_col: str, text_col: str, bits=None) -> DataFrame:
             T.StructField("at", T.LongType()),
             T.StructField("before", T.LongType()),
             T.StructField("context", T.StringType()),
+            T.StructField("size", T.LongType()),
         ]
     )
 
@@ -144,8 +145,9 @@ def contamination(
     Words are runs of ASCII letters and digits (lower-cased) and non-ASCII characters. A row says that every window
     of 12 words that agrees with the item in 10 or more places lies between ``first_word`` and ``last_word`` (counted
     from 0), and how many places agree in the best one. Items of 6 to 11 words must occur whole and unchanged;
-    shorter ones are no evidence and never reported. Null and empty texts have no words. Rows that share an id count as
-    one document (or item). Other columns are not looked at; empty tables give no rows.
+    shorter ones are no evidence and never reported. Null and empty texts have no words. Rows that share an id, or have none,
+    are reported as one document (or item), but each is compared by itself and an item row has its own length. Other
+    columns are not looked at; empty tables give no rows.
 
     The items' seeds pass through a filter of fixed size, so that documents send only seeds that are very
     likely an item's to the join. The join itself is by hash: a passage in a third of all documents is a key like
@@ -153,12 +155,9 @@ def contamination(
     """
     if id_col == item_col:
         raise ValueError("documents and items need different id columns")
-    known = seeds(items, item_col, item_text_col)
-    size = F.size(F.filter(F.split(F.lower(F.col(item_text_col)), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), lambda w: w != ""))
-    sizes = items.select(F.col(item_col).alias("id"), size.cast("long").alias("size")).filter(F.col("size") >= SHORTEST)
-    known = stage(known.join(sizes.groupBy("id").agg(F.max("size").alias("size")), "id"), "item_seeds")
+    known = stage(seeds(items, item_col, item_text_col).filter(F.col("size") >= SHORTEST), "item_seeds")
     bits = docs.sparkSession.sparkContext.broadcast(seed_filter(known))
-    hits = seeds(docs, id_col, text_col, bits)
+    hits = seeds(docs, id_col, text_col, bits).drop("size")
     known = known.select(
         "hash",
         F.col("id").alias("item"),

@@ -265,6 +265,16 @@ def test_substitutions_and_short_items(spark):
     assert Counter(r.doc_id for r in kept.collect()) == Counter(i for i, _ in docs if i not in {r[0] for r in rows})
 
 
+def test_items_without_an_id_and_of_several_lengths(spark):
+    words = [f"q{i}" for i in range(60)]
+    items = [(None, " ".join(words[:20])), (None, " ".join(words[20:27])), (7, " ".join(words[27:35])), (7, " ".join(words[35:55])), (8, "q1 q2")]
+    docs = [(1, items[0][1]), (2, f"a {items[1][1]} b"), (3, f"a b {items[2][1]}"), (4, items[3][1].replace("q40", "z")), (5, "clean words only"), (None, items[2][1])]
+    bench = wide(spark, items).withColumnRenamed("doc_id", "item_id")
+    rows = [tuple(r) for r in contamination(wide(spark, docs), bench).collect()]
+    assert len(rows) == 5 and set(rows) == contaminated_by_hand(docs, items)
+    assert [r.doc_id for r in keep_clean(wide(spark, docs), bench).collect()] == [5]
+
+
 def test_clean_rows_stay_beside_contaminated_ones(spark):
     passage = " ".join(f"p{i}" for i in range(15))
     docs = [(None, f"x {passage} y"), (None, "clean without an id"), (None, None), (5, passage), (5, "clean with the same id"), (6, "clean")]
