@@ -45,7 +45,7 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_verdicts(table(spark, sf_dir, "pages"))
+    return url_verdicts(table(spark, sf_dir, "pages"), levels=None)
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

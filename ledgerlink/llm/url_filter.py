@@ -36,7 +36,7 @@ RULES = (
     Rule("net", "/es/", "block"),
     Rule("net", "/fr/", "block"),
 )
-# Levels of the tree; deeper segments are not told apart.
+# Levels of the tree in the SQL; with a limit, deeper segments are not told apart.
 LEVELS = 3
 # A segment stands for itself with this many pages and one of this many parts of its prefix's pages.
 LITERAL_PAGES, LITERAL_PART = 3, 20
@@ -63,31 +63,59 @@ def decide(rules: Sequence[Rule], value: str) -> Column:
     return out
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """``pages`` with ``template`` (host and segments or wildcards) and ``shape`` (which are which)."""
-    segments = F.when(F.col("path") == "", F.array().cast("array<string>")).otherwise(F.split(F.expr("substring(path, 2)"), "/"))
-    rows = pages.withColumn("_segments", segments)
-    rows = rows.withColumn("template", F.col("host")).withColumn("shape", F.lit(""))
-    for level in range(LEVELS):
-        segment = F.get("_segments", F.lit(level))
-        # Digits only are variable wherever they stand.
-        own = F.when(~segment.rlike("^[0-9]+$"), segment)
-        rows = rows.withColumn("_more", segment.isNotNull()).withColumn("_own", own)
-        under = rows.filter("_more").groupBy("template", "_own").agg(F.count("*").alias("n"))
-        of = under.groupBy("template").agg(F.sum("n").alias("total"))
-        literal = under.filter("_own IS NOT NULL").join(of, "template")
-        literal = literal.filter((F.col("n") >= LITERAL_PAGES) & (F.col("n") * LITERAL_PART >= F.col("total")))
-        literal = literal.select("template", "_own", F.col("_own").alias("_literal"))
-        rows = rows.join(literal, ["template", "_own"], "left")
-        step = F.coalesce("_literal", F.lit("*"))
-        rows = rows.withColumn("template", F.when(F.col("_more"), F.concat("template", F.lit("/"), step)).otherwise(F.col("template")))
-        mark = F.when(F.col("_literal").isNotNull(), "/#").otherwise("/*")
-        rows = rows.withColumn("shape", F.when(F.col("_more"), F.concat("shape", mark)).otherwise(F.col("shape")))
-        rows = rows.drop("_more", "_own", "_literal")
-    deep = F.size("_segments") > LEVELS
-    for c in ("template", "shape"):
-        rows = rows.withColumn(c, F.when(deep, F.concat(c, F.lit("/**"))).otherwise(F.col(c)))
-    return rows.drop("_segments")
+def segments() -> Column:
+    return F.when(F.col("path") == "", F.array().cast("array<string>")).otherwise(F.split(F.expr("substring(path, 2)"), "/"))
+
+
+def one_level(rows: DataFrame, level: int) -> DataFrame:
+    """``rows`` with one more segment, or wildcard, in ``template`` and ``shape``."""
+    segment = F.get(segments(), F.lit(level))
+    # Digits only are variable wherever they stand.
+    own = F.when(~segment.rlike("^[0-9]+$"), segment)
+    rows = rows.withColumn("_more", segment.isNotNull()).withColumn("_own", own)
+    under = rows.filter("_more").groupBy("template", "_own").agg(F.count("*").alias("n"))
+    of = under.groupBy("template").agg(F.sum("n").alias("total"))
+    literal = under.filter("_own IS NOT NULL").join(of, "template")
+    literal = literal.filter((F.col("n") >= LITERAL_PAGES) & (F.col("n") * LITERAL_PART >= F.col("total")))
+    literal = literal.select("template", "_own", F.col("_own").alias("_literal"))
+    rows = rows.join(literal, ["template", "_own"], "left")
+    step = F.coalesce("_literal", F.lit("*"))
+    rows = rows.withColumn("template", F.when(F.col("_more"), F.concat("template", F.lit("/"), step)).otherwise(F.col("template")))
+    mark = F.when(F.col("_literal").isNotNull(), "/#").otherwise("/*")
+    rows = rows.withColumn("shape", F.when(F.col("_more"), F.concat("shape", mark)).otherwise(F.col("shape")))
+    return rows.drop("_more", "_own", "_literal")
+
+
+def templates(pages: DataFrame, levels: int | None) -> DataFrame:
+    """``pages`` with ``template`` (host and segments or wildcards) and ``shape`` (which are which), staged.
+
+    With ``levels`` None the tree ends where its paths do. A template with fewer pages below it than a literal segment needs has
+    only wildcards from there on, so the rounds end at the last level that still has a choice.
+    """
+    rows = pages.withColumn("template", F.col("host")).withColumn("shape", F.lit(""))
+    level = LEVELS if levels is None else levels
+    for i in range(level):
+        rows = one_level(rows, i)
+    deeper = F.size(segments()) > level
+    if levels is not None:
+        for c in ("template", "shape"):
+            rows = rows.withColumn(c, F.when(deeper, F.concat(c, F.lit("/**"))).otherwise(F.col(c)))
+        return stage(rows, "templates")
+    rows = stage(rows, "templates")
+    done = rows.filter(~deeper)
+    rows = rows.filter(deeper)
+    while not rows.isEmpty():
+        counted = rows.groupBy("template").agg(F.count("*").alias("_below"))
+        rows = rows.join(counted, "template")
+        rest = F.repeat(F.lit("/*"), F.size(segments()) - level)
+        few = rows.filter(F.col("_below") < LITERAL_PAGES).drop("_below")
+        few = few.withColumns({c: F.concat(c, rest) for c in ("template", "shape")})
+        rows = stage(one_level(rows.filter(F.col("_below") >= LITERAL_PAGES).drop("_below"), level), "deep_templates")
+        level += 1
+        deeper = F.size(segments()) > level
+        done = done.unionByName(few).unionByName(rows.filter(~deeper))
+        rows = rows.filter(deeper)
+    return done
 
 
 def rejected(rows: DataFrame, reject: float) -> DataFrame:
@@ -107,9 +135,13 @@ def url_verdicts(
     reject: float = REJECT,
     id_col: str = "page_id",
     url_col: str = "url",
+    levels: int | None = LEVELS,
 ) -> DataFrame:
     """(id, host, path, rule, verdict, template) of every page.
 
+    ``levels`` limits the tree of templates as the SQL does (deeper segments become ``/**``); None, as in the registered
+    query, goes to the end of every path.
+
     A rule fits its host and all subdomains if the path starts with the rule's; the longest one decides. Other pages are
     blocked if their template is rejected, else allowed; a template without labelled pages is never
     rejected. A url that is null or has no ``://`` has an empty host and path, fits no rule and is allowed. Repeated rows are judged
@@ -120,7 +152,7 @@ def url_verdicts(
     """
     rows = parts(pages, id_col, url_col)
     rows = rows.withColumn("rule", decide(rules, "text")).withColumn("ruled", decide(rules, "verdict"))
-    rows = stage(templates(rows), "templates")
+    rows = templates(rows, levels)
     judged = rows.join(rejected(rows, reject), "template", "left")
     verdict = F.coalesce("ruled", "judged", F.lit("allow")).alias("verdict")
     return judged.select(id_col, "host", "path", "rule", verdict, "template")

@@ -122,6 +122,57 @@ def test_templates_generalise_and_reject(spark):
     assert got == {("m.net/es/*", "block"): 30, ("m.net/*/*", "allow"): 3}
 
 
+def templates_by_hand(urls):
+    """The whole tree, without a limit: (template, shape) of each url."""
+    host_and_segments = [(u.split("/")[2], u.split("/")[3:]) for u in urls]
+    out = [(h, "") for h, _ in host_and_segments]
+    for level in range(max(len(s) for _, s in host_and_segments)):
+        total, n = Counter(), Counter()
+        for (t, _), (_, s) in zip(out, host_and_segments):
+            if len(s) > level:
+                total[t] += 1
+                n[t, s[level]] += 1
+        for i, ((t, shape), (_, s)) in enumerate(zip(out, host_and_segments)):
+            if len(s) > level:
+                own = not s[level].isdigit() and n[t, s[level]] >= 3 and n[t, s[level]] * 20 >= total[t]
+                out[i] = (f"{t}/{s[level] if own else '*'}", shape + ("/#" if own else "/*"))
+    return out
+
+
+def deep_urls():
+    rng = random.Random(8)
+    urls = [f"http://news.org/l{i}/2024/{i % 12:02}/{'ads' if i % 2 else 'texts'}/p{i}" for i in range(60)]
+    urls += [f"http://deep.org/{'/'.join(rng.choice('abc') for _ in range(rng.randint(1, 12)))}" for _ in range(150)]
+    urls += [f"http://end.org/x/y/z/u/{i}/" for i in range(2)] + ["http://long.org" + "/s" * 300, "http://slash.org" + "/" * 40]
+    return urls
+
+
+def test_tree_goes_to_the_end_of_every_path(spark):
+    from ledgerlink.llm.url_filter import templates
+
+    urls = deep_urls()
+    rows = url_verdicts(pages(spark, list(enumerate(urls))), levels=None).collect()
+    want = templates_by_hand(urls)
+    assert {r.page_id: r.template for r in rows} == {i: t for i, (t, _) in enumerate(want)} and len(rows) == len(urls)
+    assert "news.org/*/*/*/ads/*" in {r.template for r in rows}
+    split = [(u.split("/")[2], "/" + "/".join(u.split("/")[3:])) for u in urls]
+    got = templates(spark.createDataFrame(split, "host string, path string"), None)
+    assert Counter((r.template, r.shape) for r in got.collect()) == Counter(want)
+
+
+def test_branches_that_part_below_the_third_segment(spark, tmp_path):
+    """The query itself: a blocked branch at segment 4 does not take the clean one beside it along, nor is it missed."""
+    from ledgerlink.llm.queries import QUERIES
+    from ledgerlink.llm.url_filter import Rule
+
+    rules = [Rule("m.org", f"/l{i}/2024/05/ads/", "block") for i in range(40)]
+    rows = [(i, f"http://m.org/l{i}/2024/05/ads/{i}") for i in range(45)] + [(100 + i, f"http://m.org/l{i}/2024/05/texts/{i}") for i in range(5)]
+    got = Counter((r.template, r.verdict) for r in url_verdicts(pages(spark, rows), rules, levels=None).collect())
+    assert got == {("m.org/*/*/*/ads/*", "block"): 45, ("m.org/*/*/*/texts/*", "allow"): 5}
+    pages(spark, rows).select("page_id", "url", "html").write.parquet(f"{tmp_path}/pages.parquet")
+    assert {r.template for r in QUERIES["op6_url_filters"](spark, str(tmp_path)).collect()} == {x for x, _ in got}
+
+
 def test_native_plan(spark):
     plan = url_verdicts(pages(spark, made_up()))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
