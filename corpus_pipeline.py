@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlink.llm.common import table
 from ledgerlink.llm.decontaminate import keep_clean
-from ledgerlink.llm.pieces import encode_pieces
+from ledgerlink.llm.pieces import round_trip
 from ledgerlink.llm.queries import PIECE_BPE
 from ledgerlink.llm.rules import keep_good, learn_quality
 from ledgerlink.llm.simhash import keep_one, simhash_groups
@@ -33,15 +33,15 @@ def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids, ends) of every document that is left."""
-    return encode_pieces(docs, public_tokenizers.path(PIECE_BPE))
+    """(doc_id, n_tokens, ids, ends, decoded) of every document that is left: its pieces, and the text they give."""
+    return round_trip(docs, public_tokenizers.path(PIECE_BPE))
 
 
 STAGES = [
     ("quality classifier", keep_quality),
     ("SimHash near-dedup", keep_distinct),
     ("benchmark decontamination", keep_uncontaminated),
-    ("SentencePiece encoding", encode),
+    ("SentencePiece encoding and decoding", encode),
 ]
 
 # Learned weights, XXH64 and merges have no SQL; tests compare the stages with plain Python.

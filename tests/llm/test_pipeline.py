@@ -41,6 +41,17 @@ def test_stages_and_run(spark, documents):
     assert got == want
 
 
+def test_last_stage_decodes(spark, documents):
+    assert corpus_pipeline.STAGES[-1] == ("SentencePiece encoding and decoding", corpus_pipeline.encode)
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    some = documents.limit(100)
+    texts = {r.doc_id: r.text for r in some.collect()}
+    out = corpus_pipeline.encode(spark, spark.createDataFrame(list(texts.items()), "doc_id bigint, text string"), SF)
+    assert out.columns == ["doc_id", "n_tokens", "ids", "ends", "decoded"]
+    want = {i: library.decode(library.encode(t, add_bos=True, add_eos=True)) for i, t in texts.items()}
+    assert {r.doc_id: r.decoded for r in out.collect()} == want
+
+
 def test_stages_bear_hard_rows(spark, edges, empty, edge_rows):
     for name, apply in corpus_pipeline.STAGES:
         out = apply(spark, edges, SF)
