@@ -19,7 +19,8 @@ from ledgerlink.staging import stage
 
 BLOCK_ROWS = 4096
 QUERY_ROWS = 256
-READ = 1024
+# A step reads this many entries of a list, but at most one of this many parts of it.
+READ, READ_PART = 1024, 4
 
 
 def whole_numbers(vector: Column, scale: int) -> Column:
@@ -62,7 +63,7 @@ class Block:
         # Bounds are sums of whole numbers: exact in doubles while they stay below 2 ** 53.
         exact = self.largest * int(np.abs(query).max(initial=0)) * max(len(query), 1) < 1 << 53
         survivors = np.arange(n)
-        if exact and query.any() and n > max(4 * k, READ):
+        if exact and query.any():
             survivors = self._read(query_id, query.astype(np.float64), k)
         survivors = survivors[self.ids[survivors] != query_id]
         if exact:
@@ -90,8 +91,9 @@ class Block:
         seen = np.zeros(n, bool)
         own = np.flatnonzero(self.ids == query_id)
         read: list = []
-        for depth in range(0, n, READ):
-            upto = min(n, depth + READ)
+        step = max(1, min(READ, n // READ_PART))
+        for depth in range(0, n, step):
+            upto = min(n, depth + step)
             for (d, q, up), low in zip(sides, least, strict=True):
                 part = slice(n - upto, n - depth) if up else slice(depth, upto)
                 at = self.lists[d, part]

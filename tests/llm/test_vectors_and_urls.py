@@ -36,6 +36,38 @@ def test_block_reads_no_more_than_it_must_and_is_exact():
     assert full < 400  # most searches leave out vectors before the end of the lists
 
 
+@pytest.mark.parametrize("n", [1, 5, 60, 500, 1024, 1500])
+def test_blocks_of_every_size_read_their_lists(n, monkeypatch):
+    rng = np.random.default_rng(n)
+    rows = (rng.normal(size=(n, 4)) * 400).astype(np.int64)
+    ids = rng.permutation(n).astype(np.int64)
+    block = Block(*pack_block(ids, rows), dim=4)
+    left = []
+    read = Block._read
+    monkeypatch.setattr(Block, "_read", lambda *a: left.append(read(*a)) or left[-1])
+    for q in range(min(n, 60)):
+        got = block.search(int(ids[q]), rows[q], 10)
+        scores = rows @ rows[q]
+        scores[q] = -(1 << 60)
+        best = np.lexsort((ids, -scores))[: min(10, n - 1)]
+        assert got[0].tolist() == ids[best].tolist() and got[1].tolist() == scores[best].tolist()
+    assert len(left) == min(n, 60)
+    # From some size on most searches leave vectors out before the end of the lists.
+    assert n < 500 or sum(len(x) < n for x in left) > len(left) / 2
+
+
+def test_top_k_above_the_step_equals_sql(spark):
+    import duckdb
+
+    rng = random.Random(5)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(4)]) for i in range(2500)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", [list(r) for r in rows])
+    for size in (4096, 500):
+        assert differences(top_k(vectors(spark, rows), block_rows=size), con, top_k_sql()) is None
+
+
 def test_top_k_edges(spark):
     import duckdb
 
