@@ -245,16 +245,23 @@ def run(
 ) -> RunResult | None:
     """Process one batch and publish its output and master snapshots under ``root``.
 
-    None if there is nothing to do. Every attempt has its own folders, for what it publishes and for its stages, so
+    None if there is nothing to match; if there were lines, all rejected, the attempt's folder still gets the rejects and
+    the summary, while what is published stays as it was. Every attempt has its own folders, for what it publishes and for its stages, so
     neither a rerun nor a batch beside it touches what others wrote; the stages go when it ends. The published
     outputs change only with the last step.
     """
     attempt = uuid4().hex
     with stages_of(spark, attempt):
         taken = intake.take_in(intake.read_lines(spark, input_path), cfg)
-        if taken.lines == taken.rejected:
+        if not taken.lines:
             return None
         label = publish.label_of_file(spark, taken.first_file, cfg.run_ts, prefix)
+        folder = f"{root}/snapshots/{label}/{attempt}"
+        if taken.lines == taken.rejected:
+            nothing = spark.createDataFrame([], "cls string")
+            summary = assemble.run_summary(nothing, taken.lines, taken.rejected)
+            publish.write_snapshots({"rejects": taken.rejects, "summary": summary}, folder)
+            return None
         outcome = match(taken.records, masters, cfg)
         main = stage(main_table(taken.records, outcome, cfg), "main")
         changes = {name: stage(df, f"changes_{name}") for name, df in change_sets(main, masters, cfg).items()}
@@ -269,7 +276,7 @@ def run(
             "summary": assemble.run_summary(outcome, taken.lines, taken.rejected),
             "changes": reduce(DataFrame.unionByName, counts),
         }
-        paths = publish.write_snapshots(results, f"{root}/snapshots/{label}/{attempt}")
+        paths = publish.write_snapshots(results, folder)
         publish.publish(spark, root, label, attempt, cfg.run_ts, paths)
 
     written = {name: spark.read.parquet(path) for name, path in paths.items()}

@@ -294,6 +294,15 @@ def test_nothing_to_do(spark, masters, tmp_path):
     assert not (tmp_path / "o" / "published").exists()
 
 
+def test_rejects_of_a_batch_without_records_are_kept(spark, masters, tmp_path):
+    root = tmp_path / "o"
+    assert enrich.run(spark, batch(tmp_path / "in", ["E", "", "x"]), masters, str(root), CFG) is None
+    (folder,) = (root / "snapshots" / "EMPLOYERS.SEQIDS.R240630.T010203").iterdir()
+    assert sorted(r.value for r in spark.read.parquet(f"{folder}/rejects").collect()) == ["", "E", "x"]
+    assert {r.cls: r.records for r in spark.read.parquet(f"{folder}/summary").collect()} == {"lines": 3, "rejected": 3}
+    assert not (root / "published").exists() and not stages_left(spark)
+
+
 def test_failed_run_publishes_nothing(spark, masters, tmp_path, monkeypatch):
     def fail(*args, **kwargs):
         raise OSError("no space")
