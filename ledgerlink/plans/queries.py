@@ -6,7 +6,6 @@ from collections.abc import Callable
 from dataclasses import replace
 from datetime import date, datetime
 from functools import cached_property
-from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +20,7 @@ from ledgerlink.operators import keyed, merge, names, special
 from ledgerlink.plans import enrich as en
 from ledgerlink.plans import fixtures
 from ledgerlink.sources import intake, layout, publish, tables
-from ledgerlink.staging import stage, stage_root
+from ledgerlink.staging import stage, stage_path
 
 CFG = MatchConfig(odate=date(2024, 6, 30), run_ts=datetime(2024, 6, 30))
 TIMES = ("insrt_ts", "lu_ts")
@@ -35,7 +34,7 @@ class Case:
         self.fx = fixtures.frames(spark, sf_dir)
 
     def scratch(self, name: str) -> str:
-        return f"{stage_root(self.spark)}/ledgerlink/{uuid4().hex}/{name}"
+        return stage_path(self.spark, name)
 
     @cached_property
     def sub(self) -> DataFrame:

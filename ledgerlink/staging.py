@@ -58,10 +58,15 @@ def stages_of(spark: SparkSession, run: str) -> Iterator[None]:
         store.delete(where, True)
 
 
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A path nothing else has, in the folder of the surrounding ``stages_of`` (``single`` if there is none)."""
+    return f"{stage_root(spark)}/ledgerlink/{_RUN.get() or 'single'}/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` and continue from the written copy, in a folder no other stage has."""
     spark = df.sparkSession
-    path = f"{stage_root(spark)}/ledgerlink/{_RUN.get() or 'single'}/{name}-{uuid.uuid4().hex}"
+    path = stage_path(spark, name)
     df.write.partitionBy(*by).parquet(path)
     columns = [c for c in df.columns if c not in by]
     return spark.read.schema(df.select(*columns, *by).schema).parquet(path)

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from ledgerlink.config import Limits, MatchConfig
 from ledgerlink.operators import assemble, changeset, merge
 from ledgerlink.plans import enrich
+from ledgerlink.plans.queries import query
 from ledgerlink.sources import intake, publish
-from ledgerlink.staging import stage, stage_root
+from ledgerlink.staging import stage, stage_root, stages_of
 from tests.test_intake import line
 from tests.test_skew import rows_of
 
@@ -211,7 +212,7 @@ def published(result):
     return enrich.Masters(t["name"], t["address"], t["special"], t["link"], t["link_source"], t["link_type"])
 
 
-def stages_left(spark):
+def run_folders(spark):
     """Folders of runs in the staging place; those of single stages are not a run's."""
     import os
 
@@ -219,7 +220,23 @@ def stages_left(spark):
     return set(os.listdir(top)) - {"single"} if os.path.exists(top) else set()
 
 
-def test_batches_of_one_date_do_not_meet(spark, masters, tmp_path):
+@pytest.fixture
+def stages_left():
+    """Folders that came since the test began."""
+    before = run_folders(spark)
+    return lambda: run_folders(spark) - before
+
+
+def test_stages_of_a_query_go_with_its_caller(spark):
+    """Scratch files too, whatever writes them."""
+    before = run_folders(spark)
+    with stages_of(spark, "one_call"):
+        assert query("rejects")(spark, "/root/testdata/sf0.001").count() and query("src_text")(spark, "/root/testdata/sf0.001").count()
+        assert run_folders(spark) - before == {"one_call"}
+    assert run_folders(spark) == before
+
+
+def test_batches_of_one_date_do_not_meet(spark, masters, tmp_path, stages_left):
     one = enrich.run(spark, batch(tmp_path / "a", LINES[:4]), masters, str(tmp_path / "out"), CFG)
     rows = {name: rows_of(df) for name, df in one.tables.items()}
     two = enrich.run(spark, batch(tmp_path / "b", [*LINES[4:], "E"]), masters, str(tmp_path / "out"), CFG)
@@ -228,7 +245,7 @@ def test_batches_of_one_date_do_not_meet(spark, masters, tmp_path):
     assert (one.output.count(), two.output.count(), three.output.count()) == (4, len(LINES) - 4, 1)
     assert (one.rejects.count(), two.rejects.count()) == (0, 1)
     assert publish.current(spark, str(tmp_path / "out")).attempt == two.attempt
-    assert not stages_left(spark)
+    assert not stages_left()
 
 
 def test_later_run_with_an_earlier_time_is_current(spark, masters, tmp_path):
@@ -238,7 +255,7 @@ def test_later_run_with_an_earlier_time_is_current(spark, masters, tmp_path):
     assert publish.current(spark, root).attempt == late.attempt
 
 
-def test_run_killed_halfway_leaves_the_published_tables(spark, masters, tmp_path, monkeypatch):
+def test_run_killed_halfway_leaves_the_published_tables(spark, masters, tmp_path, monkeypatch, stages_left):
     root = str(tmp_path / "out")
     first = enrich.run(spark, batch(tmp_path / "in", LINES), masters, root, CFG)
     rows = {name: rows_of(df) for name, df in first.tables.items()}
@@ -254,7 +271,7 @@ def test_run_killed_halfway_leaves_the_published_tables(spark, masters, tmp_path
         enrich.run(spark, batch(tmp_path / "in2", LINES[:5]), published(first), root, CFG)
     assert len(written) == 2 and publish.current(spark, root).attempt == first.attempt
     assert rows == {name: rows_of(publish.read_current(spark, root, name)) for name in rows}
-    assert not stages_left(spark)
+    assert not stages_left()
 
 
 def test_limits_do_not_change_the_result(spark, masters, tmp_path):
@@ -294,13 +311,13 @@ def test_nothing_to_do(spark, masters, tmp_path):
     assert not (tmp_path / "o" / "published").exists()
 
 
-def test_rejects_of_a_batch_without_records_are_kept(spark, masters, tmp_path):
+def test_rejects_of_a_batch_without_records_are_kept(spark, masters, tmp_path, stages_left):
     root = tmp_path / "o"
     assert enrich.run(spark, batch(tmp_path / "in", ["E", "", "x"]), masters, str(root), CFG) is None
     (folder,) = (root / "snapshots" / "EMPLOYERS.SEQIDS.R240630.T010203").iterdir()
     assert sorted(r.value for r in spark.read.parquet(f"{folder}/rejects").collect()) == ["", "E", "x"]
     assert {r.cls: r.records for r in spark.read.parquet(f"{folder}/summary").collect()} == {"lines": 3, "rejected": 3}
-    assert not (root / "published").exists() and not stages_left(spark)
+    assert not (root / "published").exists() and not stages_left()
 
 
 def test_failed_run_publishes_nothing(spark, masters, tmp_path, monkeypatch):
