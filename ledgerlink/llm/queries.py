@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from ledgerlink.llm.common import table
 from ledgerlink.llm.decontaminate import contamination, contamination_sql
+from ledgerlink.llm.hard_negatives import hard_negatives, hard_negatives_sql, relabelled
 from ledgerlink.llm.licenses import license_scan, license_sql
+from ledgerlink.llm.line_dedup import line_dedup, line_dedup_sql
+from ledgerlink.llm.merkle import merkle_audit, merkle_sql
 from ledgerlink.llm.pieces import round_trip
 from ledgerlink.llm.ppm import ppm_scores
 from ledgerlink.llm.rules import quality
@@ -70,6 +73,20 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_audit(table(spark, sf_dir, "documents"), every_nth=3)
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup(table(spark, sf_dir, "documents"), min_chars=10)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = relabelled(table(spark, sf_dir, "embeddings"), every_nth=7, labels=10)
+    return hard_negatives(rows, every_nth=100, positives=5, negatives=5, scale=256, share=(80, 100))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_license_scans": op2_license_scans,
@@ -81,6 +98,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_top_k": op8_exact_top_k,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 SQL: dict[str, str] = {
@@ -88,4 +108,7 @@ SQL: dict[str, str] = {
     "op5_benchmark_decontamination": contamination_sql(),
     "op6_url_filters": url_verdicts_sql(),
     "op8_exact_top_k": top_k_sql(),
+    "op11_merkle_manifest": merkle_sql(),
+    "op12_line_dedup": line_dedup_sql(),
+    "op13_hard_negatives": hard_negatives_sql(),
 }

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from ledgerlink.llm.common import by_text, id_and_text, slices, sums_by_text
 from ledgerlink.llm.wordbpe import WordBpe, word_bpe
-from ledgerlink.staging import stage, stage_root
+from ledgerlink.staging import stage, stage_path
 
 READ_DOCS = 1 << 14
 # Ids of a chunk that are kept; longer chunks are encoded anew in every slice.
@@ -158,5 +158,5 @@ def read_token_files(manifest: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 def token_files(docs: DataFrame, tokenizer: str, end_id: int, out_dir: str | None = None) -> DataFrame:
     """Writes the files (into a fresh folder of the shared store unless ``out_dir`` is given) and reads them back."""
-    root = out_dir or f"{stage_root(docs.sparkSession)}/ledgerlink/{uuid.uuid4().hex}/tokens"
+    root = out_dir or stage_path(docs.sparkSession, "tokens")
     return read_token_files(write_token_files(docs, tokenizer, end_id, root))

@@ -8,77 +8,52 @@ k-th best lower bound get their final scores.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlink.staging import stage
+from ledgerlink.llm.blocks import BLOCK_ROWS, Vectors, best_first, met, vector_rows
 
-BLOCK_ROWS = 4096
-QUERY_ROWS = 256
 # A step reads this many entries of a list, but at most one of this many parts of it.
 READ, READ_PART = 1024, 4
+FOUND = "query_row bigint, query_id bigint, row bigint, id bigint, score bigint"
 
 
-def whole_numbers(vector: Column, scale: int) -> Column:
-    """Each component x as floor(scale * x); null if the vector or a component is null or not finite."""
+class Block(Vectors):
+    """A block whose dimensions are sorted lists."""
 
-    def bad(x: Column) -> Column:
-        return x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
-
-    doubles = F.transform(vector, lambda x: x.cast("double"))
-    whole = F.transform(doubles, lambda x: F.floor(F.lit(scale) * x).cast("long"))
-    return F.when(vector.isNotNull() & ~F.coalesce(F.exists(doubles, bad), F.lit(False)), whole)
-
-
-def usable(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """(id, v) of the rows that take part, one per id: of several, the smallest vector."""
-    rows = vectors.select(vectors[id_col].cast("long").alias("id"), whole_numbers(vectors[vector_col], scale).alias("v"))
-    rows = rows.filter(F.col("id").isNotNull() & F.col("v").isNotNull())
-    return rows.groupBy("id").agg(F.min("v").alias("v"))
-
-
-def pack_block(ids: np.ndarray, rows: np.ndarray) -> tuple[bytes, bytes, bytes]:
-    """Ids, components by dimension, and the list of each dimension: places in order of value."""
-    by_dim = np.ascontiguousarray(rows.T)
-    return ids.tobytes(), by_dim.tobytes(), np.argsort(by_dim, axis=1, kind="stable").astype("<i4").tobytes()
-
-
-class Block:
-    def __init__(self, ids: bytes, values: bytes, lists: bytes, dim: int):
-        self.ids = np.frombuffer(ids, "<i8")
-        self.values = np.frombuffer(values, "<i8").reshape(dim, len(self.ids))
-        self.lists = np.frombuffer(lists, "<i4").reshape(dim, len(self.ids))
-        self.largest = int(np.abs(self.values).max(initial=0))
+    def __init__(self, row: dict):
+        super().__init__(row)
+        self.lists = np.frombuffer(row["lists"], "<i4").reshape(self.values.shape)
         # What the lists hold, in their order, and the vectors by row; whole numbers below 2 ** 53.
         self.listed = np.take_along_axis(self.values, self.lists, 1).astype(np.float64)
         self.rows = np.ascontiguousarray(self.values.T).astype(np.float64)
 
-    def search(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores) of the k best vectors but the query's own; ties go to smaller ids."""
-        n = len(self.ids)
+    def search(self, own_row: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(places, scores) of the k best vectors but the query's own row."""
         # Bounds are sums of whole numbers: exact in doubles while they stay below 2 ** 53.
         exact = self.largest * int(np.abs(query).max(initial=0)) * max(len(query), 1) < 1 << 53
-        survivors = np.arange(n)
+        survivors = np.arange(len(self.id))
         if exact and query.any():
-            survivors = self._read(query_id, query.astype(np.float64), k)
-        survivors = survivors[self.ids[survivors] != query_id]
+            survivors = self._read(own_row, query.astype(np.float64), k)
+        survivors = survivors[self.row[survivors] != own_row]
         if exact:
             scores = (self.rows[survivors] @ query.astype(np.float64)).astype(np.int64)
         else:
             scores = self.values[:, survivors].T @ query
-        best = np.lexsort((self.ids[survivors], -scores))[:k]
-        return self.ids[survivors[best]], scores[best]
+        at = survivors
+        best = best_first(scores, self.id[at], self.missing[at], self.row[at], k)
+        return at[best], scores[best]
 
-    def _read(self, query_id: int, query: np.ndarray, k: int) -> np.ndarray:
+    def _read(self, own_row: int, query: np.ndarray, k: int) -> np.ndarray:
         """Places of all vectors that can be among the k best.
 
         Lists of positive components are read from their end, those of negative ones from their start.
         """
-        n = len(self.ids)
+        n = len(self.id)
         sides = [(d, query[d], up) for up, d in ((True, np.flatnonzero(query > 0)), (False, np.flatnonzero(query < 0)))]
         sides = [x for x in sides if len(x[0])]
 
@@ -89,7 +64,7 @@ class Block:
         least = column(n - 1)
         lower = np.full(n, sum(x.sum() for x in least))  # unseen components count the least their list has
         seen = np.zeros(n, bool)
-        own = np.flatnonzero(self.ids == query_id)
+        own = np.flatnonzero(self.row == own_row)
         read: list = []
         step = max(1, min(READ, n // READ_PART))
         for depth in range(0, n, step):
@@ -122,6 +97,28 @@ class Block:
         return np.arange(n)
 
 
+class Search:
+    """The k best of one block for each of some queries."""
+
+    def __init__(self, k: int):
+        self.k = k
+
+    prepare = staticmethod(Block)
+
+    def __call__(self, block: Block, asked: Vectors) -> Iterator[pa.RecordBatch]:
+        found = [block.search(int(r), q, self.k) for r, q in zip(asked.row, asked.values.T, strict=True)]
+        sizes = [len(places) for places, _ in found]
+        at = np.concatenate([places for places, _ in found])
+        columns = [
+            pa.array(np.repeat(asked.row, sizes)),
+            pa.array(np.repeat(asked.id, sizes)),
+            pa.array(block.row[at]),
+            pa.array(block.id[at], mask=block.missing[at]),
+            pa.array(np.concatenate([scores for _, scores in found]).astype(np.int64)),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, ["query_row", "query_id", "row", "id", "score"])
+
+
 def top_k(
     vectors: DataFrame,
     every_nth: int = 100,
@@ -133,74 +130,20 @@ def top_k(
 ) -> DataFrame:
     """(query_id, rank, id, score): for each row whose id ``every_nth`` divides, the k rows of highest score but itself.
 
-    The score is the inner product of whole-number components (64-bit); ties go to the smaller id. Fewer than k other
-    vectors give as many rows. Vectors that are null, or hold a null or non-finite component, and rows without an
-    id take no part; rows that share an id count once, with the smallest vector; vectors of another length than the query's
+    The score is the inner product of whole-number components (64-bit); ties go to the smaller id, rows without an id come
+    last. Fewer than k other vectors give as many rows. Vectors that are null, or hold a null or non-finite component,
+    take no part. Rows that share an id are rows of their own: each is a query if ``every_nth`` divides it, and a
+    candidate for the others. Rows without an id are candidates only. Vectors of another length than the query's
     are not compared with it. Other columns are not looked at; an empty table gives no rows.
 
     Every block of vectors meets every block of queries, which are a stated set. Each meeting
     sends k rows per query on.
     """
-    rows = stage(usable(vectors, id_col, vector_col, scale).withColumn("dim", F.size("v")), "vectors")
-    sizes = rows.groupBy("dim").count().withColumn("blocks", F.ceil(F.col("count") / block_rows))
-    rows = rows.join(F.broadcast(sizes.select("dim", "blocks")), "dim")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-    packed_type = "dim int, block bigint, ids binary, vals binary, lists binary"
-
-    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, ids, parts = None, [], []
-
-        def done():
-            made = pack_block(np.concatenate(ids), np.concatenate(parts))
-            columns = [pa.array([x], t) for x, t in zip((*key, *made), types, strict=True)]
-            return pa.RecordBatch.from_arrays(columns, ["dim", "block", "ids", "vals", "lists"])
-
-        types = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-        for batch in batches:
-            dim, block = (batch.column(c).to_numpy() for c in ("dim", "block"))
-            edges = np.flatnonzero((np.diff(dim) != 0) | (np.diff(block) != 0)) + 1
-            for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(dim)], strict=True):
-                if a == b:
-                    continue
-                if (dim[a], block[a]) != key:
-                    if key:
-                        yield done()
-                    key, ids, parts = (dim[a], block[a]), [], []
-                ids.append(batch.column("id").slice(a, b - a).to_numpy())
-                flat = batch.column("v").slice(a, b - a).flatten().to_numpy(zero_copy_only=False)
-                parts.append(flat.astype("<i8").reshape(b - a, dim[a]))
-        if key:
-            yield done()
-
-    def packed(df: DataFrame) -> DataFrame:
-        spread = df.select("dim", "block", "id", "v").repartition("dim", "block")
-        return spread.sortWithinPartitions("dim", "block", "id").mapInArrow(pack, packed_type)
-
-    # A number of partitions is given, as few bytes of vectors are much work.
-    tasks = min(20_000, 4 * (sizes.agg(F.sum("blocks")).first()[0] or 1))
-    blocks = packed(rows).repartition(tasks, "dim", "block")
-    chosen = rows.filter(F.pmod("id", F.lit(every_nth)) == 0)
-    n_groups = max(1, -(-chosen.count() // QUERY_ROWS))
-    asked = packed(chosen.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n_groups).cast("long")))).select("dim", F.col("ids").alias("q_ids"), F.col("vals").alias("q_vals"))
-    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)).alias("block")
-    asked = asked.join(F.broadcast(sizes.select("dim", "blocks")), "dim").select("dim", each, "q_ids", "q_vals")
-    asked = asked.repartition(tasks, "dim", "block")
-    found_type = "query_id bigint, id bigint, score bigint"
-
-    def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = Block(row["ids"], row["vals"], row["lists"], row["dim"])
-                q_ids = np.frombuffer(row["q_ids"], "<i8")
-                q_rows = np.frombuffer(row["q_vals"], "<i8").reshape(row["dim"], len(q_ids)).T
-                found = [(int(i), *block.search(int(i), q, k)) for i, q in zip(q_ids, q_rows, strict=True)]
-                owner = np.repeat([f[0] for f in found], [len(f[1]) for f in found]).astype(np.int64)
-                columns = [owner, np.concatenate([f[1] for f in found]), np.concatenate([f[2] for f in found])]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "id", "score"])
-
-    met = blocks.join(asked, ["dim", "block"]).mapInArrow(search, found_type)
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id"))
-    best = met.withColumn("rank", place).filter(F.col("rank") <= k)
+    rows = vector_rows(vectors, id_col, vector_col, scale)
+    asked = rows.filter(F.pmod("id", F.lit(every_nth)) == 0)
+    found = met(rows, asked, Search(k), FOUND, block_rows, lists=True)
+    order = Window.partitionBy("query_row").orderBy(F.col("score").desc(), F.col("id").asc_nulls_last(), "row")
+    best = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return best.select("query_id", "rank", F.col("id").alias(id_col), "score")
 
 
@@ -208,12 +151,12 @@ def top_k_sql(every: int = 100, k: int = 10, scale: int = 1024) -> str:
     """DuckDB SQL over ``embeddings``, by scoring every pair."""
     return f"""
 WITH ok AS (
-    SELECT vec_id, min(list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT)) AS v FROM embeddings
-    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-    GROUP BY vec_id
+    SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
-    SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
-    FROM ok q JOIN ok c ON q.vec_id != c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % {every} = 0
-), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+    SELECT q.row, q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+    FROM ok q JOIN ok c ON q.row != c.row AND len(q.v) = len(c.v) WHERE q.vec_id % {every} = 0
+), r AS (SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM s)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= {k}
 """

@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from ledgerlink.llm.topk import Block, pack_block, top_k, top_k_sql
+from ledgerlink.llm.topk import Block, top_k, top_k_sql
 from ledgerlink.llm.url_filter import url_verdicts, url_verdicts_sql
 from tests.compare import differences
 
@@ -17,22 +17,30 @@ def vectors(spark, rows):
     return spark.createDataFrame([(*r, "x", 1, 2, 3, "s", 4) for r in rows], VECTORS)
 
 
+def block_of(ids, rows):
+    """A block whose rows have other numbers than their ids."""
+    by_dim = np.ascontiguousarray(rows.T)
+    lists = np.argsort(by_dim, axis=1, kind="stable").astype("<i4")
+    parts = {"rows": ids + 10_000, "ids": ids, "missing": np.zeros(len(ids), bool), "labels": ids * 0, "vals": by_dim, "lists": lists}
+    return Block({k: v.tobytes() for k, v in parts.items()})
+
+
 def test_block_reads_no_more_than_it_must_and_is_exact():
     rng = np.random.default_rng(2)
     rows = (rng.normal(size=(3000, 16)) * 400).astype(np.int64)
     rows[:40] = rows[0]  # ties
     rows[50] *= 5
     ids = rng.permutation(3000).astype(np.int64)
-    block = Block(*pack_block(ids, rows), dim=16)
+    block = block_of(ids, rows)
     full = 0
     for q in (*range(0, 60), *range(2900, 3000)):
         for query in (rows[q], -rows[q], np.where(np.arange(16) < 3, rows[q], 0)):
-            got = block.search(int(ids[q]), query, 10)
+            got = block.search(int(ids[q]) + 10_000, query, 10)
             scores = rows @ query
             scores[q] = -(1 << 60)
             best = np.lexsort((ids, -scores))[:10]
-            assert got[0].tolist() == ids[best].tolist() and got[1].tolist() == scores[best].tolist()
-            full += len(block._read(int(ids[q]), query.astype(float), 10)) == 3000
+            assert ids[got[0]].tolist() == ids[best].tolist() and got[1].tolist() == scores[best].tolist()
+            full += len(block._read(int(ids[q]) + 10_000, query.astype(float), 10)) == 3000
     assert full < 400  # most searches leave out vectors before the end of the lists
 
 
@@ -41,16 +49,16 @@ def test_blocks_of_every_size_read_their_lists(n, monkeypatch):
     rng = np.random.default_rng(n)
     rows = (rng.normal(size=(n, 4)) * 400).astype(np.int64)
     ids = rng.permutation(n).astype(np.int64)
-    block = Block(*pack_block(ids, rows), dim=4)
+    block = block_of(ids, rows)
     left = []
     read = Block._read
     monkeypatch.setattr(Block, "_read", lambda *a: left.append(read(*a)) or left[-1])
     for q in range(min(n, 60)):
-        got = block.search(int(ids[q]), rows[q], 10)
+        got = block.search(int(ids[q]) + 10_000, rows[q], 10)
         scores = rows @ rows[q]
         scores[q] = -(1 << 60)
         best = np.lexsort((ids, -scores))[: min(10, n - 1)]
-        assert got[0].tolist() == ids[best].tolist() and got[1].tolist() == scores[best].tolist()
+        assert ids[got[0]].tolist() == ids[best].tolist() and got[1].tolist() == scores[best].tolist()
     assert len(left) == min(n, 60)
     # From some size on most searches leave vectors out before the end of the lists.
     assert n < 500 or sum(len(x) < n for x in left) > len(left) / 2
@@ -90,6 +98,15 @@ def test_top_k_edges(spark):
     }
 
 
+def test_rows_with_one_id_or_none_are_rows(spark):
+    """Each repeated id is a candidate of its own, and only the query's own row is left out."""
+    rows = [(0, [1.0, 0.0]), (1, [5.0, 0.0]), (1, [4.0, 0.0]), (None, [9.0, 0.0]), (None, [4.0, 0.0]), (2, [1.0, 1.0])]
+    got = top_k(vectors(spark, rows), scale=1)
+    assert [(r.rank, r.vec_id, r.score) for r in got.orderBy("rank").collect()] == [(1, None, 9), (2, 1, 5), (3, 1, 4), (4, None, 4), (5, 2, 1)]
+    got = top_k(vectors(spark, [(100, [1.0]), (100, [2.0])]), scale=1)
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got.collect()) == [(100, 1, 100, 2)] * 2
+
+
 PAGES = "page_id bigint, url string, html string, host string, path string, n int, total int, template string, shape string"
 
 
