@@ -18,27 +18,55 @@ SLICE_BYTES = 2 << 20
 class WordTable:
     """Ids (or only their number) by word, for whole slices of text at once.
 
-    Words are found and hashed with array operations; what a word gives is kept in a table of fixed size, in the
-    one slot its 128-bit hash points to, for the life of a Python worker. A word that is not there is made again.
+    Words are found and compared with array operations. What a word of up to ``KEY_BYTES`` bytes gives is kept beside the
+    word itself, in the one slot of a table of fixed size that its hash points to, for the life of a Python worker. A word
+    that is not there, or is longer, is made again. Words count as equal only if all their bytes are.
     """
 
+    KEY_BYTES = 24
+
     def __init__(self, separators: bytes, width: int, dtype: str, bits: int = 21):
         self.gap = separators[:1]
         self.apart = np.zeros(256, bool)
         self.apart[list(separators)] = True
         self.bits, self.width, self.dtype = bits, width, np.dtype(dtype)
-        self.letters = np.random.default_rng(1).integers(0, 1 << 63, (2, 256), np.uint64) | np.uint64(1)
-        self.key = np.zeros((2, 1 << bits), np.uint64)
+        self.masks = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+        self.key = np.zeros((self.KEY_BYTES // 8, 1 << bits), np.uint64)
+        self.size = np.zeros(1 << bits, np.uint8)
         self.n = np.zeros(1 << bits, np.int64)
         self.ids = np.zeros((1 << bits, width), self.dtype)
 
-    def _hashes(self, letters: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        starts = np.cumsum(lengths) - lengths
-        place = np.arange(len(letters)) - np.repeat(starts, lengths)
-        power = np.full(int(lengths.max(initial=0)), 0x9E3779B97F4A7C15, np.uint64)
-        power[:1] = 1
-        power = np.cumprod(power)[place]
-        return tuple(np.add.reduceat(table[letters] * power, starts) for table in self.letters)
+    def _keys(self, blob: bytes, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The first bytes of each word as numbers, zero beyond its end."""
+        windows = np.ndarray((len(blob) + self.KEY_BYTES - 7,), "<u8", blob + bytes(self.KEY_BYTES), strides=(1,))
+        inside = (np.clip(lengths - 8 * k, 0, 8) for k in range(len(self.key)))
+        return np.stack([windows[np.minimum(starts + 8 * k, len(blob))] & self.masks[m] for k, m in enumerate(inside)])
+
+    def _hash(self, keys: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Where to look; two words may share it."""
+        h = lengths.astype(np.uint64)
+        for part in keys:
+            h = (h ^ (h >> np.uint64(32)) ^ part) * np.uint64(0x9E3779B97F4A7C15)
+        return (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+
+    def _distinct(self, words, short: np.ndarray, keys: np.ndarray, lengths: np.ndarray, h: np.ndarray):
+        """(place of one of each word, number of its word for each) for some words, compared byte by byte.
+
+        Long words, and the rare short ones that share a hash with another, are told apart by a dictionary.
+        """
+        which = np.zeros(len(h), np.int64)
+        at = np.flatnonzero(short)
+        _, first, group = np.unique(h[at], return_index=True, return_inverse=True)
+        like = at[first[group]]
+        odd = (lengths[at] != lengths[like]) | (keys[:, at] != keys[:, like]).any(0)
+        which[at] = group
+        places, seen = at[first].tolist(), {}
+        for i in (*np.flatnonzero(~short).tolist(), *at[odd].tolist()):
+            number = seen.setdefault(words(i), len(places))
+            if number == len(places):
+                places.append(i)
+            which[i] = number
+        return np.array(places, np.int64), which
 
     def look_up(self, texts: list[bytes], make) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
         """(words of each text, ids of each word, all ids in order or None if ``width`` is 0).
@@ -46,32 +74,38 @@ class WordTable:
         ``make(words)`` gives (ids of each word, all ids or None) for new words.
         """
         blob = self.gap.join([*texts, b""])
-        raw = np.frombuffer(blob, np.uint8)
-        apart = self.apart[raw]
+        apart = self.apart[np.frombuffer(blob, np.uint8)]
         turn = np.diff(apart.view(np.int8), prepend=np.int8(1))
         starts, ends = np.flatnonzero(turn == -1), np.flatnonzero(turn == 1)
         begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
         per_text = np.diff(np.searchsorted(starts, begins))
         if not len(starts):
             return per_text, np.zeros(0, np.int64), np.zeros(0, self.dtype) if self.width else None
-        one, two = self._hashes(raw[~apart], ends - starts)
-        mixed = (one ^ (two >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-        slot = (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
-        hit = (self.n[slot] > 0) & (self.key[0][slot] == one) & (self.key[1][slot] == two)
+        lengths = ends - starts
+        short = lengths <= self.KEY_BYTES
+        keys = self._keys(blob, starts, lengths)
+        h = self._hash(keys, lengths)
+        slot = (h >> np.uint64(64 - self.bits)).astype(np.int64)
+        hit = short & (self.n[slot] > 0) & (self.size[slot] == lengths)
+        for known, part in zip(self.key, keys, strict=True):
+            hit &= known[slot] == part
         n = np.where(hit, self.n[slot], 0)
         miss = np.flatnonzero(~hit)
         which = new = made = None
         if len(miss):
-            _, first, which = np.unique(one[miss], return_index=True, return_inverse=True)
-            at = miss[first]
-            words = [blob[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
-            new, made = make(words)
+            word = lambda i: blob[starts[miss[i]] : ends[miss[i]]]
+            places, which = self._distinct(word, short[miss], keys[:, miss], lengths[miss], h[miss])
+            at = miss[places]
+            new, made = make([blob[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
             n[miss] = new[which]
         flat = self._gather(slot, hit, n, miss, which, new, made) if self.width else None
         if len(miss):
-            keep = np.flatnonzero((new > 0) & (new <= self.width if self.width else True))
-            to = slot[at[keep]]
-            self.key[0][to], self.key[1][to], self.n[to] = one[at[keep]], two[at[keep]], new[keep]
+            keep = np.flatnonzero(short[at] & (new > 0) & (new <= self.width if self.width else True))
+            to, at = slot[at[keep]], at[keep]
+            # Of several new words for one slot the last stays, the same one in every array.
+            to, last = np.unique(to[::-1], return_index=True)
+            at, keep = at[::-1][last], keep[::-1][last]
+            self.key[:, to], self.size[to], self.n[to] = keys[:, at], lengths[at], new[keep]
             if self.width:
                 self.ids[to] = rows_of(made, new, self.width)[keep]
         return per_text, n, flat

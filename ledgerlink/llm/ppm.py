@@ -12,13 +12,13 @@ uses; the tables are joined to those, and each chunk is scored beside the few co
 from __future__ import annotations
 
 import io
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +30,10 @@ from ledgerlink.staging import stage
 ORDER = 5
 FOLDS, HELD_OUT = 7, 2
 CHUNK_BYTES = 32 << 20
+# A chunk ends before that if it has so many distinct grams or words (and what its last slice adds).
+CHUNK_GRAMS, CHUNK_WORDS = 1 << 20, 1 << 19
+# Slices whose counts are held apart until they are added up.
+MERGE_AFTER = 8
 SLICE_BYTES = 2 << 20
 # All bytes but six kinds of white space, then the space between words and the end.
 SYMBOLS = 252
@@ -67,30 +71,51 @@ def stream(words: list[bytes]) -> bytes:
 
 
 def _sum_by(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    unique, at = np.unique(keys, return_inverse=True)
-    return unique, np.bincount(at, counts, len(unique)).astype(np.int64)
+    """Distinct keys in order and their sums. The keys come in a few sorted runs, which a merge sort uses."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
+    return keys[first], np.add.reduceat(counts[order], first) if len(first) else counts
 
 
-def pack_docs(ids: pa.Array, held: pa.Array, texts: list[bytes]) -> bytes:
-    batch = pa.record_batch([ids, held, pa.array(texts, pa.binary())], ["id", "held", "text"])
+def _sum_words(parts: list[pa.Table]) -> pa.Table:
+    """(word, n) with each word once."""
+    whole = pa.concat_tables(parts).combine_chunks()
+    return whole.group_by("word", use_threads=False).aggregate([("n", "sum")]).select(["word", "n_sum"]).rename_columns(["word", "n"])
+
+
+def _counted(words: list[bytes], weight: int) -> pa.Table:
+    found = pc.value_counts(pa.array(words, pa.binary()))
+    counts = found.field("counts")
+    return pa.table({"word": found.field("values"), "n": counts if weight else pc.multiply(counts, 0)})
+
+
+def packed_table(table: pa.Table | pa.RecordBatch) -> bytes:
     sink = io.BytesIO()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-        out.write_batch(batch)
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write(table)
     return sink.getvalue()
 
 
-def unpack_docs(blob: bytes) -> pa.Table:
-    return pa.ipc.open_stream(blob).read_all()
+def unpacked_table(blob: pa.Buffer | bytes) -> pa.Table:
+    return pa.ipc.open_stream(blob).read_all().combine_chunks()
+
+
+def pack_docs(ids: pa.Array, held: pa.Array, texts: list[bytes]) -> bytes:
+    return packed_table(pa.record_batch([ids, held, pa.array(texts, pa.binary())], ["id", "held", "text"]))
 
 
 @dataclass
 class Chunk:
-    """What one chunk uses: distinct grams and words with their training counts (0: only held out)."""
+    """What one chunk uses: distinct grams and words with their training counts (0: only held out).
+
+    Both are arrays, added up every few slices.
+    """
 
     order: int
     size: int = 0
     grams: list = field(default_factory=list)
-    words: Counter = field(default_factory=Counter)
+    words: list = field(default_factory=list)
 
     def add(self, texts: list[bytes], held: list[bool]) -> list[bytes]:
         """Counts some texts and returns their streams."""
@@ -103,18 +128,16 @@ class Chunk:
             own = [x for x, h in zip(streams, held, strict=True) if h == some]
             unique, n = np.unique(grams_of(own, self.order)[0], return_counts=True)
             self.grams.append((unique, np.zeros_like(n) if some else n))
-            if some:
-                for w in set().union(*part, [END]):
-                    self.words[w] += 0
-            else:
-                for w in part:
-                    self.words.update(w)
-                self.words[END] += len(part)
+            words = [w for ws in part for w in ws] + [END] * len(part)
+            self.words.append(_counted(words, int(not some)))
         self.size += sum(map(len, texts))
-        if len(self.grams) > 8:
-            self.grams = [self.merged()]
+        if len(self.grams) > MERGE_AFTER:
+            self.grams, self.words = [self.merged()], [_sum_words(self.words)]
         return streams
 
+    def full(self, most: int) -> bool:
+        return self.size >= most or len(self.grams[0][0]) >= CHUNK_GRAMS or len(self.words[0]) >= CHUNK_WORDS
+
     def merged(self) -> tuple[np.ndarray, np.ndarray]:
         return _sum_by(*map(np.concatenate, zip(*self.grams, strict=True)))
 
@@ -123,16 +146,16 @@ class Chunk:
         step = 1 << 17
         for at in range(0, len(unique), step):
             yield _rows(schema, number, GRAMS, gram=unique[at : at + step], n=n[at : at + step])
-        words = list(self.words.items())
-        for at in range(0, len(words), step):
-            text, n = zip(*words[at : at + step], strict=True)
-            yield _rows(schema, number, WORDS, word=[w.decode() for w in text], n=n)
+        words = _sum_words(self.words)
+        for part in words.cast(pa.schema([("word", pa.string()), ("n", pa.int64())])).to_batches(step):
+            yield _rows(schema, number, WORDS, word=part["word"], n=part["n"])
 
 
 def _rows(schema: pa.Schema, number: int, kind: int, **columns) -> pa.RecordBatch:
     size = len(next(iter(columns.values())))
     given = {"chunk": np.full(size, number), "kind": np.full(size, kind, np.int32)} | columns
-    made = [pa.array(given[f.name], f.type) if f.name in given else pa.nulls(size, f.type) for f in schema]
+    ready = {k: v if isinstance(v, pa.Array) else pa.array(v, schema.field(k).type) for k, v in given.items()}
+    made = [ready[f.name] if f.name in ready else pa.nulls(size, f.type) for f in schema]
     return pa.RecordBatch.from_arrays(made, schema=schema)
 
 
@@ -154,7 +177,7 @@ def pack(docs: DataFrame, id_col: str, text_col: str, order: int, held: Column,
                 at += len(texts)
                 streams = chunk.add(texts, part.to_pylist())
                 yield _rows(schema, number, DOCS, docs=[pack_docs(ids, part, streams)])
-                if chunk.size >= chunk_bytes:
+                if chunk.full(chunk_bytes):
                     yield from chunk.rows(number, schema)
                     number, chunk = number + 1, Chunk(order)
         if chunk.grams:
@@ -186,36 +209,51 @@ def _context(col: str) -> Column:
 def code_lengths(grams: DataFrame, order: int) -> DataFrame:
     """(gram, value): log10 probability of the last byte of every distinct gram after the others.
 
-    ``grams`` has (gram, n); n is its count in training texts, possibly 0.
+    ``grams`` has (gram, n); n is its count in training texts, possibly 0. At most 252 grams share a context, and as many
+    a suffix, so sums over these are windows of bounded size.
     """
     every = stage(grams.groupBy("gram").agg(F.sum("n").alias("n")), "grams")
-    # levels[j]: (gram, n) with contexts of j bytes
-    levels: dict[int, DataFrame] = {order: every.filter("n > 0")}
-    for j in range(order - 1, -1, -1):
-        shorter = levels[j + 1].select(_low("gram", j + 1).alias("gram"), "n").groupBy("gram").agg(F.sum("n").alias("n"))
-        levels[j] = stage(shorter, f"grams_{j}")
+    # Per level (contexts of j bytes): gram, its count n, and below, the count of its suffix one level down.
+    levels: dict[int, DataFrame] = {}
+    rows = every.filter("n > 0")
+    for j in range(order, -1, -1):
+        if j:
+            shorter = _low("gram", j)
+            rows = rows.withColumn("shorter", shorter)
+            rows = rows.withColumn("m", F.sum("n").over(Window.partitionBy("shorter")))
+            levels[j] = stage(rows, f"grams_{j}")
+            # As many rows of a suffix as bytes come before it; they hold one sum.
+            rows = levels[j].groupBy(F.col("shorter").alias("gram")).agg(F.max("m").alias("n"))
+        else:
+            levels[0] = stage(rows.withColumn("m", F.lit(0).cast("long")), "grams_0")
 
     def contexts(j: int) -> DataFrame:
         """(ctx, total, distinct, below): below is what the bytes seen here count one level down."""
-        rows = levels[j].select("gram", "n", _context("gram").alias("ctx"))
-        if j:
-            down = levels[j - 1].select(F.col("gram").alias("shorter"), F.col("n").alias("m"))
-            rows = rows.withColumn("shorter", _low("gram", j)).join(down, "shorter")
-        else:
-            rows = rows.withColumn("m", F.lit(0).cast("long"))
         sums = [F.sum("n").alias("total"), F.count("*").alias("distinct"), F.sum("m").alias("below")]
-        return rows.groupBy("ctx").agg(*sums)
+        return levels[j].groupBy(_context("gram").alias("ctx")).agg(*sums)
 
-    open_rows = every.select("gram", *[F.lit(0.0).alias("value"), F.lit(0).cast("long").alias("out"), F.lit(0).cast("long").alias("seen")])
-    done = []
+    # Every gram of a training text has its value at the first level; the others are open.
+    own = Window.partitionBy("ctx")
+    first = levels[order].withColumn("ctx", _context("gram")).select(
+        "gram", "n", F.sum("n").over(own).alias("total"), F.count("*").over(own).alias("distinct")
+    )
+    done = [first.select("gram", F.log10(F.col("n") / (F.col("total") + F.col("distinct"))).alias("value"))]
+    nothing = F.lit(0).cast("long")
+    open_rows = every.filter("n = 0").select(
+        "gram", F.lit(0.0).alias("value"), nothing.alias("out"), nothing.alias("seen")
+    )
     for j in range(order, -1, -1):
-        here = levels[j].select(F.col("gram").alias("g"), F.col("n").alias("c"))
-        rows = open_rows.withColumn("g", _low("gram", j + 1)).join(here, "g", "left")
-        rows = rows.withColumn("ctx", _context("g")).join(contexts(j), "ctx", "left")
+        rows = open_rows.withColumn("g", _low("gram", j + 1)).withColumn("ctx", _context("g"))
+        if j < order:
+            rows = rows.join(levels[j].select(F.col("gram").alias("g"), F.col("n").alias("c")), "g", "left")
+        else:
+            rows = rows.withColumn("c", F.lit(None).cast("long"))
+        rows = rows.join(contexts(j), "ctx", "left")
         left, new = F.col("total") - F.col("out"), F.col("distinct") - F.col("seen")
         all_of = left + new
-        found = rows.filter("c IS NOT NULL")
-        done.append(found.select("gram", (F.col("value") + F.log10(F.col("c") / all_of)).alias("value")))
+        if j < order:
+            found = rows.filter("c IS NOT NULL")
+            done.append(found.select("gram", (F.col("value") + F.log10(F.col("c") / all_of)).alias("value")))
         escape = F.when(F.col("total").isNotNull() & (all_of > 0), F.log10(new / all_of)).otherwise(0.0)
         open_rows = rows.filter("c IS NULL").select(
             "gram",
@@ -254,16 +292,36 @@ class GramValues:
 
 
 class WordCounts:
-    """Training counts by word for whole slices, 0 for words that have none."""
+    """Training counts by word for whole slices, 0 for words that have none.
+
+    A count is the corpus's, so what the small table keeps holds for every chunk; the others are searched in the chunk's words.
+    """
 
     def __init__(self):
-        self.table = WordTable(SPACES, 0, "<u4", bits=21)
-        self.counts: dict[bytes, int] = {}
+        self.table = WordTable(SPACES, 0, "<u4", bits=17)
+        self.start()
+
+    def start(self) -> None:
+        self.parts: list[pa.Table] = []
+        self.whole: pa.Table | None = None
+
+    def add(self, part: pa.Table) -> None:
+        self.parts.append(part)
+
+    def _of_new(self, new: list[bytes]) -> np.ndarray:
+        if self.whole is None:
+            empty = pa.table({"word": pa.array([], pa.binary()), "c": pa.array([], pa.int64())})
+            self.whole, self.parts = pa.concat_tables([empty, *self.parts]).combine_chunks(), []
+        at = pc.index_in(pa.array(new, pa.binary()), value_set=self.whole["word"].combine_chunks())
+        counts = self.whole["c"].to_numpy()
+        known = at.is_valid().to_numpy(zero_copy_only=False)
+        out = np.zeros(len(new), np.int64)
+        out[known] = counts[at.drop_null().to_numpy()]
+        return out
 
     def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(words of each text, count of each word). A count is the corpus's, so it holds for every chunk."""
-        get = self.counts.get
-        per_text, n, _ = self.table.look_up(texts, lambda new: (np.array([get(w, 0) + 1 for w in new], np.int64), None))
+        """(words of each text, count of each word)."""
+        per_text, n, _ = self.table.look_up(texts, lambda new: (self._of_new(new) + 1, None))
         return per_text, n - 1
 
 
@@ -321,23 +379,15 @@ def pack_values(rows: pa.Table) -> bytes:
     return np.int64(len(gram)).tobytes() + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
 
-def unpack_values(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+def unpack_values(blob: pa.Buffer) -> tuple[np.ndarray, np.ndarray]:
     n = int(np.frombuffer(blob[:8], np.int64)[0])
-    planes = np.frombuffer(pa.decompress(blob[8:], 16 * n, codec="zstd", asbytes=True), np.uint8)
+    planes = np.frombuffer(pa.decompress(blob[8:], 16 * n, codec="zstd"), np.uint8)
     both = np.ascontiguousarray(planes.reshape(2, 8, n).transpose(0, 2, 1)).view(np.int64).reshape(2, n)
     return np.cumsum(both[0]), both[1].view(np.float64)
 
 
 def pack_counts(rows: pa.Table) -> bytes:
-    """The number of words, their counts, and the words with spaces between."""
-    words = b" ".join(rows["word"].cast(pa.binary()).to_pylist())
-    return np.int64(len(rows)).tobytes() + rows["c"].to_numpy().astype(np.int64).tobytes() + words
-
-
-def unpack_counts(blob: bytes) -> dict[bytes, int]:
-    n = int(np.frombuffer(blob[:8], np.int64)[0])
-    counts = np.frombuffer(blob[8 : 8 + 8 * n], np.int64).tolist()
-    return dict(zip(blob[8 + 8 * n :].split(b" "), counts, strict=True))
+    return packed_table(pa.table({"word": rows["word"].cast(pa.binary()), "c": rows["c"].cast(pa.int64())}))
 
 
 def ppm_scores(
@@ -380,17 +430,24 @@ def ppm_scores(
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, parts, known, words = None, [], None, WordCounts()
         for batch in batches:
-            for chunk, kind, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            chunks, kinds = batch.column("chunk").to_pylist(), batch.column("kind").to_pylist()
+            for i, (chunk, kind) in enumerate(zip(chunks, kinds, strict=True)):
+                # One row's bytes at a time, as a view of the batch.
+                blob = batch.column("docs")[i].as_buffer()
                 if chunk != now:
-                    now, parts, known, words.counts = chunk, [], None, {}
+                    now, parts, known = chunk, [], None
+                    words.start()
                 if kind == GRAMS:
                     parts.append(unpack_values(blob))
                 elif kind == WORDS:
-                    words.counts.update(unpack_counts(blob))
+                    words.add(unpacked_table(blob))
                 else:
                     if known is None:
-                        known, parts = GramValues(*map(np.concatenate, zip(*parts, strict=True))), []
-                    rows = unpack_docs(blob).combine_chunks()
+                        gram, value = map(np.concatenate, zip(*parts, strict=True))
+                        parts = []
+                        known = GramValues(gram, value)
+                        del gram, value
+                    rows = unpacked_table(blob)
                     made = score_slice(rows["text"].to_pylist(), known, words, ends, train, distinct, order)
                     columns = [rows["id"].combine_chunks(), rows["held"].combine_chunks()]
                     columns += [pa.array(x) for x in (made[0], made[1], np.full(len(rows), train), made[2], made[3])]

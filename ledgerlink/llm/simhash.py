@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlink.llm.common import components, fresh, per_text
+from ledgerlink.operators.keyed import attach
 from ledgerlink.staging import stage
 
 SEED = 42
@@ -21,6 +22,8 @@ SEED = 42
 CROWDED = 256
 # Up to this many crowded keys (24 bytes each) are sent to every task; more are joined.
 SENT_KEYS = 50_000
+# Fingerprints of one task before they become 64 rows each.
+SPREAD_ROWS = 8192
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -76,19 +79,26 @@ def distance(a: str, b: str) -> Column:
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
 
 
+def spread(fps: DataFrame) -> DataFrame:
+    """Fingerprints over as many tasks as their variants are work, not as their few bytes suggest."""
+    return fps.repartition(min(20_000, max(1, -(-fps.count() // SPREAD_ROWS))))
+
+
 def around_centres(fps: DataFrame, k: int, crowded: int) -> tuple[DataFrame, DataFrame | None]:
     """Fingerprints with the group they are already known to be in, and the crowded keys.
 
     Every member of a crowded key is compared with one centre, the fingerprint most documents have.
     """
-    grouped = variants(fps, k).groupBy("key")
-    keys = grouped.agg(F.count("*").alias("members"), F.max_by("fp", F.struct("n", "fp")).alias("centre"))
-    keys = stage(keys.filter(F.col("members") > crowded), "crowded_keys")
+    wide = variants(spread(fps), k)
+    keys = stage(wide.groupBy("key").agg(F.count("*").alias("members")).filter(F.col("members") > crowded), "crowded_keys")
     n = keys.count()
     if not n:
         return fps.withColumn("grp", F.col("fp")), None
     side = F.broadcast(keys) if n <= SENT_KEYS else keys
-    near = variants(fps, k).join(side, "key").filter((F.col("fp") != F.col("centre")) & (distance("fp", "centre") <= k))
+    centres = wide.join(side, "key").groupBy("key").agg(F.max_by("fp", F.struct("n", "fp")).alias("centre"))
+    keys = stage(centres, "centres_of_keys")
+    side = F.broadcast(keys) if n <= SENT_KEYS else keys
+    near = wide.join(side, "key").filter((F.col("fp") != F.col("centre")) & (distance("fp", "centre") <= k))
     known = components(near.select(F.col("fp").alias("a"), F.col("centre").alias("b")), "centres")
     known = known.select(F.col("node").alias("fp"), F.col("component").alias("grp"))
     labelled = fps.join(known, "fp", "left").withColumn("grp", F.coalesce("grp", "fp"))
@@ -102,7 +112,7 @@ def links(fps: DataFrame, k: int, crowded: int = CROWDED) -> DataFrame:
     centre's group are met with all members: the others are connected already.
     """
     labelled, keys = around_centres(fps.select("fp", "n"), k, crowded)
-    index = variants(labelled.select("fp", "grp"), k)
+    index = variants(spread(labelled.select("fp", "grp")), k)
     if keys is not None:
         main = keys.join(labelled.select(F.col("fp").alias("centre"), F.col("grp").alias("main")), "centre")
         main = main.select("key", "main")
@@ -147,11 +157,15 @@ def simhash_groups(
     fps = stage(fps, "distinct_fingerprints")
     linked = components(links(fps, distance_bits, crowded), "fingerprint_links")
     linked = linked.withColumnsRenamed({"node": "fp"})
-    joined = fps.join(linked, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    least = joined.groupBy("component").agg(F.min("least").alias("component_id"))
-    ids = stage(joined.join(least, "component").select("fp", "component_id"), "fingerprint_components")
+    joined = stage(fps.join(linked, "fp", "left"), "linked_fingerprints")
+    # One row per component of several fingerprints; rows meet it, and then theirs, by joins that spread hot keys.
+    found = joined.filter("component IS NOT NULL").groupBy("component")
+    least_of = stage(found.agg(F.min("least").alias("component_id"), F.count("*").alias("size")), "component_ids")
+    ids = attach(joined, least_of, ["component"], "size", ["fp"])
+    own = F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("component_id"))
+    ids = stage(ids.select("fp", "n", own.alias("component_id")), "fingerprint_components")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return printed.join(ids, "fp").select(id_col, hexed, "component_id")
+    return attach(printed, ids, ["fp"], "n", [id_col]).select(id_col, hexed, "component_id")
 
 
 def keep_one(

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -187,3 +188,60 @@ def test_registered_queries(spark, documents, word_library, piece_library):
     counts = {r.doc_id: r.n_tokens for r in QUERIES["op1_token_counts"](spark, SF).collect()}
     files = QUERIES["op7_token_files"](spark, SF).select("doc_id", (F.col("n_tokens") - 1).alias("n")).collect()
     assert counts == {r.doc_id: r.n for r in files} == {i: len(word_ids(word_library, t)) for i, t in rows.items()}
+
+
+def twins(n=1024):
+    """Two words of ``n`` letters in the pattern of parities and its opposite, which sums of powers cannot tell apart."""
+    bits = [bin(i).count("1") & 1 for i in range(n)]
+    return "".join("eq"[b] for b in bits), "".join("qe"[b] for b in bits)
+
+
+ALIKE = [*twins(), *twins(16), "a" * 24, "a" * 25, "a" * 24 + "b", "a" * 24 + "c", "a" * 8 + "b" * 8, "b" * 8 + "a" * 8, "ab", "abc", "b", "bc", "ab\x00", "ab"]
+
+
+@pytest.mark.parametrize("constant", [False, True])
+def test_words_are_told_apart_by_their_bytes(constant, monkeypatch, word_library, piece_library):
+    """Alike words, and all words under one hash: each still gets the library's result, also from a second slice."""
+    from ledgerlink.llm.common import WordTable
+    from ledgerlink.llm.ppm import WordCounts
+    from ledgerlink.llm.token_files import WIDTH, chunk_ids
+    from ledgerlink.llm.wordbpe import WordBpe
+
+    if constant:
+        monkeypatch.setattr(WordTable, "_hash", lambda self, keys, lengths: np.zeros(len(lengths), np.uint64))
+    rng = random.Random(3)
+    words = [*ALIKE, *("".join(rng.choice("abe") for _ in range(rng.randint(1, 30))) for _ in range(300))]
+    texts = [" ".join(rng.choices(words, k=50)) for _ in range(20)] + [" ".join(ALIKE)]
+    given = [t.encode() for t in texts]
+    with open(WORD, "rb") as f:
+        model = WordBpe(f.read())
+    with open(PIECE, "rb") as f:
+        pieces = PieceModel(f.read())
+    counts = WordCounts()
+    known = {w.encode(): i + 1 for i, w in enumerate(dict.fromkeys(words)) if i % 3}
+    counts.add(pa.table({"word": pa.array(list(known), pa.binary()), "c": pa.array(list(known.values()), pa.int64())}))
+    for _ in range(2):
+        per_text, n, flat = model.words(given, lambda new: chunk_ids(model, new, "<u2"), WIDTH, "<u2")
+        at = np.cumsum(np.r_[0, n])[np.cumsum(np.r_[0, per_text])]
+        assert [flat[a:b].tolist() for a, b in zip(at, at[1:])] == [word_ids(word_library, t) for t in texts]
+        ids = [np.frombuffer(x, "<u4").tolist() for x in pieces.encode(given)[0]]
+        assert ids == [piece_library.encode(t, add_bos=True, add_eos=True) for t in texts]
+        per_text, c = counts.of(given)
+        assert c.tolist() == [known.get(w, 0) for t in given for w in t.split()]
+
+
+@pytest.mark.parametrize("query_name", ["op1_token_counts", "op7_token_files", "op10_sentencepiece"])
+def test_alike_words_in_queries(spark, monkeypatch, query_name, word_library, piece_library):
+    texts = [" ".join(ALIKE), " ".join(reversed(ALIKE)), *ALIKE, "x " * 1_200_000 + ALIKE[1]]  # the last is longer than a slice
+    monkeypatch.setattr("ledgerlink.llm.queries.table", lambda *_: wide(spark, list(enumerate(texts))).coalesce(1))
+    got = {r.doc_id: r for r in QUERIES[query_name](spark, "").collect()}
+    for i, t in enumerate(texts):
+        if query_name == "op10_sentencepiece":
+            ids = piece_library.encode(t, add_bos=True, add_eos=True)
+            assert got[i].ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+            assert got[i].decoded_sha256 == hashlib.sha256(piece_library.decode(ids).encode()).hexdigest()
+        else:
+            ids = word_ids(word_library, t) + [2] * (query_name == "op7_token_files")
+            assert got[i].n_tokens == len(ids)
+            if query_name == "op7_token_files":
+                assert got[i].ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
