@@ -46,4 +46,6 @@ class MatchConfig:
     entity_id: str = "work_ein"
     special_id: str = "empr_ein"
     record_id: str = "input_order"
+    # Master tables are published in so many buckets of their id; a root keeps the number it began with.
+    master_buckets: int = 64
     limits: Limits = Limits()

@@ -28,8 +28,9 @@ def merge_insert(master: DataFrame, changes: DataFrame, spec: TableSpec) -> Data
 
 
 def merge(master: DataFrame, changes: DataFrame, spec: TableSpec, cfg: MatchConfig) -> DataFrame:
-    """Updates first, then inserts."""
-    return merge_insert(merge_update(master, changes, spec, cfg), changes, spec)
+    """Updates, and the inserts, which the change-set found missing in this very master: it is read once."""
+    inserts = changes.filter(F.col("db_oper_typ") == "I").select(*spec.columns)
+    return merge_update(master, changes, spec, cfg).unionByName(inserts)
 
 
 def change_counts(name: str, changes: DataFrame) -> DataFrame:

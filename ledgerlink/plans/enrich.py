@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerlink.config import MatchConfig
 from ledgerlink.functions.normalize import first_match, key, norm
@@ -18,6 +21,19 @@ from ledgerlink.operators.keyed import attach, distinct_keys, keep_first, restri
 from ledgerlink.sources import intake, publish
 from ledgerlink.staging import stage, stages_of
 
+REJECTS_CSV = "rejects_csv"
+
+
+# The field of ``Masters`` that holds each table.
+FIELD_OF = {
+    changeset.NAME.name: "names",
+    changeset.ADDRESS.name: "addresses",
+    changeset.SPECIAL.name: "special",
+    changeset.LINK.name: "links",
+    changeset.LINK_SOURCE.name: "link_sources",
+    changeset.LINK_TYPE.name: "link_types",
+}
+
 
 @dataclass(frozen=True)
 class Masters:
@@ -31,14 +47,65 @@ class Masters:
     link_types: DataFrame
 
     def tables(self) -> dict[str, DataFrame]:
-        return {
-            changeset.NAME.name: self.names,
-            changeset.ADDRESS.name: self.addresses,
-            changeset.SPECIAL.name: self.special,
-            changeset.LINK.name: self.links,
-            changeset.LINK_SOURCE.name: self.link_sources,
-            changeset.LINK_TYPE.name: self.link_types,
-        }
+        return {name: getattr(self, field) for name, field in FIELD_OF.items()}
+
+    def limited(self, records: DataFrame, cfg: MatchConfig) -> Masters:
+        """What may hold the ids of some records; everything where no layout is known."""
+        return self
+
+
+@dataclass(frozen=True)
+class PublishedMasters(Masters):
+    """Masters as a run published them, in buckets of their id, and the number of that run."""
+
+    spark: SparkSession
+    version: int
+    buckets: int
+    schemas: dict[str, StructType]
+    paths: dict[str, dict[int, str]]
+
+    def part(self, name: str, numbers: Iterable[int]) -> DataFrame:
+        """The rows of some buckets; the files of the others are not read, nor listed."""
+        own = self.paths[name]
+        return publish.read_paths(self.spark, self.schemas[name], [own[n] for n in numbers if n in own])
+
+    def limited(self, records: DataFrame, cfg: MatchConfig) -> Masters:
+        regular = publish.buckets_in(records, F.col(cfg.entity_id), self.buckets)
+        special_ids = publish.buckets_in(records, F.coalesce(cfg.special_id, F.lit("")), self.buckets)
+        numbers = {name: special_ids if name == changeset.SPECIAL.name else regular for name in FIELD_OF}
+        return Masters(**{f: self.part(name, numbers[name]) for name, f in FIELD_OF.items()})
+
+
+def read_masters(spark: SparkSession, root: str) -> PublishedMasters:
+    """The masters of the run published last; a run that uses them publishes only if none came between."""
+    row = publish.current(spark, root)
+    schemas = {name: StructType.fromJson(json.loads(row.schemas[name])) for name in FIELD_OF}
+    paths = {name: publish.bucket_paths(row, name) for name in FIELD_OF}
+    tables = {f: publish.read_paths(spark, schemas[n], list(paths[n].values())) for n, f in FIELD_OF.items()}
+    return PublishedMasters(**tables, spark=spark, version=row.seq, buckets=row.buckets, schemas=schemas, paths=paths)
+
+
+def write_masters(
+    masters: Masters, limited: Masters, changes: dict[str, DataFrame], folder: str, cfg: MatchConfig
+) -> tuple[dict[str, str], dict[str, object]]:
+    """Manifest paths of the six masters with their changes, and how they are laid out.
+
+    Of published masters only the buckets that have changes are read and written; the others stay where they are.
+    """
+    kept = isinstance(masters, PublishedMasters)
+    buckets = masters.buckets if kept else cfg.master_buckets
+    paths, schemas = {}, {}
+    for spec in changeset.TABLES:
+        name, key, old = spec.name, spec.key[0], limited.tables()[spec.name]
+        if kept:
+            touched = publish.buckets_in(changes[name], F.col(key), buckets)
+            paths |= {f"{name}/{n}": p for n, p in masters.paths[name].items()}
+            old = masters.part(name, touched)
+        merged = merge.merge(old, changes[name], spec, cfg)
+        schemas[name] = json.dumps(merged.schema.jsonValue())
+        if not kept or touched:
+            paths |= publish.write_buckets(merged, folder, name, key, buckets)
+    return paths, {"buckets": buckets, "schemas": schemas}
 
 
 def regular_outcome(
@@ -242,15 +309,19 @@ def run(
     root: str,
     cfg: MatchConfig,
     prefix: str = "EMPLOYERS",
+    retries: int = 0,
 ) -> RunResult | None:
     """Process one batch and publish its output and master snapshots under ``root``.
 
     None if there is nothing to match; if there were lines, all rejected, the attempt's folder still gets the rejects and
     the summary, while what is published stays as it was. Every attempt has its own folders, for what it publishes and for its stages, so
     neither a rerun nor a batch beside it touches what others wrote; the stages go when it ends. The published
-    outputs change only with the last step.
+    outputs change only with the last step, and only if no other run has published since the masters were read (since this
+    call began, if they are not from ``read_masters``): else ``publish.Conflict`` is raised. With ``retries``, published masters are
+    read again instead and the records, which stay staged, are matched with them.
     """
     attempt = uuid4().hex
+    version = masters.version if isinstance(masters, PublishedMasters) else publish.last(spark, root)
     with stages_of(spark, attempt):
         taken = intake.take_in(intake.read_lines(spark, input_path), cfg)
         if not taken.lines:
@@ -261,33 +332,67 @@ def run(
             nothing = spark.createDataFrame([], "cls string")
             summary = assemble.run_summary(nothing, taken.lines, taken.rejected)
             publish.write_snapshots({"rejects": taken.rejects, "summary": summary}, folder)
+            intake.write_rejects(taken.rejects, f"{folder}/{REJECTS_CSV}")
             return None
-        outcome = match(taken.records, masters, cfg)
-        main = stage(main_table(taken.records, outcome, cfg), "main")
-        changes = {name: stage(df, f"changes_{name}") for name, df in change_sets(main, masters, cfg).items()}
-        results = {
-            spec.name: merge.merge(masters.tables()[spec.name], changes[spec.name], spec, cfg)
-            for spec in changeset.TABLES
-        }
-        counts = [merge.change_counts(name, df) for name, df in changes.items()]
-        results |= {
-            "enriched": enriched(taken.records, outcome, cfg),
-            "rejects": taken.rejects,
-            "summary": assemble.run_summary(outcome, taken.lines, taken.rejected),
-            "changes": reduce(DataFrame.unionByName, counts),
-        }
-        paths = publish.write_snapshots(results, folder)
-        publish.publish(spark, root, label, attempt, cfg.run_ts, paths)
-
-    written = {name: spark.read.parquet(path) for name, path in paths.items()}
+        while True:
+            try:
+                paths, seq = _publish_batch(spark, taken, masters, version, root, label, attempt, cfg)
+                break
+            except publish.Conflict:
+                if not retries or not isinstance(masters, PublishedMasters):
+                    raise
+                masters, retries, attempt = read_masters(spark, root), retries - 1, uuid4().hex
+                version = masters.version
+
+    written = {name: spark.read.parquet(paths[name]) for name in ("enriched", "rejects", "summary", "changes")}
+    done = publish.published(spark, root, seq)
+    tables = {
+        name: publish.read_paths(
+            spark, StructType.fromJson(json.loads(done.schemas[name])), list(publish.bucket_paths(done, name).values())
+        )
+        for name in FIELD_OF
+    }
     return RunResult(
         label=label,
         attempt=attempt,
         output=written["enriched"],
-        tables={spec.name: written[spec.name] for spec in changeset.TABLES},
+        tables=tables,
         rejects=written["rejects"],
         summary=written["summary"],
         changes_by_table=written["changes"],
         lines=taken.lines,
         rejected=taken.rejected,
     )
+
+
+def _publish_batch(
+    spark: SparkSession,
+    taken: intake.Intake,
+    masters: Masters,
+    version: int,
+    root: str,
+    label: str,
+    attempt: str,
+    cfg: MatchConfig,
+) -> tuple[dict[str, str], int]:
+    """Match staged records with the masters of a version and publish the result as the next one."""
+    folder = f"{root}/snapshots/{label}/{attempt}"
+    if publish.last(spark, root) != version:
+        raise publish.Conflict(f"the masters read are those of run {version}")
+    limited = masters.limited(taken.records, cfg)
+    outcome = match(taken.records, limited, cfg)
+    main = stage(main_table(taken.records, outcome, cfg), "main")
+    changes = {name: stage(df, f"changes_{name}") for name, df in change_sets(main, limited, cfg).items()}
+    counts = [merge.change_counts(name, df) for name, df in changes.items()]
+    results = {
+        "enriched": enriched(taken.records, outcome, cfg),
+        "rejects": taken.rejects,
+        "summary": assemble.run_summary(outcome, taken.lines, taken.rejected),
+        "changes": reduce(DataFrame.unionByName, counts),
+    }
+    paths, layout = write_masters(masters, limited, changes, folder, cfg)
+    paths |= publish.write_snapshots(results, folder)
+    if taken.rejected:
+        paths[REJECTS_CSV] = f"{folder}/{REJECTS_CSV}"
+        intake.write_rejects(taken.rejects, paths[REJECTS_CSV])
+    return paths, publish.publish(spark, root, label, attempt, cfg.run_ts, paths, version, layout)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date, datetime
@@ -492,6 +493,45 @@ def _merged(spec: cs.TableSpec) -> Callable[[Case], DataFrame]:
     return build
 
 
+# --- masters in buckets
+
+
+def _publish_names(c: Case, names: DataFrame) -> tuple[str, dict[str, dict]]:
+    """A root whose only run published these names, and how they are laid out."""
+    root = c.scratch("root")
+    paths = publish.write_buckets(names, f"{root}/snapshots/first", "name", "empr_id", c.cfg.master_buckets)
+    layout = {"buckets": c.cfg.master_buckets, "schemas": {"name": json.dumps(names.schema.jsonValue())}}
+    publish.publish(c.spark, root, "first", "first", c.cfg.run_ts, paths, 0, layout)
+    return root, layout
+
+
+def _part(c: Case, root: str, like: DataFrame, touched: list[int]) -> DataFrame:
+    own = publish.bucket_paths(publish.current(c.spark, root), "name")
+    return publish.read_paths(c.spark, like.schema, [own[n] for n in touched if n in own])
+
+
+def key_filter_buckets(c: Case) -> DataFrame:
+    """``key_filter_semi`` on published masters: buckets without an id of the run are not read."""
+    known = c.fx["fx_name"]
+    root, _ = _publish_names(c, known)
+    ids = keyed.distinct_keys(c.lazy_regular.select(F.col("work_ein").alias("empr_id")), "empr_id")
+    touched = publish.buckets_in(ids, F.col("empr_id"), c.cfg.master_buckets)
+    return keyed.restrict(_part(c, root, known, touched), ids, ["empr_id"])
+
+
+def merge_by_bucket(c: Case) -> DataFrame:
+    """``merge_name`` on published masters: only buckets with changes are read and written, all are published together."""
+    known = cs.NAME.of(c.masters.names)
+    root, layout = _publish_names(c, known)
+    changes = stage(en.change_sets(c.main, c.masters, c.cfg)["name"], "changes")
+    touched = publish.buckets_in(changes, F.col("empr_id"), c.cfg.master_buckets)
+    merged = merge.merge(_part(c, root, known, touched), changes, cs.NAME, c.cfg)
+    new = publish.write_buckets(merged, f"{root}/snapshots/second", "name", "empr_id", c.cfg.master_buckets)
+    paths = {**publish.current(c.spark, root).paths, **new}
+    publish.publish(c.spark, root, "second", "second", c.cfg.run_ts, paths, 1, layout)
+    return publish.read_current(c.spark, root, "name").drop(*TIMES)
+
+
 _PLAIN = [
     src_text, parse_fixed_width, valid_split, rejects, src_partitioned, key_filter_semi,
     stage_roundtrip, patch_fixed_width, payload_rejoin, run_label, mask_invalid, validate_id,
@@ -502,7 +542,7 @@ _PLAIN = [
     addr_resolution, opt_addr_match, new_opt_addr, new_opt_seq, opt_resolution,
     table_indicator, special_seq, special_resolution, indicators, main_tmp, enriched_output,
     cs_name, cs_addr, cs_opt_addr, cs_link, cs_link_source, cs_link_type, merge_update,
-    merge_insert,
+    merge_insert, key_filter_buckets, merge_by_bucket,
 ]
 
 REUSING = replace(CFG, reuse_special=True)

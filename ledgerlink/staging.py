@@ -7,12 +7,17 @@ scorer in particular) is computed twice.
 
 from __future__ import annotations
 
+import os
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
+from dataclasses import dataclass
+from datetime import timedelta
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOT: dict[str, str] = {}
@@ -46,6 +51,97 @@ def exists(spark: SparkSession, path: str) -> bool:
     return store.exists(where)
 
 
+@dataclass(frozen=True)
+class Entry:
+    """A file or folder, when it was last changed (seconds), and its path without a scheme."""
+
+    name: str
+    path: str
+    folder: bool
+    changed: float
+
+
+def listed(spark: SparkSession, path: str) -> list[Entry]:
+    """What a folder holds; nothing if it does not exist."""
+    where, store = _path(spark, path)
+    if not store.exists(where):
+        return []
+    found = store.listStatus(where)
+    return [
+        Entry(f.getPath().getName(), f.getPath().toUri().getPath(), f.isDirectory(), f.getModificationTime() / 1000)
+        for f in found
+    ]
+
+
+def plain_path(spark: SparkSession, path: str) -> str:
+    """The path without its scheme, as ``listed`` gives it."""
+    return _path(spark, path)[0].toUri().getPath()
+
+
+def last_change(spark: SparkSession, path: str) -> float:
+    """When anything in a folder was last changed, the folder itself included."""
+    where, store = _path(spark, path)
+    changed = [store.getFileStatus(where).getModificationTime() / 1000]
+    return max([*changed, *(last_change(spark, _like(path, e)) if e.folder else e.changed for e in listed(spark, path))])
+
+
+def _like(path: str, entry: Entry) -> str:
+    return f"{path.rstrip('/')}/{entry.name}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    where, store = _path(spark, path)
+    store.delete(where, True)
+
+
+def create_once(spark: SparkSession, path: str, text: str, link: bool = True) -> bool:
+    """Make a file with this text, whole from the start; False if the name is taken.
+
+    Written under another name first and then moved there in one step that fails if the target exists: a hard link on a
+    file system of this machine (or one mounted there), else the store's rename without overwriting, which is atomic on
+    HDFS. Stores without such a rename give no protection.
+    """
+    where, store = _path(spark, path)
+    draft = f"{path.rsplit('/', 1)[0]}/_draft-{uuid.uuid4().hex}"
+    source = _path(spark, draft)[0]
+    out = store.create(source, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    jvm = spark._jvm
+    try:
+        if link and store.getUri().getScheme() == "file":
+            os.link(source.toUri().getPath(), where.toUri().getPath())
+        else:
+            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(store.getUri(), spark._jsc.hadoopConfiguration())
+            options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+            context.rename(source, where, options)
+    except FileExistsError:
+        return False
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+    finally:
+        store.delete(source, False)
+    return True
+
+
+def sweep_stages(spark: SparkSession, older_than: timedelta) -> list[str]:
+    """Remove the stages of runs and single calls in which nothing changed for so long, such as those of killed runs.
+
+    The age must be longer than the longest pause between two stages of a run.
+    """
+    limit, gone = time.time() - older_than.total_seconds(), []
+    top = f"{stage_root(spark)}/ledgerlink"
+    folders = [f"{top}/{e.name}" for e in listed(spark, top) if e.name != "single"]
+    folders += [f"{top}/single/{e.name}" for e in listed(spark, f"{top}/single")]
+    for folder in folders:
+        if last_change(spark, folder) < limit:
+            remove(spark, folder)
+            gone.append(folder)
+    return gone
+
+
 @contextmanager
 def stages_of(spark: SparkSession, run: str) -> Iterator[None]:
     """Stages written inside go to the run's own folder, which is removed at the end, however it ends."""
