@@ -8,21 +8,20 @@ merged into one of the next level, so a batch meets few runs however many batche
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
 from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlink.llm.common import lower_ascii
+from ledgerlink.llm.common import lower_ascii, setting
 from ledgerlink.operators.keyed import attach
 from ledgerlink.staging import stage, stage_path
 
 BATCHES = 4
 FAN_IN = 2
 MIN_CHARS = 10
+# Buckets of one file are read as sorted, as they were written.
 SORTED_SCAN = "spark.sql.legacy.bucketedTableScan.outputOrdering"
 
 
@@ -42,17 +41,6 @@ def row_key(doc: Column, text: Column) -> Column:
     return short_digest(F.concat(F.coalesce(doc.cast("string"), F.lit("-")), F.lit(":"), text))
 
 
-@contextmanager
-def sorted_scans(spark: SparkSession) -> Iterator[None]:
-    """Buckets of one file are read as sorted, as they were written."""
-    before = spark.conf.get(SORTED_SCAN, None)
-    spark.conf.set(SORTED_SCAN, "true")
-    try:
-        yield
-    finally:
-        spark.conf.unset(SORTED_SCAN) if before is None else spark.conf.set(SORTED_SCAN, before)
-
-
 class Runs:
     """Sorted runs of the hashes seen so far, by level. Tables of the session's catalog while in use."""
 
@@ -156,7 +144,7 @@ def line_dedup(
     lines = stage(keyed, "lines", by=["batch"])
     runs = Runs(spark, fan_in)
     try:
-        with sorted_scans(spark):
+        with setting(spark, SORTED_SCAN, "true"):
             drops = [repeated_lines(lines.filter(f"batch = {i}").drop("batch"), runs, i) for i in range(batches)]
     finally:
         runs.close()

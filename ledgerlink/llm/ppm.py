@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlink.llm.common import WordTable, id_type, slices, sums_by_text
+from ledgerlink.llm.common import WordTable, id_type, setting, slices, sums_by_text
 from ledgerlink.llm.rules import fold
 from ledgerlink.llm.wordbpe import SPACES
 from ledgerlink.staging import stage
@@ -39,6 +39,7 @@ SLICE_BYTES = 2 << 20
 SYMBOLS = 252
 END = b"\n"
 GRAMS, WORDS, DOCS = 0, 1, 2
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 CHUNK_FIELDS = "chunk bigint, kind int, gram bigint, word string, n bigint, docs binary"
 
 
@@ -453,4 +454,6 @@ def ppm_scores(
                     columns += [pa.array(x) for x in (made[0], made[1], np.full(len(rows), train), made[2], made[3])]
                     yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    return together.mapInArrow(run, schema)
+    # A row is up to a few megabytes here, and Spark counts rows, not bytes, when it sends them to Python.
+    with setting(docs.sparkSession, ARROW_ROWS, "8"):
+        return stage(together.mapInArrow(run, schema), "scores")

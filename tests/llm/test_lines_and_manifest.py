@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlink.llm import line_dedup as ld
+from ledgerlink.llm.common import setting
 from ledgerlink.llm.hard_negatives import hard_negatives, hard_negatives_sql, mine, pack_keys, relabelled, unpack_keys
 from ledgerlink.llm.line_dedup import line_dedup, line_dedup_sql
 from ledgerlink.llm.merkle import folded_root, merkle_audit, merkle_manifest, merkle_sql
@@ -169,7 +170,7 @@ def test_runs_are_merged_and_read_sorted(spark):
             runs.add(spark.range(10 * i, 10 * i + 10).select(F.md5(F.col("id").cast("string")).cast("binary").alias("h")))
         assert [len(x) for x in runs.levels] == [1, 0, 1]
         asked = spark.range(100).select(F.md5(F.col("id").cast("string")).cast("binary").alias("h"))
-        with ld.sorted_scans(spark):
+        with setting(spark, ld.SORTED_SCAN, "true"):
             left = runs.unseen(asked)
             assert left.count() == 50
             plan = left._jdf.queryExecution().executedPlan().toString()
