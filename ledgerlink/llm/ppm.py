@@ -33,13 +33,14 @@ CHUNK_BYTES = 32 << 20
 # A chunk ends before that if it has so many distinct grams or words (and what its last slice adds).
 CHUNK_GRAMS, CHUNK_WORDS = 1 << 20, 1 << 19
 # Slices whose counts are held apart until they are added up.
-MERGE_AFTER = 8
-SLICE_BYTES = 2 << 20
+MERGE_AFTER = 16
+SLICE_BYTES = 1 << 20
 # All bytes but six kinds of white space, then the space between words and the end.
 SYMBOLS = 252
 END = b"\n"
 GRAMS, WORDS, DOCS = 0, 1, 2
-ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+# Texts and packed rows go to Python in batches of so many bytes, not of 64 MB.
+ARROW_BYTES, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 CHUNK_FIELDS = "chunk bigint, kind int, gram bigint, word string, n bigint, docs binary"
 
 
@@ -338,7 +339,7 @@ def score_slice(streams: list[bytes], grams: GramValues, words: WordCounts, ends
 
 PACKED = "chunk bigint, kind int, docs binary"
 PACKED_ARROW = pa.schema([("chunk", pa.int64()), ("kind", pa.int32()), ("docs", pa.binary())])
-PACK_ROWS = 1 << 20
+PACK_ROWS = 1 << 19
 
 
 def packed_by_chunk(df: DataFrame, kind: int, pack_rows) -> DataFrame:
@@ -406,6 +407,11 @@ def ppm_scores(
     counts as not held out; other columns are not looked at. With no training rows every byte is
     equally likely. Tasks hold one chunk's distinct grams and words at a time, not the corpus's.
     """
+    with setting(docs.sparkSession, ARROW_BYTES, str(BATCH_BYTES)):
+        return _scored(docs, id_col, text_col, order, chunk_bytes)
+
+
+def _scored(docs: DataFrame, id_col: str, text_col: str, order: int, chunk_bytes: int) -> DataFrame:
     held = fold(id_col, FOLDS) == HELD_OUT
     packed = stage(pack(docs, id_col, text_col, order, held, chunk_bytes), "chunks")
     grams, words = packed.filter(f"kind = {GRAMS}"), packed.filter(f"kind = {WORDS}")
@@ -454,6 +460,4 @@ def ppm_scores(
                     columns += [pa.array(x) for x in (made[0], made[1], np.full(len(rows), train), made[2], made[3])]
                     yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    # A row is up to a few megabytes here, and Spark counts rows, not bytes, when it sends them to Python.
-    with setting(docs.sparkSession, ARROW_ROWS, "8"):
-        return stage(together.mapInArrow(run, schema), "scores")
+    return stage(together.mapInArrow(run, schema), "scores")
