@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlink.config import MatchConfig
@@ -28,9 +28,19 @@ def merge_insert(master: DataFrame, changes: DataFrame, spec: TableSpec) -> Data
 
 
 def merge(master: DataFrame, changes: DataFrame, spec: TableSpec, cfg: MatchConfig) -> DataFrame:
-    """Updates, and the inserts, which the change-set found missing in this very master: it is read once."""
-    inserts = changes.filter(F.col("db_oper_typ") == "I").select(*spec.columns)
-    return merge_update(master, changes, spec, cfg).unionByName(inserts)
+    """Updates and inserts in one pass over the master. A change-set has one row per key, so rows meet once at most."""
+    rows = F.struct(*[c for c in spec.rest if c in changes.columns]).alias("_row")
+    given = changes.select(*spec.key, F.col("db_oper_typ").alias("_op"), rows)
+    both = spec.of(master).withColumn("_known", F.lit(True)).join(given, list(spec.key), "full")
+    new = {"app_odate": F.lit(cfg.odate), "lu_ts": F.lit(cfg.run_ts)}
+
+    def value(c: str) -> Column:
+        stays = F.when(F.col("_op") == "U", new[c]).otherwise(F.col(c)) if c in new else F.col(c)
+        added = F.col("_row")[c] if c in changes.columns else F.lit(None)
+        return F.when(F.col("_known"), stays).otherwise(added).alias(c)
+
+    kept = both.filter(F.col("_known") | (F.col("_op") == "I"))
+    return kept.select(*spec.key, *[value(c) for c in spec.rest])
 
 
 def change_counts(name: str, changes: DataFrame) -> DataFrame:
