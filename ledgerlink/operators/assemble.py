@@ -165,16 +165,24 @@ def enriched_output(df: DataFrame) -> DataFrame:
     return df.select(*[shaped(o, s) for o, s in OUTPUT])
 
 
+def padded_id() -> Column:
+    """The id as the masters hold it."""
+    return F.rpad("work_ein", 9, " ")
+
+
 def main_tmp(df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """The main temp table; ids are padded to nine characters."""
-    padded = F.rpad("work_ein", 9, " ").alias("work_ein")
+    padded = padded_id().alias("work_ein")
     return df.select(*[padded if c == "work_ein" else F.col(c) for c in MAIN_COLUMNS], *extra)
 
 
+def packed_outcome(outcome: DataFrame, key: str) -> DataFrame:
+    return outcome.select(key, F.struct(*[c for c in outcome.columns if c != key]).alias("_out"))
+
+
 def join_outcome(df: DataFrame, outcome: DataFrame, key: str) -> DataFrame:
     """Every row of ``df`` with its outcome, packed into one column."""
-    packed = outcome.select(key, F.struct(*[c for c in outcome.columns if c != key]).alias("_out"))
-    return df.join(packed, key, "left")
+    return df.join(packed_outcome(outcome, key), key, "left")
 
 
 def take_outcome(df: DataFrame) -> DataFrame:

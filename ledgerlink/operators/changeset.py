@@ -171,6 +171,36 @@ def link_type_rows(links: DataFrame) -> DataFrame:
     return links.drop("certd_stdt").withColumn("addr_typ_cd", F.lit(ADDRESS_TYPE))
 
 
+def deciding_records(outcome: DataFrame, cfg: MatchConfig) -> DataFrame:
+    """Ids of the records that change-sets can take rows from: the first of each number of an id, and of each link.
+
+    Found from the numbers alone, by minima that are aggregated before the shuffle; no record is sorted, nothing of its
+    text is read. Change-sets of these records and of all records are the same.
+    """
+    rid, pseudo = cfg.record_id, F.col("cls") == PSEUDO
+    name, addr, opt = F.col("empr_name_pntr"), F.col("empr_addr_pntr"), F.col("empr_opt_addr_pntr")
+    numbered = outcome.filter((pseudo & (addr > 0)) | ((F.col("empr_table_ind") != "O") & ((name > 0) | (addr > 0) | (opt > 0))))
+    # Records of one id mostly repeat a few combinations, so these come first.
+    together = numbered.groupBy(pseudo.alias("_pseudo"), "master_id", name.alias("_name"), addr.alias("_addr"), opt.alias("_opt"))
+    together = together.agg(F.min(rid).alias(rid))
+    name, addr, opt, pseudo = F.col("_name"), F.col("_addr"), F.col("_opt"), F.col("_pseudo")
+
+    def part(kind: str, applies: Column, *numbers: Column) -> Column:
+        return F.when(applies, F.struct(F.lit(kind).alias("kind"), F.array(*numbers).alias("numbers")))
+
+    parts = F.array(
+        part("special", pseudo & (addr > 0), addr),
+        part("name", ~pseudo & (name > 0), name),
+        part("address", ~pseudo & (addr > 0), addr),
+        part("optional", ~pseudo & (opt > 0), opt),
+        part("link", ~pseudo & (name > 0) & (addr > 0), name, addr),
+    )
+    each = together.select(rid, "master_id", F.explode(F.array_compact(parts)).alias("_part"))
+    each = each.select(rid, "master_id", "_part.kind", F.col("_part.numbers")[0].alias("a"), F.get("_part.numbers", F.lit(1)).alias("b"))
+    firsts = each.groupBy("kind", "master_id", "a", "b").agg(F.min(rid).alias(rid))
+    return firsts.select(rid).distinct()
+
+
 def change_set(
     src: DataFrame, master: DataFrame, spec: TableSpec, cfg: MatchConfig, no_update: str | None = None
 ) -> DataFrame:

@@ -23,6 +23,14 @@ def small(df: DataFrame, limits: Limits) -> bool:
     return size.rows <= limits.broadcast_rows and size.bytes <= limits.broadcast_bytes
 
 
+def lookup_side(df: DataFrame, limits: Limits) -> DataFrame:
+    """``df`` (staged, unique on its key) as the side of a join that is looked up: sent whole if small, else hashed by partition.
+
+    Neither sorts the other side.
+    """
+    return F.broadcast(df) if small(df, limits) else df.hint("shuffle_hash")
+
+
 def distinct_keys(df: DataFrame, *cols: str) -> DataFrame:
     return df.select(*cols).distinct()
 

@@ -17,7 +17,7 @@ from ledgerlink.functions.normalize import first_match, key, norm
 from ledgerlink.operators import addresses, assemble, changeset, merge, names, special
 from ledgerlink.operators.backfill import linked_names
 from ledgerlink.operators.classify import PSEUDO, REGULAR, classify, unknown_outcome
-from ledgerlink.operators.keyed import attach, distinct_keys, keep_first, restrict
+from ledgerlink.operators.keyed import attach, distinct_keys, keep_first, lookup_side, restrict
 from ledgerlink.sources import intake, publish
 from ledgerlink.staging import stage, stages_of
 
@@ -126,6 +126,7 @@ def regular_outcome(
         rid,
         "cls",
         F.col(cfg.entity_id).alias("empr_id"),
+        assemble.padded_id().alias("master_id"),
         F.when(F.length(nm) > 0, nm).alias("nm"),
         *[key(F.col(c)).alias(c) for c in place],
         *[F.when(opt != "", key(F.col(c))).alias(c) for c in opt_cols],
@@ -150,6 +151,7 @@ def regular_outcome(
     return rows.select(
         rid,
         "cls",
+        "master_id",
         F.when(filled, col("link_nm_snum")).otherwise(F.coalesce("nm_snum", lit(0))).alias("empr_name_pntr"),
         F.coalesce("addr_snum", lit(0)).alias("empr_addr_pntr"),
         F.coalesce("opt_snum", lit(0)).alias("empr_opt_addr_pntr"),
@@ -186,6 +188,7 @@ def special_outcome(records: DataFrame, special_tab: DataFrame, cfg: MatchConfig
     return attach(rows, table, special.ON, "n", [cfg.record_id], cfg.limits).select(
         cfg.record_id,
         "cls",
+        F.col("empr_idfr").alias("master_id"),
         F.coalesce("empr_snum", F.lit(0)).alias("empr_addr_pntr"),
         F.lit("O").alias("empr_table_ind"),
         F.when(F.col("vald_ein_cd") == "I", "X").otherwise("N").alias("empr_addr_ind"),
@@ -253,11 +256,25 @@ def enriched(records: DataFrame, outcome: DataFrame, cfg: MatchConfig) -> DataFr
 
 def main_table(records: DataFrame, outcome: DataFrame, cfg: MatchConfig) -> DataFrame:
     """The main temp table with what the change-sets need beside it."""
-    narrow = records.drop("value")
-    done = assemble.take_outcome(assemble.join_outcome(narrow, outcome, cfg.record_id))
-    return assemble.main_tmp(
-        done, [cfg.record_id, "cls", cfg.special_id, *assemble.CHANGE_COLUMNS]
-    )
+    return _main_rows(assemble.join_outcome(records.drop("value"), outcome, cfg.record_id), cfg)
+
+
+def _main_rows(joined: DataFrame, cfg: MatchConfig) -> DataFrame:
+    extra = [cfg.record_id, "cls", cfg.special_id, *assemble.CHANGE_COLUMNS]
+    return assemble.main_tmp(assemble.take_outcome(joined), extra)
+
+
+def deciding_table(records: DataFrame, outcome: DataFrame, cfg: MatchConfig) -> DataFrame:
+    """``main_table`` of only the records that decide the change-sets: one for each number and link at most.
+
+    All records meet their ids in two joins that sort neither records nor outcomes; what is left is as large as the
+    numbered entities, however many records repeat them.
+    """
+    rid = cfg.record_id
+    firsts = stage(changeset.deciding_records(outcome, cfg), "deciding")
+    told = stage(outcome.join(lookup_side(firsts, cfg.limits), rid, "left_semi"), "deciding_outcome")
+    packed = assemble.packed_outcome(lookup_side(told, cfg.limits), rid)
+    return _main_rows(records.drop("value").join(packed, rid), cfg)
 
 
 def link_pairs(main: DataFrame, cfg: MatchConfig) -> DataFrame:
@@ -271,7 +288,7 @@ def link_pairs(main: DataFrame, cfg: MatchConfig) -> DataFrame:
 def change_sets(
     main: DataFrame, masters: Masters, cfg: MatchConfig
 ) -> dict[str, DataFrame]:
-    """One change-set per master table, from the main temp table (staged)."""
+    """One change-set per master table, from the main temp table (staged), or its deciding rows."""
     cs, pairs = changeset, link_pairs(main, cfg)
     return {
         cs.SPECIAL.name: cs.change_set(cs.special_rows(main, cfg), masters.special, cs.SPECIAL, cfg),
@@ -381,7 +398,7 @@ def _publish_batch(
         raise publish.Conflict(f"the masters read are those of run {version}")
     limited = masters.limited(taken.records, cfg)
     outcome = match(taken.records, limited, cfg)
-    main = stage(main_table(taken.records, outcome, cfg), "main")
+    main = stage(deciding_table(taken.records, outcome, cfg), "main")
     changes = {name: stage(df, f"changes_{name}") for name, df in change_sets(main, limited, cfg).items()}
     counts = [merge.change_counts(name, df) for name, df in changes.items()]
     results = {

@@ -123,7 +123,7 @@ class Case:
 
     @cached_property
     def main(self) -> DataFrame:
-        return stage(en.main_table(self.records, self.outcome, self.cfg), "main")
+        return stage(en.deciding_table(self.records, self.outcome, self.cfg), "main")
 
     @cached_property
     def pairs(self) -> DataFrame:
@@ -421,7 +421,7 @@ def special_seq(c: Case) -> DataFrame:
 
 
 def special_resolution(c: Case) -> DataFrame:
-    return en.special_outcome(c.records, c.special, c.cfg).drop("cls")
+    return en.special_outcome(c.records, c.special, c.cfg).drop("cls", "master_id")
 
 
 def indicators(c: Case) -> DataFrame:
