@@ -19,7 +19,7 @@ from ledgerlink.operators.backfill import linked_names
 from ledgerlink.operators.classify import PSEUDO, REGULAR, classify, unknown_outcome
 from ledgerlink.operators.keyed import attach, distinct_keys, keep_first, lookup_side, restrict
 from ledgerlink.sources import intake, publish
-from ledgerlink.staging import stage, stages_of
+from ledgerlink.staging import file_marks, part_of_job, stage, stages_of
 
 REJECTS_CSV = "rejects_csv"
 
@@ -327,6 +327,7 @@ def run(
     cfg: MatchConfig,
     prefix: str = "EMPLOYERS",
     retries: int = 0,
+    job: str | None = None,
 ) -> RunResult | None:
     """Process one batch and publish its output and master snapshots under ``root``.
 
@@ -336,11 +337,16 @@ def run(
     outputs change only with the last step, and only if no other run has published since the masters were read (since this
     call began, if they are not from ``read_masters``): else ``publish.Conflict`` is raised. With ``retries``, published masters are
     read again instead and the records, which stay staged, are matched with them.
+
+    ``job`` names the batch: if it fails, its finished stages stay, and the next call of that name, with the same files,
+    settings and library, goes on after them (matching only with the masters of the same published run; others are matched again).
     """
     attempt = uuid4().hex
     version = masters.version if isinstance(masters, PublishedMasters) else publish.last(spark, root)
-    with stages_of(spark, attempt):
-        taken = intake.take_in(intake.read_lines(spark, input_path), cfg)
+    lines = intake.read_lines(spark, input_path)
+    made_of = {"files": file_marks(spark, lines.inputFiles()), "settings": repr(cfg)} if job else None
+    with stages_of(spark, f"job-{job}" if job else attempt, made_of):
+        taken = intake.take_in(lines, cfg)
         if not taken.lines:
             return None
         label = publish.label_of_file(spark, taken.first_file, cfg.run_ts, prefix)
@@ -396,6 +402,7 @@ def _publish_batch(
     folder = f"{root}/snapshots/{label}/{attempt}"
     if publish.last(spark, root) != version:
         raise publish.Conflict(f"the masters read are those of run {version}")
+    part_of_job(f"masters-{version}" if isinstance(masters, PublishedMasters) else attempt)
     limited = masters.limited(taken.records, cfg)
     outcome = match(taken.records, limited, cfg)
     main = stage(deciding_table(taken.records, outcome, cfg), "main")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlink.config import MatchConfig
 from ledgerlink.sources.layout import parse
-from ledgerlink.staging import stage
+from ledgerlink.staging import stage_noted
 
 MIN_LENGTH = 2
 REJECT_REASON = "EOF marker or empty record"
@@ -163,11 +163,9 @@ def take_in(lines: DataFrame, cfg: MatchConfig) -> Intake:
     )
     numbered = watched.select("value", F.monotonically_increasing_id().alias(cfg.record_id))
     marked = matchable(numbered, cfg).withColumn("_rejected", short)
-    both = stage(marked, "lines", by=["_rejected"])
+    both, found = stage_noted(marked, "lines", lambda: dict(seen.get), by=["_rejected"])
     return Intake(
         records=both.filter(~F.col("_rejected")).drop("_rejected"),
         rejects=split_valid(both.filter("_rejected"))[1],
-        lines=seen.get["lines"],
-        rejected=seen.get["rejected"],
-        first_file=seen.get["first_file"],
+        **found,
     )

@@ -7,14 +7,16 @@ scorer in particular) is computed twice.
 
 from __future__ import annotations
 
+import json
 import os
 import tempfile
 import time
 import uuid
-from collections.abc import Iterator, Sequence
+from collections import Counter
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import timedelta
 
 from py4j.protocol import Py4JJavaError
@@ -24,6 +26,22 @@ _LOCAL_ROOT: dict[str, str] = {}
 _RUN: ContextVar[str | None] = ContextVar("run", default=None)
 
 
+@dataclass
+class Journal:
+    """Which stages of a job are finished: one small file each, named by its part of the job, its name and its turn."""
+
+    folder: str
+    part: str = "start"
+    turns: Counter = field(default_factory=Counter)
+
+    def entry(self, name: str) -> str:
+        self.turns[self.part, name] += 1
+        return f"{self.folder}/{self.part}-{name}-{self.turns[self.part, name]}.json"
+
+
+_JOURNAL: ContextVar[Journal | None] = ContextVar("journal", default=None)
+
+
 def stage_root(spark: SparkSession) -> str:
     """The shared folder of the cluster, from ``spark.checkpoint.dir``.
 
@@ -142,16 +160,51 @@ def sweep_stages(spark: SparkSession, older_than: timedelta) -> list[str]:
     return gone
 
 
+class OtherJob(ValueError):
+    """A job of this name began with other input or settings."""
+
+
 @contextmanager
-def stages_of(spark: SparkSession, run: str) -> Iterator[None]:
-    """Stages written inside go to the run's own folder, which is removed at the end, however it ends."""
-    token = _RUN.set(run)
+def stages_of(spark: SparkSession, run: str, made_of: Mapping[str, object] | None = None) -> Iterator[None]:
+    """Stages written inside go to the run's own folder, which is removed at the end, however it ends.
+
+    With ``made_of`` (what the stages depend on) the folder stays if the run fails, and a run of the same name takes up the
+    stages that were finished. ``OtherJob`` is raised if that one was made of something else. Steps between
+    stages must be the same each time they are run. Of two runs of one name at once, the first to finish a stage decides it for both,
+    and the first to end takes the folder away, which ends the other.
+    """
+    folder = f"{stage_root(spark)}/ledgerlink/{run}"
+    journal = None if made_of is None else Journal(f"{folder}/journal")
+    if journal:
+        text = json.dumps(made_of, sort_keys=True, default=str)
+        if not create_once(spark, f"{journal.folder}/job.json", text) and _text(spark, f"{journal.folder}/job.json") != text:
+            raise OtherJob(f"job {run} began with other input or settings; name this one otherwise")
+    tokens = _RUN.set(run), _JOURNAL.set(journal)
+    failed = True
     try:
         yield
+        failed = False
     finally:
-        _RUN.reset(token)
-        where, store = _path(spark, f"{stage_root(spark)}/ledgerlink/{run}")
-        store.delete(where, True)
+        _RUN.reset(tokens[0])
+        _JOURNAL.reset(tokens[1])
+        if not (failed and journal):
+            remove(spark, folder)
+
+
+def part_of_job(name: str) -> None:
+    """The stages that follow belong to another part of the job: they are taken up only by the same part."""
+    if journal := _JOURNAL.get():
+        journal.part = name
+
+
+def _text(spark: SparkSession, path: str) -> str:
+    return spark.read.text(path, wholetext=True).first().value
+
+
+def file_marks(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, int, int]]:
+    """Path, bytes and time of the last change of files."""
+    status = (store.getFileStatus(where) for where, store in (_path(spark, p) for p in sorted(paths)))
+    return [(f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in status]
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
@@ -161,8 +214,20 @@ def stage_path(spark: SparkSession, name: str) -> str:
 
 def stage(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` and continue from the written copy, in a folder no other stage has."""
-    spark = df.sparkSession
-    path = stage_path(spark, name)
-    df.write.partitionBy(*by).parquet(path)
+    return stage_noted(df, name, dict, by)[0]
+
+
+def stage_noted(df: DataFrame, name: str, note: Callable[[], dict], by: Sequence[str] = ()) -> tuple[DataFrame, dict]:
+    """``stage``, and what was found while writing it (a small JSON object), which is kept with a finished stage."""
+    spark, journal = df.sparkSession, _JOURNAL.get()
+    entry = journal.entry(name) if journal else None
+    if entry and exists(spark, entry):
+        done = json.loads(_text(spark, entry))
+    else:
+        done = {"path": stage_path(spark, name)}
+        df.write.partitionBy(*by).parquet(done["path"])
+        done["note"] = note()
+        if entry and not create_once(spark, entry, json.dumps(done)):
+            done = json.loads(_text(spark, entry))
     columns = [c for c in df.columns if c not in by]
-    return spark.read.schema(df.select(*columns, *by).schema).parquet(path)
+    return spark.read.schema(df.select(*columns, *by).schema).parquet(done["path"]), done["note"]
