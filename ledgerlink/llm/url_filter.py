@@ -1,9 +1,9 @@
 """URL filters: host and path rules, and a tree of path templates for what no rule decides.
 
 All of it is DataFrame expressions. Per host, a segment that holds too small a share of the pages under its
-prefix becomes a wildcard, level by level. Pages that a rule decides are the labelled ones; templates of one host with
-the same shape and a similar blocked share are merged, and a template is rejected if the smoothed
-share of blocked pages among its labelled ones is high.
+prefix becomes a wildcard, level by level. Pages that a rule decides are the labelled ones; templates that differ in their last
+literal segment only are branches of one parent, and those whose blocked shares do not differ by a test on their counts are merged.
+A template is rejected if the smoothed share of blocked pages among the labelled ones it was merged with is high.
 """
 
 from __future__ import annotations
@@ -36,11 +36,13 @@ RULES = (
     Rule("net", "/es/", "block"),
     Rule("net", "/fr/", "block"),
 )
-# Levels of the tree in the SQL; with a limit, deeper segments are not told apart.
+# So many levels are found in one plan; deeper ones are staged round by round.
 LEVELS = 3
-# A segment stands for itself with this many pages and one of this many parts of its prefix's pages.
+# A segment stands for itself with this many pages and one of this many parts of its prefix's pages, so a parent has at most
+# that many literal branches.
 LITERAL_PAGES, LITERAL_PART = 3, 20
-BANDS = 5
+# Two blocked shares differ if the square of the two-proportion statistic is above this (5 % level).
+ALIKE = 3.84
 REJECT = 0.8
 
 
@@ -67,12 +69,15 @@ def segments() -> Column:
     return F.when(F.col("path") == "", F.array().cast("array<string>")).otherwise(F.split(F.expr("substring(path, 2)"), "/"))
 
 
-def one_level(rows: DataFrame, level: int) -> DataFrame:
-    """``rows`` with one more segment, or wildcard, in ``template`` and ``shape``."""
-    segment = F.get(segments(), F.lit(level))
-    # Digits only are variable wherever they stand.
-    own = F.when(~segment.rlike("^[0-9]+$"), segment)
-    rows = rows.withColumn("_more", segment.isNotNull()).withColumn("_own", own)
+def own_segment(segment: Column) -> Column:
+    """Digits only are variable wherever they stand."""
+    return F.when(~segment.rlike("^[0-9]+$"), segment)
+
+
+def one_level(rows: DataFrame) -> DataFrame:
+    """``rows`` with one more segment, or wildcard, in ``template`` and ``shape``; ``_at`` counts those that are in."""
+    segment = F.get(segments(), F.col("_at"))
+    rows = rows.withColumn("_more", segment.isNotNull()).withColumn("_own", own_segment(segment))
     under = rows.filter("_more").groupBy("template", "_own").agg(F.count("*").alias("n"))
     of = under.groupBy("template").agg(F.sum("n").alias("total"))
     literal = under.filter("_own IS NOT NULL").join(of, "template")
@@ -80,53 +85,111 @@ def one_level(rows: DataFrame, level: int) -> DataFrame:
     literal = literal.select("template", "_own", F.col("_own").alias("_literal"))
     rows = rows.join(literal, ["template", "_own"], "left")
     step = F.coalesce("_literal", F.lit("*"))
-    rows = rows.withColumn("template", F.when(F.col("_more"), F.concat("template", F.lit("/"), step)).otherwise(F.col("template")))
     mark = F.when(F.col("_literal").isNotNull(), "/#").otherwise("/*")
-    rows = rows.withColumn("shape", F.when(F.col("_more"), F.concat("shape", mark)).otherwise(F.col("shape")))
+    rows = rows.withColumns(
+        {
+            "template": F.when(F.col("_more"), F.concat("template", F.lit("/"), step)).otherwise(F.col("template")),
+            "shape": F.when(F.col("_more"), F.concat("shape", mark)).otherwise(F.col("shape")),
+            "_at": F.when(F.col("_more"), F.col("_at") + 1).otherwise(F.col("_at")),
+        }
+    )
     return rows.drop("_more", "_own", "_literal")
 
 
-def templates(pages: DataFrame, levels: int | None) -> DataFrame:
+def common_run(first: Column, last: Column) -> Column:
+    """The segments that the first and the last of some sorted paths begin with, and so all between."""
+    same = F.zip_with(first, last, lambda x, y: F.coalesce(x == y, F.lit(False)))
+    end = F.array_position(same, False).cast("int")
+    return F.slice(first, F.lit(1), F.when(end == 0, F.size(same)).otherwise(end - 1))
+
+
+def templates(pages: DataFrame) -> DataFrame:
     """``pages`` with ``template`` (host and segments or wildcards) and ``shape`` (which are which), staged.
 
-    With ``levels`` None the tree ends where its paths do. A template with fewer pages below it than a literal segment needs has
-    only wildcards from there on, so the rounds end at the last level that still has a choice.
+    The tree ends where its paths do. A template with fewer pages below it than a literal segment needs has only wildcards from
+    there on, and segments that all pages of a template share are taken in one step, so beyond ``LEVELS`` there are as many rounds
+    as places on one path where pages part or end.
     """
-    rows = pages.withColumn("template", F.col("host")).withColumn("shape", F.lit(""))
-    level = LEVELS if levels is None else levels
-    for i in range(level):
-        rows = one_level(rows, i)
-    deeper = F.size(segments()) > level
-    if levels is not None:
-        for c in ("template", "shape"):
-            rows = rows.withColumn(c, F.when(deeper, F.concat(c, F.lit("/**"))).otherwise(F.col(c)))
-        return stage(rows, "templates")
-    rows = stage(rows, "templates")
-    done = rows.filter(~deeper)
-    rows = rows.filter(deeper)
+    rows = pages.withColumns({"template": F.col("host"), "shape": F.lit(""), "_at": F.lit(0)})
+    for _ in range(LEVELS):
+        rows = one_level(rows)
+    rows, deeper = stage(rows, "templates"), F.size(segments()) > F.col("_at")
+    done, rows = rows.filter(~deeper), rows.filter(deeper)
     while not rows.isEmpty():
-        counted = rows.groupBy("template").agg(F.count("*").alias("_below"))
-        rows = rows.join(counted, "template")
-        rest = F.repeat(F.lit("/*"), F.size(segments()) - level)
-        few = rows.filter(F.col("_below") < LITERAL_PAGES).drop("_below")
+        left = F.slice(segments(), F.col("_at") + 1, F.size(segments()))
+        under = rows.groupBy("template").agg(F.count("*").alias("_below"), F.min(left).alias("_first"), F.max(left).alias("_last"))
+        under = under.select("template", "_below", common_run(F.col("_first"), F.col("_last")).alias("_run"))
+        rows = rows.join(under, "template")
+        rest = F.repeat(F.lit("/*"), F.size(segments()) - F.col("_at"))
+        few = rows.filter(F.col("_below") < LITERAL_PAGES).drop("_below", "_run")
         few = few.withColumns({c: F.concat(c, rest) for c in ("template", "shape")})
-        rows = stage(one_level(rows.filter(F.col("_below") >= LITERAL_PAGES).drop("_below"), level), "deep_templates")
-        level += 1
-        deeper = F.size(segments()) > level
+        steps = F.transform("_run", lambda s: F.concat(F.lit("/"), F.coalesce(own_segment(s), F.lit("*"))))
+        marks = F.transform("_run", lambda s: F.when(own_segment(s).isNull(), "/*").otherwise("/#"))
+        many = rows.filter(F.col("_below") >= LITERAL_PAGES).withColumns(
+            {
+                "template": F.concat("template", F.array_join(steps, "")),
+                "shape": F.concat("shape", F.array_join(marks, "")),
+                "_at": F.col("_at") + F.size("_run"),
+            }
+        )
+        rows = stage(one_level(many.drop("_below", "_run")), "deep_templates")
         done = done.unionByName(few).unionByName(rows.filter(~deeper))
         rows = rows.filter(deeper)
-    return done
+    return done.drop("_at")
+
+
+def family() -> Column:
+    """The template without its last literal segment: what branches of one parent share, at most ``LITERAL_PART`` of them.
+
+    Neither hosts nor paths hold a ``#``, so the mark is no segment.
+    """
+    marks = F.split("shape", "/")
+    last = F.size(marks) - F.array_position(F.reverse(marks), "#")
+    literal = F.array_contains(marks, "#")
+    steps = F.transform(F.split("template", "/"), lambda s, i: F.when(literal & (i == last), "#").otherwise(s))
+    return F.array_join(steps, "/")
+
+
+def differ(n: Column, b: Column, m: Column, c: Column) -> Column:
+    """Whether ``b`` of ``n`` and ``c`` of ``m`` are different shares, without a division."""
+    n, b, m, c = (x.cast("double") for x in (n, b, m, c))
+    gap = b * m - c * n
+    return gap * gap * (n + m) > F.lit(ALIKE) * (b + c) * (n + m - b - c) * n * m
+
+
+def merged_branches(stats: DataFrame) -> DataFrame:
+    """(template, labelled, blocked): each template with the counts of the branches it is merged with.
+
+    The branches of a parent are taken by falling share, the larger first among equals; one joins the run before it unless its share differs from the
+    whole run's. A parent has a bounded number of branches, so a run is found within one row.
+    """
+    share = F.col("blocked").cast("double") / F.col("labelled")
+    branch = F.struct((-share).alias("order"), (-F.col("labelled")).alias("size"), "template", "labelled", "blocked")
+    rows = stats.groupBy("host", "shape", family().alias("_family")).agg(F.array_sort(F.collect_list(branch)).alias("_branches"))
+    run = "array<struct<labelled: bigint, blocked: bigint, templates: array<string>>>"
+
+    def join(runs: Column, new: Column) -> Column:
+        alone = F.struct(new["labelled"].alias("labelled"), new["blocked"].alias("blocked"), F.array(new["template"]).alias("templates"))
+        old = F.element_at(runs, -1)
+        both = F.struct(
+            (old["labelled"] + new["labelled"]).alias("labelled"),
+            (old["blocked"] + new["blocked"]).alias("blocked"),
+            F.concat(old["templates"], F.array(new["template"])).alias("templates"),
+        )
+        begins = (F.size(runs) == 0) | differ(old["labelled"], old["blocked"], new["labelled"], new["blocked"])
+        before = F.slice(runs, F.lit(1), F.greatest(F.size(runs) - 1, F.lit(0)))
+        return F.when(begins, F.concat(runs, F.array(alone))).otherwise(F.concat(before, F.array(both))).cast(run)
+
+    runs = rows.select(F.explode(F.aggregate("_branches", F.array().cast(run), join)).alias("_run"))
+    return runs.select(F.explode("_run.templates").alias("template"), "_run.labelled", "_run.blocked")
 
 
 def rejected(rows: DataFrame, reject: float) -> DataFrame:
     """The templates that are rejected, from pages with their template and the verdict of a rule, if any."""
     labelled, blocked = F.count("ruled").alias("labelled"), F.count_if(F.col("ruled") == "block").alias("blocked")
-    stats = rows.groupBy("host", "template", "shape").agg(labelled, blocked)
+    stats = rows.groupBy("host", "template", "shape").agg(labelled, blocked).filter("labelled > 0")
     share = (F.col("blocked") + 1) / (F.col("labelled") + 2)
-    stats = stats.filter("labelled > 0").withColumn("band", F.floor(share * BANDS))
-    merged = stats.groupBy("host", "shape", "band").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
-    bad = merged.filter(share >= reject).select("host", "shape", "band")
-    return stats.join(bad, ["host", "shape", "band"], "left_semi").select("template", F.lit("block").alias("judged")).distinct()
+    return merged_branches(stats).filter(share >= reject).select("template", F.lit("block").alias("judged")).distinct()
 
 
 def url_verdicts(
@@ -135,13 +198,9 @@ def url_verdicts(
     reject: float = REJECT,
     id_col: str = "page_id",
     url_col: str = "url",
-    levels: int | None = LEVELS,
 ) -> DataFrame:
     """(id, host, path, rule, verdict, template) of every page.
 
-    ``levels`` limits the tree of templates as the SQL does (deeper segments become ``/**``); None, as in the registered
-    query, goes to the end of every path.
-
     A rule fits its host and all subdomains if the path starts with the rule's; the longest one decides. Other pages are
     blocked if their template is rejected, else allowed; a template without labelled pages is never
     rejected. A url that is null or has no ``://`` has an empty host and path, fits no rule and is allowed. Repeated rows are judged
@@ -152,7 +211,7 @@ def url_verdicts(
     """
     rows = parts(pages, id_col, url_col)
     rows = rows.withColumn("rule", decide(rules, "text")).withColumn("ruled", decide(rules, "verdict"))
-    rows = templates(rows, levels)
+    rows = templates(rows)
     judged = rows.join(rejected(rows, reject), "template", "left")
     verdict = F.coalesce("ruled", "judged", F.lit("allow")).alias("verdict")
     return judged.select(id_col, "host", "path", "rule", verdict, "template")
@@ -165,33 +224,37 @@ def url_verdicts_sql(rules: Sequence[Rule] = RULES, reject: float = REJECT) -> s
         for r in sorted(rules, key=lambda r: -len(r.text))
     )
     verdict = " ".join(f"WHEN '{r.text}' THEN '{r.verdict}'" for r in rules)
-    levels, last = "", "r0"
-    for i in range(1, LEVELS + 1):
-        levels += f"""
-a{i} AS (SELECT *, len(segs) >= {i} AS more, CASE WHEN NOT regexp_full_match(segs[{i}], '[0-9]+') THEN segs[{i}] END AS own FROM {last}),
-n{i} AS (SELECT template, own, count(*) AS n FROM a{i} WHERE more GROUP BY template, own),
-s{i} AS (SELECT template, sum(n) AS total FROM n{i} GROUP BY template),
-l{i} AS (SELECT template, own, own AS lit FROM n{i} JOIN s{i} USING (template)
-        WHERE own IS NOT NULL AND n >= {LITERAL_PAGES} AND n * {LITERAL_PART} >= total),
-r{i} AS (SELECT page_id, host, path, rule, ruled, segs,
-           CASE WHEN more THEN template || '/' || coalesce(lit, '*') ELSE template END AS template,
-           CASE WHEN more THEN shape || CASE WHEN lit IS NULL THEN '/*' ELSE '/#' END ELSE shape END AS shape
-        FROM a{i} LEFT JOIN l{i} USING (template, own)),"""
-        last = f"r{i}"
     return f"""
-WITH u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
+WITH RECURSIVE u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
 p AS (SELECT page_id,
         coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
         coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM u),
 f AS (SELECT *, CASE {fits.replace('{}', '')} END AS rule FROM p),
 r0 AS (SELECT *, CASE rule {verdict} END AS ruled, host AS template, '' AS shape,
-         CASE WHEN path = '' THEN [] ELSE string_split(substr(path, 2), '/') END AS segs FROM f),{levels}
-t AS (SELECT * REPLACE (template || CASE WHEN len(segs) > {LEVELS} THEN '/**' ELSE '' END AS template,
-                        shape || CASE WHEN len(segs) > {LEVELS} THEN '/**' ELSE '' END AS shape) FROM {last}),
+         CASE WHEN path = '' THEN [] ELSE string_split(substr(path, 2), '/') END AS segs, 0 AS lev FROM f),
+r AS (SELECT page_id, host, path, rule, ruled, template, shape, segs, lev FROM r0 UNION ALL
+      SELECT page_id, host, path, rule, ruled, template || '/' || CASE WHEN lit THEN own ELSE '*' END,
+             shape || CASE WHEN lit THEN '/#' ELSE '/*' END, segs, lev + 1
+      FROM (SELECT *, own IS NOT NULL AND count(*) OVER (PARTITION BY template, own) >= {LITERAL_PAGES}
+                   AND count(*) OVER (PARTITION BY template, own) * {LITERAL_PART} >= count(*) OVER (PARTITION BY template) AS lit
+            FROM (SELECT *, CASE WHEN NOT regexp_full_match(segs[lev + 1], '[0-9]+') THEN segs[lev + 1] END AS own
+                  FROM r WHERE len(segs) > lev))),
+t AS (SELECT * FROM r WHERE len(segs) = lev),
 g AS (SELECT host, template, shape, count(ruled) AS labelled, count(*) FILTER (ruled = 'block') AS blocked FROM t GROUP BY ALL),
-b AS (SELECT *, floor((blocked + 1) / (labelled + 2) * {BANDS}) AS band FROM g WHERE labelled > 0),
-m AS (SELECT host, shape, band FROM b GROUP BY ALL HAVING (sum(blocked) + 1) / (sum(labelled) + 2) >= {reject}),
-j AS (SELECT template FROM b SEMI JOIN m USING (host, shape, band))
+h AS (SELECT *, CASE WHEN contains(shape, '#') THEN len(string_split(shape, '/')) - list_position(list_reverse(string_split(shape, '/')), '#') + 1 END AS at,
+             string_split(template, '/') AS steps FROM g WHERE labelled > 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY host, shape, family ORDER BY blocked::DOUBLE / labelled DESC, labelled DESC, encode(template)) AS place
+      FROM (SELECT *, CASE WHEN at IS NULL THEN template
+                           ELSE array_to_string(list_concat(list_concat(steps[:at - 1], ['#']), steps[at + 1:]), '/') END AS family FROM h)),
+m AS (SELECT host, shape, family, place, template, place AS run, labelled::DOUBLE AS n, blocked::DOUBLE AS b FROM o WHERE place = 1 UNION ALL
+      SELECT o.host, o.shape, o.family, o.place, o.template, CASE WHEN x THEN o.place ELSE run END,
+             CASE WHEN x THEN o.labelled ELSE n + o.labelled END, CASE WHEN x THEN o.blocked ELSE b + o.blocked END
+      FROM (SELECT m.*, l.labelled AS c, (b * l.labelled - l.blocked * n) * (b * l.labelled - l.blocked * n) * (n + l.labelled)
+              > {ALIKE}::DOUBLE * (b + l.blocked) * (n + l.labelled - b - l.blocked) * n * l.labelled AS x
+            FROM m JOIN o AS l ON l.host = m.host AND l.shape = m.shape AND l.family = m.family AND l.place = m.place + 1) AS z
+      JOIN o ON o.host = z.host AND o.shape = z.shape AND o.family = z.family AND o.place = z.place + 1),
+k AS (SELECT host, shape, family, run FROM m GROUP BY ALL HAVING (arg_max(b, place) + 1) / (arg_max(n, place) + 2) >= {reject}),
+j AS (SELECT template FROM m SEMI JOIN k USING (host, shape, family, run))
 SELECT page_id, host, path, rule, template,
        coalesce(ruled, CASE WHEN template IN (SELECT template FROM j) THEN 'block' END, 'allow') AS verdict FROM t
 """

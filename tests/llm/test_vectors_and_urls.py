@@ -200,12 +200,12 @@ def test_tree_goes_to_the_end_of_every_path(spark):
     from ledgerlink.llm.url_filter import templates
 
     urls = deep_urls()
-    rows = url_verdicts(pages(spark, list(enumerate(urls))), levels=None).collect()
+    rows = url_verdicts(pages(spark, list(enumerate(urls)))).collect()
     want = templates_by_hand(urls)
     assert {r.page_id: r.template for r in rows} == {i: t for i, (t, _) in enumerate(want)} and len(rows) == len(urls)
     assert "news.org/*/*/*/ads/*" in {r.template for r in rows}
     split = [(u.split("/")[2], "/" + "/".join(u.split("/")[3:])) for u in urls]
-    got = templates(spark.createDataFrame(split, "host string, path string"), None)
+    got = templates(spark.createDataFrame(split, "host string, path string"))
     assert Counter((r.template, r.shape) for r in got.collect()) == Counter(want)
 
 
@@ -216,12 +216,89 @@ def test_branches_that_part_below_the_third_segment(spark, tmp_path):
 
     rules = [Rule("m.org", f"/l{i}/2024/05/ads/", "block") for i in range(40)]
     rows = [(i, f"http://m.org/l{i}/2024/05/ads/{i}") for i in range(45)] + [(100 + i, f"http://m.org/l{i}/2024/05/texts/{i}") for i in range(5)]
-    got = Counter((r.template, r.verdict) for r in url_verdicts(pages(spark, rows), rules, levels=None).collect())
+    got = Counter((r.template, r.verdict) for r in url_verdicts(pages(spark, rows), rules).collect())
     assert got == {("m.org/*/*/*/ads/*", "block"): 45, ("m.org/*/*/*/texts/*", "allow"): 5}
     pages(spark, rows).select("page_id", "url", "html").write.parquet(f"{tmp_path}/pages.parquet")
     assert {r.template for r in QUERIES["op6_url_filters"](spark, str(tmp_path)).collect()} == {x for x, _ in got}
 
 
+def test_sql_goes_to_the_end_of_every_path(spark):
+    import duckdb
+
+    rows = [*made_up(), *((1000 + i, u) for i, u in enumerate(deep_urls()))]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?)", [list(r) for r in rows])
+    assert differences(url_verdicts(pages(spark, rows), reject=0.7), con, url_verdicts_sql(reject=0.7)) is None
+
+
+def runs_by_hand(branches):
+    """Runs of (blocked, labelled), by the usual form of the two-proportion test."""
+    runs = []
+    for b, n in sorted(branches, key=lambda x: (-x[0] / x[1], -x[1])):
+        if runs:
+            ob, on = sum(x for x, _ in runs[-1]), sum(y for _, y in runs[-1])
+            p = (b + ob) / (n + on)
+            spread = p * (1 - p) * (1 / n + 1 / on)
+            if spread == 0 or (b / n - ob / on) ** 2 / spread <= 3.84:
+                runs[-1].append((b, n))
+                continue
+        runs.append([(b, n)])
+    return sorted(sorted(r) for r in runs)
+
+
+def merged_runs(spark, families):
+    from ledgerlink.llm.url_filter import merged_branches
+
+    rows = [(f"h{h}", f"h{h}/s{i}/*", "/#/*", n, b) for h, branches in enumerate(families) for i, (b, n) in enumerate(branches)]
+    stats = spark.createDataFrame(rows, "host string, template string, shape string, labelled bigint, blocked bigint")
+    counts = {t: (b, n) for _, t, _, n, b in rows}
+    merged = {r.template: (r.blocked, r.labelled) for r in merged_branches(stats).collect()}
+    assert merged.keys() == counts.keys()
+    return merged
+
+
+def test_similar_branches_are_merged_by_their_counts(spark):
+    rng = random.Random(12)
+    families = [[(59, 100), (61, 100)], [(590, 1000), (790, 1000)], [(0, 100), (1, 2), (100, 100)], [(0, 2), (0, 100)], [(1, 1), (0, 1)], [(3, 4)]]
+    families += [[(rng.randint(0, n), n) for n in (rng.choice([1, 3, 10, 40, 300]) for _ in range(rng.randint(1, 20)))] for _ in range(60)]
+    merged = merged_runs(spark, families)
+    assert merged["h0/s0/*"] == merged["h0/s1/*"] == (120, 200)  # on both sides of a round share
+    assert merged["h1/s0/*"] == (590, 1000)  # differ, on as many pages
+    assert [merged[f"h2/s{i}/*"] for i in range(3)] == [(0, 100), (1, 2), (100, 100)]  # no bridge over a small branch
+    assert merged["h3/s0/*"] == (0, 102) and merged["h4/s0/*"] == (1, 2)
+    for h, branches in enumerate(families):
+        of = {}
+        for i in range(len(branches)):
+            of.setdefault(merged[f"h{h}/s{i}/*"], []).append(branches[i])
+        runs = runs_by_hand(branches)
+        assert {(sum(b for b, _ in r), sum(n for _, n in r)) for r in runs} == set(of)
+
+
+def test_only_branches_of_one_parent_are_merged(spark):
+    from ledgerlink.llm.url_filter import merged_branches
+
+    rows = [("h", t, s, n, b) for t, s, n, b in [
+        ("h/a/x/*", "/#/#/*", 9, 9), ("h/a/y/*", "/#/#/*", 3, 3), ("h/b/x/*", "/#/#/*", 9, 9), ("h/*/x", "/*/#", 5, 5), ("h/*/#", "/*/*", 2, 2), ("h", "", 1, 1),
+    ]]
+    stats = spark.createDataFrame(rows, "host string, template string, shape string, labelled bigint, blocked bigint")
+    got = {r.template: r.labelled for r in merged_branches(stats).collect()}
+    assert got == {"h/a/x/*": 12, "h/a/y/*": 12, "h/b/x/*": 9, "h/*/x": 5, "h/*/#": 2, "h": 1}
+
+
+def test_shared_runs_take_one_round(spark, monkeypatch):
+    """Long equal paths end after a fixed number of staged rounds."""
+    from ledgerlink.llm import url_filter
+
+    staged, write = [], url_filter.stage
+    monkeypatch.setattr(url_filter, "stage", lambda df, name: staged.append(name) or write(df, name))
+    urls = [f"http://trap.org{'/s/7/t' * 60}/{end}" for end in "aabbc"] + ["http://trap.org/s/7/t/s"] * 2
+    rows = url_verdicts(pages(spark, list(enumerate(urls)))).collect()
+    want = templates_by_hand(urls)
+    assert {r.page_id: r.template for r in rows} == {i: t for i, (t, _) in enumerate(want)}
+    assert len(staged) <= 4
+
+
 def test_native_plan(spark):
     plan = url_verdicts(pages(spark, made_up()))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
