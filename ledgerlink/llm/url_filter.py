@@ -241,11 +241,11 @@ r AS (SELECT page_id, host, path, rule, ruled, template, shape, segs, lev FROM r
                   FROM r WHERE len(segs) > lev))),
 t AS (SELECT * FROM r WHERE len(segs) = lev),
 g AS (SELECT host, template, shape, count(ruled) AS labelled, count(*) FILTER (ruled = 'block') AS blocked FROM t GROUP BY ALL),
-h AS (SELECT *, CASE WHEN contains(shape, '#') THEN len(string_split(shape, '/')) - list_position(list_reverse(string_split(shape, '/')), '#') + 1 END AS at,
+h AS (SELECT *, CASE WHEN contains(shape, '#') THEN len(string_split(shape, '/')) - list_position(list_reverse(string_split(shape, '/')), '#') + 1 END AS mark,
              string_split(template, '/') AS steps FROM g WHERE labelled > 0),
 o AS (SELECT *, row_number() OVER (PARTITION BY host, shape, family ORDER BY blocked::DOUBLE / labelled DESC, labelled DESC, encode(template)) AS place
-      FROM (SELECT *, CASE WHEN at IS NULL THEN template
-                           ELSE array_to_string(list_concat(list_concat(steps[:at - 1], ['#']), steps[at + 1:]), '/') END AS family FROM h)),
+      FROM (SELECT *, CASE WHEN mark IS NULL THEN template
+                           ELSE array_to_string(list_concat(list_concat(steps[:mark - 1], ['#']), steps[mark + 1:]), '/') END AS family FROM h)),
 m AS (SELECT host, shape, family, place, template, place AS run, labelled::DOUBLE AS n, blocked::DOUBLE AS b FROM o WHERE place = 1 UNION ALL
       SELECT o.host, o.shape, o.family, o.place, o.template, CASE WHEN x THEN o.place ELSE run END,
              CASE WHEN x THEN o.labelled ELSE n + o.labelled END, CASE WHEN x THEN o.blocked ELSE b + o.blocked END
