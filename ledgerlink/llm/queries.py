@@ -70,6 +70,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        F.sha2("ends", 256).alias("spans_sha256"),
     )
 
 

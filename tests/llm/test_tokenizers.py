@@ -185,6 +185,9 @@ def test_registered_queries(spark, documents, word_library, piece_library):
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(piece_library.decode(ids).encode()).hexdigest()
+        pieces = piece_library.encode(rows[r.doc_id], return_type="proto").pieces
+        spans = [0, *[p.end for p in pieces], len(rows[r.doc_id].encode())]
+        assert r.spans_sha256 == hashlib.sha256(np.array(spans, "<u4").tobytes()).hexdigest()
     counts = {r.doc_id: r.n_tokens for r in QUERIES["op1_token_counts"](spark, SF).collect()}
     files = QUERIES["op7_token_files"](spark, SF).select("doc_id", (F.col("n_tokens") - 1).alias("n")).collect()
     assert counts == {r.doc_id: r.n for r in files} == {i: len(word_ids(word_library, t)) for i, t in rows.items()}
