@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from ledgerlink.llm.common import per_text
+from ledgerlink.llm.notices import NOTICES
 
 PHRASES = {
     "gnu general public license": "gpl",
@@ -23,29 +24,7 @@ PHRASES = {
     "mit license": "mit",
 }
 
-# Fixed wordings of public licence notices.
-TEMPLATES = {
-    "apache-2.0-notice": "licensed under the apache license [[version]] 2 0 [[the license]]",
-    "gpl-notice": "[[{{this|the}} {{work|program|software|file}} is]] {{licensed|released|distributed}} under "
-    "[[the terms of]] the gnu general public license [[as published by the free software foundation]] "
-    "[[either]] [[version]] {{1|2|3}} [[of the license]] [[or [[at your option]] any later version]]",
-    "cc-by-notice": "{{licensed|released|available|distributed}} under [[a|the]] [[creative commons]] cc by "
-    "[[nc]] [[sa|nd]] {{1|2|3|4}} {{0|5}} [[{{international|unported|license}}]]",
-    "mit-notice": "{{licensed|released|available|distributed}} under the [[terms of the]] mit license",
-    "mit-text": "permission is hereby granted free of charge to any person obtaining a copy of this software "
-    "and associated documentation files the software to deal in the software without restriction including "
-    "without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies "
-    "of the software and to permit persons to whom the software is furnished to do so subject to the following "
-    "conditions the above copyright notice and this permission notice [[including the next paragraph]] shall be "
-    "included in all copies or substantial portions of the software [[the software is provided as is without "
-    "warranty of any kind]]",
-    "isc-text": "permission to use copy modify and or distribute this software for any purpose with or without "
-    "fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
-    "bsd-text": "redistribution and use in source and binary forms with or without modification are permitted "
-    "provided that the following conditions are met {{0..6}} redistributions of source code must retain the above "
-    "copyright notice this list of conditions and the following disclaimer",
-    "copyright-notice": "copyright [[c]] [[{{1..1}}]] [[by]] {{1..6}} all rights reserved",
-}
+TEMPLATES = NOTICES
 
 
 def word_bytes() -> bytes:
