@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlink.config import MatchConfig
 from ledgerlink.functions.normalize import key, norm
 from ledgerlink.operators.keyed import attach, max_seq
-from ledgerlink.operators.numbering import allocate
+from ledgerlink.operators.numbering import allocate, last_numbers
 from ledgerlink.staging import stage
 
 PLACE = ["addr1", "city", "state", "zip5"]
@@ -47,15 +47,20 @@ def match_addresses(inputs: DataFrame, lookup: DataFrame) -> DataFrame:
     return inputs.join(lookup.filter(F.col("addr1") != ""), ON, "left")
 
 
-def resolve_primary(matched: DataFrame, master: DataFrame, cfg: MatchConfig) -> DataFrame:
-    """``matched`` (staged) with numbers for new addresses, in order of first record."""
+def resolve_primary(
+    matched: DataFrame, master: DataFrame, cfg: MatchConfig, last: DataFrame | None = None
+) -> DataFrame:
+    """``matched`` (staged) with numbers for new addresses, in order of first record.
+
+    ``last`` holds the numbers in use where they are kept, here and below.
+    """
     known = matched.filter(F.col("addr_snum").isNotNull())
     rest = matched.filter(F.col("addr_snum").isNull())
     skipped = rest.filter(F.lit(False))
     if not cfg.number_blank_address:
         skipped = rest.filter(F.col("addr1") == "")
         rest = rest.filter(F.col("addr1") != "")
-    bases = [max_seq(master, ["empr_id"], "addr_snum", "last")]
+    bases = [last_numbers(last, master, ["empr_id"], "addr_snum")]
     new = allocate(rest, bases, ["empr_id"], ["first_id"], "addr_snum", cfg.limits)
     return (
         known.withColumn("origin", F.lit("known"))
@@ -76,11 +81,11 @@ def new_optional(matched: DataFrame, primary: DataFrame) -> DataFrame:
     return rest.join(new_primary(primary), ON, "left_anti")
 
 
-def optional_bases(primary: DataFrame, master: DataFrame) -> list[DataFrame]:
+def optional_bases(primary: DataFrame, master: DataFrame, last: DataFrame | None = None) -> list[DataFrame]:
     """Numbers in use: the run's own new primaries first, else the master's."""
     return [
         max_seq(new_primary(primary), ["empr_id"], "addr_snum", "last"),
-        max_seq(master, ["empr_id"], "addr_snum", "last"),
+        last_numbers(last, master, ["empr_id"], "addr_snum"),
     ]
 
 
@@ -101,12 +106,12 @@ def share_primary(matched: DataFrame, primary: DataFrame) -> DataFrame:
 
 
 def resolve_optional(
-    shared: DataFrame, primary: DataFrame, master: DataFrame, cfg: MatchConfig
+    shared: DataFrame, primary: DataFrame, master: DataFrame, cfg: MatchConfig, last: DataFrame | None = None
 ) -> DataFrame:
     """``shared`` (staged) with numbers for the open ones, in address order."""
     new = allocate(
         shared.filter(F.col("origin") == "open"),
-        optional_bases(primary, master),
+        optional_bases(primary, master, last),
         ["empr_id"],
         PLACE,
         "addr_snum",
@@ -137,11 +142,12 @@ def primary_table(
     pseudo_ids: DataFrame,
     linked: DataFrame,
     cfg: MatchConfig,
+    last: DataFrame | None = None,
 ) -> DataFrame:
     """All an address decides: number, origin, id indicator and the name linked to it."""
     matched = match_addresses(address_inputs(records, cfg), address_lookup(master))
     matched = stage(matched, "addr_matched")
-    numbered = stage(resolve_primary(matched, master, cfg), "addr_numbered")
+    numbered = stage(resolve_primary(matched, master, cfg, last), "addr_numbered")
     ids = numbered.groupBy("empr_id").agg(F.count(F.lit(1)).alias("_n"))
     ids = stage(table_indicators(ids, names, pseudo_ids), "addr_ids")
     flagged = attach(numbered, ids, ["empr_id"], "_n", ["first_id"], cfg.limits)
@@ -153,7 +159,8 @@ def optional_table(
     primary: DataFrame,
     master: DataFrame,
     cfg: MatchConfig,
+    last: DataFrame | None = None,
 ) -> DataFrame:
     matched = match_addresses(address_inputs(records, cfg, optional=True), address_lookup(master))
     shared = stage(share_primary(matched, primary), "opt_shared")
-    return stage(resolve_optional(shared, primary, master, cfg), "opt_table")
+    return stage(resolve_optional(shared, primary, master, cfg, last), "opt_table")

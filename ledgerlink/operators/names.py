@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ledgerlink.config import MatchConfig
 from ledgerlink.functions.normalize import norm
 from ledgerlink.functions.similarity import can_reach, jaro_winkler_score, name_signature
-from ledgerlink.operators.keyed import keep_first, max_seq
-from ledgerlink.operators.numbering import allocate
+from ledgerlink.operators.keyed import keep_first
+from ledgerlink.operators.numbering import allocate, last_numbers
 from ledgerlink.staging import stage
 
 ON = ["empr_id", "nm"]
@@ -157,23 +157,26 @@ def resolve_names(exact: DataFrame, scored: DataFrame) -> DataFrame:
     )
 
 
-def number_names(resolved: DataFrame, names: DataFrame, cfg: MatchConfig) -> DataFrame:
-    """Names that matched nothing get the next numbers of their id, in name order."""
+def number_names(resolved: DataFrame, names: DataFrame, cfg: MatchConfig, last: DataFrame | None = None) -> DataFrame:
+    """Names that matched nothing get the next numbers of their id, in name order.
+
+    ``last`` holds the numbers in use where they are kept, here and below.
+    """
     found = resolved.filter(F.col("nm_snum").isNotNull())
     rest = resolved.filter(F.col("nm_snum").isNull())
     if not cfg.allocate_new_names:
         return found
-    bases = [max_seq(names, ["empr_id"], "nm_snum", "last")]
+    bases = [last_numbers(last, names, ["empr_id"], "nm_snum")]
     new = allocate(rest, bases, ["empr_id"], ["nm"], "nm_snum", cfg.limits).withColumn("name_ind", F.lit("N"))
     return found.unionByName(new)
 
 
 def name_table(
-    records: DataFrame, names: DataFrame, cfg: MatchConfig
+    records: DataFrame, names: DataFrame, cfg: MatchConfig, last: DataFrame | None = None
 ) -> DataFrame:
     """Number and indicator of every distinct name of the regular records."""
     exact = stage(exact_names(name_inputs(records, cfg), names), "names_exact")
     unmatched = exact.filter(F.col("name_ind") == "N")
     scored = fuzzy_names(unmatched, names, cfg)
     resolved = stage(resolve_names(exact, scored), "names_resolved")
-    return stage(number_names(resolved, names, cfg), "names_numbered")
+    return stage(number_names(resolved, names, cfg, last), "names_numbered")

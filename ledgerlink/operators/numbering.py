@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlink.config import Limits
-from ledgerlink.operators.keyed import attach
+from ledgerlink.operators.keyed import attach, max_seq
 from ledgerlink.staging import stage
 
 _ROW_BITS = 33  # monotonically_increasing_id: partition above, row number below
@@ -52,6 +52,16 @@ def rank_within(
     return ranked.withColumn("_rank", rank).select(*df.columns, "_rank")
 
 
+def last_numbers(kept: DataFrame | None, table: DataFrame, on: Sequence[str], seq: str) -> DataFrame:
+    """(``on``, last): the highest number of each id, as kept beside the table, else from its rows."""
+    return max_seq(table, on, seq, "last") if kept is None else kept.select(*on, "last")
+
+
+def raised(last: DataFrame, changes: DataFrame, on: Sequence[str], seq: str) -> DataFrame:
+    """``last`` after the numbers that a change-set gives. A number counts even if its row is gone by then."""
+    return last.unionByName(max_seq(changes, on, seq, "last")).groupBy(*on).agg(F.max("last").alias("last"))
+
+
 def allocate(
     new: DataFrame,
     bases: Sequence[DataFrame],

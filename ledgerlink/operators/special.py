@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlink.config import MatchConfig
 from ledgerlink.functions.normalize import norm
-from ledgerlink.operators.keyed import max_seq
-from ledgerlink.operators.numbering import allocate
+from ledgerlink.operators.numbering import allocate, last_numbers
 from ledgerlink.staging import stage
 
 # Incoming column and its name in the special-id master.
@@ -56,11 +55,16 @@ def match_special(inputs: DataFrame, master: DataFrame, cfg: MatchConfig) -> Dat
     )
 
 
-def number_special(matched: DataFrame, master: DataFrame, cfg: MatchConfig) -> DataFrame:
-    """``matched`` (staged) with the next numbers of each special id, by first record."""
+def number_special(
+    matched: DataFrame, master: DataFrame, cfg: MatchConfig, last: DataFrame | None = None
+) -> DataFrame:
+    """``matched`` (staged) with the next numbers of each special id, by first record.
+
+    ``last`` holds the numbers in use where they are kept, here and below.
+    """
     new = allocate(
         matched.filter(F.col("empr_snum").isNull()),
-        [max_seq(master, ["empr_idfr"], "empr_snum", "last")],
+        [last_numbers(last, master, ["empr_idfr"], "empr_snum")],
         ["empr_idfr"],
         ["first_id"],
         "empr_snum",
@@ -70,8 +74,8 @@ def number_special(matched: DataFrame, master: DataFrame, cfg: MatchConfig) -> D
 
 
 def special_table(
-    records: DataFrame, master: DataFrame, cfg: MatchConfig
+    records: DataFrame, master: DataFrame, cfg: MatchConfig, last: DataFrame | None = None
 ) -> DataFrame:
     matched = match_special(special_inputs(records, cfg), master, cfg)
     matched = stage(matched, "special_matched")
-    return stage(number_special(matched, master, cfg), "special_table")
+    return stage(number_special(matched, master, cfg, last), "special_table")

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
-from dataclasses import dataclass
+from collections.abc import Iterable, Mapping
+from dataclasses import dataclass, field
 from functools import reduce
 from uuid import uuid4
 
@@ -18,6 +18,7 @@ from ledgerlink.operators import addresses, assemble, changeset, merge, names, s
 from ledgerlink.operators.backfill import linked_names
 from ledgerlink.operators.classify import PSEUDO, REGULAR, classify, unknown_outcome
 from ledgerlink.operators.keyed import attach, distinct_keys, keep_first, lookup_side, restrict
+from ledgerlink.operators.numbering import last_numbers, raised
 from ledgerlink.sources import intake, publish
 from ledgerlink.staging import file_marks, part_of_job, stage, stages_of
 
@@ -33,11 +34,17 @@ FIELD_OF = {
     changeset.LINK_SOURCE.name: "link_sources",
     changeset.LINK_TYPE.name: "link_types",
 }
+# The tables that number their rows within an id (by the second column of their key), and what keeps their highest numbers.
+NUMBERED = (changeset.SPECIAL, changeset.NAME, changeset.ADDRESS)
+IN_USE = {spec.name: f"{spec.name}_in_use" for spec in NUMBERED}
 
 
 @dataclass(frozen=True)
 class Masters:
-    """The six master tables, addresses under their stored column names."""
+    """The six master tables, addresses under their stored column names.
+
+    ``in_use`` holds, by table, the highest number each id was ever given; a table that is not there is asked itself.
+    """
 
     names: DataFrame
     addresses: DataFrame
@@ -45,6 +52,7 @@ class Masters:
     links: DataFrame
     link_sources: DataFrame
     link_types: DataFrame
+    in_use: Mapping[str, DataFrame] = field(default_factory=dict, kw_only=True)
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: getattr(self, field) for name, field in FIELD_OF.items()}
@@ -73,16 +81,20 @@ class PublishedMasters(Masters):
         regular = publish.buckets_in(records, F.col(cfg.entity_id), self.buckets)
         special_ids = publish.buckets_in(records, F.coalesce(cfg.special_id, F.lit("")), self.buckets)
         numbers = {name: special_ids if name == changeset.SPECIAL.name else regular for name in FIELD_OF}
-        return Masters(**{f: self.part(name, numbers[name]) for name, f in FIELD_OF.items()})
+        in_use = {name: self.part(IN_USE[name], numbers[name]) for name in self.in_use}
+        return Masters(**{f: self.part(name, numbers[name]) for name, f in FIELD_OF.items()}, in_use=in_use)
 
 
 def read_masters(spark: SparkSession, root: str) -> PublishedMasters:
     """The masters of the run published last; a run that uses them publishes only if none came between."""
     row = publish.current(spark, root)
-    schemas = {name: StructType.fromJson(json.loads(row.schemas[name])) for name in FIELD_OF}
-    paths = {name: publish.bucket_paths(row, name) for name in FIELD_OF}
-    tables = {f: publish.read_paths(spark, schemas[n], list(paths[n].values())) for n, f in FIELD_OF.items()}
-    return PublishedMasters(**tables, spark=spark, version=row.seq, buckets=row.buckets, schemas=schemas, paths=paths)
+    schemas = {name: StructType.fromJson(json.loads(text)) for name, text in row.schemas.items()}
+    paths = {name: publish.bucket_paths(row, name) for name in schemas}
+    whole = {name: publish.read_paths(spark, schemas[name], list(paths[name].values())) for name in schemas}
+    tables = {f: whole[name] for name, f in FIELD_OF.items()}
+    in_use = {name: whole[kept] for name, kept in IN_USE.items() if kept in whole}
+    layout = {"version": row.seq, "buckets": row.buckets, "schemas": schemas, "paths": paths}
+    return PublishedMasters(**tables, in_use=in_use, spark=spark, **layout)
 
 
 def write_masters(
@@ -105,6 +117,18 @@ def write_masters(
         schemas[name] = json.dumps(merged.schema.jsonValue())
         if not kept or touched:
             paths |= publish.write_buckets(merged, folder, name, key, buckets)
+        if spec not in NUMBERED:
+            continue
+        in_use, seq, known = IN_USE[name], spec.key[1], masters.in_use.get(name)
+        if kept and known is not None:
+            paths |= {f"{in_use}/{n}": p for n, p in masters.paths[in_use].items()}
+            last = masters.part(in_use, touched)
+        else:  # plain frames, or published before their numbers were kept: all rows are asked, this once
+            last = last_numbers(known, masters.tables()[name], [key], seq)
+        last = raised(last, changes[name], [key], seq)
+        schemas[in_use] = json.dumps(last.schema.jsonValue())
+        if not kept or known is None or touched:
+            paths |= publish.write_buckets(last, folder, in_use, key, buckets)
     return paths, {"buckets": buckets, "schemas": schemas}
 
 
@@ -214,8 +238,10 @@ def resolve(
     )
     links = restrict(masters.links, ids, ["empr_id"])
     known_special = restrict(masters.special, special_ids, ["empr_idfr"])
+    in_use = masters.in_use
+    last_name, last_addr, last_special = (in_use.get(s.name) for s in (changeset.NAME, changeset.ADDRESS, changeset.SPECIAL))
 
-    name_tab = names.name_table(regular, known_names, cfg)
+    name_tab = names.name_table(regular, known_names, cfg, last_name)
     primary_tab = addresses.primary_table(
         regular,
         known_addr,
@@ -223,9 +249,10 @@ def resolve(
         pseudo.select(F.col(cfg.entity_id).alias("empr_id")),
         linked_names(links, known_names),
         cfg,
+        last_addr,
     )
-    optional_tab = addresses.optional_table(regular, primary_tab, known_addr, cfg)
-    special_tab = special.special_table(pseudo, known_special, cfg)
+    optional_tab = addresses.optional_table(regular, primary_tab, known_addr, cfg, last_addr)
+    special_tab = special.special_table(pseudo, known_special, cfg, last_special)
 
     outcome = assemble.align_union(
         [

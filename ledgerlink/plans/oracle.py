@@ -14,6 +14,8 @@ from ledgerlink.sources.intake import ALIASES, FLAG_GUARDS
 from ledgerlink.sources.layout import LAYOUT, RECORD_WIDTH
 
 ODATE = "DATE '2024-06-30'"
+RUN_TS, STORED = "'2024-06-30 00:00:00'", "strftime({}, '%Y-%m-%d %H:%M:%S')"
+NEW_TIMES = f"{RUN_TS} AS insrt_ts, {RUN_TS} AS lu_ts"
 FX_COLUMNS = set(re.findall(r"AS (\w+)(?:,|\n)", VIEWS["sub"]))
 BAD_ID = (
     "(length(trim(empr_ein)) <> 9 OR NOT regexp_matches(empr_ein, '^[0-9]{9}$') OR vald_ein_cd = 'I')"
@@ -257,9 +259,18 @@ def _merge(table: str) -> str:
     n, columns = _MASTERS[table]
     on = " AND ".join(f"m.{k} = c.{k}" for k in columns[:n])
     old = [f"CASE WHEN c.{columns[0]} IS NULL THEN m.app_odate ELSE {ODATE} END" if c == "app_odate" else f"m.{c}" for c in columns]
-    return f"""SELECT {", ".join(f"{o} AS {c}" for o, c in zip(old, columns))}
+    updated = f"CASE WHEN c.{columns[0]} IS NULL THEN {STORED.format('m.lu_ts')} ELSE {RUN_TS} END"
+    return f"""SELECT {", ".join(f"{o} AS {c}" for o, c in zip(old, columns))}, {STORED.format('m.insrt_ts')} AS insrt_ts, {updated} AS lu_ts
  FROM m_{table} m LEFT JOIN ch_{table} c ON c.db_oper_typ = 'U' AND {on}
- UNION ALL SELECT {", ".join(columns)} FROM ch_{table} WHERE db_oper_typ = 'I'"""
+ UNION ALL SELECT {", ".join(columns)}, {NEW_TIMES} FROM ch_{table} WHERE db_oper_typ = 'I'"""
+
+
+def _numbers() -> str:
+    """The highest number of each id in the three tables that number, after the changes."""
+    keys = {"special": ("empr_idfr", "empr_snum"), "name": ("empr_id", "nm_snum"), "address": ("empr_id", "addr_snum")}
+    return " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, {key} AS id, max({seq}) AS last FROM ({_merge(t)}) GROUP BY {key}" for t, (key, seq) in keys.items()
+    )
 
 
 def _with(body: str) -> str:
@@ -393,18 +404,21 @@ def _bodies() -> dict[str, str]:
         "indicators": f"SELECT {_OUTCOME} FROM outcome",
         "main_tmp": f"SELECT input_order, {', '.join(MAIN_COLUMNS)} FROM main",
         "enriched_output": _output(),
-        "cs_special": "SELECT * FROM ch_special",
-        "cs_name": "SELECT * FROM ch_name",
-        "cs_addr": "SELECT * FROM ch_addr",
-        "cs_opt_addr": "SELECT * FROM ch_opt",
-        "cs_link": "SELECT * FROM ch_link",
-        "cs_link_source": "SELECT * FROM ch_link_source",
-        "cs_link_type": "SELECT * FROM ch_link_type",
-        "merge_update": f"""SELECT n.* EXCLUDE (insrt_ts, lu_ts) REPLACE (CASE WHEN c.empr_id IS NOT NULL THEN {ODATE} ELSE n.app_odate END AS app_odate)
+        "cs_special": f"SELECT *, {NEW_TIMES} FROM ch_special",
+        "cs_name": f"SELECT *, {NEW_TIMES} FROM ch_name",
+        "cs_addr": f"SELECT *, {NEW_TIMES} FROM ch_addr",
+        "cs_opt_addr": f"SELECT *, {NEW_TIMES} FROM ch_opt",
+        "cs_link": f"SELECT *, {NEW_TIMES} FROM ch_link",
+        "cs_link_source": f"SELECT *, {NEW_TIMES} FROM ch_link_source",
+        "cs_link_type": f"SELECT *, {NEW_TIMES} FROM ch_link_type",
+        "merge_update": f"""SELECT n.* REPLACE (CASE WHEN c.empr_id IS NOT NULL THEN {ODATE} ELSE n.app_odate END AS app_odate,
+ CASE WHEN c.empr_id IS NOT NULL THEN {RUN_TS} ELSE {STORED.format('n.lu_ts')} END AS lu_ts, {STORED.format('n.insrt_ts')} AS insrt_ts)
  FROM m_name n LEFT JOIN ch_name c ON c.db_oper_typ = 'U' AND n.empr_id = c.empr_id AND n.nm_snum = c.nm_snum""",
-        "merge_insert": f"""SELECT {', '.join(_MASTERS['address'][1])} FROM m_address
- UNION ALL SELECT {', '.join(_MASTERS['address'][1])} FROM ch_address WHERE db_oper_typ = 'I'""",
+        "merge_insert": f"""SELECT {', '.join(_MASTERS['address'][1])}, {STORED.format('insrt_ts')} AS insrt_ts,
+ {STORED.format('lu_ts')} AS lu_ts FROM m_address
+ UNION ALL SELECT {', '.join(_MASTERS['address'][1])}, {NEW_TIMES} FROM ch_address WHERE db_oper_typ = 'I'""",
         **{f"merge_{t}": _merge(t) for t in _MASTERS},
+        "numbers_in_use": _numbers(),
     }
 
 

@@ -6,7 +6,7 @@ import json
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date, datetime
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from ledgerlink.operators import addresses as ad
 from ledgerlink.operators import assemble as asm
 from ledgerlink.operators import changeset as cs
 from ledgerlink.operators import classify as cl
-from ledgerlink.operators import keyed, merge, names, special
+from ledgerlink.operators import keyed, merge, names, numbering, special
 from ledgerlink.plans import enrich as en
 from ledgerlink.plans import fixtures
 from ledgerlink.sources import intake, layout, publish, tables
@@ -440,9 +440,15 @@ def enriched_output(c: Case) -> DataFrame:
 # --- change-sets and merge
 
 
+def _told(df: DataFrame) -> DataFrame:
+    """Times as text: the run's by its own name, stored ones as they read in the session's time zone."""
+    run = F.lit(str(CFG.run_ts))
+    return df.withColumns({t: F.when(F.col(t) == F.lit(CFG.run_ts), run).otherwise(F.date_format(t, "yyyy-MM-dd HH:mm:ss")) for t in TIMES})
+
+
 def _set(c: Case, src: DataFrame, spec: cs.TableSpec, no_update: str | None = None) -> DataFrame:
     master = c.masters.tables()[spec.name]
-    return cs.change_set(src, master, spec, c.cfg, no_update).drop(*TIMES)
+    return _told(cs.change_set(src, master, spec, c.cfg, no_update))
 
 
 def cs_special(c: Case) -> DataFrame:
@@ -475,12 +481,12 @@ def cs_link_type(c: Case) -> DataFrame:
 
 
 def merge_update(c: Case) -> DataFrame:
-    return merge.merge_update(c.masters.names, cs_name(c), cs.NAME, c.cfg).drop(*TIMES)
+    return _told(merge.merge_update(c.masters.names, cs_name(c), cs.NAME, c.cfg))
 
 
 def merge_insert(c: Case) -> DataFrame:
     changes = cs.address_changes(c.main, c.masters.addresses, c.cfg)
-    return merge.merge_insert(c.masters.addresses, changes, cs.ADDRESS).drop(*TIMES)
+    return _told(merge.merge_insert(c.masters.addresses, changes, cs.ADDRESS))
 
 
 def _merged(spec: cs.TableSpec) -> Callable[[Case], DataFrame]:
@@ -488,7 +494,7 @@ def _merged(spec: cs.TableSpec) -> Callable[[Case], DataFrame]:
 
     def build(c: Case) -> DataFrame:
         changes = en.change_sets(c.main, c.masters, c.cfg)[spec.name]
-        return merge.merge(c.masters.tables()[spec.name], stage(changes, spec.name), spec, c.cfg).drop(*TIMES)
+        return _told(merge.merge(c.masters.tables()[spec.name], stage(changes, spec.name), spec, c.cfg))
 
     return build
 
@@ -529,7 +535,23 @@ def merge_by_bucket(c: Case) -> DataFrame:
     new = publish.write_buckets(merged, f"{root}/snapshots/second", "name", "empr_id", c.cfg.master_buckets)
     paths = {**publish.current(c.spark, root).paths, **new}
     publish.publish(c.spark, root, "second", "second", c.cfg.run_ts, paths, 1, layout)
-    return publish.read_current(c.spark, root, "name").drop(*TIMES)
+    return _told(publish.read_current(c.spark, root, "name"))
+
+
+def numbers_in_use(c: Case) -> DataFrame:
+    """Highest numbers per id as a run keeps them: raised by its change-sets, in the buckets these touch."""
+    root, changes, parts = c.scratch("numbers"), en.change_sets(c.main, c.masters, c.cfg), []
+    for spec in en.NUMBERED:
+        (on, seq), name = spec.key, en.IN_USE[spec.name]
+        kept = numbering.last_numbers(None, c.masters.tables()[spec.name], [on], seq)
+        paths = publish.write_buckets(kept, f"{root}/first", name, on, c.cfg.master_buckets)
+        given = stage(changes[spec.name].select(*spec.key), name)
+        touched = publish.buckets_in(given, F.col(on), c.cfg.master_buckets)
+        own = publish.read_paths(c.spark, kept.schema, [p for n in touched if (p := paths.get(f"{name}/{n}"))])
+        paths |= publish.write_buckets(numbering.raised(own, given, [on], seq), f"{root}/second", name, on, c.cfg.master_buckets)
+        last = publish.read_paths(c.spark, kept.schema, list(paths.values()))
+        parts.append(last.select(F.lit(spec.name).alias("table_name"), F.col(on).alias("id"), "last"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 _PLAIN = [
@@ -549,8 +571,9 @@ REUSING = replace(CFG, reuse_special=True)
 
 QUERIES: dict[str, tuple[Callable[[Case], DataFrame], MatchConfig]] = {
     **{f.__name__: (f, CFG) for f in _PLAIN},
-    # Only reused numbers can meet an existing row, so this one runs with reuse on.
+    # Only reused numbers can meet an existing row, so these run with reuse on.
     "cs_special": (cs_special, REUSING),
+    "numbers_in_use": (numbers_in_use, REUSING),
     **{f"merge_{t.name}": (_merged(t), REUSING if t is cs.SPECIAL else CFG) for t in cs.TABLES},
 }
 

@@ -170,3 +170,59 @@ def test_rejects_are_also_csv_only_if_there_are_any(spark, masters, first, tmp_p
     assert got.columns == ["value", "reject_reason", "record_length"] and got.count() == 2
     assert {r.reject_reason for r in got.collect()} == {intake.REJECT_REASON} and done.rejected == 2
     assert enrich.REJECTS_CSV not in publish.current(spark, first[0]).paths
+
+
+def numbers(spark, root):
+    """(kept, highest in the table) by table and id, of the run published last."""
+    known = enrich.read_masters(spark, root)
+    out = {}
+    for spec in enrich.NUMBERED:
+        on, seq = spec.key
+        kept = {r[0]: r[1] for r in known.in_use[spec.name].select(on, "last").collect()}
+        rows = known.tables()[spec.name].groupBy(on).agg(F.max(seq))
+        out[spec.name] = kept, {r[0]: r[1] for r in rows.collect()}
+    return out
+
+
+def test_kept_numbers_equal_the_highest_after_three_batches(spark, first, tmp_path):
+    root = copy_of(first[0], tmp_path / "o")
+    batches = [
+        [rec(ein=NEW[0], name="SECOND NAME LTD", home=other("2 SIDE RD")), rec(ein=E2, name="FRESH ID")],
+        [rec(ein=NEW[0], name="THIRD NAME GMBH", home=other("3 SIDE RD")), rec(ein="A11111111", name="SPECIAL NINE")],
+        [rec(ein=E2, name="NEXT OF FRESH", home=other("4 SIDE RD")), rec(ein=NEW[1], name=f"COMPANY {NEW[1]}")],
+    ]
+    for i, lines in enumerate(batches):
+        before = publish.current(spark, root)
+        enrich.run(spark, batch(tmp_path / f"in{i}", lines), enrich.read_masters(spark, root), root, SMALL)
+        for name, (kept, highest) in numbers(spark, root).items():
+            assert kept == highest and kept, name
+        # Buckets without changes are not written again.
+        after = publish.current(spark, root)
+        for kept in enrich.IN_USE.values():
+            old, new = publish.bucket_paths(before, kept), publish.bucket_paths(after, kept)
+            assert sum(new[n] != old.get(n) for n in new) <= 2 and old.keys() <= new.keys()
+
+
+def test_a_number_is_not_given_again_after_its_row_is_gone(spark, first, tmp_path):
+    root = copy_of(first[0], tmp_path / "o")
+    enrich.run(spark, batch(tmp_path / "a", [rec(ein=E2, name="ONE"), rec(ein=E2, name="ZWEI WERKE")]), enrich.read_masters(spark, root), root, SMALL)
+    known = enrich.read_masters(spark, root)
+    gone = known.names.filter(~((F.col("empr_id") == E2) & (F.col("nm_snum") == 2)))
+    fewer = enrich.Masters(**{f: gone if n == "name" else known.tables()[n] for n, f in enrich.FIELD_OF.items()}, in_use=known.in_use)
+    without = replace(fewer, in_use={})
+    for given, number in ((fewer, 3), (without, 2)):
+        done = enrich.run(spark, batch(tmp_path / f"b{number}", [rec(ein=E2, name="DRITTE QUELLE")]), given, str(tmp_path / f"w{number}"), SMALL)
+        rows = done.tables["name"].filter((F.col("empr_id") == E2) & F.col("empr_nm").startswith("DRITTE")).collect()
+        assert [r.nm_snum for r in rows] == [number]
+
+
+def test_roots_without_kept_numbers_get_them(spark, first, tmp_path):
+    """A run published before numbers were kept: its tables are asked, and the next run keeps them."""
+    root = copy_of(first[0], tmp_path / "o")
+    known = enrich.read_masters(spark, root)
+    old = replace(
+        known, in_use={}, schemas={n: known.schemas[n] for n in enrich.FIELD_OF}, paths={n: known.paths[n] for n in enrich.FIELD_OF}
+    )
+    enrich.run(spark, batch(tmp_path / "a", [rec(ein=NEW[5], name="SECOND OF FIVE")]), old, root, SMALL)
+    for kept, highest in numbers(spark, root).values():
+        assert kept == highest and kept
