@@ -32,8 +32,8 @@ FOLDS, HELD_OUT = 7, 2
 CHUNK_BYTES = 32 << 20
 # A chunk ends before that if it has so many distinct grams or words (and what its last slice adds).
 CHUNK_GRAMS, CHUNK_WORDS = 1 << 20, 1 << 19
-# Slices whose counts are held apart until they are added up.
-MERGE_AFTER = 16
+# Slices whose counts are held apart until they are added up: few, as the sum needs several times their memory.
+MERGE_AFTER = 4
 SLICE_BYTES = 1 << 20
 # All bytes but six kinds of white space, then the space between words and the end.
 SYMBOLS = 252
@@ -72,12 +72,25 @@ def stream(words: list[bytes]) -> bytes:
     return b" ".join(words) + END
 
 
-def _sum_by(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order and their sums. The keys come in a few sorted runs, which a merge sort uses."""
+def _sum_by(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and their sums. The keys come in a few sorted runs, which a merge sort uses.
+
+    ``parts`` is emptied, and each array goes as soon as the next one is made.
+    """
+    if len(parts) == 1:
+        return parts.pop()
+    keys, counts = np.concatenate([k for k, _ in parts]), np.concatenate([n for _, n in parts])
+    parts.clear()
     order = np.argsort(keys, kind="stable")
-    keys = keys[order]
+    keys, counts = keys[order], counts[order]
+    del order
     first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
-    return keys[first], np.add.reduceat(counts[order], first) if len(first) else counts
+    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
+def give_back() -> None:
+    """Memory that Arrow keeps for later goes back to the system: a worker shares its executor's."""
+    pa.default_memory_pool().release_unused()
 
 
 def _sum_words(parts: list[pa.Table]) -> pa.Table:
@@ -141,13 +154,14 @@ class Chunk:
         return self.size >= most or len(self.grams[0][0]) >= CHUNK_GRAMS or len(self.words[0]) >= CHUNK_WORDS
 
     def merged(self) -> tuple[np.ndarray, np.ndarray]:
-        return _sum_by(*map(np.concatenate, zip(*self.grams, strict=True)))
+        return _sum_by(self.grams)
 
     def rows(self, number: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         unique, n = self.merged()
         step = 1 << 17
         for at in range(0, len(unique), step):
             yield _rows(schema, number, GRAMS, gram=unique[at : at + step], n=n[at : at + step])
+        del unique, n
         words = _sum_words(self.words)
         for part in words.cast(pa.schema([("word", pa.string()), ("n", pa.int64())])).to_batches(step):
             yield _rows(schema, number, WORDS, word=part["word"], n=part["n"])
@@ -179,6 +193,7 @@ def pack(docs: DataFrame, id_col: str, text_col: str, order: int, held: Column,
                 at += len(texts)
                 streams = chunk.add(texts, part.to_pylist())
                 yield _rows(schema, number, DOCS, docs=[pack_docs(ids, part, streams)])
+                give_back()
                 if chunk.full(chunk_bytes):
                     yield from chunk.rows(number, schema)
                     number, chunk = number + 1, Chunk(order)
@@ -278,7 +293,7 @@ class GramValues:
     def __init__(self, gram: np.ndarray, value: np.ndarray):
         order = np.argsort(gram)
         self.gram, self.value = gram[order], value[order]
-        self.bits = max(10, int(len(gram)).bit_length() + 2)
+        self.bits = max(10, int(len(gram)).bit_length() + 1)
         slot = self._slot(self.gram)
         self.at = np.zeros(1 << self.bits, np.int32)
         self.at[slot] = np.arange(len(slot))
@@ -444,6 +459,7 @@ def _scored(docs: DataFrame, id_col: str, text_col: str, order: int, chunk_bytes
                 if chunk != now:
                     now, parts, known = chunk, [], None
                     words.start()
+                    give_back()
                 if kind == GRAMS:
                     parts.append(unpack_values(blob))
                 elif kind == WORDS:
@@ -452,6 +468,7 @@ def _scored(docs: DataFrame, id_col: str, text_col: str, order: int, chunk_bytes
                     if known is None:
                         gram, value = map(np.concatenate, zip(*parts, strict=True))
                         parts = []
+                        give_back()
                         known = GramValues(gram, value)
                         del gram, value
                     rows = unpacked_table(blob)
