@@ -144,8 +144,11 @@ def run_summary(df: DataFrame, lines: int, rejected: int) -> DataFrame:
 
 
 def payload_rejoin(narrow: DataFrame, wide: DataFrame, key: str) -> DataFrame:
-    """Bring the wide columns back, once, after all narrow work is done."""
-    return narrow.join(wide, key, "left")
+    """Bring the wide columns back, once, after all narrow work is done.
+
+    The narrow rows are hashed, so the wide ones are not sorted.
+    """
+    return narrow.hint("shuffle_hash").join(wide, key, "left")
 
 
 def enriched_output(df: DataFrame) -> DataFrame:
@@ -181,8 +184,8 @@ def packed_outcome(outcome: DataFrame, key: str) -> DataFrame:
 
 
 def join_outcome(df: DataFrame, outcome: DataFrame, key: str) -> DataFrame:
-    """Every row of ``df`` with its outcome, packed into one column."""
-    return df.join(packed_outcome(outcome, key), key, "left")
+    """Every row of ``df`` with its outcome, packed into one column. Outcomes are hashed, so the rows are not sorted."""
+    return df.join(packed_outcome(outcome, key).hint("shuffle_hash"), key, "left")
 
 
 def take_outcome(df: DataFrame) -> DataFrame:

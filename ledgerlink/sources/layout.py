@@ -146,36 +146,58 @@ LAYOUT = [Field(n, int(s), int(w)) for n, s, w in (line.split() for line in _FIE
 PATCH_START = 384
 POINTER_DIGITS = 10
 
+# A line is cut into spans of at most so many characters before the fields are.
+SPAN_CHARS = 128
+
+
+def spans(layout: Sequence[Field], longest: int = SPAN_CHARS) -> list[tuple[int, int, list[Field]]]:
+    """Start, end (past the last) and fields of neighbouring fields that lie within ``longest`` characters; a longer field is alone."""
+    out: list[tuple[int, int, list[Field]]] = []
+    for f in sorted(layout, key=lambda f: (f.start, -f.width)):
+        end = f.start + f.width
+        if out and max(end, out[-1][1]) - out[-1][0] <= longest:
+            start, last, inside = out[-1]
+            out[-1] = (start, max(last, end), [*inside, f])
+        else:
+            out.append((f.start, end, [f]))
+    return out
+
 
 def parse(df: DataFrame, layout: Sequence[Field] = LAYOUT, src: str = "value") -> DataFrame:
-    """All fields in one projection; a field past the end of a line is blank.
+    """All fields in two projections; a field past the end of a line is blank.
 
     Finding a character position means walking the line from its start, once per field.
-    A line of one-byte characters is cut by byte position instead, with the same result.
+    A line of one-byte characters is cut by byte position instead, with the same result. Either way the text that is cut is
+    copied each time, so a line is cut into spans first and the fields out of those.
     """
-    plain = F.octet_length(src) == F.char_length(src)
-    lines = df.withColumns({"_bytes": F.col(src).cast("binary"), "_plain": plain})
-
-    def cut(f: Field) -> Column:
-        by_byte = F.substring("_bytes", f.start, f.width).cast("string")
-        return F.when(F.col("_plain"), by_byte).otherwise(F.substring(src, f.start, f.width))
+    def cut(text: str, start: int, width: int) -> Column:
+        by_byte = F.substring(F.col(text).cast("binary"), start, width).cast("string")
+        return F.when(F.col("_plain"), by_byte).otherwise(F.substring(text, start, width))
 
-    return lines.select(*df.columns, *[cut(f).alias(f.name) for f in layout])
+    parts = spans(layout)
+    plain = F.octet_length(src) == F.char_length(src)
+    wide = df.withColumn("_plain", plain).select(
+        *df.columns, "_plain", *[cut(src, start, end - start).alias(f"_span{n}") for n, (start, end, _) in enumerate(parts)]
+    )
+    found = {f: cut(f"_span{n}", f.start - start + 1, f.width) for n, (start, _, inside) in enumerate(parts) for f in inside}
+    return wide.select(*df.columns, *[found[f].alias(f.name) for f in layout])
 
 
 def build(values: Mapping[str, Column], layout: Sequence[Field] = LAYOUT) -> Column:
     """A line holding ``values``, blank elsewhere. Fields inside another are left out."""
-    parts, at = [], 1
+    parts, blanks, at = [], "", 1
     for f in sorted(layout, key=lambda f: (f.start, -f.width)):
         if f.start < at:
             continue
-        if f.start > at:
-            parts.append(F.lit(" " * (f.start - at)))
-        value = F.coalesce(values[f.name], F.lit("")) if f.name in values else F.lit("")
-        parts.append(F.rpad(value, f.width, " "))
+        blanks += " " * (f.start - at)
         at = f.start + f.width
-    parts.append(F.lit(" " * (RECORD_WIDTH + 1 - at)))
-    return F.concat(*parts)
+        if f.name not in values:
+            blanks += " " * f.width
+            continue
+        parts += [F.lit(blanks)] if blanks else []
+        parts.append(F.rpad(F.coalesce(values[f.name], F.lit("")), f.width, " "))
+        blanks = ""
+    return F.concat(*parts, F.lit(blanks + " " * (RECORD_WIDTH + 1 - at)))
 
 
 def result_span() -> list[Column]:
