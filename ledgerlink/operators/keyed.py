@@ -74,7 +74,8 @@ def attach(
     ``weight`` is the lookup column holding how many left rows a key has. A small
     lookup is broadcast. Otherwise the heaviest keys, a fixed number of them, are
     broadcast, and only the other rows meet in the shuffle: rows that are already
-    answered, or have no key, get a made-up key part that spreads them evenly.
+    answered, or have no key, get a made-up key part that spreads them evenly. The lookup is
+    hashed there, so the rows are not sorted.
     ``row_id`` names columns that tell left rows apart.
     """
     on = list(on)
@@ -93,7 +94,7 @@ def attach(
     # Always 0, but not a literal: Spark would turn a join with a literal into a filter
     # and shuffle by the key alone.
     zero = F.pmod(F.xxhash64(*on), F.lit(1))
-    rest = right.select(*on, zero.alias("_spread"), F.struct(*values).alias("_rest"))
+    rest = right.select(*on, zero.alias("_spread"), F.struct(*values).alias("_rest")).hint("shuffle_hash")
     found = F.coalesce("_heavy", "_rest")
     return (
         tagged.join(rest, [*on, "_spread"], "left")

@@ -61,7 +61,9 @@ class Case:
 
     @cached_property
     def records(self) -> DataFrame:
-        return stage(self.lazy_records, "records")
+        """The classified records with the fields a run keeps of them; cutting out the others costs more than all matching."""
+        kept = [self.cfg.record_id, self.cfg.special_id, *intake.MATCH_COLUMNS, "cls"]
+        return stage(self.lazy_records.select(*kept), "records")
 
     @cached_property
     def regular(self) -> DataFrame:
