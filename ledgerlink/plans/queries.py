@@ -137,7 +137,8 @@ class Case:
 
 def src_text(c: Case) -> DataFrame:
     path = c.scratch("lines")
-    c.lines.select("value").write.text(path)
+    # The lines are mostly blanks: compressed, a small part of their bytes goes to disk.
+    c.lines.select("value").write.option("compression", "gzip").text(path)
     return intake.read_lines(c.spark, path).select("value")
 
 
