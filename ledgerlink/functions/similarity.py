@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 # Send the scorer to the executors with the query, so they need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -93,18 +93,29 @@ def _score(left: pa.Array, right: pa.Array) -> pa.Array:
 jaro_winkler_score = _score.asNondeterministic()
 
 
+def signatures(names: pa.Array) -> pa.Array:
+    """Three bit sets of each name, a step per character position, all names at once; see ``name_signature``."""
+    codes, lengths = _codes(names)
+    seen = [np.zeros(len(codes), np.uint64) for _ in SIGNATURE]
+    for i in range(codes.shape[1]):
+        bit = np.where(i < lengths, np.uint64(1) << (codes[:, i] & 63).astype(np.uint64), np.uint64(0))
+        for once, more in ((1, 2), (0, 1)):
+            seen[more] |= seen[once] & bit
+        seen[0] |= bit
+    return pa.StructArray.from_arrays([pa.array(s.view(np.int64)) for s in seen], SIGNATURE)
+
+
+SIGNATURE = ["s1", "s2", "s3"]
+_signature = F.arrow_udf(signatures, StructType([StructField(s, LongType()) for s in SIGNATURE]))
+
+
 def name_signature(nm: str) -> Column:
-    """Three bit sets: characters seen at least once, twice, three times.
+    """Three bit sets: characters seen at least once, twice, three times. ``nm`` is not null.
 
     The bit is the character's code modulo 64, so space to ``>`` share bits with the
     backquote to ``~``. That makes the bound below looser, never wrong.
     """
-    bit = "shiftleft(1L, pmod(ascii(ch), 64))"
-    return F.expr(
-        f"""aggregate(split({nm}, ''), named_struct('s1', 0L, 's2', 0L, 's3', 0L),
-        (seen, ch) -> named_struct('s1', seen.s1 | {bit}, 's2', seen.s2 | (seen.s1 & {bit}),
-                                   's3', seen.s3 | (seen.s2 & {bit})))"""
-    )
+    return _signature(nm)
 
 
 def jaro_needed(threshold: float, prefix: int) -> float:

@@ -183,20 +183,17 @@ def deciding_records(outcome: DataFrame, cfg: MatchConfig) -> DataFrame:
     # Records of one id mostly repeat a few combinations, so these come first.
     together = numbered.groupBy(pseudo.alias("_pseudo"), "master_id", name.alias("_name"), addr.alias("_addr"), opt.alias("_opt"))
     together = together.agg(F.min(rid).alias(rid))
-    name, addr, opt, pseudo = F.col("_name"), F.col("_addr"), F.col("_opt"), F.col("_pseudo")
-
-    def part(kind: str, applies: Column, *numbers: Column) -> Column:
-        return F.when(applies, F.struct(F.lit(kind).alias("kind"), F.array(*numbers).alias("numbers")))
-
-    parts = F.array(
-        part("special", pseudo & (addr > 0), addr),
-        part("name", ~pseudo & (name > 0), name),
-        part("address", ~pseudo & (addr > 0), addr),
-        part("optional", ~pseudo & (opt > 0), opt),
-        part("link", ~pseudo & (name > 0) & (addr > 0), name, addr),
-    )
-    each = together.select(rid, "master_id", F.explode(F.array_compact(parts)).alias("_part"))
-    each = each.select(rid, "master_id", "_part.kind", F.col("_part.numbers")[0].alias("a"), F.get("_part.numbers", F.lit(1)).alias("b"))
+    name, addr, opt = (F.col(c).cast("long") for c in ("_name", "_addr", "_opt"))
+    pseudo, none = F.col("_pseudo"), F.lit(0).cast("long")
+    kinds = [  # special, name, address, optional address, link: the numbers each has of a record, if any
+        (F.when(pseudo & (addr > 0), addr), none),
+        (F.when(~pseudo & (name > 0), name), none),
+        (F.when(~pseudo & (addr > 0), addr), none),
+        (F.when(~pseudo & (opt > 0), opt), none),
+        (F.when(~pseudo & (name > 0) & (addr > 0), name), addr),
+    ]
+    rows = [x for kind, numbers in enumerate(kinds) for x in (F.lit(kind), *numbers)]
+    each = together.select(rid, "master_id", F.stack(F.lit(len(kinds)), *rows).alias("kind", "a", "b")).filter("a IS NOT NULL")
     firsts = each.groupBy("kind", "master_id", "a", "b").agg(F.min(rid).alias(rid))
     return firsts.select(rid).distinct()
 

@@ -17,7 +17,7 @@ from ledgerlink.functions.normalize import first_match, key, norm
 from ledgerlink.operators import addresses, assemble, changeset, merge, names, special
 from ledgerlink.operators.backfill import linked_names
 from ledgerlink.operators.classify import PSEUDO, REGULAR, classify, unknown_outcome
-from ledgerlink.operators.keyed import attach, distinct_keys, keep_first, lookup_side, restrict
+from ledgerlink.operators.keyed import attach, distinct_keys, keep_first, lookup_side, restrict, small
 from ledgerlink.operators.numbering import last_numbers, raised
 from ledgerlink.sources import intake, publish
 from ledgerlink.staging import file_marks, part_of_job, stage, stages_of
@@ -146,15 +146,17 @@ def regular_outcome(
     rid, place = cfg.record_id, addresses.PLACE
     nm, opt = norm(F.col("qw_employer_name")), key(F.col("opt_addr1"))
     opt_cols = [f"opt_{c}" for c in place]
+    # What is asked of a text after its lookup is kept as a flag, so that the text itself is not sent on.
     rows = records.filter(F.col("cls") == REGULAR).select(
         rid,
-        "cls",
         F.col(cfg.entity_id).alias("empr_id"),
         assemble.padded_id().alias("master_id"),
         F.when(F.length(nm) > 0, nm).alias("nm"),
         *[key(F.col(c)).alias(c) for c in place],
         *[F.when(opt != "", key(F.col(c))).alias(c) for c in opt_cols],
-        "vald_ein_cd",
+        F.coalesce(F.length(nm) > 0, F.lit(False)).alias("named"),
+        (opt != "").alias("has_opt"),
+        (F.col("vald_ein_cd") == "I").alias("invalid"),
     )
     primary_tab = primary_tab.withColumnsRenamed({"origin": "addr_origin", "first_id": "addr_first"})
     optional_tab = optional_tab.withColumnsRenamed(
@@ -165,16 +167,17 @@ def regular_outcome(
             "first_id": "opt_first",
         }
     )
-    rows = attach(rows, name_tab.drop("first_id"), names.ON, "n", [rid], cfg.limits)
+    # The widest key first, the lookup that gives texts (linked names) last: rows get narrower from one to the next.
+    rows = attach(rows, optional_tab, ["empr_id", *opt_cols], "n", [rid], cfg.limits).drop(*opt_cols)
+    rows = attach(rows, name_tab.drop("first_id"), names.ON, "n", [rid], cfg.limits).drop("nm")
     rows = attach(rows, primary_tab, addresses.ON, "n", [rid], cfg.limits)
-    rows = attach(rows, optional_tab, ["empr_id", *opt_cols], "n", [rid], cfg.limits)
 
     col, lit = F.col, F.lit
-    filled = col("nm").isNull() & (col("addr_snum") > 0) & col("link_nm").isNotNull()
+    filled = ~col("named") & (col("addr_snum") > 0) & col("link_nm").isNotNull()
     matched = col("addr_origin") == "known"
     return rows.select(
         rid,
-        "cls",
+        lit(REGULAR).alias("cls"),
         "master_id",
         F.when(filled, col("link_nm_snum")).otherwise(F.coalesce("nm_snum", lit(0))).alias("empr_name_pntr"),
         F.coalesce("addr_snum", lit(0)).alias("empr_addr_pntr"),
@@ -183,7 +186,7 @@ def regular_outcome(
         F.when(filled, lit("R")).otherwise(F.coalesce("name_ind", lit(" "))).alias("empr_name_ind"),
         first_match(
             [
-                (col("vald_ein_cd") == "I", lit("X")),
+                (col("invalid"), lit("X")),
                 (matched, lit("F")),
                 (col(rid) == col("addr_first"), lit("N")),
             ],
@@ -191,7 +194,7 @@ def regular_outcome(
         ).alias("empr_addr_ind"),
         first_match(
             [
-                (col("opt_addr1").isNull(), lit(" ")),
+                (~col("has_opt"), lit(" ")),
                 (col("opt_origin") == "known", lit("F")),
                 (col(rid) == col("opt_first"), lit("N")),
             ],
@@ -294,14 +297,17 @@ def _main_rows(joined: DataFrame, cfg: MatchConfig) -> DataFrame:
 def deciding_table(records: DataFrame, outcome: DataFrame, cfg: MatchConfig) -> DataFrame:
     """``main_table`` of only the records that decide the change-sets: one for each number and link at most.
 
-    All records meet their ids in two joins that sort neither records nor outcomes; what is left is as large as the
-    numbered entities, however many records repeat them.
+    All records meet their ids in two joins by record id that sort neither records nor outcomes; what is left is as large as
+    the numbered entities, however many records repeat them.
     """
     rid = cfg.record_id
     firsts = stage(changeset.deciding_records(outcome, cfg), "deciding")
-    told = stage(outcome.join(lookup_side(firsts, cfg.limits), rid, "left_semi"), "deciding_outcome")
-    packed = assemble.packed_outcome(lookup_side(told, cfg.limits), rid)
-    return _main_rows(records.drop("value").join(packed, rid), cfg)
+    if small(firsts, cfg.limits):
+        told = stage(outcome.join(F.broadcast(firsts), rid, "left_semi"), "deciding_outcome")
+        told = lookup_side(told, cfg.limits)
+    else:  # both joins find the outcomes where the first one has put them
+        told = outcome.join(firsts.hint("shuffle_hash"), rid, "left_semi").hint("shuffle_hash")
+    return _main_rows(records.drop("value").join(assemble.packed_outcome(told, rid), rid), cfg)
 
 
 def link_pairs(main: DataFrame, cfg: MatchConfig) -> DataFrame:

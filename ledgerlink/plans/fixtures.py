@@ -11,7 +11,15 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlink.staging import stage
+
 BASE_TABLES = ("orders", "customer", "nation", "part")
+# The columns used of the tables that grow.
+DEALT = {
+    "orders": ("o_orderkey", "o_custkey"),
+    "customer": ("c_custkey", "c_name", "c_nationkey", "c_mktsegment"),
+    "part": ("p_partkey", "p_name", "p_type", "p_size"),
+}
 
 # Master name of an employer, and the id block of a key.
 _NAME = "concat(p.p_name, ' ', p.p_type, ' ', CAST(p.p_size AS STRING))"
@@ -102,13 +110,26 @@ FROM (SELECT empr_id, addr1, city, state, zip5,
     FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey) a) b
 """
 
-FX_LINK = f"""
+
+
+def _link(names: str, addresses: str) -> str:
+    return f"""
 SELECT n.empr_id, n.nm_snum, a.addr_snum,
   CASE WHEN (n.nm_snum + a.addr_snum) % 4 = 1 THEN DATE '2024-06-30' ELSE DATE '2024-03-31' END AS app_odate
-FROM ({FX_NAME}) n JOIN ({FX_ADDR}) a ON n.empr_id = a.empr_id AND n.nm_snum IN (a.addr_snum - 5, a.addr_snum - 9, a.addr_snum - 14)
+FROM {names} n JOIN {addresses} a ON n.empr_id = a.empr_id AND n.nm_snum IN (a.addr_snum - 5, a.addr_snum - 9, a.addr_snum - 14)
 """
-FX_LINK_SOURCE = f"SELECT empr_id, nm_snum, addr_snum, 'QW' AS prvdr_src_cd, app_odate FROM ({FX_LINK}) k"
-FX_LINK_TYPE = f"SELECT empr_id, nm_snum, addr_snum, 'PR' AS addr_typ_cd, app_odate FROM ({FX_LINK}) k"
+
+
+def _link_source(link: str) -> str:
+    return f"SELECT empr_id, nm_snum, addr_snum, 'QW' AS prvdr_src_cd, app_odate FROM {link} k"
+
+
+def _link_type(link: str) -> str:
+    return f"SELECT empr_id, nm_snum, addr_snum, 'PR' AS addr_typ_cd, app_odate FROM {link} k"
+
+
+FX_LINK = _link(f"({FX_NAME})", f"({FX_ADDR})")
+FX_LINK_SOURCE, FX_LINK_TYPE = _link_source(f"({FX_LINK})"), _link_type(f"({FX_LINK})")
 
 # Special-id addresses: every customer's own name and address under its block's id.
 FX_SPECIAL = f"""
@@ -141,10 +162,18 @@ M_NAME = f"""SELECT empr_id, nm_snum, empr_nm, app_odate, {_STAMPS},
 M_ADDR = f"""SELECT empr_id, addr_snum, addr1 AS empr_addrln40_1, CASE WHEN addr_snum % 4 = 1 THEN 'FLOOR 3' ELSE '' END AS empr_addrln40_2,
   '' AS empr_addrln40_3, city AS empr_city25, state AS empr_st, zip5 AS empr_zip5, lpad(CAST(addr_snum AS STRING), 4, '0') AS empr_zip4,
   {_foreign('addr_snum')}, app_odate, {_STAMPS} FROM ({FX_ADDR}) a"""
-M_LINK = f"""SELECT k.*, {_STAMPS}, CASE WHEN nm_snum % 6 = 1 THEN DATE '2024-01-31' END AS endt,
-  CASE WHEN nm_snum % 6 = 2 THEN DATE '2020-01-31' END AS certd_stdt FROM ({FX_LINK}) k"""
-M_LINK_SOURCE = f"SELECT k.*, {_STAMPS}, CASE WHEN nm_snum % 6 = 1 THEN DATE '2024-01-31' END AS endt FROM ({FX_LINK_SOURCE}) k"
-M_LINK_TYPE = f"SELECT k.*, {_STAMPS}, CASE WHEN nm_snum % 6 = 1 THEN DATE '2024-01-31' END AS endt FROM ({FX_LINK_TYPE}) k"
+
+
+def _m_link(link: str) -> str:
+    return f"""SELECT k.*, {_STAMPS}, CASE WHEN nm_snum % 6 = 1 THEN DATE '2024-01-31' END AS endt,
+  CASE WHEN nm_snum % 6 = 2 THEN DATE '2020-01-31' END AS certd_stdt FROM ({link}) k"""
+
+
+def _m_link_part(link: str) -> str:
+    return f"SELECT k.*, {_STAMPS}, CASE WHEN nm_snum % 6 = 1 THEN DATE '2024-01-31' END AS endt FROM ({link}) k"
+
+
+M_LINK, M_LINK_SOURCE, M_LINK_TYPE = _m_link(FX_LINK), _m_link_part(FX_LINK_SOURCE), _m_link_part(FX_LINK_TYPE)
 M_SPECIAL = f"SELECT s.*, {_foreign('empr_snum')}, {_STAMPS} FROM ({FX_SPECIAL}) s"
 
 VIEWS = {
@@ -169,9 +198,9 @@ def frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     named = {}
     for t in BASE_TABLES:
         df = spark.read.parquet(f"{sf_dir}/{t}.parquet")
-        if t == "orders":
-            # The table is one small file: deal it out, as a large one would be.
-            df = df.select("o_orderkey", "o_custkey").repartition(spark.sparkContext.defaultParallelism)
+        if used := DEALT.get(t):
+            # Each table is one small file: deal it out, as a large one would be.
+            df = df.select(*used).repartition(spark.sparkContext.defaultParallelism)
         named[t] = df
 
     def over(text: str) -> DataFrame:
@@ -180,3 +209,12 @@ def frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         return spark.sql(text, **named)
 
     return {**named, **{name: over(text) for name, text in VIEWS.items()}}
+
+
+def stored_masters(fx: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The ``m_`` views, written once each. Those of links are derived from the stored names and addresses."""
+    spark = fx["m_name"].sparkSession
+    kept = {name: stage(fx[name], name) for name in ("m_name", "m_address", "m_special")}
+    kept["fx_link"] = stage(spark.sql(_link("{names}", "{addresses}"), names=kept["m_name"], addresses=kept["m_address"]), "fx_link")
+    texts = {"m_link": _m_link("SELECT * FROM {link}"), "m_link_source": _m_link_part(_link_source("{link}")), "m_link_type": _m_link_part(_link_type("{link}"))}
+    return kept | {name: spark.sql(text, link=kept["fx_link"]) for name, text in texts.items()}

@@ -79,13 +79,15 @@ class Case:
 
     @cached_property
     def masters(self) -> en.Masters:
+        """The masters as stored tables: matching, change-sets and merges read them, none derives them again."""
+        fx = fixtures.stored_masters(self.fx)
         return en.Masters(
-            names=self.fx["m_name"],
-            addresses=self.fx["m_address"],
-            special=self.fx["m_special"],
-            links=self.fx["m_link"],
-            link_sources=self.fx["m_link_source"],
-            link_types=self.fx["m_link_type"],
+            names=fx["m_name"],
+            addresses=fx["m_address"],
+            special=fx["m_special"],
+            links=fx["m_link"],
+            link_sources=fx["m_link_source"],
+            link_types=fx["m_link_type"],
         )
 
     @cached_property
