@@ -14,13 +14,14 @@ SPREAD = 1 << 20
 
 
 def small(df: DataFrame, limits: Limits) -> bool:
-    """Whether ``df`` (staged) may be sent to every executor: its rows and bytes are counted."""
+    """Whether ``df`` (staged) may be sent to every executor: its rows are counted, and the bytes of so many at most."""
+    if df.count() > limits.broadcast_rows:
+        return False
     width = reduce(
         Column.__add__,
         [F.coalesce(F.octet_length(c), F.lit(0)) if t == "string" else F.lit(8) for c, t in df.dtypes],
     )
-    size = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
-    return size.rows <= limits.broadcast_rows and size.bytes <= limits.broadcast_bytes
+    return df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first().bytes <= limits.broadcast_bytes
 
 
 def lookup_side(df: DataFrame, limits: Limits) -> DataFrame:

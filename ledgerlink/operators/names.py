@@ -59,7 +59,13 @@ def _similar_length(x: str, y: str, cfg: MatchConfig):
 
 
 def _cells(left: DataFrame, right: DataFrame, cfg: MatchConfig, cell_rows: int) -> DataFrame:
-    """How to cut up every block above ``cell_rows``: cells per id and master name length."""
+    """How to cut up every block above ``cell_rows``: cells per id and master name length.
+
+    Only ids with more names than that on one side can have such a block; the lengths of the others are not counted.
+    """
+    per_id = [df.groupBy("empr_id").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > cell_rows) for df in (left, right)]
+    crowded = per_id[0].unionByName(per_id[1]).select("empr_id").distinct()
+    left, right = (df.join(crowded, "empr_id", "left_semi") for df in (left, right))
     by_len = left.groupBy("empr_id", "len").agg(F.count(F.lit(1)).alias("rows"))
     master_len = right.groupBy("empr_id", F.col("len").alias("block")).agg(
         F.count(F.lit(1)).alias("right_rows")

@@ -20,7 +20,7 @@ from ledgerlink.operators.classify import PSEUDO, REGULAR, classify, unknown_out
 from ledgerlink.operators.keyed import attach, distinct_keys, keep_first, lookup_side, restrict, small
 from ledgerlink.operators.numbering import last_numbers, raised
 from ledgerlink.sources import intake, publish
-from ledgerlink.staging import file_marks, part_of_job, stage, stages_of
+from ledgerlink.staging import file_marks, part_of_job, stage, stages_of, together
 
 REJECTS_CSV = "rejects_csv"
 
@@ -168,7 +168,9 @@ def regular_outcome(
         }
     )
     # The widest key first, the lookup that gives texts (linked names) last: rows get narrower from one to the next.
-    rows = attach(rows, optional_tab, ["empr_id", *opt_cols], "n", [rid], cfg.limits).drop(*opt_cols)
+    # Records without an optional address have nothing to look up there and are not sent.
+    told = attach(rows.filter("has_opt"), optional_tab, ["empr_id", *opt_cols], "n", [rid], cfg.limits)
+    rows = told.unionByName(rows.filter(~F.col("has_opt")), allowMissingColumns=True).drop(*opt_cols)
     rows = attach(rows, name_tab.drop("first_id"), names.ON, "n", [rid], cfg.limits).drop("nm")
     rows = attach(rows, primary_tab, addresses.ON, "n", [rid], cfg.limits)
 
@@ -234,28 +236,36 @@ def resolve(
         pseudo.select(F.coalesce(cfg.special_id, F.lit("")).alias("empr_idfr")), "empr_idfr"
     )
     ids = stage(ids, "ids")
-    known_names = stage(restrict(masters.names, ids, ["empr_id"]), "master_names")
     known_addr = restrict(changeset.address_view(masters.addresses), ids, ["empr_id"])
-    known_addr = stage(
-        known_addr.select(*addresses.ON, "addr_snum"), "master_addresses"
+    spark = records.sparkSession
+    known_names, known_addr = together(
+        spark,
+        lambda: stage(restrict(masters.names, ids, ["empr_id"]), "master_names"),
+        lambda: stage(known_addr.select(*addresses.ON, "addr_snum"), "master_addresses"),
     )
     links = restrict(masters.links, ids, ["empr_id"])
     known_special = restrict(masters.special, special_ids, ["empr_idfr"])
     in_use = masters.in_use
     last_name, last_addr, last_special = (in_use.get(s.name) for s in (changeset.NAME, changeset.ADDRESS, changeset.SPECIAL))
 
-    name_tab = names.name_table(regular, known_names, cfg, last_name)
-    primary_tab = addresses.primary_table(
-        regular,
-        known_addr,
-        known_names,
-        pseudo.select(F.col(cfg.entity_id).alias("empr_id")),
-        linked_names(links, known_names),
-        cfg,
-        last_addr,
+    def address_tables() -> tuple[DataFrame, DataFrame]:
+        primary = addresses.primary_table(
+            regular,
+            known_addr,
+            known_names,
+            pseudo.select(F.col(cfg.entity_id).alias("empr_id")),
+            linked_names(links, known_names),
+            cfg,
+            last_addr,
+        )
+        return primary, addresses.optional_table(regular, primary, known_addr, cfg, last_addr)
+
+    name_tab, (primary_tab, optional_tab), special_tab = together(
+        spark,
+        lambda: names.name_table(regular, known_names, cfg, last_name),
+        address_tables,
+        lambda: special.special_table(pseudo, known_special, cfg, last_special),
     )
-    optional_tab = addresses.optional_table(regular, primary_tab, known_addr, cfg, last_addr)
-    special_tab = special.special_table(pseudo, known_special, cfg, last_special)
 
     outcome = assemble.align_union(
         [

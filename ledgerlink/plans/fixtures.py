@@ -11,7 +11,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlink.staging import stage
+from ledgerlink.staging import stage, together
 
 BASE_TABLES = ("orders", "customer", "nation", "part")
 # The columns used of the tables that grow.
@@ -214,7 +214,8 @@ def frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def stored_masters(fx: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The ``m_`` views, written once each. Those of links are derived from the stored names and addresses."""
     spark = fx["m_name"].sparkSession
-    kept = {name: stage(fx[name], name) for name in ("m_name", "m_address", "m_special")}
+    names = ("m_name", "m_address", "m_special")
+    kept = dict(zip(names, together(spark, *[lambda name=name: stage(fx[name], name) for name in names])))
     kept["fx_link"] = stage(spark.sql(_link("{names}", "{addresses}"), names=kept["m_name"], addresses=kept["m_address"]), "fx_link")
     texts = {"m_link": _m_link("SELECT * FROM {link}"), "m_link_source": _m_link_part(_link_source("{link}")), "m_link_type": _m_link_part(_link_type("{link}"))}
     return kept | {name: spark.sql(text, link=kept["fx_link"]) for name, text in texts.items()}

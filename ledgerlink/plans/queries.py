@@ -21,7 +21,7 @@ from ledgerlink.operators import keyed, merge, names, numbering, special
 from ledgerlink.plans import enrich as en
 from ledgerlink.plans import fixtures
 from ledgerlink.sources import intake, layout, publish, tables
-from ledgerlink.staging import stage, stage_path
+from ledgerlink.staging import stage, stage_path, together
 
 CFG = MatchConfig(odate=date(2024, 6, 30), run_ts=datetime(2024, 6, 30))
 TIMES = ("insrt_ts", "lu_ts")
@@ -123,11 +123,18 @@ class Case:
 
     @cached_property
     def outcome(self) -> DataFrame:
-        return en.resolve(self.records, self.masters, self.cfg)
+        records, masters = together(self.spark, lambda: self.records, lambda: self.masters)
+        return en.resolve(records, masters, self.cfg)
+
+    @cached_property
+    def matched(self) -> tuple[DataFrame, DataFrame]:
+        """Records and their outcome; the outcome is asked first, so that the records are stored beside the masters."""
+        outcome = self.outcome
+        return self.records, outcome
 
     @cached_property
     def main(self) -> DataFrame:
-        return stage(en.deciding_table(self.records, self.outcome, self.cfg), "main")
+        return stage(en.deciding_table(*self.matched, self.cfg), "main")
 
     @cached_property
     def pairs(self) -> DataFrame:
@@ -317,7 +324,7 @@ def run_summary(c: Case) -> DataFrame:
 
 
 def conservation_check(c: Case) -> DataFrame:
-    return asm.check_conserved(c.records, c.outcome, "input_order")
+    return asm.check_conserved(*c.matched, "input_order")
 
 
 def align_union(c: Case) -> DataFrame:
@@ -434,7 +441,7 @@ def indicators(c: Case) -> DataFrame:
 
 
 def main_tmp(c: Case) -> DataFrame:
-    return en.main_table(c.records, c.outcome, c.cfg).select("input_order", *asm.MAIN_COLUMNS)
+    return en.main_table(*c.matched, c.cfg).select("input_order", *asm.MAIN_COLUMNS)
 
 
 def enriched_output(c: Case) -> DataFrame:

@@ -1,0 +1,105 @@
+"""Steps that run beside each other, and rows and columns that are not sent."""
+
+import threading
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerlink.config import Limits
+from ledgerlink.operators import keyed, names
+from ledgerlink.plans import enrich, queries
+from ledgerlink.sources import intake
+from ledgerlink.staging import stage, stages_of, together
+from tests.test_run import CFG, LINES, full, narrow_masters
+from tests.test_skew import rows_of
+from tests.test_stored_steps import LARGE, SF_DIR, text_of
+
+WAIT = 120
+
+
+def meeting(monkeypatch, n, *places):
+    """Each of these functions waits until all of them have been called."""
+    barrier = threading.Barrier(n)
+    for module, name in places:
+        own = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda *a, own=own: (barrier.wait(WAIT), own(*a))[1])
+
+
+def test_tables_of_names_addresses_and_special_ids_are_made_together(spark, monkeypatch):
+    df = spark.createDataFrame(list(enumerate(LINES)), "input_order long, value string")
+    records = stage(intake.matchable(df, LARGE), "records")
+    want = enrich.match(records, full(narrow_masters(spark)), CFG)
+    meeting(monkeypatch, 3, (enrich.names, "name_table"), (enrich.addresses, "primary_table"), (enrich.special, "special_table"))
+    assert rows_of(enrich.match(records, full(narrow_masters(spark)), LARGE)) == rows_of(want)
+
+
+def test_records_are_stored_beside_the_masters(spark, monkeypatch):
+    barrier, own = threading.Barrier(2), queries.fixtures.stored_masters
+    monkeypatch.setattr(queries.fixtures, "stored_masters", lambda fx: (barrier.wait(WAIT), own(fx))[1])
+    plain = queries.stage
+
+    def meets(df, name, *more):
+        if name == "records":
+            barrier.wait(WAIT)
+        return plain(df, name, *more)
+
+    monkeypatch.setattr(queries, "stage", meets)
+    assert queries.main_tmp(queries.Case(spark, SF_DIR)).columns[0] == "input_order"
+
+
+def test_records_without_optional_address_are_not_sent(spark, monkeypatch):
+    df = spark.createDataFrame(list(enumerate(LINES)), "input_order long, value string")
+    records = stage(intake.matchable(df, LARGE), "records")
+    seen, own = [], enrich.attach
+    monkeypatch.setattr(enrich, "attach", lambda left, *more: (seen.append(left), own(left, *more))[1])
+    outcome = enrich.match(records, full(narrow_masters(spark)), LARGE)
+    optional, named = seen[-3:-1]
+    assert optional.filter("NOT has_opt").isEmpty()
+    assert named.count() == outcome.filter("cls = 'regular'").count() > optional.count() > 0
+
+
+def test_large_tables_are_counted_without_their_columns(spark):
+    df = spark.range(3).select(F.raise_error(F.lit("read")).cast("string").alias("x"))
+    assert not keyed.small(df, Limits(broadcast_rows=2))
+    assert keyed.small(spark.range(3), Limits(broadcast_rows=3, broadcast_bytes=24))
+    assert not keyed.small(spark.range(3), Limits(broadcast_rows=3, broadcast_bytes=23))
+
+
+def test_lengths_are_counted_for_crowded_ids_only(spark):
+    cfg = replace(CFG, limits=Limits(cell_rows=2))
+    rows = [("A", "abcdef", 6), ("A", "abcdeg", 6), ("A", "abcdeh", 6), ("B", "abcdef", 6), (None, "abcdef", 6)]
+    left = spark.createDataFrame(rows, "empr_id string, nm string, len int")
+    right = left.filter("nm = 'abcdef'")
+    cells = names._cells(left, right, cfg, 2)
+    assert text_of(cells).count("LeftSemi") > 1
+    assert rows_of(cells) == [("A", 6, 2, 1)]
+    assert rows_of(names._cells(right, left, cfg, 2)) == [("A", 6, 1, 2)]
+
+
+class Stopped(BaseException):
+    """As a driver that is told to end."""
+
+
+def test_parts_that_ended_are_taken_up(spark):
+    """Two calls, each with two steps of the same stage names; one of the last ones fails."""
+
+    def step(n, ends=False):
+        def rows():
+            out = [rows_of(stage(spark.range(i, i + 1), "a")) for i in (n, n + 1)]
+            if ends:
+                raise Stopped
+            return out
+
+        return rows
+
+    def other():
+        return [stage(spark.range(0), "a").count() for _ in range(3)]
+
+    with pytest.raises(Stopped), stages_of(spark, "job-together", {}):
+        first = together(spark, step(10), step(20))
+        together(spark, step(30), step(40, ends=True))
+    assert first == [[[(10,)], [(11,)]], [[(20,)], [(21,)]]]
+    with stages_of(spark, "job-together", {}):
+        assert together(spark, step(0), step(0)) == first
+        assert together(spark, step(0), other) == [[[(30,)], [(31,)]], [1, 1, 0]]
