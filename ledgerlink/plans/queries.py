@@ -132,13 +132,18 @@ class Case:
         outcome = self.outcome
         return self.records, outcome
 
+    @cached_property
+    def deciding(self) -> DataFrame:
+        """The deciding rows, for what reads them once: of their columns only those that are asked for are joined."""
+        return en.deciding_table(*self.matched, self.cfg)
+
     @cached_property
     def main(self) -> DataFrame:
-        return stage(en.deciding_table(*self.matched, self.cfg), "main")
+        return stage(self.deciding, "main")
 
     @cached_property
     def pairs(self) -> DataFrame:
-        return en.link_pairs(self.main, self.cfg)
+        return en.link_pairs(self.deciding, self.cfg)
 
 
 # --- sources, sinks, stages
@@ -464,19 +469,19 @@ def _set(c: Case, src: DataFrame, spec: cs.TableSpec, no_update: str | None = No
 
 
 def cs_special(c: Case) -> DataFrame:
-    return _set(c, cs.special_rows(c.main, c.cfg), cs.SPECIAL)
+    return _set(c, cs.special_rows(c.deciding, c.cfg), cs.SPECIAL)
 
 
 def cs_name(c: Case) -> DataFrame:
-    return _set(c, cs.name_rows(c.main, c.cfg), cs.NAME)
+    return _set(c, cs.name_rows(c.deciding, c.cfg), cs.NAME)
 
 
 def cs_addr(c: Case) -> DataFrame:
-    return _set(c, cs.address_rows(c.main, c.cfg), cs.ADDRESS)
+    return _set(c, cs.address_rows(c.deciding, c.cfg), cs.ADDRESS)
 
 
 def cs_opt_addr(c: Case) -> DataFrame:
-    rows = cs.optional_address_rows(c.main, c.cfg).withColumn("_optional", F.lit(True))
+    rows = cs.optional_address_rows(c.deciding, c.cfg).withColumn("_optional", F.lit(True))
     return _set(c, rows, cs.ADDRESS, no_update="_optional")
 
 

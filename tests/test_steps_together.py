@@ -48,6 +48,18 @@ def test_records_are_stored_beside_the_masters(spark, monkeypatch):
     assert queries.main_tmp(queries.Case(spark, SF_DIR)).columns[0] == "input_order"
 
 
+@pytest.mark.parametrize("name", ["cs_link_source", "cs_link_type"])
+def test_links_join_only_their_columns(spark, monkeypatch, name):
+    stored = {}
+    for module in (queries, enrich):
+        own = module.stage
+        monkeypatch.setattr(module, "stage", lambda df, name, *more, own=own: (stored.update({name: df}), own(df, name, *more))[1])
+    queries.QUERIES[name][0](queries.Case(spark, SF_DIR))
+    assert "main" not in stored
+    read = stored["link_pairs"]._jdf.queryExecution().sparkPlan().toString()
+    assert "work_ein" in read and "filled_name" not in read and "city" not in read.replace("FileScan", "\nFileScan").split("Location")[0]
+
+
 def test_records_without_optional_address_are_not_sent(spark, monkeypatch):
     df = spark.createDataFrame(list(enumerate(LINES)), "input_order long, value string")
     records = stage(intake.matchable(df, LARGE), "records")
