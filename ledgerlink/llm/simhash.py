@@ -94,10 +94,10 @@ def around_centres(fps: DataFrame, k: int, crowded: int) -> tuple[DataFrame, Dat
     n = keys.count()
     if not n:
         return fps.withColumn("grp", F.col("fp")), None
-    side = F.broadcast(keys) if n <= SENT_KEYS else keys
+    side = F.broadcast(keys) if n <= SENT_KEYS else keys.hint("merge")
     centres = wide.join(side, "key").groupBy("key").agg(F.max_by("fp", F.struct("n", "fp")).alias("centre"))
     keys = stage(centres, "centres_of_keys")
-    side = F.broadcast(keys) if n <= SENT_KEYS else keys
+    side = F.broadcast(keys) if n <= SENT_KEYS else keys.hint("merge")
     near = wide.join(side, "key").filter((F.col("fp") != F.col("centre")) & (distance("fp", "centre") <= k))
     known = components(near.select(F.col("fp").alias("a"), F.col("centre").alias("b")), "centres")
     known = known.select(F.col("node").alias("fp"), F.col("component").alias("grp"))
@@ -116,7 +116,7 @@ def links(fps: DataFrame, k: int, crowded: int = CROWDED) -> DataFrame:
     if keys is not None:
         main = keys.join(labelled.select(F.col("fp").alias("centre"), F.col("grp").alias("main")), "centre")
         main = main.select("key", "main")
-        side = F.broadcast(main) if keys.count() <= SENT_KEYS else main
+        side = F.broadcast(main) if keys.count() <= SENT_KEYS else main.hint("merge")
         index = index.join(side, "key", "left")
     else:
         index = index.withColumn("main", F.lit(None).cast("long"))
@@ -127,7 +127,8 @@ def links(fps: DataFrame, k: int, crowded: int = CROWDED) -> DataFrame:
     condition = (
         (F.col("l.key") == F.col("r.key")) & (F.col("l.grp") != F.col("r.grp")) & once & (F.bit_count(x) <= k) & wildcard
     )
-    found = left.join(right, condition).select(F.col("l.fp").alias("a"), F.col("r.fp").alias("b"))
+    # Spark takes the variants to be as large as their fingerprints and would send them whole to the driver.
+    found = left.join(right.hint("merge"), condition).select(F.col("l.fp").alias("a"), F.col("r.fp").alias("b"))
     if keys is None:
         return found
     inside = labelled.filter("grp != fp").select(F.col("fp").alias("a"), F.col("grp").alias("b"))
