@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlink.config import MatchConfig
 from ledgerlink.functions.normalize import key, norm
-from ledgerlink.operators.keyed import attach, max_seq
+from ledgerlink.operators.keyed import attach, max_seq, shuffled_side
 from ledgerlink.operators.numbering import allocate, last_numbers
 from ledgerlink.staging import stage
 
@@ -44,7 +44,7 @@ def address_lookup(master: DataFrame) -> DataFrame:
 
 def match_addresses(inputs: DataFrame, lookup: DataFrame) -> DataFrame:
     """Inputs with the master's number; a blank first line matches nothing."""
-    return inputs.join(lookup.filter(F.col("addr1") != ""), ON, "left")
+    return inputs.join(shuffled_side(lookup.filter(F.col("addr1") != "")), ON, "left")
 
 
 def resolve_primary(
@@ -78,7 +78,7 @@ def new_primary(primary: DataFrame) -> DataFrame:
 def new_optional(matched: DataFrame, primary: DataFrame) -> DataFrame:
     """Optional addresses neither known nor numbered as a primary of this run."""
     rest = matched.filter(F.col("addr_snum").isNull())
-    return rest.join(new_primary(primary), ON, "left_anti")
+    return rest.join(shuffled_side(new_primary(primary)), ON, "left_anti")
 
 
 def optional_bases(primary: DataFrame, master: DataFrame, last: DataFrame | None = None) -> list[DataFrame]:
@@ -98,7 +98,7 @@ def share_primary(matched: DataFrame, primary: DataFrame) -> DataFrame:
         .otherwise("open")
     )
     return (
-        matched.join(shared, ON, "left")
+        matched.join(shuffled_side(shared), ON, "left")
         .withColumn("origin", origin)
         .withColumn("addr_snum", F.coalesce("addr_snum", "_shared"))
         .drop("_shared")
@@ -128,8 +128,8 @@ def table_indicators(ids: DataFrame, names: DataFrame, pseudo_ids: DataFrame) ->
     pseudo = pseudo_ids.select("empr_id").distinct().withColumn("_pseudo", F.lit(True))
     ind = F.when(F.col("_pseudo"), "O").when(F.col("_named"), "F").otherwise("N")
     return (
-        ids.join(named, "empr_id", "left")
-        .join(pseudo, "empr_id", "left")
+        ids.join(shuffled_side(named), "empr_id", "left")
+        .join(shuffled_side(pseudo), "empr_id", "left")
         .withColumn("table_ind", ind)
         .drop("_named", "_pseudo")
     )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlink.operators.keyed import shuffled_side
+
 
 def linked_names(links: DataFrame, names: DataFrame) -> DataFrame:
     """Per address the linked name with the lowest number."""
@@ -12,7 +14,7 @@ def linked_names(links: DataFrame, names: DataFrame) -> DataFrame:
     oldest = F.min(F.struct(F.col("nm_snum"), F.col("empr_nm"))).alias("first")
     return (
         links.select("empr_id", "nm_snum", "addr_snum")
-        .join(known, ["empr_id", "nm_snum"])
+        .join(shuffled_side(known), ["empr_id", "nm_snum"])
         .groupBy("empr_id", "addr_snum")
         .agg(oldest)
         .select(

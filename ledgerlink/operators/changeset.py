@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerlink.config import MatchConfig
 from ledgerlink.functions.normalize import is_blank, norm, quality_code
 from ledgerlink.operators.classify import PSEUDO
-from ledgerlink.operators.keyed import keep_first
+from ledgerlink.operators.keyed import keep_first, shuffled_side
 
 
 @dataclass(frozen=True)
@@ -224,7 +224,7 @@ def change_set(
     columns = [c for c in first.columns if c != no_update]
     zero = F.lit(0).cast("long")
     return (
-        first.join(known, list(spec.key), "left")
+        first.join(shuffled_side(known), list(spec.key), "left")
         .withColumn("db_oper_typ", op)
         .filter(F.col("db_oper_typ").isNotNull())
         .select("db_oper_typ", zero.alias("db_sort_num"), zero.alias("db_uid"), *columns)

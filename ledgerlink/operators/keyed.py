@@ -32,6 +32,15 @@ def lookup_side(df: DataFrame, limits: Limits) -> DataFrame:
     return F.broadcast(df) if small(df, limits) else df.hint("shuffle_hash")
 
 
+def shuffled_side(df: DataFrame) -> DataFrame:
+    """``df`` as the side of a join that is shuffled, whatever size Spark takes it for.
+
+    The files of a table are a small part of its rows in memory, and a join planned as a broadcast stays one when the rows turn
+    out to be many: the driver would gather them all. Tables that grow are therefore never left to that estimate.
+    """
+    return df.hint("merge")
+
+
 def distinct_keys(df: DataFrame, *cols: str) -> DataFrame:
     return df.select(*cols).distinct()
 
@@ -39,8 +48,8 @@ def distinct_keys(df: DataFrame, *cols: str) -> DataFrame:
 def restrict(master: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
     """Master rows whose key occurs in ``keys``.
 
-    The join type is left to Spark: it knows the size of a read table and of a
-    finished shuffle, and splits skewed partitions of the master.
+    How they meet is for the caller to say (``lookup_side``) where ``keys`` are stored; else Spark knows the size of a
+    finished shuffle. It splits skewed partitions of the master.
     """
     return master.join(keys.select(*on), list(on), "left_semi")
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlink.config import MatchConfig
 from ledgerlink.operators.changeset import TableSpec
+from ledgerlink.operators.keyed import shuffled_side
 
 
 def merge_update(
@@ -14,7 +15,7 @@ def merge_update(
 ) -> DataFrame:
     """Rows named by a ``U`` get the run's date and update time; nothing else changes."""
     keys = changes.filter(F.col("db_oper_typ") == "U").select(*spec.key).distinct()
-    hit = spec.of(master).join(keys.withColumn("_hit", F.lit(True)), list(spec.key), "left")
+    hit = spec.of(master).join(shuffled_side(keys.withColumn("_hit", F.lit(True))), list(spec.key), "left")
     new = {"app_odate": F.lit(cfg.odate), "lu_ts": F.lit(cfg.run_ts)}
     cols = [F.when(F.col("_hit"), new[c]).otherwise(F.col(c)).alias(c) if c in new else c for c in spec.columns]
     return hit.select(*cols)
@@ -24,7 +25,7 @@ def merge_insert(master: DataFrame, changes: DataFrame, spec: TableSpec) -> Data
     """Add the ``I`` rows, which change-sets hold once per key; a key the master has is left alone."""
     rows = changes.filter(F.col("db_oper_typ") == "I").select(*spec.columns)
     known = spec.of(master)
-    return known.unionByName(rows.join(known.select(*spec.key), list(spec.key), "left_anti"))
+    return known.unionByName(rows.join(shuffled_side(known.select(*spec.key)), list(spec.key), "left_anti"))
 
 
 def merge(master: DataFrame, changes: DataFrame, spec: TableSpec, cfg: MatchConfig) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlink.config import MatchConfig
 from ledgerlink.functions.normalize import norm
 from ledgerlink.functions.similarity import can_reach, jaro_winkler_score, name_signature
-from ledgerlink.operators.keyed import keep_first
+from ledgerlink.operators.keyed import keep_first, shuffled_side
 from ledgerlink.operators.numbering import allocate, last_numbers
 from ledgerlink.staging import stage
 
@@ -41,7 +41,7 @@ def master_names(names: DataFrame) -> DataFrame:
 def exact_names(inputs: DataFrame, names: DataFrame) -> DataFrame:
     """``F`` with the master's number where the normalised name is known, else ``N``."""
     ind = F.when(F.col("nm_snum").isNotNull(), "F").otherwise("N")
-    return inputs.join(master_names(names), ON, "left").withColumn("name_ind", ind)
+    return inputs.join(shuffled_side(master_names(names)), ON, "left").withColumn("name_ind", ind)
 
 
 def _scorable(df: DataFrame, cfg: MatchConfig) -> DataFrame:
@@ -130,7 +130,7 @@ def fuzzy_candidates(
         & _similar_length("l.len", "r.len", cfg)
         & can_reach("l", "r", cfg.threshold)
     )
-    return l.join(r, meet).select(
+    return l.join(shuffled_side(r), meet).select(
         "l.empr_id", "l.nm", F.col("r.nm").alias("master_nm"), "r.nm_snum"
     )
 

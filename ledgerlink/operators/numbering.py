@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlink.config import Limits
-from ledgerlink.operators.keyed import attach, max_seq
+from ledgerlink.operators.keyed import attach, max_seq, shuffled_side
 from ledgerlink.staging import stage
 
 _ROW_BITS = 33  # monotonically_increasing_id: partition above, row number below
@@ -81,7 +81,7 @@ def allocate(
     found = []
     for i, base in enumerate(bases):
         (value,) = [c for c in base.columns if c not in on]
-        ids = ids.join(base.withColumnRenamed(value, f"_base{i}"), on, "left")
+        ids = ids.join(shuffled_side(base.withColumnRenamed(value, f"_base{i}")), on, "left")
         found.append(F.col(f"_base{i}"))
     ids = ids.select(*on, "_n", F.coalesce(*found, F.lit(0)).alias("_base"))
     if few_rows:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlink.config import MatchConfig
 from ledgerlink.functions.normalize import norm
+from ledgerlink.operators.keyed import shuffled_side
 from ledgerlink.operators.numbering import allocate, last_numbers
 from ledgerlink.staging import stage
 
@@ -50,7 +51,7 @@ def match_special(inputs: DataFrame, master: DataFrame, cfg: MatchConfig) -> Dat
         .agg(F.min("empr_snum").alias("empr_snum"))
     )
     keyed = inputs.withColumns({f"_{c}": norm(F.col(c)) for c in CONTENT})
-    return keyed.join(known, ["empr_idfr", *[f"_{c}" for c in CONTENT]], "left").drop(
+    return keyed.join(shuffled_side(known), ["empr_idfr", *[f"_{c}" for c in CONTENT]], "left").drop(
         *[f"_{c}" for c in CONTENT]
     )
 

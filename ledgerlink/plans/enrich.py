@@ -235,7 +235,7 @@ def resolve(
     special_ids = distinct_keys(
         pseudo.select(F.coalesce(cfg.special_id, F.lit("")).alias("empr_idfr")), "empr_idfr"
     )
-    ids = stage(ids, "ids")
+    ids, special_ids = lookup_side(stage(ids, "ids"), cfg.limits), lookup_side(stage(special_ids, "special_ids"), cfg.limits)
     known_addr = restrict(changeset.address_view(masters.addresses), ids, ["empr_id"])
     spark = records.sparkSession
     known_names, known_addr = together(

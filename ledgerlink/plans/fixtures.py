@@ -10,7 +10,9 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ledgerlink.operators.keyed import shuffled_side
 from ledgerlink.staging import stage, together
 
 BASE_TABLES = ("orders", "customer", "nation", "part")
@@ -203,10 +205,14 @@ def frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             df = df.select(*used).repartition(spark.sparkContext.defaultParallelism)
         named[t] = df
 
+    # The side a join looks up: 25 nations are sent whole. The others grow; Spark would send them by the size of their files.
+    sides = {f"{t}_side": F.broadcast(df) if t == "nation" else df.hint("shuffle_hash") for t, df in named.items()}
+
     def over(text: str) -> DataFrame:
         for t in BASE_TABLES:
-            text = re.sub(rf"\b(FROM|JOIN) {t} ", rf"\1 {{{t}}} ", text)
-        return spark.sql(text, **named)
+            text = re.sub(rf"\bFROM {t} ", f"FROM {{{t}}} ", text)
+            text = re.sub(rf"\bJOIN {t} ", f"JOIN {{{t}_side}} ", text)
+        return spark.sql(text, **named, **sides)
 
     return {**named, **{name: over(text) for name, text in VIEWS.items()}}
 
@@ -216,6 +222,6 @@ def stored_masters(fx: dict[str, DataFrame]) -> dict[str, DataFrame]:
     spark = fx["m_name"].sparkSession
     names = ("m_name", "m_address", "m_special")
     kept = dict(zip(names, together(spark, *[lambda name=name: stage(fx[name], name) for name in names])))
-    kept["fx_link"] = stage(spark.sql(_link("{names}", "{addresses}"), names=kept["m_name"], addresses=kept["m_address"]), "fx_link")
+    kept["fx_link"] = stage(spark.sql(_link("{names}", "{addresses}"), names=kept["m_name"], addresses=shuffled_side(kept["m_address"])), "fx_link")
     texts = {"m_link": _m_link("SELECT * FROM {link}"), "m_link_source": _m_link_part(_link_source("{link}")), "m_link_type": _m_link_part(_link_type("{link}"))}
     return kept | {name: spark.sql(text, link=kept["fx_link"]) for name, text in texts.items()}
